@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import toxicity
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -13,8 +14,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text of ``documents``, learnt from ``labels.toxic``."""
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_toxicity": op8_toxicity,
 }
 
 ORACLES = {
