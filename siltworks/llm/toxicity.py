@@ -25,8 +25,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Params:
-    """sample_rows bounds the labelled rows learnt from (at most half of them label 1) and shard_rows
-    those of one task.
+    """sample_rows bounds the labelled rows learnt from (at most half of them label 1, and
+    ``negatives`` of label 0 for each of these, or 1,000) and shard_rows those of one task.
 
     A feature takes part where ``min_rows`` texts of its shard hold it, as one seen in a single text
     could only memorise that text. ``l1_share`` times the rows of the shard is the L1 term.
@@ -35,6 +35,7 @@ class Params:
     sample_rows: int = 16_384
     shard_rows: int = 4_096
     sample_chars: int = 20_000
+    negatives: int = 2
     min_rows: int = 3
     epochs: int = 10
     alpha: float = 2.0
@@ -99,7 +100,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, order_col: str, para
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0), -3.0
     taken = {True: min(n.get(True, 0), p.sample_rows // 2)}
-    taken[False] = min(n.get(False, 0), p.sample_rows - taken[True])
+    taken[False] = min(n.get(False, 0), p.sample_rows - taken[True], max(p.negatives * taken[True], 1_000))
     # the order is uniform over 64 bits: a threshold for each label takes its share without a sort
     cut = {y: int(-(2**63) + (taken[y] / n[y] if n.get(y) else 1.0) * (2**64 - 1)) - (taken[y] > 0) for y in taken}
     usable = usable.where(F.col("order") <= F.when(F.col("label") > 0.5, F.lit(cut[True])).otherwise(F.lit(cut[False])))
@@ -108,6 +109,8 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, order_col: str, para
     mean = learnt.groupBy("feature", "intercept").agg((F.sum("weight") / shards).alias("weight"))
     rows = mean.orderBy(F.col("intercept").desc(), F.abs("weight").desc()).limit(p.max_weights + 1).toPandas()
     intercept = float(rows.loc[rows["intercept"], "weight"].sum())
+    if all(taken.values()):  # back from the sample's odds to those of all labelled rows
+        intercept += float(np.log(n[True] / n[False]) - np.log(taken[True] / taken[False]))
     rows = rows[~rows["intercept"]]
     keys = rows["feature"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
