@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from . import toxicity
+from . import packing, quality, token_counts, toxicity
 from .common import table
 from .exact_dedup import exact_groups
 
+#: Folder of the public tokenizer files; by default that of the package public_tokenizers.
+TOKENIZERS: str | None = None
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer file lies (the same on every machine)."""
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens; one row per piece."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048).drop("row")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document in byte_bpe_50k.json; one row per document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), 1024).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies among all rows of ``documents``; one row per document."""
@@ -19,9 +44,17 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text of ``documents``, learnt from ``labels.quality``."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_quality": op9_quality,
 }
 
 ORACLES = {
