@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .toxicity import labelled
+from .sampling import labelled_sample
 
 
 @dataclass(frozen=True)
@@ -165,21 +165,21 @@ def probability(texts, w: dict, p: Params) -> np.ndarray:
     return out
 
 
-def fit(rows: DataFrame, params: Params | None = None) -> dict | None:
-    """The network, learnt in one task from at most ``sample_rows`` of ``rows`` (doc_id, text, label).
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", params: Params | None = None) -> dict | None:
+    """The network, learnt in one task from a sample of at most ``sample_rows`` labelled rows of ``docs``.
 
-    Half of the sample has label 0 as far as there are such rows; their losses are weighted so that
-    the odds of all labelled rows hold. The sample is the same at every run. None without rows.
+    See labelled_sample() for the rows that may be learnt from. Half of the sample has label 0 as far as
+    there are such rows; losses are weighted so that the odds of all labelled rows hold. None without rows.
     """
     p = params or Params()
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("quality"))
-    usable = rows.where(F.col("label").isNotNull() & (F.length(F.coalesce("text", F.lit(""))) <= p.sample_chars)).select(order.alias("order"), "text", (F.col("label") > 0.5).alias("y"))
-    n = {y: c for y, c in usable.groupBy("y").count().collect()}
+
+    def shares(n: dict[bool, int]) -> dict[bool, int]:
+        bad = min(n.get(False, 0), p.sample_rows // 2)
+        return {False: bad, True: p.sample_rows - bad}
+
+    sample, n, taken = labelled_sample(docs, labels, label_col, shares, p.sample_chars, "quality")
     if not n:
         return None
-    bad = min(n.get(False, 0), p.sample_rows // 2)
-    taken = {False: bad, True: min(n.get(True, 0), p.sample_rows - bad)}
-    cut = {y: int(-(2**63) + (taken[y] / n[y] if n.get(y) else 1.0) * (2**64 - 1)) - (taken[y] > 0) for y in taken}
     share = {y: n.get(y, 0) / sum(n.values()) / max(taken[y] / sum(taken.values()), 1e-9) for y in taken}
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -188,7 +188,6 @@ def fit(rows: DataFrame, params: Params | None = None) -> dict | None:
         w = learn(part["text"].tolist(), y.astype(np.float32), p, np.where(y, share[True], share[False]))
         return pd.DataFrame({"name": list(w), "values": [x.ravel().astype("<f4").tobytes() for x in w.values()]})
 
-    sample = usable.where(F.col("order") <= F.when(F.col("y"), F.lit(cut[True])).otherwise(F.lit(cut[False])))
     learnt = sample.groupBy(F.lit(0).alias("all")).applyInPandas(run, "name string, values binary").collect()  # some 15 KB
     shape = _start(p)
     return {r["name"]: np.frombuffer(r["values"], "<f4").reshape(shape[r["name"]].shape) for r in learnt}
@@ -212,13 +211,13 @@ def score(docs: DataFrame, model: dict | None, params: Params | None = None, tex
 
 def judge(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; a null id counts as not held out."""
-    model = fit(labelled(docs, labels, "quality"), params)
+    model = fit(docs, labels, "quality", params)
     scored = score(docs.select("doc_id", "text"), model, params)
     return scored.select("doc_id", F.coalesce(common.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, params: Params | None = None, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``threshold``, with their own columns only."""
-    model = fit(labelled(docs, labels, "quality"), params)
+    model = fit(docs, labels, "quality", params)
     name = common.spare(docs, "score")
     return score(docs, model, params, out=name).where(F.col(name) >= threshold).drop(name)

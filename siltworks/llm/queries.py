@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, token_counts, toxicity
+from . import embedding_dedup, packing, quality, token_counts, toxicity
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -49,12 +49,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all rows of ``embeddings`` with equal labels; one row per vector."""
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLES = {
