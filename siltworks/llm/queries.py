@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, packing, quality, token_counts, toxicity
+from . import embedding_dedup, near_dedup, packing, quality, token_counts, toxicity
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -28,6 +28,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048).drop("row")
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all texts of ``documents``; one row per document with its class and group."""
+    return near_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document in byte_bpe_50k.json; one row per document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +61,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_near_dedup": op3_near_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
