@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, near_dedup, packing, quality, token_counts, toxicity
+from . import embedding_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -39,6 +39,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"), 1024).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+#: The rules of the URL filter, as (verdict, host and path prefix).
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every row of ``pages``."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies among all rows of ``documents``; one row per document."""
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -63,6 +72,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
