@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, near_dedup, packing, quality, token_counts, toxicity, url_filter
+from . import embedding_dedup, html_text, near_dedup, packing, quality, token_counts, toxicity, url_filter
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -23,6 +23,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every row of ``pages``."""
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens; one row per piece."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048).drop("row")
@@ -69,6 +74,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_near_dedup": op3_near_dedup,
     "op4_token_counts": op4_token_counts,
