@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_text, near_dedup, packing, quality, token_counts, toxicity, url_filter
+from . import embedding_dedup, html_text, near_dedup, packing, quality, sentence_pieces, token_counts, toxicity, url_filter
 from .common import table
 from .exact_dedup import exact_groups
 
@@ -58,6 +58,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document in piece_bpe_32k.model, decoded again; one row per document."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    coded = sentence_pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return sentence_pieces.digest(coded, path)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text of ``documents``, learnt from ``labels.toxic``."""
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -80,6 +87,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_url_filter": op5_url_filter,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
