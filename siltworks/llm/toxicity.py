@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .sampling import labelled_sample
 
 WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -60,7 +61,7 @@ def _learn_shard(p: Params):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("order")  # the same at every run
         docs = [np.unique(features(t)) for t in rows["text"]]
-        labels = rows["label"].to_numpy(float)
+        labels = rows["y"].to_numpy(float)
         space, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *docs]), return_counts=True)
         space = space[held >= min(p.min_rows, 1 + len(docs) // 100)]
         spot = [np.minimum(np.searchsorted(space, d), max(len(space) - 1, 0)) for d in docs]
@@ -87,23 +88,20 @@ def _learn_shard(p: Params):
     return run
 
 
-def fit(labelled: DataFrame, text_col: str, label_col: str, order_col: str, params: Params | None = None) -> tuple[np.ndarray, np.ndarray, float]:
-    """(feature hashes, weights, intercept) learnt from at most ``sample_rows`` rows of ``labelled``.
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", params: Params | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+    """(feature hashes, weights, intercept) learnt from a bounded sample of the labelled rows of ``docs``.
 
-    The sample is a hash order of ``order_col``, the same at every run, among texts of at most
-    ``sample_chars`` characters. Null labels are left out. No labelled rows: an empty model.
+    See labelled_sample() for the rows that may be learnt from. No such rows: an empty model.
     """
     p = params or Params()
-    order = F.xxhash64(F.col(order_col).cast("string"), F.lit("toxicity"))
-    usable = labelled.where(F.col(label_col).isNotNull() & (F.length(F.coalesce(F.col(text_col), F.lit(""))) <= p.sample_chars)).select(order.alias("order"), F.col(text_col).alias("text"), F.col(label_col).cast("double").alias("label"))
-    n = {y: c for y, c in usable.groupBy((F.col("label") > 0.5).alias("y")).count().collect()}
+
+    def shares(n: dict[bool, int]) -> dict[bool, int]:
+        toxic = min(n.get(True, 0), p.sample_rows // 2)
+        return {True: toxic, False: min(p.sample_rows - toxic, max(p.negatives * toxic, 1_000))}
+
+    usable, n, taken = labelled_sample(docs, labels, label_col, shares, p.sample_chars, "toxicity")
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0), -3.0
-    taken = {True: min(n.get(True, 0), p.sample_rows // 2)}
-    taken[False] = min(n.get(False, 0), p.sample_rows - taken[True], max(p.negatives * taken[True], 1_000))
-    # the order is uniform over 64 bits: a threshold for each label takes its share without a sort
-    cut = {y: int(-(2**63) + (taken[y] / n[y] if n.get(y) else 1.0) * (2**64 - 1)) - (taken[y] > 0) for y in taken}
-    usable = usable.where(F.col("order") <= F.when(F.col("label") > 0.5, F.lit(cut[True])).otherwise(F.lit(cut[False])))
     shards = max(1, -(-sum(taken.values()) // p.shard_rows))
     learnt = usable.withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards))).groupBy("shard").applyInPandas(_learn_shard(p), "feature long, intercept boolean, weight double")
     mean = learnt.groupBy("feature", "intercept").agg((F.sum("weight") / shards).alias("weight"))
@@ -148,21 +146,15 @@ def score(docs: DataFrame, model, text_col: str = "text", out: str = "score") ->
     return docs.withColumn(out, _score(model)(F.col(text_col)))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
-    """(doc_id, text, label) of the rows that may be learnt from: labelled once and not held out."""
-    known = labels.where(F.col(label_col).isNotNull()).groupBy("doc_id").agg(F.max(label_col).alias("label"))
-    return docs.where(~common.held_out()).select("doc_id", "text").join(known, "doc_id")
-
-
 def judge(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; a null id counts as not held out."""
-    model = fit(labelled(docs, labels, "toxic"), "text", "label", "doc_id", params)
+    model = fit(docs, labels, "toxic", params)
     scored = score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", F.coalesce(common.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, params: Params | None = None, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score is below ``threshold``, with their own columns only."""
-    model = fit(labelled(docs, labels, "toxic"), "text", "label", "doc_id", params)
+    model = fit(docs, labels, "toxic", params)
     name = common.spare(docs, "score")
     return score(docs, model, out=name).where(F.col(name) < threshold).drop(name)
