@@ -1,10 +1,420 @@
-"""Queries of the event-lake operators, each with the SQL it is compared with."""
+"""Queries of the event-lake operators, each with the SQL it is compared with.
+
+All read ``events`` through the derived raw feed; the SQL computes the expected result from ``events``
+itself. Each query's work grows with the table.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.atomic import ATOMIC, bad, good, parse_lines
+from ..operators import bad_rows, entities, lake, layout, metrics, shred
+from ..sources import feed as raw
+from ..sources import streams
+from ..streaming import loader
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+#: The feed in SQL: every field and rule that FIXTURES.md states, on the base table.
+FEED = """
+WITH e AS (
+  SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_id % 97 = 13 AS short, event_id % 89 = 7 AS badnum,
+         CASE WHEN event_type = 'signup' THEN NULL WHEN event_id % 101 = 5 THEN 'unknown' WHEN event_id % 61 = 9 THEN 'oops'
+              WHEN event_id % 3 = 0 THEN 'v0' WHEN event_id % 3 = 1 THEN 'v1' ELSE 'v2' END AS u, event_id % 11 <> 0 AS ctx
+  FROM events),
+feed AS (
+  SELECT *, NOT short AND NOT badnum AS good,
+         CASE u WHEN 'unknown' THEN 'com.unknown/thing 1-0-0' WHEN 'oops' THEN 'com.acme/action 1-0-0' WHEN 'v0' THEN 'com.acme/action 1-0-0'
+                WHEN 'v1' THEN 'com.acme/action 1-0-1' WHEN 'v2' THEN 'com.acme/action 1-0-2' END AS ukey,
+         NOT short AND NOT badnum AND coalesce(u NOT IN ('unknown', 'oops'), true) AS loaded,
+         concat_ws(chr(9), CAST(event_id AS VARCHAR), strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), event_type) ||
+         CASE WHEN short THEN '' ELSE chr(9) || coalesce(CAST(user_id AS VARCHAR), '') || chr(9) ||
+           CASE WHEN badnum THEN 'abc' ELSE coalesce(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '') END || chr(9) ||
+           coalesce(CASE u WHEN 'unknown' THEN '{"schema":"iglu:com.unknown/thing/jsonschema/1-0-0","data":{"z":' || k || '}}'
+             WHEN 'oops' THEN '{"schema":"iglu:com.acme/action/jsonschema/1-0-0","data":{"k":"oops"}}'
+             WHEN 'v0' THEN '{"schema":"iglu:com.acme/action/jsonschema/1-0-0","data":{"k":' || k || '}}'
+             WHEN 'v1' THEN '{"schema":"iglu:com.acme/action/jsonschema/1-0-1","data":{"k":' || k || ',"src":"web"}}'
+             WHEN 'v2' THEN '{"schema":"iglu:com.acme/action/jsonschema/1-0-2","data":{"k":"' || k || '"}}' END, '') || chr(9) ||
+           CASE WHEN NOT ctx THEN '' ELSE '[{"schema":"iglu:com.acme/user/jsonschema/2-0-0","data":{"user_id":' || user_id || '}}' ||
+             CASE WHEN event_id % 2 = 0 THEN ',{"schema":"iglu:com.acme/free-form/jsonschema/1-0-0","data":{"b":"' || event_type || '","a":"xyz"}}' ELSE '' END ||
+             CASE WHEN event_id % 5 = 0 THEN ',{"schema":"iglu:com.acme/empty/jsonschema/1-0-0","data":{}}' ELSE '' END || ']' END END AS line
+  FROM e),
+entity AS (
+  SELECT event_id, 'unstruct_event' AS kind, ukey AS key FROM feed WHERE good AND u IS NOT NULL
+  UNION ALL SELECT event_id, 'contexts', 'com.acme/user 2-0-0' FROM feed WHERE good AND ctx
+  UNION ALL SELECT event_id, 'contexts', 'com.acme/free-form 1-0-0' FROM feed WHERE good AND ctx AND event_id % 2 = 0
+  UNION ALL SELECT event_id, 'contexts', 'com.acme/empty 1-0-0' FROM feed WHERE good AND ctx AND event_id % 5 = 0),
+parts AS (
+  SELECT event_id, kind, split_part(key, '/', 1) AS vendor, split_part(split_part(key, '/', 2), ' ', 1) AS name, split_part(key, ' ', 2) AS version FROM entity)
+"""
+
+
+def query(name: str, sql: str | None = None):
+    def register(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = FEED + sql
+        return f
+
+    return register
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that the whole cluster sees; a local one only where no shared one is named."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltworks-")
+    return f"{base.rstrip('/')}/siltworks-{uuid.uuid4().hex}"
+
+
+def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed's lines, parsed."""
+    return parse_lines(raw.feed(spark, sf_dir))
+
+
+def ntz(c: str):
+    return F.col(c).cast("timestamp_ntz")
+
+
+def judged(spark: SparkSession, sf_dir: str, skip: tuple[str, ...] = (), registry: DataFrame | None = None, nullable: bool = False):
+    """(judged rows, columns, missing schemas) of the whole feed."""
+    rows = good(parsed(spark, sf_dir))
+    columns, absent = entities.column_plan(entities.distinct_keys(rows), registry if registry is not None else raw.registry(spark), skip, nullable)
+    return shred.judged(rows, columns, absent), columns, absent
+
+
+def loadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, columns, _ = judged(spark, sf_dir)
+    return shred.shredded(rows, columns)
+
+
+ACTION = "unstruct_event_com_acme_action_1"
+
+
+def recovery(df: DataFrame) -> str:
+    return next(c for c in df.columns if c.startswith(f"{ACTION}_recovered_1_0_2_"))
+
+
+# --- parsing, keys, registry
+
+
+@query("parse_tsv", "SELECT event_id, ts AS collector_tstamp, event_type AS event_name, user_id, CAST(value AS DECIMAL(18,2)) AS tr_total FROM feed WHERE good")
+def parse_tsv(spark, sf_dir):
+    return good(parsed(spark, sf_dir)).select("event_id", ntz("collector_tstamp").alias("collector_tstamp"), "event_name", "user_id", "tr_total")
+
+
+@query("good_bad_split", "SELECT count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad, count(*) FILTER (short) AS n_short FROM feed")
+def good_bad_split(spark, sf_dir):
+    wrong = F.size("errors") > 0
+    return parsed(spark, sf_dir).agg(F.count_if(~wrong).alias("n_good"), F.count_if(wrong).alias("n_bad"), F.count_if(F.array_contains("errors", "expected 7 fields")).alias("n_short"))
+
+
+@query("entity_keys", "SELECT kind, vendor, name, version, count(*) AS n FROM parts GROUP BY ALL")
+def entity_keys(spark, sf_dir):
+    found = entities.entities(good(parsed(spark, sf_dir)))
+    return found.groupBy("kind", "vendor", "name", F.concat_ws("-", "model", "revision", "addition").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("entity_inventory", "SELECT kind, vendor, name, CAST(split_part(version, '-', 1) AS INT) AS model, array_to_string(list_sort(list(DISTINCT version)), ',') AS versions FROM parts GROUP BY 1, 2, 3, 4")
+def entity_inventory(spark, sf_dir):
+    return entities.inventory(good(parsed(spark, sf_dir)))
+
+
+SKIP = ("iglu:com.acme/action/jsonschema/1-0-*", "iglu:*/free-form/*/*-*-*")
+
+
+@query("skip_schemas", "SELECT kind, vendor, name, version, count(*) AS n FROM parts WHERE NOT (name = 'action' AND version LIKE '1-0-%') AND name <> 'free-form' GROUP BY ALL")
+def skip_schemas(spark, sf_dir):
+    left = entities.without_skipped(entities.entities(good(parsed(spark, sf_dir))), SKIP)
+    return left.groupBy("kind", "vendor", "name", F.concat_ws("-", "model", "revision", "addition").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("resolve_schemas", "SELECT DISTINCT kind, vendor, name, version, vendor = 'com.acme' AS known FROM parts")
+def resolve_schemas(spark, sf_dir):
+    used = entities.distinct_keys(good(parsed(spark, sf_dir)))
+    return entities.resolve(used, raw.registry(spark)).select("kind", "vendor", "name", "version", F.col("schema_json").isNotNull().alias("known"))
+
+
+@query("missing_schema_rows", "SELECT event_id, 'schema_missing' AS kind FROM feed WHERE good AND u = 'unknown'")
+def missing_schema_rows(spark, sf_dir):
+    return judged(spark, sf_dir)[0].where("kind = 'schema_missing'").select("event_id", "kind")
+
+
+@query("missing_schema_report", "SELECT kind, 'iglu:' || vendor || '/' || name || '/jsonschema/' || version AS schema, count(*) AS n_entities FROM parts WHERE vendor = 'com.unknown' GROUP BY ALL")
+def missing_schema_report(spark, sf_dir):
+    used = entities.entities(good(parsed(spark, sf_dir))).groupBy("kind", "schema", "vendor", "name", "format", "model", "revision", "addition").agg(F.count(F.lit(1)).alias("n_entities"))
+    return entities.missing(used, raw.registry(spark)).select("kind", "schema", "n_entities")
+
+
+# --- shredding
+
+
+@query("shred_unstruct", "SELECT event_id, CASE WHEN u IN ('v0', 'v1') THEN k END AS k, CASE WHEN u = 'v1' THEN 'web' END AS src FROM feed WHERE loaded")
+def shred_unstruct(spark, sf_dir):
+    return loadable(spark, sf_dir).select("event_id", f"{ACTION}.k", f"{ACTION}.src")
+
+
+@query("shred_recovery", "SELECT event_id, coalesce(u NOT IN ('v0', 'v1'), true) AS base_is_null, CASE WHEN u = 'v2' THEN CAST(k AS VARCHAR) END AS recovered_k FROM feed WHERE loaded")
+def shred_recovery(spark, sf_dir):
+    rows = loadable(spark, sf_dir)
+    return rows.select("event_id", F.col(ACTION).isNull().alias("base_is_null"), F.col(f"{recovery(rows)}.k").alias("recovered_k"))
+
+
+@query("transform_failures", "SELECT event_id, CASE u WHEN 'unknown' THEN 'schema_missing' ELSE 'transform' END AS kind FROM feed WHERE good AND u IN ('oops', 'unknown')")
+def transform_failures(spark, sf_dir):
+    return judged(spark, sf_dir)[0].where("kind is not null").select("event_id", "kind")
+
+
+@query("shred_contexts", "SELECT event_id, CASE WHEN ctx THEN 1 END AS n, CASE WHEN ctx THEN '2-0-0' END AS schema_version, CASE WHEN ctx THEN user_id END AS context_user_id FROM feed WHERE loaded")
+def shred_contexts(spark, sf_dir):
+    c = F.col("contexts_com_acme_user_2")
+    first = F.get(c, F.lit(0))
+    return loadable(spark, sf_dir).select("event_id", F.when(c.isNotNull(), F.size(c)).alias("n"), first["_schema_version"].alias("schema_version"), first["user_id"].alias("context_user_id"))
+
+
+@query("shred_freeform", """SELECT event_id, CASE WHEN ctx AND event_id % 2 = 0 THEN '{"b":"' || event_type || '","a":"xyz","_schema_version":"1-0-0"}' END AS item FROM feed WHERE loaded""")
+def shred_freeform(spark, sf_dir):
+    return loadable(spark, sf_dir).select("event_id", F.get("contexts_com_acme_free_form_1", F.lit(0)).alias("item"))
+
+
+@query("shred_empty_schema", "SELECT count(*) AS n_rows, count(*) FILTER (ctx AND event_id % 5 = 0) AS n_with_empty, 0 AS n_columns FROM feed WHERE loaded")
+def shred_empty_schema(spark, sf_dir):
+    rows, columns, _ = judged(spark, sf_dir)
+    has = F.exists("contexts", lambda x: x["schema"].contains("/empty/"))
+    return rows.where("kind is null").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(has).alias("n_with_empty"), F.lit(sum(c.name == "empty" for c in columns)).alias("n_columns"))
+
+
+@query("required_fields", """SELECT 'respected' AS mode, count(*) AS n_failed FROM feed WHERE good AND (ctx OR u = 'oops') AND coalesce(u <> 'unknown', true)
+    UNION ALL SELECT 'ignored', count(*) FROM feed WHERE good AND u = 'oops'""")
+def required_fields(spark, sf_dir):
+    stricter = [(v, n, f, ver, raw._schema({"user_id": "integer", "email": "string"}, ["user_id", "email"], False) if n == "user" else s) for v, n, f, ver, s in raw.REGISTRY]
+    registry = spark.createDataFrame(stricter, raw.registry(spark).schema)
+    parts = [judged(spark, sf_dir, (), registry, nullable)[0].where("kind = 'transform'").agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n_failed")) for mode, nullable in (("respected", False), ("ignored", True))]
+    return parts[0].unionAll(parts[1])
+
+
+@query("union_evolving", "SELECT event_id, k, CASE WHEN u = 'v1' THEN 'web' END AS src FROM feed WHERE loaded AND u IN ('v0', 'v1')")
+def union_evolving(spark, sf_dir):
+    rows = loadable(spark, sf_dir).select("event_id", ACTION)
+    a, b = F.col(f"{ACTION}.k"), F.col(f"{ACTION}.src")
+    old = rows.where(a.isNotNull() & b.isNull()).select("event_id", F.struct(a.alias("k")).alias("e"))
+    new = rows.where(b.isNotNull()).select("event_id", F.struct(a.alias("k"), b.alias("src")).alias("e"))
+    return layout.union_evolving([old, new]).select("event_id", "e.k", "e.src")
+
+
+# --- failed events
+
+
+@query("bad_rows_sink", "SELECT CASE WHEN NOT good THEN 'parsing' WHEN u = 'unknown' THEN 'schema_missing' ELSE 'transform' END AS kind, count(*) AS n, sum(strlen(line)) AS payload_bytes FROM feed WHERE NOT loaded GROUP BY 1")
+def bad_rows_sink(spark, sf_dir):
+    rows, _, _ = judged(spark, sf_dir)
+    failed = bad(parsed(spark, sf_dir)).unionByName(rows.where("kind is not null").select("kind", "failure", "payload"))
+    at = scratch(spark)
+    bad_rows.records(failed).select("record").write.text(at)
+    back = spark.read.text(at).select(F.from_json("value", "failure STRUCT<kind STRING>, payload STRING").alias("r"))
+    return back.groupBy(F.col("r.failure.kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("r.payload")).alias("payload_bytes"))
+
+
+@query("bad_rows_capped", "SELECT 'large' AS cap, 'parsing' AS kind, count(*) AS n FROM feed WHERE NOT good UNION ALL SELECT 'small', 'size', count(*) FROM feed WHERE NOT good")
+def bad_rows_capped(spark, sf_dir):
+    failed = bad(parsed(spark, sf_dir))
+    parts = [bad_rows.records(failed, most).groupBy(F.lit(cap).alias("cap"), "kind").agg(F.count(F.lit(1)).alias("n")) for cap, most in (("large", 100_000), ("small", 60))]
+    return parts[0].unionAll(parts[1])
+
+
+# --- lake tables
+
+
+def table(spark: SparkSession, at: str | None = None) -> lake.LakeTable:
+    schema = T.StructType([f for f in ATOMIC if f.name not in ("unstruct_event", "contexts")] + [T.StructField("load_tstamp", T.TimestampType()), T.StructField("load_tstamp_date", T.DateType())])
+    return lake.LakeTable(at or f"{scratch(spark)}/lake", schema=schema)
+
+
+STAMP = datetime(2024, 5, 6, 7, 8, 9, 123456, tzinfo=UTC)
+PARTS = 4
+
+
+def written(spark: SparkSession, sf_dir: str, parts: int = PARTS) -> lake.LakeTable:
+    t = table(spark)
+    lake.create(spark, t)
+    lake.append(layout.stamped(layout.laid_out(loadable(spark, sf_dir), parts), STAMP), t)
+    return t
+
+
+@query("lake_append", "SELECT event_type AS event_name, count(*) AS n_rows, sum(CAST(value AS DECIMAL(18,2))) AS total, sum(CASE WHEN u IN ('v0', 'v1') THEN k END)::BIGINT AS sum_k FROM feed WHERE loaded GROUP BY 1")
+def lake_append(spark, sf_dir):
+    back = lake.read(spark, written(spark, sf_dir))
+    return back.groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("tr_total").alias("total"), F.sum(f"{ACTION}.k").alias("sum_k"))
+
+
+@query("lake_readback", "SELECT event_type AS event_name, 2 * count(*) AS n_rows, count(*) FILTER (u IN ('v0', 'v1')) AS n_k, count(*) FILTER (u = 'v2') AS n_recovered FROM feed WHERE loaded GROUP BY 1")
+def lake_readback(spark, sf_dir):
+    """An older batch without entity columns and a newer one with them, in one table."""
+    t, rows = table(spark), loadable(spark, sf_dir)
+    lake.create(spark, t)
+    lake.append(layout.stamped(rows.select("event_id", "collector_tstamp", "event_name", "user_id", "tr_total"), STAMP), t, 0)
+    lake.append(layout.stamped(rows, STAMP), t, 1)
+    back = lake.read(spark, t)
+    return back.groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"), F.count(f"{ACTION}.k").alias("n_k"), F.count(recovery(back)).alias("n_recovered"))
+
+
+@query("lake_create_idempotent", "SELECT count(*) AS n_rows, 2 AS n_new_columns FROM feed WHERE loaded")
+def lake_create_idempotent(spark, sf_dir):
+    """Creating a table again leaves it, and columns it has got since, alone."""
+    t = written(spark, sf_dir)
+    lake.create(spark, t)
+    back = lake.read(spark, t)
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(sum(c.startswith("contexts_") for c in back.columns)).alias("n_new_columns"))
+
+
+@query("lake_compact", "SELECT event_type AS event_name, count(*) AS n_rows, sum(event_id)::BIGINT AS ids, 1 AS n_changed FROM feed WHERE loaded GROUP BY 1")
+def lake_compact(spark, sf_dir):
+    t = written(spark, sf_dir, 24)
+    changed = lake.compact(spark, t, date(2024, 1, 1))
+    return lake.read(spark, t).groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"), F.lit(changed).alias("n_changed"))
+
+
+RANGE = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")
+
+
+@query("lake_time_range_scan", f"SELECT event_type AS event_name, count(*) AS n_rows FROM feed WHERE loaded AND ts >= TIMESTAMP '{RANGE[0]}' AND ts < TIMESTAMP '{RANGE[1]}' AND event_type <> 'signup' GROUP BY 1")
+def lake_time_range_scan(spark, sf_dir):
+    """A range of collector times: pruned by partition (event name) and by file statistics (time)."""
+    back = lake.read(spark, written(spark, sf_dir))
+    held = back.where((F.col("collector_tstamp") >= F.lit(RANGE[0]).cast("timestamp")) & (F.col("collector_tstamp") < F.lit(RANGE[1]).cast("timestamp")) & (F.col("event_name") != "signup"))
+    return held.groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("load_stamp", "SELECT count(*) AS n_rows, 1 AS n_stamps, 1 AS n_dates, TIMESTAMP '2024-05-06 07:08:09.123456' AS stamp FROM feed WHERE loaded")
+def load_stamp(spark, sf_dir):
+    back = lake.read(spark, written(spark, sf_dir))
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("load_tstamp").alias("n_stamps"), F.countDistinct("load_tstamp_date").alias("n_dates"), F.max(ntz("load_tstamp")).alias("stamp"))
+
+
+@query("layout_balance")
+def layout_balance(spark, sf_dir):
+    """Parts of the range layout, and whether each is within 1.5 times their mean."""
+    sizes = layout.part_sizes(layout.laid_out(loadable(spark, sf_dir), 6))
+    return sizes.agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"), (F.max("n_rows") <= 1.5 * F.avg("n_rows")).alias("balanced"))
+
+
+# --- windows and metrics
+
+DAY = "CASE WHEN NOT short THEN date_trunc('day', ts) END"
+
+
+@query("window_counts", f"SELECT {DAY} AS window_start, count(*) AS received, count(*) FILTER (NOT good) AS bad, sum(strlen(line))::BIGINT AS bytes, min(ts) FILTER (good) AS earliest_collector_tstamp FROM feed GROUP BY 1")
+def window_counts(spark, sf_dir):
+    found = metrics.window_counts(parsed(spark, sf_dir), 86_400)
+    return found.select(ntz("window_start").alias("window_start"), "received", "bad", "bytes", ntz("earliest_collector_tstamp").alias("earliest_collector_tstamp"))
+
+
+@query("window_columns", "SELECT DISTINCT kind || '_' || replace(vendor, '.', '_') || '_' || replace(name, '-', '_') || '_' || split_part(version, '-', 1) AS column_name FROM parts")
+def window_columns(spark, sf_dir):
+    return entities.column_names(good(parsed(spark, sf_dir)))
+
+
+def replayed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of a replay in windows of one hour, each committed 90 s after its end."""
+    found = metrics.window_counts(parsed(spark, sf_dir), 3_600).where("window_start is not null and received > bad")
+    committed = F.col("window_start") + F.expr("INTERVAL 1 HOUR 90 SECONDS")
+    out = found.withColumns({"committed_at": committed, "committed": F.col("received") - F.col("bad"), "batch_id": F.unix_seconds("window_start")})
+    return out.withColumns({"stream_latency_ms": F.lit(90_000).cast("long"), "processing_latency_ms": metrics.milliseconds(F.col("committed_at"), F.col("window_start")).cast("long"), "e2e_latency_ms": metrics.milliseconds(F.col("committed_at"), F.col("earliest_collector_tstamp")).cast("long")})
+
+
+HOURS = """, hours AS (SELECT date_trunc('hour', ts) AS w, count(*) AS received, count(*) FILTER (NOT good) AS bad, min(ts) FILTER (good) AS earliest FROM feed WHERE NOT short GROUP BY 1 HAVING count(*) FILTER (good) > 0),
+lat AS (SELECT *, w + INTERVAL 3690 SECOND AS done, (epoch_us(w + INTERVAL 3690 SECOND) - epoch_us(earliest)) // 1000 AS e2e FROM hours)
+"""
+
+
+@query("latency_report", HOURS + "SELECT date_trunc('day', done) AS period_start, sum(received)::BIGINT AS received, sum(bad)::BIGINT AS bad, sum(received - bad)::BIGINT AS committed, 90000::BIGINT AS stream_latency_ms, 3690000::BIGINT AS processing_latency_ms, max(e2e) AS e2e_latency_ms FROM lat GROUP BY 1")
+def latency_report(spark, sf_dir):
+    return metrics.report(replayed_metrics(spark, sf_dir), 86_400).withColumn("period_start", ntz("period_start"))
+
+
+@query("freshness_check", HOURS + "SELECT w AS window_start, e2e AS e2e_latency_ms FROM lat WHERE e2e > 3600000")
+def freshness_check(spark, sf_dir):
+    return metrics.unhealthy(replayed_metrics(spark, sf_dir), 3_600_000).select(ntz("window_start").alias("window_start"), "e2e_latency_ms")
+
+
+# --- streaming
+
+
+def streamed(spark: SparkSession, lines: DataFrame, runs: int = 1, **limits) -> tuple[loader.Load, str]:
+    """The lines as files of a folder, loaded by the streaming loader until none is left."""
+    at = scratch(spark)
+    lines.write.text(f"{at}/in")
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", write_partitions=PARTS)
+    for _ in range(runs):
+        loader.start(streams.files(spark, f"{at}/in", **limits), load, f"{at}/checkpoint", None).awaitTermination()
+    return load, at
+
+
+def by_event(spark: SparkSession, load: loader.Load) -> DataFrame:
+    return lake.read(spark, load.table).groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"))
+
+
+BY_EVENT = "SELECT event_type AS event_name, count(*) AS n_rows, sum(event_id)::BIGINT AS ids FROM feed WHERE loaded GROUP BY 1"
+
+
+@query("stream_load", BY_EVENT)
+def stream_load(spark, sf_dir):
+    load, _ = streamed(spark, raw.feed(spark, sf_dir))
+    return by_event(spark, load)
+
+
+@query("stream_load_limited", BY_EVENT)
+def stream_load_limited(spark, sf_dir):
+    """The same feed in several windows of at most two files."""
+    load, _ = streamed(spark, raw.feed(spark, sf_dir).repartition(6), max_files=2)
+    return by_event(spark, load)
+
+
+@query("stream_metrics", "SELECT count(*) AS received, count(*) FILTER (NOT loaded) AS bad, count(*) FILTER (loaded) AS committed, sum(strlen(line))::BIGINT AS bytes, min(ts) FILTER (good) AS earliest FROM feed")
+def stream_metrics(spark, sf_dir):
+    """Sums over the metrics of all windows of a stream."""
+    load, _ = streamed(spark, raw.feed(spark, sf_dir).repartition(4), max_files=2)
+    return loader.read_metrics(spark, load).agg(*[F.sum(c).alias(c) for c in ("received", "bad", "committed", "bytes")], F.min(ntz("earliest_collector_tstamp")).alias("earliest"))
+
+
+@query("stream_resume", BY_EVENT)
+def stream_resume(spark, sf_dir):
+    """Started twice from one checkpoint: the second run finds nothing new."""
+    load, _ = streamed(spark, raw.feed(spark, sf_dir), runs=2)
+    return by_event(spark, load)
+
+
+@query("stream_all_bad", "SELECT count(*) AS n_bad, 0::BIGINT AS n_rows FROM feed WHERE short")
+def stream_all_bad(spark, sf_dir):
+    """Windows without a good line commit nothing, and are done all the same."""
+    load, _ = streamed(spark, raw.feed(spark, sf_dir).where(F.size(F.split("line", "\t")) == 3))
+    rows = lake.read(spark, load.table).agg(F.count(F.lit(1)).alias("n_rows"))
+    return loader.read_bad(spark, load).agg(F.count(F.lit(1)).alias("n_bad")).crossJoin(rows)
+
+
+@query("stream_replay_idempotent", BY_EVENT)
+def stream_replay_idempotent(spark, sf_dir):
+    """A batch that failed after its rows were written is loaded again: it replaces itself."""
+    at = scratch(spark)
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", value_col="line", write_partitions=PARTS)
+    lake.create(spark, load.table)
+    for _ in range(2):
+        loader.load_batch(raw.feed(spark, sf_dir), 7, load)
+    return by_event(spark, load)
+
+
+@query("stream_bad_rows", "SELECT CASE WHEN NOT good THEN 'parsing' WHEN u = 'unknown' THEN 'schema_missing' ELSE 'transform' END AS kind, count(*) AS n FROM feed WHERE NOT loaded GROUP BY 1")
+def stream_bad_rows(spark, sf_dir):
+    """Failed events of a stream, by kind."""
+    load, _ = streamed(spark, raw.feed(spark, sf_dir))
+    return loader.read_bad(spark, load).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
