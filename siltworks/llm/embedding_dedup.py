@@ -162,5 +162,5 @@ def near_copies(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked")).join(comps, "node", "left")
     info = classes.join(linked, "node", "left").select("g", "v", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("c"))
     known = base.join(info, ["g", "v"], "left")
-    comp = F.coalesce("c", "id")
-    return known.select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"))
+    comp = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
+    return known.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull() & F.col("n").isNotNull(), F.col("n")).otherwise(0).cast("long").alias("n_links"), comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"))

@@ -24,7 +24,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, shares:
     known = known.groupBy("doc_id").agg((F.max(label_col) > 0.5).alias("y")).withColumn("order", order)
     n = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     taken = {y: min(n.get(y, 0), k) for y, k in shares(n).items()}
-    cut = {y: int(-(2**63) + (taken[y] / n[y] if n.get(y) else 1.0) * (2**64 - 1)) - (taken[y] > 0) for y in (True, False)}
+    cut = {y: min(int(-(2**63) + (taken[y] / n[y] if n.get(y) else 0.0) * 2**64), 2**63 - 1) for y in (True, False)}
     chosen = known.where(F.col("order") <= F.when(F.col("y"), F.lit(cut[True])).otherwise(F.lit(cut[False])))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= max_chars)
     sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])  # an id may repeat without bound
