@@ -15,8 +15,8 @@ from .test_operators import DOCS, labelled, prose  # noqa: E402
 def test_stages(spark, tmp_path):
     r = random.Random(11)
     rows, labels = labelled(r)
-    text = prose(r, 90)
-    rows += [(1000, text), (1001, text), (1002, text + " more"), (1003, prose(r, 70)), (1004, prose(r, 70))]
+    text = prose(r, 40)
+    rows += [(1000, text), (1001, text), (1002, text + " more"), (1003, prose(r, 40)), (1004, prose(r, 40))]
     spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
