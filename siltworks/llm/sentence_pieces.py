@@ -233,7 +233,7 @@ def _traced(path: str):
             out = []
             for r in rows.itertuples(index=False):
                 pieces = backtrace(m, r.part, r.b0, r.b1, (r.s0, r.e0), (r.s1, r.e1))
-                out.append([i for p in pieces for i in m.ids(p)])
+                out.append(np.array([i for p in pieces for i in m.ids(p)], np.int32))
             yield pd.DataFrame({"row": rows["row"], "k": rows["k"], "ids": out})
 
     return run
@@ -254,7 +254,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
         for texts in batches:
             found: list = []
             for a in range(0, len(texts), 64):
-                found += m.library.encode(texts.iloc[a : a + 64].tolist(), num_threads=1)
+                found += [np.array(ids, np.int32) for ids in m.library.encode(texts.iloc[a : a + 64].tolist(), num_threads=1)]
             yield pd.Series(found)
 
     base = docs.drop(out)
@@ -272,7 +272,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
 def decode_ids(ids, path: str, step: int = 1 << 14) -> str:
     """The text of a list of ids, as the library decodes it; worked on in parts that end between characters."""
     m = model(path)
-    ids = [int(i) for i in ids]
+    ids = np.asarray(ids).tolist()
     if len(ids) <= step:
         return m.library.decode(ids)
     out, at = [], 0
@@ -301,10 +301,12 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", out: str = "decode
 def digest(coded: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """(id_col, n_tokens, ids_crc32, round_trip): the ids in short, and whether decoding gives the text back."""
 
-    def crc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for lists in batches:
-            yield pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in lists], dtype="int64")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for lists, texts in batches:
+            crc = [zlib.crc32(np.asarray(x, "<u4")) for x in lists]
+            yield pd.DataFrame({"crc": crc, "same": [decode_ids(x, path) == t for x, t in zip(lists, texts, strict=True)]})
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    known = decode(coded, path, ids_col, "decoded")
-    return known.select(id_col, F.size(ids_col).cast("long").alias("n_tokens"), F.pandas_udf(crc, "long")(F.col(ids_col)).alias("ids_crc32"), (F.col("decoded") == text).alias("round_trip"))
+    # one pass of Python over the ids for both
+    both = F.pandas_udf(run, "crc long, same boolean")(F.col(ids_col), F.coalesce(F.col(text_col), F.lit("")))
+    known = coded.select(id_col, F.size(ids_col).cast("long").alias("n_tokens"), both.alias("both"))
+    return known.select(id_col, "n_tokens", F.col("both.crc").alias("ids_crc32"), F.col("both.same").alias("round_trip"))
