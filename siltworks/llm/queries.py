@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import embedding_dedup, html_text, near_dedup, packing, quality, sentence_pieces, token_counts, toxicity, url_filter
-from .common import table
+from .common import bounded_batches, table
 from .exact_dedup import exact_groups
 
 #: Folder of the public tokenizer files; by default that of the package public_tokenizers.
@@ -80,6 +81,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def _bounded(query):
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -92,6 +102,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
+QUERIES = {name: _bounded(query) for name, query in QUERIES.items()}
 
 ORACLES = {
     "op6_exact_dedup": """
