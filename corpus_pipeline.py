@@ -8,32 +8,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.llm import exact_dedup, near_dedup, packing, quality, toxicity
-from siltworks.llm.common import table
+from siltworks.llm.common import bounded_batches, table
 from siltworks.llm.queries import tokenizer_path
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go."""
+    bounded_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of low quality go."""
+    bounded_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id stays."""
+    bounded_batches(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
+    bounded_batches(spark)
     return near_dedup.keep_one(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as sequences of at most 2048 tokens; one row per piece."""
+    bounded_batches(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), 2048).drop("row")
 
 
