@@ -122,6 +122,13 @@ def test_near_keeps_one_and_survives_edges(spark):
     assert near_dedup.groups(frame(spark, [])).count() == 0
 
 
+def test_near_with_repeated_ids(spark):
+    a, b = prose(random.Random(2), 50), prose(random.Random(3), 50)
+    docs = frame(spark, [(1, a), (5, a), (5, b), (5, b)])
+    left = near_dedup.keep_one(docs).collect()
+    assert sorted(r["doc_id"] for r in left) == [1, 5]
+
+
 # --- tokens
 
 
