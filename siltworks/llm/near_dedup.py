@@ -11,9 +11,10 @@ of either text (a Jaccard index in which order and repeats count). Linked groups
 components of the verified links.
 
 No bucket is expanded into all pairs. Round by round, each text is compared with one leader of each of its
-buckets (a different order of leaders in each round); buckets whose texts have all met in one component
-are done. Pairs of the others are then compared exhaustively, but only across components and only where
-lengths allow the similarity, so that no link that a shared sketch can find is lost.
+buckets: first the most central text (whose buckets hold most texts), then others; buckets whose texts have
+all met in one component are done. What is left is compared across components: a task holds a block of a
+bucket, decides the pairs for which lengths allow the similarity and ``evidence`` sketches agree, and
+returns only links that join components.
 """
 
 from __future__ import annotations
@@ -39,13 +40,17 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 @dataclass(frozen=True)
 class Params:
-    """At a similarity of 0.8, 20 sketches of 3 k-mers miss a pair with a chance below 1e-6."""
+    """At a similarity of 0.8, 32 sketches of 5 k-mers miss a pair with a chance of 3e-6, and show less
+    than ``evidence`` agreements (which only pairs that no leader has joined need) with one of 4e-4.
+    """
 
     words: int = 5
     threshold: float = 0.8
-    sketches: int = 20
-    kept: int = 3
-    rounds: int = 2
+    sketches: int = 32
+    kept: int = 5
+    rounds: int = 1
+    evidence: int = 3
+    block: int = 1024
 
 
 def word_ids(text: str | None) -> np.ndarray:
@@ -82,22 +87,22 @@ def labelled(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(ids: np.ndarray, p: Params) -> np.ndarray:
-    """One 64-bit bucket for each hash order; none for a text without words."""
-    h = kmers(ids, p.words)
+def sketch(h: np.ndarray, p: Params) -> np.ndarray:
+    """One 64-bit bucket for each hash order of the k-mers ``h``; none for a text without words."""
     if not len(h):
         return h
-    lab = labelled(h)
-    out = np.empty(p.sketches, np.uint64)
-    few = min(p.kept, len(lab))
-    for i in range(p.sketches):
-        v = _mix(lab ^ np.uint64((0xD1B54A32D192ED03 * (i + 1)) & (2**64 - 1)))
-        at = np.sort(np.argpartition(v, few - 1)[:few]) if len(v) > few else np.arange(len(v))
-        code = np.uint64(i)
-        for x in h[at].tolist():
-            code = np.uint64((int(code) * 0x9E3779B97F4A7C15 + x + 1) & (2**64 - 1))
-        out[i] = code
-    return out
+    lab, few = labelled(h), min(p.kept, len(h))
+    seeds = _mix(np.arange(1, p.sketches + 1, dtype=np.uint64) * _MUL)
+    at = np.empty((p.sketches, few), np.int64)
+    step = max(1, (1 << 18) // len(lab))  # orders worked on at once
+    for i in range(0, p.sketches, step):
+        v = _mix(lab[None, :] ^ seeds[i : i + step, None])
+        at[i : i + step] = np.argpartition(v, few - 1, axis=1)[:, :few] if len(lab) > few else np.arange(few)
+    at.sort(axis=1)  # back to the order of the text
+    code = np.arange(p.sketches, dtype=np.uint64)
+    for j in range(few):
+        code = code * _MUL + h[at[:, j]] + np.uint64(1)
+    return _mix(code)
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -105,7 +110,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return len(np.intersect1d(a, b, assume_unique=True))
 
 
-def aligned(a: np.ndarray, b: np.ndarray, k: int, band: int) -> int:
+def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """k-mers kept by a banded alignment (longest common subsequence of k-mers, |i - j| <= band).
 
     Runs along the diagonals are skipped over as a whole: a common prefix is always part of a best
@@ -151,50 +156,107 @@ def similar(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
         return False
     # an alignment that keeps enough leaves at most this many k-mers of either text out
     band = int(max(na, nb) - need) + 1
-    return aligned(a, b, p.words, band) >= need - 1e-9
+    return aligned(a, b, band) >= need - 1e-9
 
 
 def _sketches(p: Params):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            ids = [word_ids(t) for t in rows["text"]]
-            n = [max(len(i) - p.words + 1, min(len(i), 1)) for i in ids]
-            yield pd.DataFrame({"id": rows["id"], "sha": rows["sha"], "n": n, "buckets": [sketch(i, p).view(np.int64).tolist() for i in ids]})
+            grams = [kmers(word_ids(t), p.words) for t in rows["text"]]
+            yield pd.DataFrame({"id": rows["id"], "sha": rows["sha"], "n": [len(g) for g in grams], "buckets": [sketch(g, p).view(np.int64).tolist() for g in grams]})
+
+    return run
+
+
+def _grams(p: Params):
+    """k-mers of each text in order, 32 bits each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield pd.DataFrame({"node": rows["id"], "grams": [kmers(word_ids(t), p.words).astype("<u4").tobytes() for t in rows["text"]]})
 
     return run
 
 
 def _verify(p: Params):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, held = None, None
         for rows in batches:
-            keep = np.zeros(len(rows), bool)
-            for i, (x, ta, tb) in enumerate(zip(rows["a"].tolist(), rows["ta"], rows["tb"], strict=True)):
-                if x != last:
-                    last, held = x, kmers(word_ids(ta), p.words)
-                keep[i] = similar(held, kmers(word_ids(tb), p.words), p)
-            yield rows.loc[keep, ["a", "b"]]
+            keep = [similar(np.frombuffer(a, "<u4").astype(np.uint64), np.frombuffer(b, "<u4").astype(np.uint64), p) for a, b in zip(rows["ta"], rows["tb"], strict=True)]
+            yield rows.loc[np.array(keep, bool), ["a", "b"]]
 
     return run
 
 
 def _links(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """Those of ``pairs`` (a, b) that verify. Texts move only to the pairs that need them."""
-    one = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-    both = one.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    """Those of ``pairs`` (a, b) that verify. k-mers move only to the pairs that need them."""
+    one = pairs.join(texts.select(F.col("node").alias("b"), F.col("grams").alias("tb")), "b")
+    both = one.join(texts.select(F.col("node").alias("a"), F.col("grams").alias("ta")), "a")
     return both.select("a", "b", "ta", "tb").mapInPandas(_verify(p), "a long, b long")
 
 
+def _short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """32 bits of each bucket."""
+    for rows in batches:
+        yield pd.DataFrame({"node": rows["node"], "marks": [np.asarray(b, np.int64).astype("<u4").tobytes() for b in rows["buckets"]]})
+
+
+def _across(p: Params):
+    """Links within one block (or between two) of a bucket, between texts in different components.
+
+    The task holds the k-mers of its block, so every pair that lengths allow and ``evidence`` sketches
+    support is decided here, and only links that join components come out: less than there are texts. A
+    pair that shares several buckets is decided in the first of them only.
+    """
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        band, i, j = int(key[0]), int(key[2]), int(key[3])
+        rows = rows.sort_values("node", ignore_index=True)
+        marks = np.stack([np.frombuffer(x, "<u4") for x in rows["marks"]])
+        grams = [np.frombuffer(x, "<u4").astype(np.uint64) for x in rows["grams"]]
+        held = [np.sort(labelled(g)) for g in grams]
+        node, n, c, block = (rows[x].to_numpy(np.int64) for x in ("node", "n", "c", "block"))
+        root = {x: x for x in c.tolist()}
+
+        def top(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        right = np.flatnonzero(block == j)
+        for a in np.flatnonzero(block == i):
+            ys = right[(c[right] != c[a]) & (np.minimum(n[a], n[right]) >= p.threshold * np.maximum(n[a], n[right]))]
+            if i == j:
+                ys = ys[ys > a]
+            same = marks[ys] == marks[a]
+            ys = ys[(same.sum(1) >= p.evidence) & (same.argmax(1) == band)]
+            for s in range(0, len(ys), 512):
+                some = ys[s : s + 512]
+                # shared k-mers of all of them at once
+                sizes = np.array([len(held[y]) for y in some])
+                all_ = np.concatenate([held[y] for y in some])
+                at = np.minimum(np.searchsorted(held[a], all_), len(held[a]) - 1)
+                shared = np.add.reduceat((held[a][at] == all_).astype(np.int64), np.cumsum(sizes) - sizes)
+                for y in some[shared >= p.threshold * (n[a] + sizes) / (1 + p.threshold) - 1e-9].tolist():
+                    if top(c[a]) != top(c[y]) and similar(grams[a], grams[y], p):
+                        root[top(c[a])] = top(c[y])
+                        out.append((min(node[a], node[y]), max(node[a], node[y])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
 def groups(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, class_id, component_id, n_links, kept), one row for each row of ``docs``.
 
     class_id is the smallest id among rows with the same text (null counts as empty), component_id the
     smallest id that links reach from there, kept marks rows with that id. Links hold between different
-    texts; n_links counts those that were verified for the row's class. Texts without any word (so also
-    empty ones) link with equal texts only; a text of fewer words than a k-mer is one k-mer. Rows with a
-    null id are their own group (component_id null, kept true). Rows that repeat an id share a group (if
-    their texts differ, the smallest is compared); all of those with the group's id say kept. Empty tables
-    give an empty result.
+    texts; n_links counts those found for the row's class (enough to join its group, not all there are).
+    Texts without any word (so also empty ones) link with equal texts only; a text of fewer words than a
+    k-mer is one k-mer. Rows with a null id are their own group (component_id null, kept true). Rows that
+    repeat an id are grouped by their texts; where several texts have one id as their class, one of them
+    is compared, and all rows with the group's id say kept. Empty tables give an empty result.
     """
     p = params or Params()
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -204,14 +266,19 @@ def groups(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id"
     classes = marks.groupBy("sha").agg(F.min("id").alias("node"))
     reps = common.cut(marks.select("id", "sha").join(classes, "sha").select("id", "sha", "node"))
     heads = marks.join(reps.where("id = node").select("sha", "node").distinct(), "sha").where("id = node").dropDuplicates(["node", "sha"])
-    heads = heads.select("node", "n", F.posexplode("buckets").alias("band", "bucket"))
+    each = heads.select("node", "n", F.posexplode("buckets").alias("band", "bucket"))
     at = ["band", "bucket"]
-    shared = heads.groupBy(*at).agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).where("size > 1")
-    members = common.cut(heads.join(shared, at).drop("size"))  # of buckets with two texts or more
+    sizes = each.groupBy(*at).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = common.cut(each.join(sizes, at))  # of buckets with two texts or more
+    central = members.groupBy("node").agg(F.sum("size").alias("central"))
+    members = members.join(central, "node")
+    leaders = members.groupBy(*at).agg(F.max(F.struct("central", (-F.col("node")).alias("m"))).alias("l")).select(*at, (-F.col("l.m")).alias("leader"))
+    members = common.cut(members.drop("central").join(leaders, at))
     wanted = common.cut(members.select(F.col("node").alias("id")).distinct())
     if wanted.count() * 8 <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
-    texts = common.cut(known.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("node")).agg(F.min("text").alias("text")))
+    # what is compared later: the k-mers of those texts only, hashed once
+    texts = common.cut(known.join(wanted, "id", "left_semi").mapInPandas(_grams(p), "node long, grams binary").groupBy("node").agg(F.min("grams").alias("grams")))
     found, comps = None, None
     for r in range(p.rounds):
         if r:
@@ -224,18 +291,21 @@ def groups(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id"
             pairs = members
         pairs = pairs.where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
         new = common.cut(_links(common.cut(pairs), texts, p))
-        found = new if found is None else common.cut(found.unionByName(new))
-        comps = common.cut(common.components(found, "a", "b"))
-    # what is left: all pairs across components, within what lengths allow
-    mine = members.join(comps, "node", "left").withColumn("c", F.coalesce("component", "node")).select(*at, "node", "n", "c", "leader")
-    open_ = mine.groupBy(*at).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi and size > 2").select(*at)
-    mine = common.cut(mine.join(open_, at))
-    other = mine.select(*at, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    rest = mine.withColumnRenamed("node", "a").join(other, at)
-    rest = rest.where((F.col("a") < F.col("b")) & (F.col("a") != F.col("leader")) & (F.col("c") != F.col("cb")) & (F.least("n", "nb") >= p.threshold * F.greatest("n", "nb")))
-    rest = common.cut(rest.select("a", "b").distinct())
-    found = common.cut(found.unionByName(_links(rest, texts, p)).distinct())
-    comps = common.components(found, "a", "b")
+        found = new if found is None else found.unionByName(new)
+        joined = new if comps is None else new.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        comps = common.cut(common.components(joined, "a", "b"))
+    # what is left: links across components, inside the buckets that still hold several
+    mine = members.where("size > 2").join(comps, "node", "left").withColumn("c", F.coalesce("component", "node")).select(*at, "node", "n", "c")
+    open_ = mine.groupBy(*at).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / p.block).alias("blocks")).where("lo < hi").select(*at, "blocks")
+    marks32 = heads.select("node", "buckets").dropDuplicates(["node"]).mapInPandas(_short, "node long, marks binary")
+    mine = mine.join(open_, at).join(marks32, "node").join(texts, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    # a row goes to the pairs of its block with every other, and with itself
+    with_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = mine.withColumn("other", with_block).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+    rest = dealt.select(*at, "i", "j", "node", "n", "c", "block", "marks", "grams").groupBy(*at, "i", "j").applyInPandas(_across(p), "a long, b long")
+    rest = common.cut(rest.distinct())
+    found = found.unionByName(rest).distinct()
+    comps = common.components(rest.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
     links = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     info = comps.join(links, "node")
     out = reps.join(info, "node", "left").select(F.col("id").alias(id_col), F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
@@ -248,9 +318,10 @@ def groups(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id"
 def keep_one(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that groups() keeps: one of each group, and all rows with a null id.
 
-    Of rows that repeat the kept id one stays.
+    Of rows that repeat a kept id one stays.
     """
-    gone = common.cut(groups(docs, params, id_col, text_col).where("not kept").select(F.col(id_col).alias("id")).distinct())
+    judged = groups(docs, params, id_col, text_col).groupBy(F.col(id_col).alias("id")).agg(F.max("kept").alias("kept"))
+    gone = common.cut(judged.where("not kept").select("id"))
     left = docs.join(gone, docs[id_col] == gone["id"], "left_anti")
     repeats = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1)
     if repeats.count():
