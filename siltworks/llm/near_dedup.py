@@ -6,6 +6,11 @@ are taken and put back into the order they have in the text: two texts share a s
 grows with their edit similarity, not only with the k-mers they share. Texts that share a sketch are
 candidates and are verified by a banded alignment of their words.
 
+Minima say little of a text with few k-mers. So texts of up to ``short`` k-mers (and those of up to
+``short / threshold``, which may be similar to them) also have prefix buckets: of its labelled k-mers, the
+rarest first, a text of n is found under the first n - ceil(threshold * n) + 1. Two similar texts always
+share one of those, so no pair with a text of up to ``short`` k-mers is missed.
+
 The similarity of two texts is the number of k-mers that the alignment keeps, over the number of k-mers
 of either text (a Jaccard index in which order and repeats count). Linked groups are the connected
 components of the verified links.
@@ -40,8 +45,8 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 @dataclass(frozen=True)
 class Params:
-    """At a similarity of 0.8, 32 sketches of 5 k-mers miss a pair with a chance of 3e-6, and show less
-    than ``evidence`` agreements (which only pairs that no leader has joined need) with one of 4e-4.
+    """At a similarity of 0.8, 32 sketches of 5 k-mers miss a pair with a chance of 3e-6 (long texts) to 1e-5
+    (just over ``short`` k-mers; none is missed with a text of up to ``short``), and show less than ``evidence`` agreements (which only pairs that no leader has joined need) with one of 4e-4.
     """
 
     words: int = 5
@@ -51,6 +56,7 @@ class Params:
     rounds: int = 1
     evidence: int = 3
     block: int = 1024
+    short: int = 30
 
 
 def word_ids(text: str | None) -> np.ndarray:
@@ -163,7 +169,8 @@ def _sketches(p: Params):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             grams = [kmers(word_ids(t), p.words) for t in rows["text"]]
-            yield pd.DataFrame({"id": rows["id"], "sha": rows["sha"], "n": [len(g) for g in grams], "buckets": [sketch(g, p).view(np.int64).tolist() for g in grams]})
+            few = [labelled(g).view(np.int64).tolist() if len(g) * p.threshold <= p.short + 1e-9 else [] for g in grams]
+            yield pd.DataFrame({"id": rows["id"], "sha": rows["sha"], "n": [len(g) for g in grams], "buckets": [sketch(g, p).view(np.int64).tolist() for g in grams], "few": few})
 
     return run
 
@@ -200,6 +207,19 @@ def _short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": rows["node"], "marks": [np.asarray(b, np.int64).astype("<u4").tobytes() for b in rows["buckets"]]})
 
 
+def _prefixes(heads: DataFrame, p: Params) -> DataFrame:
+    """(node, n, band, bucket) of the prefix buckets; their band is the one after those of the sketches.
+
+    A k-mer of one text only takes its place in the prefix but makes no bucket.
+    """
+    each = common.cut(heads.where(F.size("few") > 0).select("node", "sha", "n", F.explode("few").alias("bucket")))
+    sizes = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = each.join(sizes, "bucket").groupBy("node", "sha", "n").agg(F.sort_array(F.collect_list(F.struct("size", "bucket"))).alias("all"))
+    most = F.size("all") - F.ceil(F.col("n") * p.threshold - 1e-9).cast("int") + 1
+    first = shared.where(most > 0).select("node", "n", F.explode(F.slice("all", 1, most)).alias("x"))
+    return first.select("node", "n", F.lit(p.sketches).alias("band"), F.col("x.bucket").alias("bucket"))
+
+
 def _across(p: Params):
     """Links within one block (or between two) of a bucket, between texts in different components.
 
@@ -230,7 +250,8 @@ def _across(p: Params):
             if i == j:
                 ys = ys[ys > a]
             same = marks[ys] == marks[a]
-            ys = ys[(same.sum(1) >= p.evidence) & (same.argmax(1) == band)]
+            # pairs with too little evidence are decided in their prefix buckets
+            ys = ys[np.where(same.sum(1) >= p.evidence, same.argmax(1), p.sketches) == band]
             for s in range(0, len(ys), 512):
                 some = ys[s : s + 512]
                 # shared k-mers of all of them at once
@@ -262,11 +283,11 @@ def groups(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id"
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = base.where(F.col("id").isNotNull())
     # one scan of the texts; what is kept of each is its hash and its buckets
-    marks = common.cut(known.withColumn("sha", F.sha2("text", 256)).mapInPandas(_sketches(p), "id long, sha string, n long, buckets array<long>"))
+    marks = common.cut(known.withColumn("sha", F.sha2("text", 256)).mapInPandas(_sketches(p), "id long, sha string, n long, buckets array<long>, few array<long>"))
     classes = marks.groupBy("sha").agg(F.min("id").alias("node"))
     reps = common.cut(marks.select("id", "sha").join(classes, "sha").select("id", "sha", "node"))
     heads = marks.join(reps.where("id = node").select("sha", "node").distinct(), "sha").where("id = node").dropDuplicates(["node", "sha"])
-    each = heads.select("node", "n", F.posexplode("buckets").alias("band", "bucket"))
+    each = heads.select("node", "n", F.posexplode("buckets").alias("band", "bucket")).unionByName(common.cut(_prefixes(heads, p)))
     at = ["band", "bucket"]
     sizes = each.groupBy(*at).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = common.cut(each.join(sizes, at))  # of buckets with two texts or more

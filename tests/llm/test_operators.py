@@ -113,6 +113,20 @@ def test_near_groups_equal_brute_force(spark, block):
     assert all(x["kept"] == (i == x["component_id"]) for i, x in got.items())
 
 
+def test_near_finds_all_short_pairs(spark):
+    """Texts of 8 and 9 words (4 and 5 k-mers), 9 and 10, 12 and 14, in families of up to four, none by chance."""
+    r, p, rows = random.Random(8), near_dedup.Params(), []
+    for k in range(60):
+        words = [f"w{r.randrange(10**6)}" for _ in range(14)]
+        n, m = [(8, 9), (9, 10), (12, 14)][k % 3]
+        family = [words[:n], words[:m], words[1:m] if k % 3 else words[1 : n + 1], [*words[:n], "end"]][: r.choice([2, 2, 3, 4])]
+        rows += [(10 * k + j, " ".join(t)) for j, t in enumerate(family)]
+    r.shuffle(rows)
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.groups(frame(spark, rows), p).collect()}
+    assert got == brute_groups(rows, p)
+    assert all(got[10 * k + 1] == 10 * k for k in range(60))
+
+
 def test_near_keeps_one_and_survives_edges(spark):
     text = prose(random.Random(1), 80)
     docs = frame(spark, [(1, text), (2, text + " end"), (3, text), (None, text), (4, "other words entirely"), (5, "x " * 30_000)])
