@@ -18,8 +18,8 @@ components of the verified links.
 No bucket is expanded into all pairs. Round by round, each text is compared with one leader of each of its
 buckets: first the most central text (whose buckets hold most texts), then others; buckets whose texts have
 all met in one component are done. What is left is compared across components: a task holds a block of a
-bucket, decides the pairs for which lengths allow the similarity and ``evidence`` sketches agree, and
-returns only links that join components.
+bucket, decides all pairs for which lengths and shared k-mers allow the similarity, and returns only links
+that join components: no link that a shared bucket can find is lost.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 @dataclass(frozen=True)
 class Params:
     """At a similarity of 0.8, 32 sketches of 5 k-mers miss a pair with a chance of 3e-6 (long texts) to 1e-5
-    (just over ``short`` k-mers; none is missed with a text of up to ``short``), and show less than ``evidence`` agreements (which only pairs that no leader has joined need) with one of 4e-4.
+    (just over ``short`` k-mers; none is missed with a text of up to ``short``).
     """
 
     words: int = 5
@@ -54,7 +54,6 @@ class Params:
     sketches: int = 32
     kept: int = 5
     rounds: int = 1
-    evidence: int = 3
     block: int = 1024
     short: int = 30
 
@@ -223,8 +222,7 @@ def _prefixes(heads: DataFrame, p: Params) -> DataFrame:
 def _across(p: Params):
     """Links within one block (or between two) of a bucket, between texts in different components.
 
-    The task holds the k-mers of its block, so every pair that lengths allow and ``evidence`` sketches
-    support is decided here, and only links that join components come out: less than there are texts. A
+    The task holds the k-mers of its block, so every pair that lengths allow is decided here, and only links that join components come out: less than there are texts. A
     pair that shares several buckets is decided in the first of them only.
     """
 
@@ -250,8 +248,8 @@ def _across(p: Params):
             if i == j:
                 ys = ys[ys > a]
             same = marks[ys] == marks[a]
-            # pairs with too little evidence are decided in their prefix buckets
-            ys = ys[np.where(same.sum(1) >= p.evidence, same.argmax(1), p.sketches) == band]
+            # pairs that share no sketch are decided in their prefix buckets
+            ys = ys[np.where(same.any(1), same.argmax(1), p.sketches) == band]
             for s in range(0, len(ys), 512):
                 some = ys[s : s + 512]
                 # shared k-mers of all of them at once

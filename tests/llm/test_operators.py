@@ -127,6 +127,17 @@ def test_near_finds_all_short_pairs(spark):
     assert all(got[10 * k + 1] == 10 * k for k in range(60))
 
 
+def test_near_decides_pairs_that_share_one_sketch():
+    p = near_dedup.Params()
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words), " ".join([*words[:90], "x"]), " ".join(f"v{i}" for i in range(95))]
+    grams = [near_dedup.kmers(near_dedup.word_ids(t), p.words).astype("<u4") for t in texts]
+    marks = np.arange(3 * p.sketches, dtype="<u4").reshape(3, -1)
+    marks[:, 7] = 0  # the only agreement
+    rows = pd.DataFrame({"node": [1, 2, 3], "n": [len(g) for g in grams], "c": [1, 2, 3], "block": 0, "marks": [m.tobytes() for m in marks], "grams": [g.tobytes() for g in grams]})
+    assert near_dedup._across(p)((7, 0, 0, 0), rows).to_numpy().tolist() == [[1, 2]]
+
+
 def test_near_keeps_one_and_survives_edges(spark):
     text = prose(random.Random(1), 80)
     docs = frame(spark, [(1, text), (2, text + " end"), (3, text), (None, text), (4, "other words entirely"), (5, "x " * 30_000)])
