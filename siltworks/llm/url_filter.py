@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from . import common
 
 ALLOW, BLOCK = "allow", "block"
-#: Rows that the trees are fitted on at most, and host suffixes that get statistics at most.
-SAMPLE_ROWS, SUFFIXES = 20_000, 256
+#: Rows that the trees are fitted on at most.
+SAMPLE_ROWS = 20_000
+#: Suffix statistics are broadcast up to this many bytes, and joined by a shuffle beyond.
+BROADCAST_BYTES = 16 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -107,8 +109,7 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page
     Where a rule fits, the verdict is the rule's. The rest is judged by boosted trees (score, the chance
     of block, at least 0.5: block), fitted on the URLs that rules decide, ``sample_rows`` of them at most.
     Suffix statistics are the smoothed share of blocked rows under the last two host labels, over all
-    rows that rules decide; the ``SUFFIXES`` most frequent suffixes have one, others get the overall
-    share. Without URLs of both verdicts there are no trees: the more frequent verdict holds, or allow.
+    rows that rules decide; suffixes without such rows get the overall share. Without URLs of both verdicts there are no trees: the more frequent verdict holds, or allow.
     Null and unusual URLs have an empty host and path and are judged like any other; rows that repeat are
     judged alike; columns besides id and URL play no part.
     """
@@ -121,12 +122,14 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page
         score = 1.0 if n and blocked == n else 0.0
         return base.withColumns({"score": F.lit(score), "verdict": F.coalesce("rule_verdict", F.lit(BLOCK if score else ALLOW))}).select(*out)
     overall = float(blocked / n)
-    stats = decided.groupBy("suffix").agg(F.count(F.lit(1)).alias("k"), F.sum("y").alias("b")).orderBy(F.col("k").desc(), "suffix").limit(SUFFIXES)
-    stats = stats.select("suffix", ((F.col("b") + 8 * overall) / (F.col("k") + 8)).alias("f_suffix_blocked"), F.log1p("k").alias("f_suffix_rows"))
+    stats = decided.groupBy("suffix").agg(F.count(F.lit(1)).alias("k"), F.sum("y").alias("b"))
+    stats = common.cut(stats.select("suffix", ((F.col("b") + 8 * overall) / (F.col("k") + 8)).alias("f_suffix_blocked"), F.log1p("k").alias("f_suffix_rows")))
+    if (stats.agg(F.sum(F.octet_length("suffix") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        stats = F.broadcast(stats)
 
     def known(df: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
         made, names = features(df, "url", keep)
-        made = made.join(F.broadcast(stats), "suffix", "left").na.fill({"f_suffix_blocked": overall, "f_suffix_rows": 0.0})
+        made = made.join(stats, "suffix", "left").na.fill({"f_suffix_blocked": overall, "f_suffix_rows": 0.0})
         return made, [*names, "f_suffix_blocked", "f_suffix_rows"]
 
     share = min(1.0, sample_rows / n)

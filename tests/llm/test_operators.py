@@ -303,6 +303,23 @@ def test_url_trees_judge_what_rules_leave(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string"), RULES).count() == 0
 
 
+@pytest.mark.parametrize("bound", [None, 0])
+def test_url_suffixes_all_have_statistics(spark, monkeypatch, bound):
+    if bound is not None:
+        monkeypatch.setattr(url_filter, "BROADCAST_BYTES", bound)
+    r, rows, want = random.Random(4), [], {}
+    for k in range(400):
+        name = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+        top = "com" if k % 2 else "org"
+        for _ in range(6):
+            rows.append((len(rows), f"https://{name}.{top}/x/{r.randrange(10**6)}"))
+        want[len(rows)] = "block" if k % 2 else "allow"
+        rows.append((len(rows), f"https://{name}.{top}/y/{r.randrange(10**6)}"))
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), [("block", "com/x"), ("allow", "org/x")])
+    verdicts = {x["page_id"]: x["verdict"] for x in got.collect()}
+    assert len(verdicts) == len(rows) and {i: verdicts[i] for i in want} == want
+
+
 def test_main_text():
     page = """<html><body class="has-sidebar"><header><h1>Site</h1><p>welcome, to, the, site, a, b, c</p></header><div id="cookie-notice"><p>We use cookies, and more, text text</p></div>
     <div id=main><div class="post-content"><h2>Title &amp; more</h2><p>First paragraph, with <a href=x>link</a> text&nbsp;here, long enough to count, yes.</p><div><p>Second, para one.<p>Third</div>
