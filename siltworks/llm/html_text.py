@@ -19,7 +19,13 @@ from pyspark.sql import functions as F
 
 #: Fixed sets of HTML: elements without content, with raw text, that end a paragraph, that stand in a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
+#: Drawings and formulas: read as elements, never text. Within them /> closes, save inside what holds HTML again;
+#: an opening element of the last set ends them.
+FOREIGN = frozenset(("svg", "math"))
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+CLOSED = re.compile(r"""(?<!=)(?:^|[\s"'])/$|^(?:.*\s)?[^\s="']+/$""", re.S)
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -51,6 +57,7 @@ class Tree:
     def __init__(self, page: str):
         self.tag, self.parent, self.attributes, self.content = ["#root"], [0], [""], [[]]
         stack, at, n = [0], 0, len(page)
+        drawn: list[int] = []  # where in the stack svg and math stand
         while at < n:
             m = TAG.search(page, at)
             if not m:
@@ -65,14 +72,26 @@ class Tree:
                 self._close(stack, name)
                 continue
             attributes = m[3] if m[2] else m[6]
-            self._imply_ends(stack, name)
+            while drawn and drawn[-1] >= len(stack):
+                drawn.pop()
+            while drawn and name in ENDS_FOREIGN and not any(self.tag[x] in HOLDS_HTML for x in stack[drawn[-1] :]):
+                del stack[drawn.pop() :]
+            foreign = name in FOREIGN or (drawn and not any(self.tag[x] in HOLDS_HTML for x in stack[drawn[-1] :]))
+            if not foreign:
+                self._imply_ends(stack, name)
             node = len(self.tag)
             self.tag.append(name)
             self.parent.append(stack[-1])
             self.attributes.append(attributes)
             self.content.append([])
             self.content[stack[-1]].append(node)
-            if name in RAW:
+            if foreign and CLOSED.search(attributes):
+                continue
+            if foreign and name not in ("script", "style"):
+                if name in FOREIGN:
+                    drawn.append(len(stack))
+                stack.append(node)
+            elif name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
             elif name not in VOID:
@@ -87,7 +106,7 @@ class Tree:
             if self.tag[stack[k]] == name:
                 del stack[k:]
                 return
-            if name not in BLOCK and self.tag[stack[k]] in BLOCK:
+            if name not in BLOCK and name not in FOREIGN and self.tag[stack[k]] in BLOCK:
                 return  # an inline end tag does not reach out of its block
 
     def _imply_ends(self, stack: list[int], name: str) -> None:
@@ -113,7 +132,7 @@ def _attributes(source: str) -> dict[str, str]:
 def _furniture(t: Tree, k: int, inside: bool) -> bool:
     """Whether element ``k`` is page furniture; ``inside``: of an article or main element."""
     tag = t.tag[k]
-    if tag in FURNITURE or tag in RAW or (tag == "header" and not inside):
+    if tag in FURNITURE or tag in RAW or tag in FOREIGN or (tag == "header" and not inside):
         return True
     if not t.attributes[k]:
         return False

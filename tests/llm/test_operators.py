@@ -330,6 +330,12 @@ def test_main_text():
         assert html_text.main_text(x) == want
 
 
+def test_main_text_around_drawings():
+    a, b = "One, two, three and some words of the first paragraph.", "Second paragraph, with more words to read."
+    for x in ("<svg viewBox='0 0 1 1'/>", "<svg/>", "<svg><svg><text>no</text></svg><text>no</text></svg>", "<svg><style/><path d='a'/></svg>", "<svg><path>", "<svg><foreignObject><div>no</svg>", "<math><mi>no</mi></math>", "<svg a=b/>no</svg>"):
+        assert html_text.main_text(f"<body><article><p>{a}</p>{x}<p>{b}</p></article></body>") == f"{a} {b}", x
+
+
 def test_pages_equal_their_articles(spark):
     import html
     import re
