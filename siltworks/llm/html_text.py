@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 A page is read into a tree of elements. Page furniture (menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts, styles) is left out by element, role and class. Each paragraph then
+adverts, forms, comments, scripts, styles) is left out by element, role and class; but class, role and form do
+not remove what wraps the article. Each paragraph then
 earns points for its length and commas and passes them to its ancestors, halved at every level after the
 first; an ancestor's points are discounted by the share of its text that is links. The container with most
 points is kept, with those of its siblings that score well or read like its paragraphs.
@@ -129,21 +130,83 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)}
 
 
-def _furniture(t: Tree, k: int, inside: bool) -> bool:
-    """Whether element ``k`` is page furniture; ``inside``: of an article or main element."""
+def _furniture(t: Tree, k: int, inside: bool) -> int:
+    """2: element ``k`` is page furniture; 1: it is by class, role or form, unless it wraps the article; or 0.
+
+    ``inside``: of an article or main element.
+    """
     tag = t.tag[k]
-    if tag in FURNITURE or tag in RAW or tag in FOREIGN or (tag == "header" and not inside):
-        return True
+    if (tag in FURNITURE and tag != "form") or tag in RAW or tag in FOREIGN or (tag == "header" and not inside):
+        return 2
     if not t.attributes[k]:
-        return False
+        return int(tag == "form")
     a = _attributes(t.attributes[k])
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or HIDDEN.search(a.get("style", "")):
-        return True
+        return 2
     if tag in ("html", "body", "main", "article"):
-        return bool({"comment", "comments", "teaser", "ad", "sponsored"} & _words(a)) and tag == "article"
-    if a.get("role", "").lower() in ROLES:
-        return True
-    return bool(WORDS & _words(a)) and not (tag in PARAGRAPHS and tag.startswith("h"))
+        return 2 if {"comment", "comments", "teaser", "ad", "sponsored"} & _words(a) and tag == "article" else 0
+    if tag == "form" or a.get("role", "").lower() in ROLES:
+        return 1
+    return int(bool(WORDS & _words(a)) and not (tag in PARAGRAPHS and tag.startswith("h")))
+
+
+def _measure(t: Tree, out: list[bool]) -> tuple[list[str], list[int], list[int], list[float]]:
+    """Of each element not ``out``: own text, lengths of all and of linked text, and a paragraph's points."""
+    n = len(t.tag)
+    own = [""] * n  # decoded text outside furniture, without that of elements within
+    length, linked, commas, worth = [0] * n, [0] * n, [0] * n, [0.0] * n
+    for k in range(n):
+        if not out[k]:
+            own[k] = html.unescape("".join(x for x in t.content[k] if isinstance(x, str)))
+            length[k], commas[k] = len(" ".join(own[k].split())), own[k].count(",")
+    for k in range(n - 1, 0, -1):
+        p = t.parent[k]
+        if t.tag[k] == "a":
+            linked[k] = length[k]
+        length[p] += length[k]
+        linked[p] += linked[k]
+        if t.tag[k] not in BLOCK:
+            commas[p] += commas[k]  # a paragraph has the commas of its inline elements
+    for k in range(1, n):
+        if not out[k] and length[k] and (t.tag[k] in PARAGRAPHS or (t.tag[k] in BLOCK and own[k].strip())):
+            worth[k] = (1.0 + commas[k] + min(length[k] / 100, 3.0)) * (1 - linked[k] / length[k])
+    return own, length, linked, worth
+
+
+def _wrappers(t: Tree, kind: list[int], gone: list[bool]) -> set[int]:
+    """Elements of kind 1 that stay, as they wrap the article: scoring decides there.
+
+    They hold a main element, or the article element with most points if no more points lie outside all
+    of kind 1; or, on pages whose points are in neither, at least half of the points of the page.
+    """
+    n, worth = len(t.tag), _measure(t, gone)[3]
+    under, within = list(worth), [False] * n
+    for k in range(n - 1, 0, -1):
+        under[t.parent[k]] += under[k]
+    for k in range(1, n):
+        within[k] = within[t.parent[k]] or kind[k] == 1
+    free = sum(worth[k] for k in range(1, n) if not within[k])
+    leads = [k for k in range(1, n) if t.tag[k] in ("main", "article") and not gone[k] and under[k] > 0]
+    chosen = [k for k in leads if t.tag[k] == "main"]
+    articles = [k for k in leads if t.tag[k] == "article"]
+    if articles:
+        most = max(articles, key=lambda k: (under[k], -k))
+        chosen += [most] if not within[most] or under[most] >= free else []
+    stay, seen = set(), set()
+    for k in chosen:
+        while k and k not in seen:
+            seen.add(k)
+            k = t.parent[k]
+            if kind[k] == 1:
+                stay.add(k)
+    if not leads:
+        net = list(worth)  # without what nested furniture holds
+        for k in range(n - 1, 0, -1):
+            if kind[k] == 1 and 0 < under[0] <= 2 * net[k]:
+                stay.add(k)
+            if kind[k] != 1 or k in stay:
+                net[t.parent[k]] += net[k]
+    return stay
 
 
 def _words(a: dict[str, str]) -> set[str]:
@@ -162,31 +225,23 @@ def main_text(page: str | None) -> str:
     t = Tree(page)
     n = len(t.tag)
     # parents come before their elements, so one pass each way is enough, however deep the page
-    out, inside = [False] * n, [False] * n
+    kind, gone, inside = [0] * n, [False] * n, [False] * n
     for k in range(1, n):
         p = t.parent[k]
         inside[k] = inside[p] or t.tag[k] in ("article", "main")
-        out[k] = out[p] or _furniture(t, k, inside[p])
-    own = [""] * n  # decoded text outside furniture, without that of elements within
-    length, linked, commas = [0] * n, [0] * n, [0] * n
-    for k in range(n):
-        if not out[k]:
-            own[k] = html.unescape("".join(x for x in t.content[k] if isinstance(x, str)))
-            length[k], commas[k] = len(" ".join(own[k].split())), own[k].count(",")
-    for k in range(n - 1, 0, -1):
-        p = t.parent[k]
-        if t.tag[k] == "a":
-            linked[k] = length[k]
-        length[p] += length[k]
-        linked[p] += linked[k]
-        if t.tag[k] not in BLOCK:
-            commas[p] += commas[k]  # a paragraph has the commas of its inline elements
+        kind[k] = 2 if gone[p] else _furniture(t, k, inside[p])
+        gone[k] = kind[k] == 2
+    out = gone
+    if 1 in kind:
+        stay, out = _wrappers(t, kind, gone), list(gone)
+        for k in range(1, n):
+            out[k] = gone[k] or out[t.parent[k]] or (kind[k] == 1 and k not in stay)
+    own, length, linked, worths = _measure(t, out)
     points = [0.0] * n
     for k in range(1, n):
-        if out[k] or not length[k] or not (t.tag[k] in PARAGRAPHS or (t.tag[k] in BLOCK and own[k].strip())):
+        if not worths[k]:
             continue
-        worth = (1.0 + commas[k] + min(length[k] / 100, 3.0)) * (1 - linked[k] / length[k])
-        p = t.parent[k]
+        worth, p = worths[k], t.parent[k]
         if t.tag[k] not in PARAGRAPHS:
             points[k] += worth
         while p and worth > 0.01:

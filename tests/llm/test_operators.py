@@ -336,6 +336,21 @@ def test_main_text_around_drawings():
         assert html_text.main_text(f"<body><article><p>{a}</p>{x}<p>{b}</p></article></body>") == f"{a} {b}", x
 
 
+def test_main_text_inside_wrappers():
+    a = "<h1>Head</h1><p>One, two, three and some words of the first paragraph.</p><p>Second paragraph, with more words to read.</p>"
+    want = "Head One, two, three and some words of the first paragraph. Second paragraph, with more words to read."
+    side, note = "<div class=sidebar><p>Read this too, please.</p></div>", "<div class=comments><div class=comment><p>I, for one, like it, so well, and more, and more.</p></div></div>"
+    for page in (
+        f"<div class='content-sidebar-wrap'><main><article>{a}</article></main>{side}</div>{note}",
+        f"<div class='content-sidebar-wrap'><article>{a}</article>{side}</div>",
+        f"<div id=page class='has-sidebar'><div class=content>{a}</div>{side}</div>",
+        f"<form action=x><div class=content>{a}</div>{side}<select><option>no</select></form>",
+        f"<div role=dialog><article>{a}</article></div>",
+        f"<div class=content>{a}</div><div class=related><article><p>Another story, in short.</p></article></div>{side}{note}",
+    ):
+        assert html_text.main_text(f"<body>{page}</body>") == want, page
+
+
 def test_pages_equal_their_articles(spark):
     import html
     import re
