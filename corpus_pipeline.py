@@ -5,10 +5,12 @@ Part of the subpackage siltworks.llm. All stages but the last return the columns
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.llm import exact_dedup, near_dedup, packing, quality, toxicity
-from siltworks.llm.common import bounded_batches, table
+from siltworks.llm.common import bounded_batches, shared_dir, table
 from siltworks.llm.queries import tokenizer_path
 
 
@@ -55,8 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, from ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages in order, from ``documents``. Each but the last is written as Parquet, which the next one reads."""
+    docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

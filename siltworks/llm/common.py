@@ -22,16 +22,21 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder of this session, within the one named by ``spark.checkpoint.dir``.
 
     Only where that setting is absent (tests on one machine) a folder of our own is used.
     """
-    spark = df.sparkSession
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return jsc.getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in ``shared_dir``."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

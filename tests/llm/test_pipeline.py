@@ -36,6 +36,19 @@ def test_stages(spark, tmp_path):
     assert seen["packing"] == seen["near_dedup"]
 
 
+def test_run_hands_over_parquet(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "a", "en", "s", 1), (2, "b", "en", "s", 1)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(docs.inputFiles())
+        return docs.where("doc_id > 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage), ("three", stage)])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 2
+    assert "/one/" in read[1][0] and "/two/" in read[2][0]
+
+
 def test_each_operator_has_one_query():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert names == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
