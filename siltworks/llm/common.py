@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in ``shared_dir``: like ``cut``, where readers need few of the columns."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner", keep_size: bool = False) -> DataFrame:
+    """``rows`` joined with the one row that ``groups`` has for their key; no key is sent to one task.
+
+    ``groups.size`` is how many rows hold the key. Keys of more than 1/20,000 of all rows (so 20,000 keys at
+    most) are broadcast; the rest is joined by a shuffle. Both inputs are read twice.
+    """
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    hot = groups.where(F.col("size") > max(256, total // 20_000))
+    cold = groups if keep_size else groups.drop("size")
+    if not hot.limit(1).count():
+        return rows.join(cold, keys, how)
+    few = F.broadcast(hot if keep_size else hot.drop("size"))
+    rest = groups.where(F.col("size") <= max(256, total // 20_000))
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest if keep_size else rest.drop("size"), keys, how)
+    return rows.join(few, keys).unionByName(rest)
+
+
 def spare(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not use yet."""
     taken = {c.lower() for c in df.columns}

@@ -1,25 +1,24 @@
 """Near-dedup by Order MinHash.
 
-A text is its sequence of words; its k-mers are runs of ``words`` words, labelled with their occurrence
-number so that repeats count. For each of ``sketches`` hash orders the ``kept`` smallest labelled k-mers
-are taken and put back into the order they have in the text: two texts share a sketch with a chance that
-grows with their edit similarity, not only with the k-mers they share. Texts that share a sketch are
-candidates and are verified by a banded alignment of their words.
-
-Minima say little of a text with few k-mers. So texts of up to ``short`` k-mers (and those of up to
-``short / threshold``, which may be similar to them) also have prefix buckets: of its labelled k-mers, the
-rarest first, a text of n is found under the first n - ceil(threshold * n) + 1. Two similar texts always
-share one of those, so no pair with a text of up to ``short`` k-mers is missed.
-
-The similarity of two texts is the number of k-mers that the alignment keeps, over the number of k-mers
-of either text (a Jaccard index in which order and repeats count). Linked groups are the connected
-components of the verified links.
-
-No bucket is expanded into all pairs. Round by round, each text is compared with one leader of each of its
-buckets: first the most central text (whose buckets hold most texts), then others; buckets whose texts have
-all met in one component are done. What is left is compared across components: a task holds a block of a
-bucket, decides all pairs for which lengths and shared k-mers allow the similarity, and returns only links
-that join components: no link that a shared bucket can find is lost.
+A text is its sequence of lower-case words. The similarity of two texts is the share of the longer one's
+words that a banded alignment keeps: at most ``threshold`` off by edits of words, wherever they are. It is
+at least the edit similarity (1 - edit distance / longer length), so no pair at the threshold is refused.
+
+Candidates: for each of ``sketches`` hash orders the ``kept`` smallest k-mers (runs of ``words`` words,
+labelled with their occurrence number so that repeats count) are taken and put back into the order they
+have in the text. Two texts share such a sketch with a chance that grows with their edit similarity, not
+only with the k-mers they share. K-mers say little of a text with few words, so texts of up to ``short``
+words (and those that may be similar to them) also have prefix buckets: of its labelled words, the rarest
+first, a text of n is found under the first n - ceil(threshold * n) + 1. Two similar texts always share
+one of those, so no pair with a text of up to ``short`` words is missed.
+
+No bucket is expanded into all pairs. Texts meet the *leader* of each of their buckets (the smallest node
+of a random numbering, so buckets of one family mostly have one leader): once for each leader, however
+many buckets they share with it. Groups of one leader are worked on in tasks of bounded size: first
+everybody against the leader, then, among those that are not joined yet, an exact prefix join on their
+rarest words. The blocks of a group too large for one task are then compared across: texts outside of the
+group's largest component against all. What comes out are links that join components, less than there are
+texts. No pair that shares a bucket is left undecided unless other links have joined it already.
 """
 
 from __future__ import annotations
@@ -36,8 +35,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: First code point of the scripts whose words are not parted by spaces, and a word of theirs: one character.
+UNSPACED = 0x0E00
 WORD = re.compile(r"\w+")
-#: Ids of texts to compare are broadcast up to this many bytes (8 each), and joined by a shuffle beyond.
+WORD_OR_SIGN = re.compile(r"[฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]|[^\W฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]+")
+#: Classes that go are broadcast up to this many bytes (80 each), and joined by a shuffle beyond.
 BROADCAST_BYTES = 16 << 20
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -45,23 +47,38 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 @dataclass(frozen=True)
 class Params:
-    """At a similarity of 0.8, 32 sketches of 5 k-mers miss a pair with a chance of 3e-6 (long texts) to 1e-5
-    (just over ``short`` k-mers; none is missed with a text of up to ``short``).
+    """Chance of a shared sketch: some J ** kept, where J is the Jaccard index of the labelled k-mers.
+
+    ``block_words`` bounds the words that a task compares (more only where one text has more).
     """
 
     words: int = 5
     threshold: float = 0.8
-    sketches: int = 32
-    kept: int = 5
-    rounds: int = 1
-    block: int = 1024
-    short: int = 30
+    sketches: int = 48
+    kept: int = 2
+    short: int = 40
+    block_words: int = 1 << 20
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, a bounded number of them remembered."""
+
+    def __missing__(self, word: str) -> int:
+        h = xxhash.xxh64_intdigest(word)
+        if len(self) < 1 << 18:
+            self[word] = h
+        return h
+
+
+_hashes = _Hashes()
 
 
 def word_ids(text: str | None) -> np.ndarray:
     """64-bit hashes of the lower-case words of the whole text."""
-    words = WORD.findall((text or "").lower())
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    text = (text or "").lower()
+    plain = text.isascii() or np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").max() < UNSPACED
+    words = (WORD if plain else WORD_OR_SIGN).findall(text)
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -96,13 +113,17 @@ def sketch(h: np.ndarray, p: Params) -> np.ndarray:
     """One 64-bit bucket for each hash order of the k-mers ``h``; none for a text without words."""
     if not len(h):
         return h
-    lab, few = labelled(h), min(p.kept, len(h))
+    lab, few = _mix(labelled(h)).astype(np.uint32), min(p.kept, len(h))
     seeds = _mix(np.arange(1, p.sketches + 1, dtype=np.uint64) * _MUL)
-    at = np.empty((p.sketches, few), np.int64)
+    xor, times = seeds.astype(np.uint32), (seeds >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    at = np.tile(np.arange(few), (p.sketches, 1))
     step = max(1, (1 << 18) // len(lab))  # orders worked on at once
-    for i in range(0, p.sketches, step):
-        v = _mix(lab[None, :] ^ seeds[i : i + step, None])
-        at[i : i + step] = np.argpartition(v, few - 1, axis=1)[:, :few] if len(lab) > few else np.arange(few)
+    for i in range(0, p.sketches if few < len(lab) else 0, step):
+        v = (lab[None, :] ^ xor[i : i + step, None]) * times[i : i + step, None]
+        rows = np.arange(len(v))
+        for j in range(few):
+            at[i : i + step, j] = v.argmin(1)
+            v[rows, at[i : i + step, j]] = np.uint32(0xFFFFFFFF)
     at.sort(axis=1)  # back to the order of the text
     code = np.arange(p.sketches, dtype=np.uint64)
     for j in range(few):
@@ -111,16 +132,17 @@ def sketch(h: np.ndarray, p: Params) -> np.ndarray:
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Labelled k-mers that both texts hold: no alignment can keep more."""
-    return len(np.intersect1d(a, b, assume_unique=True))
+    """How many of the sorted, distinct ``a`` are in the sorted ``b``: no alignment can keep more."""
+    at = np.searchsorted(b, a)
+    return int(np.count_nonzero(b[np.minimum(at, len(b) - 1)] == a))
 
 
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """k-mers kept by a banded alignment (longest common subsequence of k-mers, |i - j| <= band).
+    """Words kept by a banded alignment (longest common subsequence with \\|i - j\\| <= band).
 
-    Runs along the diagonals are skipped over as a whole: a common prefix is always part of a best
-    alignment, and so is a common suffix; only what lies between is aligned cell by cell, in rows of at
-    most 2 * band + 1 cells.
+    A common prefix is always part of a best alignment, and so is a common suffix. What lies between is
+    aligned by bit-parallel rows: bit j of the row is 0 where word j of ``b`` raises the count. Rows are
+    taken in blocks whose columns are those that the band lets them reach.
     """
     n = min(len(a), len(b))
     same = a[:n] == b[:n]
@@ -133,217 +155,287 @@ def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     kept = head + tail
     if not len(a) or not len(b):
         return kept
-    # row i holds best[i][j] for j in i - band .. i + band
-    best = np.zeros(2 * band + 2, np.int64)  # shifted by one row: index j - i + band
-    for i in range(len(a)):
-        lo, hi = max(0, i - band), min(len(b) - 1, i + band)
-        new = np.zeros_like(best)
-        if lo > hi:
+    row, lo, wide = 0, 0, 0  # bits of the columns lo .. lo + wide
+    step = min(512, max(64, band))
+    for i in range(0, len(a), step):
+        part = a[i : i + step]
+        new_lo, new_hi = min(len(b), max(0, i - band)), min(len(b), i + len(part) + band)
+        gone = new_lo - lo
+        if gone > 0:  # columns out of reach: their count stands
+            left = row & ((1 << min(gone, wide)) - 1)
+            kept += min(gone, wide) - left.bit_count()
+            row, wide, lo = row >> gone, max(wide - gone, 0), new_lo
+        more = new_hi - lo - wide
+        if more > 0:
+            row, wide = row | ((1 << more) - 1) << wide, wide + more
+        if not wide:
             break
-        j = np.arange(lo, hi + 1)
-        at = j - i + band
-        diag = np.where(j > 0, best[at], 0)  # best[i-1][j-1]
-        up = best[at + 1]  # best[i-1][j]
-        cell = np.maximum(up, np.where(b[lo : hi + 1] == a[i], diag + 1, 0))
-        new[at] = np.maximum.accumulate(cell)
-        new[at[-1] + 1 :] = new[at[-1]]
-        best = new
-    return kept + int(best.max())
-
-
-def similar(a: np.ndarray, b: np.ndarray, p: Params) -> bool:
-    """Whether the similarity of two texts, given as k-mers in order, is at least the threshold."""
-    na, nb = len(a), len(b)
-    if not na or not nb or min(na, nb) < p.threshold * max(na, nb):
-        return False
-    need = p.threshold * (na + nb) / (1 + p.threshold)  # kept / (na + nb - kept) >= threshold
-    if overlap(np.sort(labelled(a)), np.sort(labelled(b))) < need - 1e-9:
-        return False
-    # an alignment that keeps enough leaves at most this many k-mers of either text out
-    band = int(max(na, nb) - need) + 1
-    return aligned(a, b, band) >= need - 1e-9
+        words, which = np.unique(part, return_inverse=True)
+        bits = np.packbits(b[lo : lo + wide][None, :] == words[:, None], axis=1, bitorder="little")
+        masks = [int.from_bytes(m.tobytes(), "little") for m in bits]
+        full = (1 << wide) - 1
+        for w in which.tolist():
+            u = row & masks[w]
+            if u:
+                row = ((row + u) | (row - u)) & full
+    return kept + wide - row.bit_count()
 
 
-def _sketches(p: Params):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            grams = [kmers(word_ids(t), p.words) for t in rows["text"]]
-            few = [labelled(g).view(np.int64).tolist() if len(g) * p.threshold <= p.short + 1e-9 else [] for g in grams]
-            yield pd.DataFrame({"id": rows["id"], "sha": rows["sha"], "n": [len(g) for g in grams], "buckets": [sketch(g, p).view(np.int64).tolist() for g in grams], "few": few})
+def allowed(na, nb, p: Params):
+    """Whether lengths allow the similarity (also of arrays)."""
+    return np.minimum(na, nb) >= p.threshold * np.maximum(na, nb) - 1e-9
 
-    return run
 
+def similar(a: np.ndarray, b: np.ndarray, p: Params, held_a: np.ndarray | None = None, held_b: np.ndarray | None = None) -> bool:
+    """Whether the similarity of two texts, given as words in order, is at least the threshold.
+
+    ``held_a`` and ``held_b``: their labelled words, sorted.
+    """
+    if not len(a) or not len(b) or not allowed(len(a), len(b), p):
+        return False
+    need = p.threshold * max(len(a), len(b)) - 1e-9
+    held_a = np.sort(labelled(a.astype(np.uint64))) if held_a is None else held_a
+    held_b = np.sort(labelled(b.astype(np.uint64))) if held_b is None else held_b
+    if overlap(held_a, held_b) < need:
+        return False
+    # an alignment that keeps enough leaves at most this many words of either text out
+    return aligned(a, b, int(max(len(a), len(b)) - need) + 1) >= need
 
-def _grams(p: Params):
-    """k-mers of each text in order, 32 bits each."""
 
+def _sketches(p: Params):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[bytes] = set()  # of copies in one task one is sketched
         for rows in batches:
-            yield pd.DataFrame({"node": rows["id"], "grams": [kmers(word_ids(t), p.words).astype("<u4").tobytes() for t in rows["text"]]})
+            out = []
+            for sha, text in zip(rows["sha"], rows["text"], strict=True):
+                if sha in seen:
+                    out.append((0, None, None, None))
+                    continue
+                if len(seen) < 1 << 17:
+                    seen.add(sha)
+                ids = word_ids(text)
+                few = labelled(ids).view(np.int64) if len(ids) * p.threshold <= p.short + 1e-9 else ids[:0].view(np.int64)
+                out.append((len(ids), sketch(kmers(ids, p.words), p).view(np.int64), few, ids.astype("<u4").tobytes()))
+            yield pd.DataFrame({"id": rows["id"], "sha": rows["sha"], **{k: [x[i] for x in out] for i, k in enumerate(("n", "buckets", "few", "word_ids"))}})
 
     return run
 
 
-def _verify(p: Params):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            keep = [similar(np.frombuffer(a, "<u4").astype(np.uint64), np.frombuffer(b, "<u4").astype(np.uint64), p) for a, b in zip(rows["ta"], rows["tb"], strict=True)]
-            yield rows.loc[np.array(keep, bool), ["a", "b"]]
+def _prefixes(heads: DataFrame, p: Params) -> DataFrame:
+    """(node, n, bucket) of the prefix buckets. A word of one text only takes its place in the prefix but makes no bucket."""
+    each = common.cut(heads.where(F.size("few") > 0).select("node", "n", F.explode("few").alias("bucket")))
+    sizes = common.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    shared = common.spread_join(each, sizes, ["bucket"], keep_size=True).groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("size", "bucket"))).alias("all"))
+    most = F.size("all") - F.ceil(F.col("n") * p.threshold - 1e-9).cast("int") + 1
+    first = shared.where(most > 0).select("node", "n", F.explode(F.slice("all", 1, most)).alias("x"))
+    return first.select("node", "n", F.xxhash64("x.bucket", F.lit("prefix")).alias("bucket"))
+
+
+class _Met:
+    """The texts that a task holds, and which of them are joined."""
+
+    def __init__(self, rows: pd.DataFrame, p: Params, start: np.ndarray | None = None):
+        node = rows["node"].to_numpy(np.int64)
+        self.node, first, self.at = np.unique(node, return_index=True, return_inverse=True)
+        self.text = [np.frombuffer(w, "<u4") for w in rows["word_ids"].iloc[first]]
+        self.held = [np.sort(labelled(t.astype(np.uint64))) for t in self.text]
+        self.n = np.array([len(t) for t in self.text])
+        self.p, self.links = p, []
+        self.root = list(range(len(first)))
+        if start is not None:  # components that are known already
+            _, same = np.unique(start[first], return_inverse=True)
+            least = np.full(same.max() + 1 if len(same) else 0, len(first))
+            np.minimum.at(least, same, np.arange(len(first)))
+            self.root = least[same].tolist()
+
+    def top(self, x: int) -> int:
+        root = self.root
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    def tops(self) -> np.ndarray:
+        return np.array([self.top(x) for x in range(len(self.root))], np.int64)
+
+    def decide(self, x: int, y: int) -> None:
+        a, b = self.top(x), self.top(y)
+        if a != b and similar(self.text[x], self.text[y], self.p, self.held[x], self.held[y]):
+            self.root[max(a, b)] = min(a, b)
+            self.links.append((self.node[min(x, y)], self.node[max(x, y)]))
+
+    def prefix_join(self, group: np.ndarray, text: np.ndarray, left: np.ndarray | None = None, right: np.ndarray | None = None) -> None:
+        """All pairs of one group that share a word of their prefixes: exact, as words are ranked alike for all.
+
+        With ``left`` and ``right`` only pairs of a left and a right row are decided.
+        """
+        used = np.unique(text)
+        if not len(used):
+            return
+        words, counts = np.unique(np.concatenate([self.held[x] for x in used]), return_counts=True)
+        prefix = {}
+        for x in used.tolist():
+            at = np.searchsorted(words, self.held[x])
+            most = len(at) - int(np.ceil(self.p.threshold * len(at) - 1e-9)) + 1
+            rare = at[counts[at] > 1]
+            # words of one text only come first and meet nobody
+            most -= len(at) - len(rare)
+            prefix[x] = rare[np.argsort(counts[rare], kind="stable")[:most]] if most > 0 else rare[:0]
+        sizes = np.array([len(prefix[x]) for x in text.tolist()])
+        if not sizes.sum():
+            return
+        row = np.repeat(np.arange(len(text)), sizes)
+        word = np.concatenate([prefix[x] for x in text.tolist()])
+        order = np.lexsort((row, word, group[row]))
+        row, word = row[order], word[order]
+        run = np.cumsum(np.concatenate([[True], (word[1:] != word[:-1]) | (group[row[1:]] != group[row[:-1]])]))
+        at, seen, away = np.arange(len(run)), set(), 0
+        while True:
+            away += 1
+            at = at[at + away < len(run)]
+            at = at[run[at] == run[at + away]]  # runs that are longer
+            if not len(at):
+                return
+            i, j = row[at], row[at + away]
+            x, y = text[i], text[j]
+            tops = self.tops()
+            fit = (tops[x] != tops[y]) & allowed(self.n[x], self.n[y], self.p)
+            if left is not None:
+                fit &= (left[i] & right[j]) | (left[j] & right[i])
+            for code in np.unique(np.minimum(x, y)[fit] * len(self.n) + np.maximum(x, y)[fit]).tolist():
+                if code not in seen:
+                    seen.add(code)
+                    self.decide(*divmod(code, len(self.n)))
+
+
+def _meet(p: Params):
+    """Links within the groups (or blocks of groups) of one hall."""
 
-    return run
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["leader", "block", "node"], ignore_index=True)
+        met = _Met(rows, p)
+        leads = (rows["leader"] == rows["node"]).to_numpy()
+        group = rows.groupby(["leader", "block"], sort=False).ngroup().to_numpy()
+        lead = np.zeros(group.max() + 1, np.int64)
+        lead[group[leads]] = met.at[leads]
+        for x, y in zip(met.at[~leads].tolist(), lead[group[~leads]].tolist(), strict=True):
+            met.decide(x, y)
+        # what the leader has not joined, in groups of two others or more
+        tops, others = met.tops(), pd.Series(group[~leads])
+        c = pd.Series(tops[met.at[~leads]])
+        open_ = (c.groupby(others).transform("nunique") > 1).to_numpy()
+        met.prefix_join(group[~leads][open_], met.at[~leads][open_])
+        return pd.DataFrame(met.links, columns=["a", "b"], dtype="int64")
 
+    return run
 
-def _links(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """Those of ``pairs`` (a, b) that verify. k-mers move only to the pairs that need them."""
-    one = pairs.join(texts.select(F.col("node").alias("b"), F.col("grams").alias("tb")), "b")
-    both = one.join(texts.select(F.col("node").alias("a"), F.col("grams").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInPandas(_verify(p), "a long, b long")
 
+def _across(p: Params):
+    """Links between the texts outside of a group's largest component (one block of them) and a block of all."""
 
-def _short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """32 bits of each bucket."""
-    for rows in batches:
-        yield pd.DataFrame({"node": rows["node"], "marks": [np.asarray(b, np.int64).astype("<u4").tobytes() for b in rows["buckets"]]})
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["node", "left"], ignore_index=True)
+        met = _Met(rows, p, rows["c"].to_numpy(np.int64))
+        left = rows["left"].to_numpy(bool)
+        met.prefix_join(np.zeros(len(rows), np.int64), met.at, left, ~left)
+        return pd.DataFrame(met.links, columns=["a", "b"], dtype="int64")
 
+    return run
 
-def _prefixes(heads: DataFrame, p: Params) -> DataFrame:
-    """(node, n, band, bucket) of the prefix buckets; their band is the one after those of the sketches.
 
-    A k-mer of one text only takes its place in the prefix but makes no bucket.
-    """
-    each = common.cut(heads.where(F.size("few") > 0).select("node", "sha", "n", F.explode("few").alias("bucket")))
-    sizes = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = each.join(sizes, "bucket").groupBy("node", "sha", "n").agg(F.sort_array(F.collect_list(F.struct("size", "bucket"))).alias("all"))
-    most = F.size("all") - F.ceil(F.col("n") * p.threshold - 1e-9).cast("int") + 1
-    first = shared.where(most > 0).select("node", "n", F.explode(F.slice("all", 1, most)).alias("x"))
-    return first.select("node", "n", F.lit(p.sketches).alias("band"), F.col("x.bucket").alias("bucket"))
+def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """(node, component) of every text that links with another. ``heads``: node, n, buckets, few; ``texts``: node, word_ids."""
+    each = common.cut(heads.select("node", "n", F.explode("buckets").alias("bucket")).unionByName(_prefixes(heads, p)))
+    sizes = common.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).where("size > 1"))
+    meets = common.spread_join(each, sizes, ["bucket"]).where("node != leader").groupBy("leader", "node").agg(F.min("n").alias("n"))
+    meets = common.cut(meets)
+    groups = meets.groupBy("leader").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
+    groups = common.cut(groups.withColumn("blocks", F.greatest(F.ceil(F.col("total") / p.block_words), F.lit(1)).cast("long")))
+    total = groups.agg(F.sum("total")).first()[0] or 0
+    halls = max(1, -(-total // p.block_words))
+    dealt = common.spread_join(meets, groups.drop("total"), ["leader"]).select("leader", "node", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"))
+    every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    dealt = dealt.unionByName(groups.select("leader", F.col("leader").alias("node"), every_block))
+    dealt = dealt.withColumn("hall", F.pmod(F.xxhash64("leader", "block"), F.lit(halls)))
+    found = common.cut(dealt.join(texts, "node").groupBy("hall").applyInPandas(_meet(p), "a long, b long").distinct())
+    comps = common.components(found, "a", "b")
+    large = groups.where("blocks > 1").select("leader")
+    if not large.limit(1).count():
+        return comps
+    comps = common.cut(comps)
+    # groups of several blocks: texts outside of the largest component, against all
+    mine = meets.join(F.broadcast(large), "leader").join(comps, "node", "left").select("leader", "node", "n", F.coalesce("component", "node").alias("c"))
+    mine = common.cut(mine)
+    parts = mine.groupBy("leader", "c").agg(F.sum("n").alias("words"))
+    top = parts.groupBy("leader").agg(F.max(F.struct("words", "c")).alias("m"), F.sum("words").alias("all")).select("leader", F.col("m.c").alias("main"), "all", (F.col("all") - F.col("m.words")).alias("minor"))
+    count = lambda x: F.ceil(F.col(x) / p.block_words).cast("long")
+    top = common.cut(top.where("minor > 0").select("leader", "main", count("minor").alias("lefts"), count("all").alias("rights")))
+    number = lambda n, to: F.pmod(F.xxhash64("node", F.lit(to)), F.col(n)).alias(to)
+    spread = lambda n, to: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(to)
+    mine = mine.join(F.broadcast(top), "leader")
+    left = mine.where("c != main").select("leader", "node", "c", F.lit(True).alias("left"), number("lefts", "i"), spread("rights", "j"))
+    right = mine.select("leader", "node", "c", F.lit(False).alias("left"), spread("lefts", "i"), number("rights", "j"))
+    rest = left.unionByName(right).join(texts, "node").groupBy("leader", "i", "j").applyInPandas(_across(p), "a long, b long")
+    rest = common.cut(rest.distinct())
+    return common.components(rest.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
 
 
-def _across(p: Params):
-    """Links within one block (or between two) of a bucket, between texts in different components.
+def _classes(docs: DataFrame, p: Params, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows: id, sha) with an id, and one row per distinct text: sha, size, class_id, component_id, keeps.
 
-    The task holds the k-mers of its block, so every pair that lengths allow is decided here, and only links that join components come out: less than there are texts. A
-    pair that shares several buckets is decided in the first of them only.
+    ``keeps``: the class whose row with the component's id stays.
     """
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        band, i, j = int(key[0]), int(key[2]), int(key[3])
-        rows = rows.sort_values("node", ignore_index=True)
-        marks = np.stack([np.frombuffer(x, "<u4") for x in rows["marks"]])
-        grams = [np.frombuffer(x, "<u4").astype(np.uint64) for x in rows["grams"]]
-        held = [np.sort(labelled(g)) for g in grams]
-        node, n, c, block = (rows[x].to_numpy(np.int64) for x in ("node", "n", "c", "block"))
-        root = {x: x for x in c.tolist()}
-
-        def top(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        out = []
-        right = np.flatnonzero(block == j)
-        for a in np.flatnonzero(block == i):
-            ys = right[(c[right] != c[a]) & (np.minimum(n[a], n[right]) >= p.threshold * np.maximum(n[a], n[right]))]
-            if i == j:
-                ys = ys[ys > a]
-            same = marks[ys] == marks[a]
-            # pairs that share no sketch are decided in their prefix buckets
-            ys = ys[np.where(same.any(1), same.argmax(1), p.sketches) == band]
-            for s in range(0, len(ys), 512):
-                some = ys[s : s + 512]
-                # shared k-mers of all of them at once
-                sizes = np.array([len(held[y]) for y in some])
-                all_ = np.concatenate([held[y] for y in some])
-                at = np.minimum(np.searchsorted(held[a], all_), len(held[a]) - 1)
-                shared = np.add.reduceat((held[a][at] == all_).astype(np.int64), np.cumsum(sizes) - sizes)
-                for y in some[shared >= p.threshold * (n[a] + sizes) / (1 + p.threshold) - 1e-9].tolist():
-                    if top(c[a]) != top(c[y]) and similar(grams[a], grams[y], p):
-                        root[top(c[a])] = top(c[y])
-                        out.append((min(node[a], node[y]), max(node[a], node[y])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return run
+    known = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.col("id").isNotNull())
+    # one scan of the texts; what is kept of each is its hash, its buckets and its words, 4 bytes each
+    marks = known.withColumn("sha", F.unhex(F.sha2("text", 256))).mapInPandas(_sketches(p), "id long, sha binary, n long, buckets array<long>, few array<long>, word_ids binary")
+    marks = common.written(marks.withColumn("node", F.xxhash64(F.monotonically_increasing_id())))
+    rows = marks.select("id", "sha")
+    classes = common.cut(marks.groupBy("sha").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.min(F.when(F.col("word_ids").isNotNull(), F.col("node"))).alias("node")))
+    chosen = classes.select("node")
+    heads = marks.where(F.col("word_ids").isNotNull() & (F.col("n") > 0)).select("node", "n", "buckets", "few").join(chosen, "node", "left_semi")
+    comps = common.cut(_similar_components(heads, marks.where("word_ids is not null").select("node", "word_ids"), p))
+    linked = classes.join(comps, "node")
+    least = linked.groupBy("component").agg(F.min(F.struct("class_id", "sha")).alias("least"))
+    linked = common.cut(linked.join(least, "component").select("node", F.col("least.class_id").alias("component_id"), F.col("least.sha").alias("keeper")))
+    info = classes.join(linked, "node", "left").select("sha", "size", "class_id", F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce(F.col("keeper") == F.col("sha"), F.lit(True)).alias("keeps"))
+    return rows, common.cut(info)
 
 
 def groups(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, class_id, component_id, n_links, kept), one row for each row of ``docs``.
+    """(id_col, class_id, component_id, kept), one row for each row of ``docs``.
 
     class_id is the smallest id among rows with the same text (null counts as empty), component_id the
-    smallest id that links reach from there, kept marks rows with that id. Links hold between different
-    texts; n_links counts those found for the row's class (enough to join its group, not all there are).
-    Texts without any word (so also empty ones) link with equal texts only; a text of fewer words than a
-    k-mer is one k-mer. Rows with a null id are their own group (component_id null, kept true). Rows that
-    repeat an id are grouped by their texts; where several texts have one id as their class, one of them
-    is compared, and all rows with the group's id say kept. Empty tables give an empty result.
+    smallest id that links between texts reach from there, kept marks the row that stays: the one with
+    that id. Texts without any word (so also empty ones) link with equal texts only; a text of fewer words
+    than a k-mer is one k-mer. Rows with a null id are their own group (class_id and component_id null,
+    kept true). Ids may repeat: rows are known by id and text, so rows with one id and unrelated texts are in
+    different groups, and each group keeps one; rows equal in both say the same. Empty tables give an empty
+    result.
     """
-    p = params or Params()
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    known = base.where(F.col("id").isNotNull())
-    # one scan of the texts; what is kept of each is its hash and its buckets
-    marks = common.cut(known.withColumn("sha", F.sha2("text", 256)).mapInPandas(_sketches(p), "id long, sha string, n long, buckets array<long>, few array<long>"))
-    classes = marks.groupBy("sha").agg(F.min("id").alias("node"))
-    reps = common.cut(marks.select("id", "sha").join(classes, "sha").select("id", "sha", "node"))
-    heads = marks.join(reps.where("id = node").select("sha", "node").distinct(), "sha").where("id = node").dropDuplicates(["node", "sha"])
-    each = heads.select("node", "n", F.posexplode("buckets").alias("band", "bucket")).unionByName(common.cut(_prefixes(heads, p)))
-    at = ["band", "bucket"]
-    sizes = each.groupBy(*at).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = common.cut(each.join(sizes, at))  # of buckets with two texts or more
-    central = members.groupBy("node").agg(F.sum("size").alias("central"))
-    members = members.join(central, "node")
-    leaders = members.groupBy(*at).agg(F.max(F.struct("central", (-F.col("node")).alias("m"))).alias("l")).select(*at, (-F.col("l.m")).alias("leader"))
-    members = common.cut(members.drop("central").join(leaders, at))
-    wanted = common.cut(members.select(F.col("node").alias("id")).distinct())
-    if wanted.count() * 8 <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    # what is compared later: the k-mers of those texts only, hashed once
-    texts = common.cut(known.join(wanted, "id", "left_semi").mapInPandas(_grams(p), "node long, grams binary").groupBy("node").agg(F.min("grams").alias("grams")))
-    found, comps = None, None
-    for r in range(p.rounds):
-        if r:
-            # leaders in another order, in the buckets that still hold several components
-            mine = members.join(comps, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component", "leader")
-            open_ = mine.groupBy(*at).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64(F.col("node"), F.lit(r)).alias("h"), "node", "c")).alias("l"))
-            open_ = open_.where("lo < hi and size > 2").select(*at, F.col("l.node").alias("leader"), F.col("l.c").alias("lc"))
-            pairs = mine.join(open_, at).where("c != lc")
-        else:
-            pairs = members
-        pairs = pairs.where("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        new = common.cut(_links(common.cut(pairs), texts, p))
-        found = new if found is None else found.unionByName(new)
-        joined = new if comps is None else new.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        comps = common.cut(common.components(joined, "a", "b"))
-    # what is left: links across components, inside the buckets that still hold several
-    mine = members.where("size > 2").join(comps, "node", "left").withColumn("c", F.coalesce("component", "node")).select(*at, "node", "n", "c")
-    open_ = mine.groupBy(*at).agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / p.block).alias("blocks")).where("lo < hi").select(*at, "blocks")
-    marks32 = heads.select("node", "buckets").dropDuplicates(["node"]).mapInPandas(_short, "node long, marks binary")
-    mine = mine.join(open_, at).join(marks32, "node").join(texts, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    # a row goes to the pairs of its block with every other, and with itself
-    with_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = mine.withColumn("other", with_block).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    rest = dealt.select(*at, "i", "j", "node", "n", "c", "block", "marks", "grams").groupBy(*at, "i", "j").applyInPandas(_across(p), "a long, b long")
-    rest = common.cut(rest.distinct())
-    found = found.unionByName(rest).distinct()
-    comps = common.components(rest.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
-    links = found.select(F.col("a").alias("node")).unionAll(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    info = comps.join(links, "node")
-    out = reps.join(info, "node", "left").select(F.col("id").alias(id_col), F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    out = out.withColumn("kept", F.col(id_col) == F.col("component_id"))
+    rows, info = _classes(docs, params or Params(), id_col, text_col)
+    out = common.spread_join(rows, info, ["sha"]).select(F.col("id").alias(id_col), "class_id", "component_id", (F.col("keeps") & (F.col("id") == F.col("component_id"))).alias("kept"))
     null = F.lit(None).cast("long")
-    alone = base.where(F.col("id").isNull()).select(F.col("id").alias(id_col), null.alias("class_id"), null.alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
+    alone = docs.where(F.col(id_col).isNull()).select(F.col(id_col), null.alias("class_id"), null.alias("component_id"), F.lit(True).alias("kept"))
     return out.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, params: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that groups() keeps: one of each group, and all rows with a null id.
 
-    Of rows that repeat a kept id one stays.
+    Of rows that repeat both id and text one stays; a text without near copies is never lost, whatever its id.
     """
-    judged = groups(docs, params, id_col, text_col).groupBy(F.col(id_col).alias("id")).agg(F.max("kept").alias("kept"))
-    gone = common.cut(judged.where("not kept").select("id"))
-    left = docs.join(gone, docs[id_col] == gone["id"], "left_anti")
-    repeats = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1)
-    if repeats.count():
-        known = left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-        left = known.unionByName(left.where(F.col(id_col).isNull()))
-    return left
+    rows, info = _classes(docs, params or Params(), id_col, text_col)
+    sha, stay, hit = (common.spare(docs, x) for x in ("sha", "stay", "hit"))
+    left = docs.withColumn(sha, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
+    # classes that lose all rows, and those that lose all but one
+    gone = info.where("not keeps or size > 1").select(F.col("sha").alias(sha), "size", F.when(F.col("keeps"), F.col("component_id")).alias(stay), F.lit(True).alias(hit))
+    gone = common.cut(gone)
+    if gone.count() * 80 <= BROADCAST_BYTES:
+        left = left.join(F.broadcast(gone.drop("size")), sha, "left")
+    else:
+        left = common.spread_join(left, gone, [sha], how="left")
+    loses = F.col(hit).isNotNull() & F.col(id_col).isNotNull() & ~F.col(id_col).eqNullSafe(F.col(stay))
+    left = left.where(~loses).drop(hit, stay)
+    if rows.groupBy("id", "sha").count().where("count > 1").limit(1).count():
+        left = left.where(F.col(id_col).isNull()).unionByName(left.where(F.col(id_col).isNotNull()).dropDuplicates([id_col, sha]))
+    return left.select(*docs.columns)

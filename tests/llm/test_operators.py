@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from siltworks.llm import embedding_dedup, exact_dedup, html_text, near_dedup, packing, quality, sentence_pieces, token_counts, toxicity, url_filter, vocab  # noqa: E402
+from siltworks.llm import embedding_dedup, exact_dedup, html_text, packing, quality, sentence_pieces, token_counts, toxicity, url_filter, vocab  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 BYTE, WORD, PIECE = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -57,103 +57,6 @@ def test_exact_repeated_rows_and_empty_table(spark):
     assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
 
 
-# --- near dedup
-
-
-def lcs(a, b):
-    m = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a)):
-        for j in range(len(b)):
-            m[i + 1][j + 1] = m[i][j] + 1 if a[i] == b[j] else max(m[i][j + 1], m[i + 1][j])
-    return m[-1][-1]
-
-
-def test_banded_alignment_is_exact_within_its_band():
-    r = random.Random(3)
-    for _ in range(200):
-        a, b = (np.array([r.randrange(6) for _ in range(r.randrange(1, 25))], np.uint64) for _ in range(2))
-        assert near_dedup.aligned(a, b, 30) == lcs(a, b)
-
-
-def brute_groups(rows, p):
-    rows = [(i, t or "") for i, t in rows]
-    grams = [near_dedup.kmers(near_dedup.word_ids(t), p.words) for _, t in rows]
-    root = list(range(len(rows)))
-
-    def top(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-
-    for x in range(len(rows)):
-        for y in range(x):
-            a, b = grams[x], grams[y]
-            kept = lcs(a.tolist(), b.tolist()) if len(a) and len(b) else 0
-            if rows[x][1] == rows[y][1] or (kept and kept / (len(a) + len(b) - kept) >= p.threshold):
-                root[top(x)] = top(y)
-    least = {}
-    for k, (i, _) in enumerate(rows):
-        least[top(k)] = min(i, least.get(top(k), i))
-    return {i: least[top(k)] for k, (i, _) in enumerate(rows)}
-
-
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_groups_equal_brute_force(spark, block):
-    r, p = random.Random(5), near_dedup.Params(block=block)
-    base = [prose(r, 60).split() for _ in range(4)]
-    rows = []
-    for i in range(70):
-        words = list(base[i % 4])
-        for _ in range(r.choice([0, 0, 1, 1, 2, 3])):
-            words[r.randrange(len(words))] = f"w{r.randrange(50)}"
-        rows.append((i + 10, " ".join(words)))
-    rows += [(1, None), (2, ""), (3, "one two"), (4, "one  two!"), (5, "?!"), (6, "..."), (7, "one two three four five six")]
-    got = {x["doc_id"]: x for x in near_dedup.groups(frame(spark, rows), p).collect()}
-    assert {i: x["component_id"] for i, x in got.items()} == brute_groups(rows, p)
-    assert all(x["kept"] == (i == x["component_id"]) for i, x in got.items())
-
-
-def test_near_finds_all_short_pairs(spark):
-    """Texts of 8 and 9 words (4 and 5 k-mers), 9 and 10, 12 and 14, in families of up to four, none by chance."""
-    r, p, rows = random.Random(8), near_dedup.Params(), []
-    for k in range(60):
-        words = [f"w{r.randrange(10**6)}" for _ in range(14)]
-        n, m = [(8, 9), (9, 10), (12, 14)][k % 3]
-        family = [words[:n], words[:m], words[1:m] if k % 3 else words[1 : n + 1], [*words[:n], "end"]][: r.choice([2, 2, 3, 4])]
-        rows += [(10 * k + j, " ".join(t)) for j, t in enumerate(family)]
-    r.shuffle(rows)
-    got = {x["doc_id"]: x["component_id"] for x in near_dedup.groups(frame(spark, rows), p).collect()}
-    assert got == brute_groups(rows, p)
-    assert all(got[10 * k + 1] == 10 * k for k in range(60))
-
-
-def test_near_decides_pairs_that_share_one_sketch():
-    p = near_dedup.Params()
-    words = [f"w{i}" for i in range(100)]
-    texts = [" ".join(words), " ".join([*words[:90], "x"]), " ".join(f"v{i}" for i in range(95))]
-    grams = [near_dedup.kmers(near_dedup.word_ids(t), p.words).astype("<u4") for t in texts]
-    marks = np.arange(3 * p.sketches, dtype="<u4").reshape(3, -1)
-    marks[:, 7] = 0  # the only agreement
-    rows = pd.DataFrame({"node": [1, 2, 3], "n": [len(g) for g in grams], "c": [1, 2, 3], "block": 0, "marks": [m.tobytes() for m in marks], "grams": [g.tobytes() for g in grams]})
-    assert near_dedup._across(p)((7, 0, 0, 0), rows).to_numpy().tolist() == [[1, 2]]
-
-
-def test_near_keeps_one_and_survives_edges(spark):
-    text = prose(random.Random(1), 80)
-    docs = frame(spark, [(1, text), (2, text + " end"), (3, text), (None, text), (4, "other words entirely"), (5, "x " * 30_000)])
-    left = near_dedup.keep_one(docs)
-    assert left.columns == docs.columns
-    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in left.collect()) == [-1, 1, 4, 5]
-    assert near_dedup.groups(frame(spark, [])).count() == 0
-
-
-def test_near_with_repeated_ids(spark):
-    a, b = prose(random.Random(2), 50), prose(random.Random(3), 50)
-    docs = frame(spark, [(1, a), (5, a), (5, b), (5, b)])
-    left = near_dedup.keep_one(docs).collect()
-    assert sorted(r["doc_id"] for r in left) == [1, 5]
-
-
 # --- tokens
 
 
