@@ -1,11 +1,13 @@
 """Embedding near-dedup: PCA-ordered tiled comparison.
 
 Unit vectors are rotated so that the directions with most energy come first. Two vectors with cosine t
-or more differ by at most sqrt(2 - 2t) along any direction, so only neighbouring cells of that width
-along the two leading directions can hold links. Cells are dealt into tiles of bounded size; in a pair of
-tiles the product over the leading dimensions is accumulated first, the rest is bounded by the product of
-the suffix norms (Cauchy-Schwarz), and pairs that cannot reach the threshold stop there. Survivors are
-decided by the cosine of the original vectors in double precision.
+or more differ by at most sqrt(2 - 2t), so only neighbouring cells of that width along the two leading
+directions can hold links. Vectors are put in order of their cells along the leading directions and cut into
+tiles of bounded size, so that a full cell is split along further directions. Tiles whose boxes are further
+apart than links reach are never compared. In a pair of tiles the product over the leading dimensions is
+accumulated first, the rest is bounded by the product of the suffix norms (Cauchy-Schwarz), and pairs that
+cannot reach the threshold stop there. Survivors are decided by the cosine of the original vectors in double
+precision.
 
 Equal vectors are one *class* with a weight. A tile pair returns, for each of its classes, the weight of
 what it links to and one link towards each linked group: as many rows as it was given, never all pairs.
@@ -13,6 +15,9 @@ what it links to and one link towards each linked group: as many rows as it was
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,32 +27,60 @@ from . import common
 
 TILE = 1024
 STEPS = (8, 16, 32)
+#: Leading directions of the boxes of tiles, and those along which vectors are put in order.
+LEAD, CELLS = 12, 6
 _SLACK = 1e-7  # of the pruning bounds; the decision itself has none
 
 
 def _moments(batches):
-    """Sum of outer products of unit vectors, one row per task and dimension."""
+    """Sum of outer products of unit vectors' chosen coordinates, one row per task and dimension."""
     sums: dict[int, np.ndarray] = {}
     for rows in batches:
         for d, part in rows.groupby("dim"):
-            x = np.stack(part["v"].to_numpy()).astype(float)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            x = np.stack(part["u"].to_numpy()).astype(float)
             sums[d] = sums.get(d, 0) + x.T @ x
     for d, s in sums.items():
         yield pd.DataFrame({"dim": [d], "sums": [s.ravel().tolist()]})
 
 
-def _bases(valid: DataFrame, most_dims: int) -> dict[int, np.ndarray]:
-    """Per dimension, an orthogonal matrix whose columns are sorted by energy (dim x dim numbers)."""
-    out = {}
-    rows = valid.select("dim", "v").mapInPandas(_moments, "dim int, sums array<double>")
+@dataclass(frozen=True)
+class _Basis:
+    """An orthogonal map, most energy first: the coordinates in ``order``, of which the first are rotated."""
+
+    order: np.ndarray
+    turn: np.ndarray
+
+    def __call__(self, v: np.ndarray, leading: int | None = None) -> np.ndarray:
+        unit = (v / np.linalg.norm(v, axis=1, keepdims=True))[:, self.order]
+        m = len(self.turn)
+        if leading is not None:
+            return (unit[:, :m] @ self.turn[:, :leading]) if leading <= m else np.hstack([unit[:, :m] @ self.turn, unit[:, m:leading]])
+        return np.hstack([unit[:, :m] @ self.turn, unit[:, m:]])
+
+
+def _bases(valid: DataFrame, most_dims: int) -> dict[int, _Basis]:
+    """Per dimension, the basis of its vectors. At most ``most_dims`` coordinates, those with most energy, are rotated.
+
+    So no more than most_dims ** 2 numbers reach the driver, and vectors of any length have a basis.
+    """
+    orders = {r["dim"]: np.arange(r["dim"]) for r in valid.select("dim").distinct().collect()}
+    unit = valid.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e))).select("dim", F.transform("v", lambda e: e / F.col("norm")).alias("u"))
+    if any(d > most_dims for d in orders):
+        energy = unit.where(F.col("dim") > most_dims).select("dim", F.posexplode("u").alias("i", "x")).groupBy("dim", "i").agg(F.sum(F.col("x") * F.col("x")).alias("x"))
+        for r in energy.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("m")).collect():
+            orders[r["dim"]] = np.argsort([-e["x"] for e in r["m"]], kind="stable")
+    chosen = F.col("u")
+    for d, order in orders.items():
+        if d > most_dims:
+            first = F.array(*[F.lit(int(i)) for i in order[:most_dims]])
+            chosen = F.when(F.col("dim") == d, F.transform(first, lambda i: F.get("u", i))).otherwise(chosen)
+    rows = unit.select("dim", chosen.alias("u")).mapInPandas(_moments, "dim int, sums array<double>")
     added = rows.select("dim", F.posexplode("sums").alias("i", "x")).groupBy("dim", "i").agg(F.sum("x").alias("x"))
+    out = {}
     for r in added.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("m")).collect():
-        d = r["dim"]
-        if d > most_dims:
-            raise ValueError(f"vectors of {d} dimensions; at most {most_dims} are rotated")
-        _, vecs = np.linalg.eigh(np.array([e["x"] for e in r["m"]]).reshape(d, d))
-        out[d] = vecs[:, ::-1].copy()
+        m = min(r["dim"], most_dims)
+        _, vecs = np.linalg.eigh(np.array([e["x"] for e in r["m"]]).reshape(m, m))
+        out[r["dim"]] = _Basis(orders[r["dim"]], vecs[:, ::-1].copy())
     return out
 
 
@@ -76,11 +109,11 @@ def _links(a: np.ndarray, b: np.ndarray, ra: np.ndarray, rb: np.ndarray, t: floa
     return i[keep], j[keep]
 
 
-def _compare(t: float, bases: dict[int, np.ndarray]):
+def _compare(t: float, bases: dict[int, _Basis]):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node", ignore_index=True)
         x = np.stack(rows["v"].to_numpy()).astype(float)
-        r = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ bases[x.shape[1]]
+        r = bases[x.shape[1]](x)
         left = np.flatnonzero(rows["left"].to_numpy(bool))
         right = np.flatnonzero(rows["right"].to_numpy(bool))
         weight, node = rows["weight"].to_numpy(np.int64), rows["node"].to_numpy(np.int64)
@@ -96,7 +129,7 @@ def _compare(t: float, bases: dict[int, np.ndarray]):
             own = left[s : s + 256]
             i, j = _links(x[own], x[right], r[own], r[right], t)
             i, j = own[i], right[j]
-            if key[-1]:  # a tile with itself: each pair once
+            if key[0] == key[1]:  # a tile with itself: each pair once
                 i, j = i[i < j], j[i < j]
             np.add.at(linked, i, weight[j])
             np.add.at(linked, j, weight[i])
@@ -111,6 +144,38 @@ def _compare(t: float, bases: dict[int, np.ndarray]):
     return run
 
 
+def _lead(bases: dict[int, _Basis], width: float):
+    """Coordinates along the leading directions, and the cells along each (0 where there are fewer)."""
+
+    def run(batches):
+        for rows in batches:
+            lead = np.zeros((len(rows), LEAD))
+            for d, part in rows.groupby("dim"):
+                x = bases[d](np.stack(part["v"].to_numpy()).astype(float), min(d, LEAD))
+                lead[rows.index.get_indexer(part.index), : x.shape[1]] = x
+            cells = np.floor(lead / width).astype(np.int64)
+            yield rows.assign(lead=list(lead), **{f"c{k}": cells[:, k] for k in range(CELLS)})
+
+    return run
+
+
+def _tiles(size: int):
+    """Rows that come in order of group and cells, cut into tiles of ``size`` within one cell of the two first directions."""
+
+    def run(batches):
+        before, tile, held = None, 0, 0
+        for rows in batches:
+            numbers = []
+            for cell in zip(rows["part"].tolist(), rows["g_key"].tolist(), rows["dim"].tolist(), rows["c0"].tolist(), rows["c1"].tolist(), strict=True):
+                if cell != before or held >= size:
+                    before, tile, held = cell, tile + 1, 0
+                held += 1
+                numbers.append((cell[0] << 32) + tile)
+            yield rows.assign(tile=numbers).drop(columns=["part"])
+
+    return run
+
+
 def near_copies(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", group_col: str = "label", tile: int = TILE, most_dims: int = 1024) -> DataFrame:
     """(id_col, n_links, component_id, kept) of every row of ``vectors``.
 
@@ -120,47 +185,48 @@ def near_copies(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_
     do rows with a null id (their component_id is null, kept is true). n_links counts other rows linked
     directly; component_id is the smallest id reachable; kept marks the row with that id. Rows that
     repeat an id count as rows of their own in n_links, and share their component. Other columns play
-    no part; an empty table gives an empty result.
+    no part; an empty table gives an empty result. Vectors may be of any length; of more than ``most_dims``
+    coordinates those with most energy are rotated, which says how fast pairs are ruled out, not which link.
     """
-    v = F.transform(F.col(vec_col), lambda e: e.cast("double"))
+    v = F.transform(F.col(vec_col), lambda e: e.cast("double") + 0.0)  # no negative zeros
     base = vectors.select(F.col(id_col).alias("id"), F.col(group_col).alias("g"), v.alias("v"))
     sound = (F.size("v") > 0) & F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0)
-    usable = base.where(F.col("id").isNotNull() & F.col("g").isNotNull() & F.coalesce(sound, F.lit(False)))
+    usable = F.col("id").isNotNull() & F.col("g").isNotNull() & F.coalesce(sound, F.lit(False))
+    # equal vectors of a group have equal keys: doubles are written in full
+    key = F.sha2(F.array_join(F.col("v").cast("array<string>"), ","), 256)
+    base = common.written(base.select("id", "g", "v", F.when(usable, key).alias("key")))
+    rows, usable = base.select("id", "g", "key"), base.where("key is not null")
     # one class per distinct vector and group, combined before the shuffle
-    classes = common.cut(usable.groupBy("g", "v").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")).withColumn("dim", F.size("v")))
+    classes = usable.groupBy("g", "key").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v"))
+    classes = common.written(classes.withColumn("dim", F.size("v")))
     bases = _bases(classes, most_dims)
     width = float(np.sqrt(max(2 - 2 * threshold, 1e-12))) + 1e-6
-
-    def cells(batches):
-        for rows in batches:
-            out = np.zeros((len(rows), 2), np.int64)
-            for d, part in rows.groupby("dim"):
-                x = np.stack(part["v"].to_numpy()).astype(float)
-                x = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ bases[d][:, :2]
-                out[rows.index.get_indexer(part.index), : x.shape[1]] = np.floor(x / width)
-            yield rows.assign(c1=out[:, 0], c2=out[:, 1])
-
-    schema = "g {}, v array<double>, node long, weight long, dim int, c1 long, c2 long".format(classes.schema["g"].dataType.simpleString())
-    placed = classes.mapInPandas(cells, schema)
-    at = ["g", "dim", "c1", "c2"]
-    tiles = placed.groupBy(at).agg(F.ceil(F.count(F.lit(1)) / tile).alias("n_tiles"))
-    placed = common.cut(placed.join(tiles, at).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("n_tiles"))))
-    tiles = common.cut(tiles.withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1))).drop("n_tiles"))
-    # pairs of tiles in the same or neighbouring cells, each once; a few numbers a tile
+    cells = [f"c{k}" for k in range(CELLS)]
+    # tiles follow the leading directions, so a full cell is split along further ones
+    schema = "g_key string, dim int, node long, size long, v array<double>"
+    placed = classes.select(F.col("g").cast("string").alias("g_key"), "dim", "node", "size", "v").mapInPandas(_lead(bases, width), schema + ", lead array<double>, " + ", ".join(f"{c} long" for c in cells))
+    n = classes.count()
+    by = ["g_key", "dim", *cells, F.xxhash64("node")]
+    ordered = common.cut(placed).repartitionByRange(max(1, -(-n // (16 * tile))), *by).sortWithinPartitions(*by).withColumn("part", F.spark_partition_id())
+    held = ordered.select("part", "g_key", "dim", "c0", "c1", "node", "size", "v", "lead")
+    held = common.written(held.mapInPandas(_tiles(tile), "g_key string, dim int, c0 long, c1 long, node long, size long, v array<double>, lead array<double>, tile long"))
+    at = lambda k: F.get("lead", F.lit(k))
+    box = [f(at(k)).alias(f"{name}{k}") for k in range(LEAD) for name, f in (("lo", F.min), ("hi", F.max))]
+    boxes = held.groupBy("tile").agg(F.first("g_key").alias("g_key"), F.first("dim").alias("dim"), F.first("c0").alias("c0"), F.first("c1").alias("c1"), *box)
+    boxes = common.cut(boxes.select("tile", "g_key", "dim", "c0", "c1", F.array(*[f"lo{k}" for k in range(LEAD)]).alias("lo"), F.array(*[f"hi{k}" for k in range(LEAD)]).alias("hi")))
+    # pairs of tiles in the same or neighbouring cells whose boxes are near enough, each once; a few numbers a tile
     step = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]))
-    near = tiles.withColumn("s", step).select("g", "dim", F.col("c1").alias("a1"), F.col("c2").alias("a2"), F.col("tile").alias("at"), (F.col("c1") + F.col("s.x")).alias("b1"), (F.col("c2") + F.col("s.y")).alias("b2"))
-    b = tiles.select("g", "dim", F.col("c1").alias("b1"), F.col("c2").alias("b2"), F.col("tile").alias("bt"))
-    same = (F.col("a1") == F.col("b1")) & (F.col("a2") == F.col("b2"))
-    near = near.join(b, ["g", "dim", "b1", "b2"]).where(~same | (F.col("at") <= F.col("bt"))).withColumn("same", same & (F.col("at") == F.col("bt")))
-    pair = ["g", "dim", "a1", "a2", "at", "b1", "b2", "bt", "same"]
-    near = common.cut(near.select(*pair))
-    left = near.select(*pair, F.col("a1").alias("c1"), F.col("a2").alias("c2"), F.col("at").alias("tile"), F.lit(True).alias("left"), F.col("same").alias("right"))
-    right = near.where("not same").select(*pair, F.col("b1").alias("c1"), F.col("b2").alias("c2"), F.col("bt").alias("tile"), F.lit(False).alias("left"), F.lit(True).alias("right"))
-    dealt = left.unionByName(right).join(placed, ["g", "dim", "c1", "c2", "tile"]).select(*pair, "left", "right", "node", "weight", "v")
-    found = common.cut(dealt.groupBy(*pair).applyInPandas(_compare(threshold, bases), "node long, linked long, to long"))
+    a = boxes.withColumn("s", step).select("g_key", "dim", (F.col("c0") + F.col("s.x")).alias("c0"), (F.col("c1") + F.col("s.y")).alias("c1"), ((F.col("s.x") == 0) & (F.col("s.y") == 0)).alias("same"), F.col("tile").alias("a"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
+    near = a.join(boxes.withColumnRenamed("tile", "b"), ["g_key", "dim", "c0", "c1"]).where("not same or a <= b")
+    gap = reduce(lambda x, y: x + y, [F.pow(F.greatest(F.lit(0.0), F.get("lo", F.lit(k)) - F.get("ahi", F.lit(k)), F.get("alo", F.lit(k)) - F.get("hi", F.lit(k))), 2) for k in range(LEAD)])
+    near = common.cut(near.where(gap <= width * width).select("a", "b"))
+    left = near.select("a", "b", F.col("a").alias("tile"), F.lit(True).alias("left"), (F.col("a") == F.col("b")).alias("right"))
+    right = near.where("a <> b").select("a", "b", F.col("b").alias("tile"), F.lit(False).alias("left"), F.lit(True).alias("right"))
+    dealt = left.unionByName(right).join(held.select("tile", "node", F.col("size").alias("weight"), "v"), "tile").drop("tile")
+    found = common.cut(dealt.groupBy("a", "b").applyInPandas(_compare(threshold, bases), "node long, linked long, to long"))
     comps = common.components(found.where("node != to"), "node", "to")
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked")).join(comps, "node", "left")
-    info = classes.join(linked, "node", "left").select("g", "v", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("c"))
-    known = base.join(info, ["g", "v"], "left")
-    comp = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
-    return known.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull() & F.col("n").isNotNull(), F.col("n")).otherwise(0).cast("long").alias("n_links"), comp.alias("component_id"), F.col("id").eqNullSafe(comp).alias("kept"))
+    info = common.cut(classes.select("g", "key", "size", "node").join(linked, "node", "left").select("g", "key", "size", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("c")))
+    known = common.spread_join(rows.where("key is not null"), info, ["g", "key"]).select("id", "n", "c")
+    alone = rows.where("key is null").select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("c"))
+    return known.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_links"), F.col("c").alias("component_id"), F.col("id").eqNullSafe(F.col("c")).alias("kept"))

@@ -49,7 +49,7 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 class Params:
     """Chance of a shared sketch: some J ** kept, where J is the Jaccard index of the labelled k-mers.
 
-    ``block_words`` bounds the words that a task compares (more only where one text has more).
+    ``block_words`` and ``block_rows`` bound what a task compares (more only where one text has more words).
     """
 
     words: int = 5
@@ -57,7 +57,8 @@ class Params:
     sketches: int = 48
     kept: int = 2
     short: int = 40
-    block_words: int = 1 << 20
+    block_words: int = 1 << 19
+    block_rows: int = 4096
 
 
 class _Hashes(dict):
@@ -345,14 +346,14 @@ def _across(p: Params):
 
 def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     """(node, component) of every text that links with another. ``heads``: node, n, buckets, few; ``texts``: node, word_ids."""
-    each = common.cut(heads.select("node", "n", F.explode("buckets").alias("bucket")).unionByName(_prefixes(heads, p)))
+    each = common.written(heads.select("node", "n", F.explode("buckets").alias("bucket")).unionByName(_prefixes(heads, p)))
     sizes = common.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).where("size > 1"))
     meets = common.spread_join(each, sizes, ["bucket"]).where("node != leader").groupBy("leader", "node").agg(F.min("n").alias("n"))
     meets = common.cut(meets)
     groups = meets.groupBy("leader").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"))
-    groups = common.cut(groups.withColumn("blocks", F.greatest(F.ceil(F.col("total") / p.block_words), F.lit(1)).cast("long")))
-    total = groups.agg(F.sum("total")).first()[0] or 0
-    halls = max(1, -(-total // p.block_words))
+    groups = common.cut(groups.withColumn("blocks", F.greatest(F.ceil(F.col("total") / p.block_words), F.ceil(F.col("size") / p.block_rows)).cast("long")))
+    sums = groups.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    halls = max(1, -(-sums[0] // p.block_words), -(-sums[1] // p.block_rows))
     dealt = common.spread_join(meets, groups.drop("total"), ["leader"]).select("leader", "node", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"))
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
     dealt = dealt.unionByName(groups.select("leader", F.col("leader").alias("node"), every_block))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from siltworks.llm import embedding_dedup, exact_dedup, html_text, packing, quality, sentence_pieces, token_counts, toxicity, url_filter, vocab  # noqa: E402
+from siltworks.llm import embedding_dedup, exact_dedup, html_text, packing, quality, queries, sentence_pieces, token_counts, toxicity, url_filter, vocab  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 BYTE, WORD, PIECE = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -285,8 +285,8 @@ def test_vectors_equal_brute_force(spark):
             if k not in want:
                 want[k] = i
                 todo += links[k]
-    for tile in (1024, 8):
-        got = embedding_dedup.near_copies(df, tile=tile).toPandas().set_index("vec_id")
+    for tile, most in ((1024, 1024), (8, 1024), (8, 3)):
+        got = embedding_dedup.near_copies(df, tile=tile, most_dims=most).toPandas().set_index("vec_id")
         assert {i: int(n) for i, n in got["n_links"].items()} == {i: len(v) for i, v in links.items()}
         assert {i: int(c) for i, c in got["component_id"].items()} == want
     assert embedding_dedup.near_copies(df.limit(0)).count() == 0
@@ -297,3 +297,30 @@ def test_repeated_vector_ids(spark):
     got = embedding_dedup.near_copies(df).toPandas()
     assert sorted(got["n_links"]) == [0, 1, 1]
     assert pd.isna(got[got["vec_id"].isna()]["component_id"]).all()
+
+
+def test_vectors_of_any_length_and_clashing_columns(spark):
+    r = np.random.default_rng(4)
+    a = r.normal(size=1500)
+    rows = [(1, a.tolist(), 0), (2, (a + 0.01 * r.normal(size=1500)).tolist(), 0), (3, r.normal(size=1500).tolist(), 0)]
+    df = spark.createDataFrame([(*x, 7, "x", 1.0, 2) for x in rows], "vec_id long, embedding array<double>, label int, node int, key string, v double, tile int")
+    got = {x["vec_id"]: (x["n_links"], x["component_id"], x["kept"]) for x in embedding_dedup.near_copies(df).collect()}
+    assert got == {1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True)}
+
+
+def test_vectors_at_exactly_the_threshold(spark):
+    """cos((3, 4), (1, 0)) is 0.6 in double precision: a link at 0.6, none just above."""
+    df = spark.createDataFrame([(1, [3.0, 4.0], 0), (2, [1.0, 0.0], 0), (3, [-0.0, 1.0], 1), (4, [0.0, 1.0], 1)], "vec_id long, embedding array<double>, label int")
+    for t, n in ((0.6, 1), (0.6 + 1e-12, 0)):
+        assert {x["vec_id"]: x["n_links"] for x in embedding_dedup.near_copies(df, t).collect()} == {1: n, 2: n, 3: 1, 4: 1}
+
+
+def test_vector_query_equals_sql(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM '/root/testdata/sf0.01/embeddings.parquet'")
+    got = queries.QUERIES["op10_embedding_dedup"](spark, "/root/testdata/sf0.01")
+    result = con.execute(queries.ORACLES["op10_embedding_dedup"])
+    names = [d[0] for d in result.description]
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(result.fetchall())
