@@ -1,13 +1,18 @@
 """Token counts, with overlap resynchronisation for huge documents.
 
-A huge text is encoded in chunks that overlap. Two neighbouring encodings are spliced at a *proven
-stable* boundary inside the overlap: a space between two characters that are not white space. The
-pre-tokenizer's pattern has no class that spans such a space from the left, and only classes that may
-start with it on the right, so a token ends there in whatever context the text is read; both encodings
-must show that boundary and agree on the tokens beside it. If none is found, the overlap is doubled.
-
-Texts of ordinary length are cut at the same stable boundaries, and each distinct piece is encoded once
-for as long as a worker remembers it.
+A huge text is encoded in chunks that overlap, with the offsets of their tokens. Two neighbouring encodings are
+spliced where both start a token, away from the cut ends of either, and agree on that token. Such a boundary is
+proven stable: byte-pair merges of a text are the one sequence of tokens in which any two neighbours within a
+pre-token, encoded by themselves, stay as they are. The token before the splice and the one after it are
+neighbours in the first encoding, and all other neighbours are so in the first or in the second, so the spliced
+sequence is that of the whole text. Cut ends spoil only what lies within ``MARGIN`` characters of them: a
+contraction, a special string, or white space that looks ahead. A chunk starts where the last one starts a token,
+so the two mostly agree at once, in any script and without white space too. Where they do not, the overlap is
+doubled until they do.
+
+Texts of ordinary length are cut before white space that follows something else (no pre-token spans such a
+place from the left, and none depends on what is to the right of it), and each distinct piece is encoded once for
+as long as a worker remembers it.
 """
 
 from __future__ import annotations
@@ -21,44 +26,50 @@ from pyspark.sql import functions as F
 from . import vocab
 
 #: Texts of more characters than this are counted in overlapping chunks.
-HUGE = 1 << 16
+HUGE = 1 << 14
 OVERLAP = 256
+#: Longer than contractions and special strings.
+MARGIN = 24
 
 
-def _stable(text: str, i: int) -> bool:
-    return 0 < i < len(text) - 1 and text[i] == " " and not text[i - 1].isspace() and not text[i + 1].isspace()
+def _starts(spans: list[tuple[int, int]], base: int) -> dict[int, int]:
+    """Position -> token, for tokens that start between two characters (bytes of one share its span)."""
+    out, last = {}, 0
+    for k, (a, b) in enumerate(spans):
+        if a >= last and b > a:
+            out[a + base] = k
+        last = max(last, b)
+    return out
 
 
 def count_huge(text: str, path: str, chunk: int = HUGE, overlap: int = OVERLAP) -> int:
     """Tokens of ``text``; memory is bounded by a chunk and its overlap."""
     t = vocab.tokenizer(path)
 
-    def spans(a: int, b: int):
+    def encoded(a: int, b: int):
         e = t.encode(text[a:b], add_special_tokens=False)
-        return e.ids, [x + a for x, _ in e.offsets]
+        return e.ids, _starts(e.offsets, a)
 
-    total, start, ids, starts, end = 0, 0, *spans(0, min(chunk, len(text))), min(chunk, len(text))
+    total, end = 0, min(chunk, len(text))
+    ids, starts = encoded(0, end)
     while end < len(text):
-        wide, splice = overlap, None
+        wide, splice, first = overlap, None, min(starts)
         while splice is None:
-            a, b = max(start, end - wide), min(len(text), end + chunk)
-            nids, nstarts = spans(a, b)
-            here, there = {s: i for i, s in enumerate(starts) if s > a}, {s: i for i, s in enumerate(nstarts)}
-            # both sides agree at a stable boundary, and on the token after it
-            for s in sorted(here.keys() & there.keys()):
-                if s < end - 1 and _stable(text, s) and starts[here[s] - 1] < s and ids[here[s]] == nids[there[s]]:
-                    splice = s
-                    break
+            a = max((s for s in starts if s <= end - wide), default=first)
+            b = min(len(text), end + chunk)
+            new_ids, new_starts = encoded(a, b)
+            splice = next((s for s in new_starts if a + MARGIN <= s <= end - MARGIN and s in starts and ids[starts[s]] == new_ids[new_starts[s]]), None)
             if splice is None:
-                if a == start:  # the whole of the last chunk overlaps: carry on with one longer chunk
-                    ids, starts = spans(start, b)
-                    end = b
+                if a == first:  # all of the last chunk overlaps: carry on with one longer chunk
                     break
                 wide *= 2
-        if splice is not None:
-            total += here[splice]
-            keep = there[splice]
-            ids, starts, start, end = nids[keep:], nstarts[keep:], splice, b
+        if splice is None:
+            ids, starts = new_ids, new_starts
+        else:
+            total += starts[splice]
+            keep = new_starts[splice]
+            ids, starts = new_ids[keep:], {s: k - keep for s, k in new_starts.items() if k >= keep}
+        end = b
     return total + len(ids)
 
 

@@ -8,8 +8,8 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
-#: Before a space between two characters that are not white space.
-SPACE = re.compile(r"(?<=\S)(?= \S)")
+#: Before white space that follows something else.
+SPACE = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 
 
 @lru_cache(maxsize=4)
@@ -25,13 +25,13 @@ def tokenizer(path: str):
 
 
 class Memory:
-    """What a tokenizer gives for each distinct piece of text, kept for at most ``most`` pieces.
+    """What a tokenizer gives for each distinct piece of text, kept for at most ``most`` pieces of up to ``longest`` characters.
 
-    Pieces that no longer fit are encoded anew in every batch; results never depend on what is kept.
+    Pieces that do not fit are encoded anew in every batch; results never depend on what is kept.
     """
 
-    def __init__(self, path: str, value: Callable, most: int = 600_000):
-        self.path, self.value, self.most, self.kept = path, value, most, {}
+    def __init__(self, path: str, value: Callable, most: int = 600_000, longest: int = 48):
+        self.path, self.value, self.most, self.longest, self.kept = path, value, most, longest, {}
 
     def each(self, texts: list[list[str]]) -> Iterator[Iterator]:
         """For each list of pieces, the values of its pieces."""
@@ -43,8 +43,9 @@ class Memory:
             kept.update(zip(part, (self.value(e.ids) for e in t.encode_batch_fast(part, add_special_tokens=False)), strict=True))
         for pieces in texts:
             yield map(kept.__getitem__, pieces)
-        if len(kept) > self.most:  # the frequent ones came first
-            for w in new:
+        full = len(kept) > self.most  # the frequent ones came first
+        for w in new:
+            if full or len(w) > self.longest:
                 del kept[w]
 
 

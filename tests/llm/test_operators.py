@@ -69,6 +69,44 @@ def test_counts_equal_the_library():
         assert [token_counts.count_huge(x, BYTE, chunk, overlap) if x else 0 for x in texts] == want
 
 
+@pytest.mark.parametrize("kind", ["tabs", "lines", "double", "signs", "one letter", "spaces", "apostrophes", "special", "random", "digits"])
+def test_huge_counts_encode_the_text_about_once(kind, monkeypatch):
+    r, n = random.Random(1), 150_000
+    text = {
+        "tabs": lambda: "\t".join(r.choice(["ab", "c", "the"]) for _ in range(n // 2)),
+        "lines": lambda: "\r\n".join(prose(r, 3) for _ in range(n // 20)),
+        "double": lambda: "  ".join(prose(r, 1) for _ in range(n // 7)),
+        "signs": lambda: "".join(chr(r.randrange(0x4E00, 0x9F00)) for _ in range(n)),
+        "one letter": lambda: "a" * n,
+        "spaces": lambda: " " * n + "a",
+        "apostrophes": lambda: "'re'll's" * (n // 8),
+        "special": lambda: "a  <|endoftext|>" * (n // 16),
+        "random": lambda: "".join(r.choice("ab \n,é日'1.") for _ in range(n)),
+        "digits": lambda: "".join(r.choice("0123456789") for _ in range(n)),
+    }[kind]()
+    real, seen = vocab.tokenizer(BYTE), []
+
+    class Counting:
+        def encode(self, x, **kw):
+            seen.append(len(x))
+            return real.encode(x, **kw)
+
+    want = len(real.encode(text, add_special_tokens=False).ids)
+    monkeypatch.setattr(vocab, "tokenizer", lambda path: Counting())
+    assert token_counts.count_huge(text, BYTE) == want
+    assert sum(seen) <= 1.3 * len(text) and max(seen) <= 2 * token_counts.HUGE
+
+
+def test_counts_of_random_texts_equal_the_library():
+    t, r = vocab.tokenizer(BYTE), random.Random(5)
+    for k in range(400):
+        parts = [" ", "  ", "\n", "\t", "'s", "'re", "'", "a", "Word", "été", "日本", "12", "!?", "<|endoftext|>", "\x1c", "\x85", "\u3000", "🙂", "e\u0301"]
+        text = "".join(r.choice(parts) for _ in range(r.randrange(1, 300)))
+        want = len(t.encode(text, add_special_tokens=False).ids)
+        assert token_counts.count_texts([text], BYTE) == [want]
+        assert token_counts.count_huge(text, BYTE, r.choice([64, 100, 200]), r.choice([8, 50])) == want
+
+
 def test_counts_query(spark):
     docs = frame(spark, [(1, "a b"), (2, None), (1, "a b"), (None, "é")])
     out = token_counts.token_counts(docs, BYTE, 1)
