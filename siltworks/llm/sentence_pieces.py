@@ -15,8 +15,8 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 from heapq import heappop, heappush
 
 import numpy as np
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from . import common
 
 GIANT, CHUNK = 1 << 16, 1 << 13
+#: Matrices that one task combines: those of a longer text are combined in a tree.
+FAN = 64
 _SPACE = "▁"
 State = tuple[int, int]  # a piece from ``s`` characters before a boundary to ``e`` after it; (0, 0): the start
 
@@ -44,6 +46,7 @@ class Pieces:
         self.longest = max(map(len, self.id))
         self.prefixes = {p[:n] for p in self.id for n in range(1, len(p) + 1)}
         self.known: dict[tuple[str, str], bool] = {}
+        self.among: dict[tuple[str, ...], dict[str, list[str]]] = {}
 
     def merge(self, text: str) -> list[str]:
         """Byte-pair merges of a short text: best score first, then leftmost."""
@@ -79,6 +82,22 @@ class Pieces:
             self.known[key] = self.merge(a + b) == ([a, b] if a else [b])
         return self.known[key]
 
+    def fitting(self, ended: dict) -> Callable[[str], list[str]]:
+        """Piece -> those of ``ended`` that it may follow; remembered, as runs of one sign end alike everywhere."""
+        key = tuple(ended)
+        if key not in self.among:
+            if len(self.among) > 50_000:
+                self.among.clear()
+            self.among[key] = {}
+        found = self.among[key]
+
+        def before(piece: str) -> list[str]:
+            if piece not in found:
+                found[piece] = [x for x in key if self.fit(x, piece)]
+            return found[piece]
+
+        return before
+
     def starting(self, text: str, at: int) -> Iterator[str]:
         """Pieces that ``text`` has at ``at``; a character outside the model stands alone."""
         for n in range(1, min(self.longest, len(text) - at) + 1):
@@ -125,11 +144,11 @@ def transfer(m: Pieces, text: str, b0: int, b1: int) -> dict[State, dict[State,
         ended = live.pop(at, None)
         if not ended:
             continue
+        fitting = m.fitting(ended)
         for piece in m.starting(text, at):
             bits = 0
-            for before, had in ended.items():
-                if had & ~bits and m.fit(before, piece):
-                    bits |= had
+            for before in fitting(piece):
+                bits |= ended[before]
             if bits:
                 end = at + len(piece)
                 if end >= b1:
@@ -154,21 +173,20 @@ def combine(a: dict, b: dict) -> dict:
     return out
 
 
-def boundary_states(matrices: list[dict]) -> list[State]:
-    """The state at every boundary on the best path from the start to the end of the text."""
+def boundary_states(matrices: list[dict], first: State = (0, 0), last: State | None = None) -> list[State]:
+    """The state at every boundary on the best path from ``first`` to ``last`` (without it: to the end of the text)."""
     reached, prefix = [], None
     for mat in matrices:
         prefix = mat if prefix is None else combine(prefix, mat)
-        prefix = {o: {(0, 0): c[(0, 0)]} for o, c in prefix.items() if (0, 0) in c}
+        prefix = {o: {first: c[first]} for o, c in prefix.items() if first in c}
         reached.append(prefix)
-    ends = [o for o in prefix if o[1] == 0]
-    state = max(ends, key=lambda o: prefix[o][(0, 0)])
+    state = last if last is not None else max((o for o in prefix if o[1] == 0), key=lambda o: prefix[o][first])
     states = [state]
     for k in range(len(matrices) - 1, 0, -1):
         column = matrices[k][state]
-        state = max((i for i in column if i in reached[k - 1]), key=lambda i: column[i] + reached[k - 1][i][(0, 0)])
+        state = max((i for i in column if i in reached[k - 1]), key=lambda i: column[i] + reached[k - 1][i][first])
         states.append(state)
-    return [(0, 0), *reversed(states)]
+    return [first, *reversed(states)]
 
 
 def backtrace(m: Pieces, text: str, b0: int, b1: int, first: State, last: State) -> list[str]:
@@ -181,10 +199,10 @@ def backtrace(m: Pieces, text: str, b0: int, b1: int, first: State, last: State)
         ended = live.get(at)
         if not ended:
             continue
+        fitting = m.fitting(ended)
         for piece in m.starting(text, at):
-            before = next((p for p in ended if m.fit(p, piece)), None)
-            if before is not None:
-                live.setdefault(at + len(piece), {})[piece] = before
+            if before := fitting(piece):
+                live.setdefault(at + len(piece), {})[piece] = before[0]
     at, piece, out = b1 + last[1], text[b1 - last[0] : b1 + last[1]], []
     while at > start:
         out.append(piece)
@@ -209,23 +227,60 @@ def _chunks(path: str, size: int):
     return run
 
 
+def _coded(matrix: dict) -> str:
+    return json.dumps([[o, [[i, w] for i, w in c.items()]] for o, c in matrix.items()])
+
+
+def _decoded(text: str) -> dict:
+    return {tuple(o): {tuple(i): w for i, w in c} for o, c in json.loads(text)}
+
+
 def _matrices(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model(path)
         for rows in batches:
-            made = [json.dumps([[o, [[i, w] for i, w in c.items()]] for o, c in transfer(m, t, a, b).items()]) for t, a, b in zip(rows["part"], rows["b0"].tolist(), rows["b1"].tolist(), strict=True)]
+            made = [_coded(transfer(m, t, a, b)) for t, a, b in zip(rows["part"], rows["b0"].tolist(), rows["b1"].tolist(), strict=True)]
             yield pd.DataFrame({"row": rows["row"], "k": rows["k"], "matrix": made})
 
     return run
 
 
+def _product(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The matrix of neighbouring chunks together."""
+    made = reduce(combine, map(_decoded, rows.sort_values("k")["matrix"]))
+    return pd.DataFrame({"row": [key[0]], "k": [key[1]], "matrix": [_coded(made)]})
+
+
 def _states(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """States at both ends of each chunk, between those of the chunks together (s0 null: the text's start and end)."""
     rows = rows.sort_values("k")
-    mats = [{tuple(o): {tuple(i): w for i, w in c} for o, c in json.loads(x)} for x in rows["matrix"]]
-    s = boundary_states(mats)
+    outer = rows[["s0", "e0", "s1", "e1"]].iloc[0]
+    ends = ((0, 0), None) if pd.isna(outer["s0"]) else ((int(outer["s0"]), int(outer["e0"])), (int(outer["s1"]), int(outer["e1"])))
+    s = boundary_states([_decoded(x) for x in rows["matrix"]], *ends)
     return pd.DataFrame({"row": rows["row"].to_numpy(), "k": rows["k"].to_numpy(), "s0": [x[0] for x in s[:-1]], "e0": [x[1] for x in s[:-1]], "s1": [x[0] for x in s[1:]], "e1": [x[1] for x in s[1:]]})
 
 
+def _all_states(matrices: DataFrame, chunks: int, fan: int) -> DataFrame:
+    """(row, k, s0, e0, s1, e1) of every chunk: up the tree of products, and down again with the states.
+
+    No task holds more than ``fan`` matrices. ``chunks``: most chunks of a text.
+    """
+    levels = [matrices]
+    while chunks > fan:
+        up = levels[-1].groupBy("row", F.floor(F.col("k") / fan).cast("int").alias("k2")).applyInPandas(_product, "row long, k int, matrix string")
+        levels.append(common.cut(up))
+        chunks = -(-chunks // fan)
+    ends = ("s0", "e0", "s1", "e1")
+    states = None
+    for level in reversed(levels):
+        if states is None:
+            level = level.withColumns({"up": F.lit(0), **{x: F.lit(None).cast("int") for x in ends}})
+        else:
+            level = level.withColumn("up", F.floor(F.col("k") / fan).cast("int")).join(states.withColumnRenamed("k", "up"), ["row", "up"])
+        states = level.groupBy("row", "up").applyInPandas(_states, "row long, k int, s0 int, e0 int, s1 int, e1 int")
+    return states
+
+
 def _traced(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model(path)
@@ -239,7 +294,7 @@ def _traced(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids", giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """``docs`` with ``out``: the library's ids of the whole text, without begin and end ids.
 
     Texts of more than ``giant`` characters go through the parallel scan, in chunks of ``chunk``
@@ -262,9 +317,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids",
     # giant texts are few: their rows are kept as they are, so that the numbers stay with them
     few = common.cut(base.where(huge).withColumn(row, F.monotonically_increasing_id()))
     parts = few.select(F.col(row).alias("row"), F.col(text_col).alias("text")).mapInPandas(_chunks(path, chunk), "row long, k int, b0 int, b1 int, part string")
-    parts = common.cut(parts.repartition("row", "k"))
-    states = parts.mapInPandas(_matrices(path), "row long, k int, matrix string").groupBy("row").applyInPandas(_states, "row long, k int, s0 int, e0 int, s1 int, e1 int")
-    traced = parts.join(states, ["row", "k"]).mapInPandas(_traced(path), "row long, k int, ids array<int>")
+    parts = common.cut(parts)
+    size = parts.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max("k"), F.lit(0)).alias("most")).first()
+    parts = common.cut(parts.repartition(max(1, -(-size["n"] // 8)), "row", "k"))  # some 8 chunks a task
+    states = _all_states(common.cut(parts.mapInPandas(_matrices(path), "row long, k int, matrix string")), size["most"] + 1, fan)
+    traced = parts.join(states, ["row", "k"]).repartition(max(1, -(-size["n"] // 8)), "row", "k").mapInPandas(_traced(path), "row long, k int, ids array<int>")
     ids = traced.groupBy("row").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias(out))
     return short.unionByName(few.join(ids.withColumnRenamed("row", row), row).drop(row))
 
@@ -299,14 +356,14 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", out: str = "decode
 
 
 def digest(coded: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """(id_col, n_tokens, ids_crc32, round_trip): the ids in short, and whether decoding gives the text back."""
+    """(id_col, n_tokens, ids_crc32, round_trip, ids, decoded): the ids, in short too, and whether decoding gives the text back."""
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for lists, texts in batches:
-            crc = [zlib.crc32(np.asarray(x, "<u4")) for x in lists]
-            yield pd.DataFrame({"crc": crc, "same": [decode_ids(x, path) == t for x, t in zip(lists, texts, strict=True)]})
+            crc, back = [zlib.crc32(np.asarray(x, "<u4")) for x in lists], [decode_ids(x, path) for x in lists]
+            yield pd.DataFrame({"crc": crc, "same": [b == t for b, t in zip(back, texts, strict=True)], "decoded": back})
 
-    # one pass of Python over the ids for both
-    both = F.pandas_udf(run, "crc long, same boolean")(F.col(ids_col), F.coalesce(F.col(text_col), F.lit("")))
-    known = coded.select(id_col, F.size(ids_col).cast("long").alias("n_tokens"), both.alias("both"))
-    return known.select(id_col, "n_tokens", F.col("both.crc").alias("ids_crc32"), F.col("both.same").alias("round_trip"))
+    # one pass of Python over the ids for all
+    made = F.pandas_udf(run, "crc long, same boolean, decoded string")(F.col(ids_col), F.coalesce(F.col(text_col), F.lit("")))
+    known = coded.select(id_col, ids_col, F.size(ids_col).cast("long").alias("n_tokens"), made.alias("made"))
+    return known.select(id_col, "n_tokens", F.col("made.crc").alias("ids_crc32"), F.col("made.same").alias("round_trip"), F.col(ids_col).alias("ids"), F.col("made.decoded").alias("decoded"))

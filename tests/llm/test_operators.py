@@ -1,6 +1,7 @@
 """The operators against brute force, round trips and the edge cases that their docstrings state."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -136,8 +137,8 @@ def test_sentence_pieces_equal_the_library(spark):
     m, r = sentence_pieces.model(PIECE), random.Random(6)
     texts = [*ODD, prose(r, 120), "".join(r.choice("ab c\n é日") for _ in range(800)), " " * 45 + "a", "x" * 200]
     rows = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "doc_id long, text string").withColumnRenamed("doc_id", "ids_of")
-    for giant, chunk in ((1 << 16, 1 << 13), (10, 7), (10, 100)):
-        got = {x["ids_of"]: x["ids"] for x in sentence_pieces.encode(rows, PIECE, giant=giant, chunk=chunk).collect()}
+    for giant, chunk, fan in ((1 << 16, 1 << 13, 64), (10, 7, 3), (10, 100, 64)):
+        got = {x["ids_of"]: x["ids"] for x in sentence_pieces.encode(rows, PIECE, giant=giant, chunk=chunk, fan=fan).collect()}
         assert got == {i: m.library.encode(x or "") for i, x in [*enumerate(texts), (99, None)]}
     for x in texts:
         ids = m.library.encode(x)
@@ -145,9 +146,19 @@ def test_sentence_pieces_equal_the_library(spark):
 
 
 def test_sentence_digest_round_trip(spark):
-    rows = spark.createDataFrame([(1, "Hello, wörld  \n x"), (2, None)], "doc_id long, text string")
+    rows = spark.createDataFrame([(1, "Hello, wörld  \n x"), (2, None), (1, "Hello, wörld  \n x"), (None, "a" * 70_000)], "doc_id long, text string")
     out = sentence_pieces.digest(sentence_pieces.encode(rows, PIECE), PIECE).orderBy("doc_id").collect()
-    assert [r["round_trip"] for r in out] == [True, True] and out[1]["n_tokens"] == 0
+    assert [r["round_trip"] for r in out] == [True] * 4 and out[3]["n_tokens"] == 0
+    assert out[1] == out[2] and out[1]["decoded"] == "Hello, wörld  \n x" and zlib.crc32(np.array(out[1]["ids"], "<u4")) == out[1]["ids_crc32"]
+    assert sentence_pieces.digest(sentence_pieces.encode(rows.limit(0), PIECE), PIECE).count() == 0
+
+
+def test_matrices_of_monotonous_texts_are_quick():
+    m, began = sentence_pieces.model(PIECE), time.perf_counter()
+    for text in (" " * 70_000, "a" * 70_000, "=-" * 35_000):
+        text = m.library.normalize(text)
+        sentence_pieces.transfer(m, text, 0, len(text))
+    assert time.perf_counter() - began < 12
 
 
 # --- classifiers
