@@ -46,84 +46,130 @@ WORDS = frozenset(
     comment comments commentlist disqus discussion replies reply respond feedback reactions
     share sharing social tags taglist form search""".split()
 )
+#: Words of these that, inside of an article, say what it is made of rather than what stands around it.
+SOFT = frozenset("header masthead banner topbar legal copyright notice notices alert discussion feedback toc skip search popular overlay".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+REST = re.compile(r"""((?:"[^"]*"|'[^']*'|[^>"'])*+)>""")
+#: Tags whose quotes do not close before the page ends, after which quotes are no longer looked at.
+LOOSE_QUOTES = 32
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt figcaption h1 h2 h3 h4 h5 h6".split())
 
 
 class Tree:
-    """Elements in page order: tag, parent, attributes, and content (texts and numbers of elements)."""
+    """Elements in page order: tag, parent, attributes, and content (texts and numbers of elements).
+
+    Every step is constant or paid for by what it reads or closes, so the time is linear in the page. A tag ends at
+    the first ``>`` outside of quotes, or at the first one at all where quotes do not close; once no ``>`` follows
+    the rest is text.
+    """
 
     def __init__(self, page: str):
         self.tag, self.parent, self.attributes, self.content = ["#root"], [0], [""], [[]]
-        stack, at, n = [0], 0, len(page)
-        drawn: list[int] = []  # where in the stack svg and math stand
-        while at < n:
-            m = TAG.search(page, at)
-            if not m:
-                self._text(stack, page[at:])
-                break
-            self._text(stack, page[at : m.start()])
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
-            if not name:
-                continue
-            if m[1] or m[4]:
-                self._close(stack, name)
-                continue
-            attributes = m[3] if m[2] else m[6]
-            while drawn and drawn[-1] >= len(stack):
-                drawn.pop()
-            while drawn and name in ENDS_FOREIGN and not any(self.tag[x] in HOLDS_HTML for x in stack[drawn[-1] :]):
-                del stack[drawn.pop() :]
-            foreign = name in FOREIGN or (drawn and not any(self.tag[x] in HOLDS_HTML for x in stack[drawn[-1] :]))
-            if not foreign:
-                self._imply_ends(stack, name)
-            node = len(self.tag)
-            self.tag.append(name)
-            self.parent.append(stack[-1])
-            self.attributes.append(attributes)
-            self.content.append([])
-            self.content[stack[-1]].append(node)
-            if foreign and CLOSED.search(attributes):
-                continue
-            if foreign and name not in ("script", "style"):
-                if name in FOREIGN:
-                    drawn.append(len(stack))
-                stack.append(node)
-            elif name in RAW:
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else n
-            elif name not in VOID:
-                stack.append(node)
-
-    def _text(self, stack: list[int], text: str) -> None:
-        if text:
-            self.content[stack[-1]].append(text)
-
-    def _close(self, stack: list[int], name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == name:
-                del stack[k:]
-                return
-            if name not in BLOCK and name not in FOREIGN and self.tag[stack[k]] in BLOCK:
-                return  # an inline end tag does not reach out of its block
-
-    def _imply_ends(self, stack: list[int], name: str) -> None:
-        if name in BLOCK:
-            for k in range(len(stack) - 1, 0, -1):
-                if self.tag[stack[k]] == "p":
-                    del stack[k:]
+        self.stack = [0]  # open elements
+        self.spots: dict[str, list[int]] = {}  # where in the stack each tag stands
+        self.blocks, self.scopes, self.holds, self.drawn = ([] for _ in range(4))  # where those kinds stand
+        at, text_from, n, last, loose = 0, 0, len(page), page.rfind(">"), 0
+        while (lt := page.find("<", at)) >= 0:
+            for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>")):
+                if page.startswith(opening, lt):
+                    end = page.find(closing, lt + len(opening))
+                    self._text(page[text_from:lt])
+                    at = text_from = end + len(closing) if end >= 0 else n
                     break
-                if self.tag[stack[k]] in BLOCK:
+            else:
+                if lt > last:
                     break
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] in ENDS.get(name, ()):
-                del stack[k:]
-                break
-            if self.tag[stack[k]] in SCOPE:
-                break
+                m = NAME.match(page, lt)
+                if not m:
+                    at = lt + 1
+                    if page[at : at + 1] in ("!", "?"):
+                        self._text(page[text_from:lt])
+                        at = text_from = page.find(">", at) + 1
+                    continue
+                self._text(page[text_from:lt])
+                rest = REST.match(page, m.end()) if loose < LOOSE_QUOTES else None
+                if rest:
+                    attributes, at = rest[1], rest.end()
+                else:
+                    loose += 1
+                    at = page.find(">", m.end()) + 1
+                    attributes = page[m.end() : at - 1]
+                name = m[2].lower()
+                if m[1]:
+                    self._close(name)
+                elif self._open(name, attributes):
+                    at = self._raw_end(page, name, at)
+                text_from = at
+        self._text(page[text_from:])
+
+    def _text(self, text: str) -> None:
+        if text:
+            self.content[self.stack[-1]].append(text)
+
+    def _push(self, node: int, name: str) -> None:
+        k = len(self.stack)
+        self.stack.append(node)
+        self.spots.setdefault(name, []).append(k)
+        for kind, where in ((BLOCK, self.blocks), (SCOPE, self.scopes), (HOLDS_HTML, self.holds)):
+            if name in kind:
+                where.append(k)
+
+    def _cut(self, k: int) -> None:
+        """Elements from place ``k`` of the stack on are closed."""
+        for node in self.stack[k:]:
+            self.spots[self.tag[node]].pop()
+        del self.stack[k:]
+        for where in (self.blocks, self.scopes, self.holds, self.drawn):
+            while where and where[-1] >= k:
+                where.pop()
+
+    def _drawing(self) -> bool:
+        """Whether the innermost svg or math holds what comes next, not HTML within it."""
+        return bool(self.drawn) and not (self.holds and self.holds[-1] >= self.drawn[-1])
+
+    def _open(self, name: str, attributes: str) -> bool:
+        """A new element; whether what follows is raw text."""
+        while name in ENDS_FOREIGN and self._drawing():
+            self._cut(self.drawn[-1])
+        foreign = name in FOREIGN or self._drawing()
+        if not foreign:
+            self._imply_ends(name)
+        node = len(self.tag)
+        self.tag.append(name)
+        self.parent.append(self.stack[-1])
+        self.attributes.append(attributes)
+        self.content.append([])
+        self.content[self.stack[-1]].append(node)
+        if foreign and CLOSED.search(attributes):
+            return False
+        if foreign and name not in ("script", "style"):
+            if name in FOREIGN:
+                self.drawn.append(len(self.stack))
+            self._push(node, name)
+        elif name in RAW:
+            return True
+        elif name not in VOID:
+            self._push(node, name)
+        return False
+
+    def _raw_end(self, page: str, name: str, at: int) -> int:
+        m = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+        return (page.find(">", m.end()) + 1 or len(page)) if m else len(page)
+
+    def _close(self, name: str) -> None:
+        spots = self.spots.get(name)
+        # an inline end tag does not reach out of its block
+        if spots and (name in BLOCK or name in FOREIGN or not self.blocks or spots[-1] > self.blocks[-1]):
+            self._cut(spots[-1])
+
+    def _imply_ends(self, name: str) -> None:
+        if name in BLOCK and self.blocks and self.tag[self.stack[self.blocks[-1]]] == "p":
+            self._cut(self.blocks[-1])
+        ended = max((self.spots[x][-1] for x in ENDS.get(name, ()) if self.spots.get(x)), default=0)
+        if ended and ended >= (self.scopes[-1] if self.scopes else 0):
+            self._cut(ended)
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -131,7 +177,8 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 def _furniture(t: Tree, k: int, inside: bool) -> int:
-    """2: element ``k`` is page furniture; 1: it is by class, role or form, unless it wraps the article; or 0.
+    """2: element ``k`` is page furniture; 1: it is by class, role or form, unless it wraps the article; 3: it
+    is by class if mostly links; or 0.
 
     ``inside``: of an article or main element.
     """
@@ -147,7 +194,8 @@ def _furniture(t: Tree, k: int, inside: bool) -> int:
         return 2 if {"comment", "comments", "teaser", "ad", "sponsored"} & _words(a) and tag == "article" else 0
     if tag == "form" or a.get("role", "").lower() in ROLES:
         return 1
-    return int(bool(WORDS & _words(a)) and not (tag in PARAGRAPHS and tag.startswith("h")))
+    words = WORDS & _words(a) if not (tag in PARAGRAPHS and tag.startswith("h")) else ()
+    return 0 if not words else 3 if inside and words <= SOFT else 1
 
 
 def _measure(t: Tree, out: list[bool]) -> tuple[list[str], list[int], list[int], list[float]]:
@@ -156,7 +204,7 @@ def _measure(t: Tree, out: list[bool]) -> tuple[list[str], list[int], list[int],
     own = [""] * n  # decoded text outside furniture, without that of elements within
     length, linked, commas, worth = [0] * n, [0] * n, [0] * n, [0.0] * n
     for k in range(n):
-        if not out[k]:
+        if not out[k] and t.content[k]:
             own[k] = html.unescape("".join(x for x in t.content[k] if isinstance(x, str)))
             length[k], commas[k] = len(" ".join(own[k].split())), own[k].count(",")
     for k in range(n - 1, 0, -1):
@@ -231,6 +279,9 @@ def main_text(page: str | None) -> str:
         inside[k] = inside[p] or t.tag[k] in ("article", "main")
         kind[k] = 2 if gone[p] else _furniture(t, k, inside[p])
         gone[k] = kind[k] == 2
+    if 3 in kind:
+        _, length, linked, _ = _measure(t, gone)
+        kind = [int(3 * linked[k] >= length[k]) if kind[k] == 3 else kind[k] for k in range(n)]
     out = gone
     if 1 in kind:
         stay, out = _wrappers(t, kind, gone), list(gone)
