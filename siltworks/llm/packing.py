@@ -81,57 +81,75 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def search(bins: list[list[int]], lengths: np.ndarray, capacity: int, rounds: int = 6) -> list[list[int]]:
-    """Moves, one-for-one and two-for-one exchanges between underfull bins, each raising the squared fill.
-
-    A bin less than 15/16 full gives to the fuller ones that can take: a move fills a gap, an exchange
-    replaces one item of the other bin by one, or two, that fill it better. Bins that run empty go.
-    The search ends when no exchange is left, when no packing could do with fewer bins, or after
-    ``rounds`` visits of each such bin to every bin that is not full.
-    """
-    size = lengths.tolist()
-    fill = [sum(size[i] for i in b) for b in bins]
-    least = -(-sum(size) // capacity)
-    for _ in range(rounds):
-        if sum(1 for b in bins if b) <= least:
+def _exchange(mine: list[int], theirs: list[int], free: int, size: list[int]) -> tuple[list[int], list[int], int]:
+    """(given, taken, gain): what fills the other bin's gap best, by a move, one for one or two for one. Items in order of size."""
+    sizes = [size[i] for i in mine]
+    k = bisect_right(sizes, free) - 1
+    give, take, gain = ([mine[k]], [], sizes[k]) if k >= 0 else ([], [], 0)
+    for j in theirs:
+        room = free + size[j]
+        k = bisect_right(sizes, room) - 1
+        if k >= 0 and sizes[k] - size[j] > gain:
+            give, take, gain = [mine[k]], [j], sizes[k] - size[j]
+        lo, hi = 0, len(mine) - 1  # the largest pair that fits
+        while lo < hi:
+            both = sizes[lo] + sizes[hi]
+            if both > room:
+                hi -= 1
+            else:
+                if both - size[j] > gain:
+                    give, take, gain = [mine[lo], mine[hi]], [j], both - size[j]
+                lo += 1
+        if gain == free:
             break
-        open_bins = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: fill[b])
-        changed = False
-        for at, poor in enumerate(b for b in open_bins if fill[b] * 16 < capacity * 15):
-            for rich in reversed(open_bins[at + 1 :]):
+    return give, take, gain
+
+
+def _improve(block: list[int], bins: list[list[int]], fill: list[int], size: list[int], capacity: int) -> None:
+    """Exchanges among some bins until none raises the sum of squared fills."""
+    changed = dict.fromkeys(block, 0)  # when a bin last changed
+    seen: dict[tuple[int, int], int] = {}
+    clock, again = 1, True
+    while again:
+        again = False
+        order = sorted((b for b in block if 0 < fill[b] < capacity), key=lambda b: fill[b])
+        for at, poor in enumerate(order):
+            for rich in reversed(order[at + 1 :]):
                 if not bins[poor]:
                     break
-                free = capacity - fill[rich]
-                if free <= 0 or rich == poor or fill[rich] < fill[poor]:
+                if fill[rich] == capacity or fill[rich] < fill[poor] or seen.get((poor, rich), 0) > max(changed[poor], changed[rich]):
                     continue
-                mine = sorted(bins[poor], key=lambda i: size[i])
-                sizes = [size[i] for i in mine]
-                # a move: the largest that fits the gap
-                k = bisect_right(sizes, free) - 1
-                give, take = ([mine[k]], []) if k >= 0 else ([], [])
-                gain = sizes[k] if k >= 0 else 0
-                for j in sorted(bins[rich], key=lambda i: size[i]):
-                    room = free + size[j]
-                    k = bisect_right(sizes, room) - 1  # one for one
-                    if k >= 0 and sizes[k] - size[j] > gain:
-                        give, take, gain = [mine[k]], [j], sizes[k] - size[j]
-                    lo, hi = 0, len(mine) - 1  # two for one: the largest pair that fits
-                    while lo < hi:
-                        both = sizes[lo] + sizes[hi]
-                        if both > room:
-                            hi -= 1
-                        else:
-                            if both - size[j] > gain:
-                                give, take, gain = [mine[lo], mine[hi]], [j], both - size[j]
-                            lo += 1
+                clock += 1
+                seen[poor, rich] = clock
+                give, take, gain = _exchange(bins[poor], bins[rich], capacity - fill[rich], size)
                 if gain > 0:  # filling the fuller bin raises the sum of squares
-                    bins[poor] = [i for i in bins[poor] if i not in give] + take
-                    bins[rich] = [i for i in bins[rich] if i not in take] + give
+                    bins[poor] = sorted([i for i in bins[poor] if i not in give] + take, key=lambda i: size[i])
+                    bins[rich] = sorted([i for i in bins[rich] if i not in take] + give, key=lambda i: size[i])
                     fill[poor] -= gain
                     fill[rich] += gain
-                    changed = True
-        if not changed:
-            break
+                    clock += 1
+                    changed[poor] = changed[rich] = clock
+                    again = True
+
+
+def search(bins: list[list[int]], lengths: np.ndarray, capacity: int, block: int = 128) -> list[list[int]]:
+    """Moves, one-for-one and two-for-one exchanges between underfull bins, each raising the squared fill.
+
+    A bin gives to fuller ones: a move fills a gap, an exchange replaces one item of the other bin by one, or
+    two, that fill it better. Bins that run empty go. A pass deals all underfull bins to blocks (by another shuffle
+    each time) and searches each of them to its fixed point. It ends when no packing could do with fewer bins, or
+    when two passes in a row have emptied no bin.
+    """
+    size = lengths.tolist()
+    bins = [sorted(b, key=lambda i: size[i]) for b in bins]
+    fill = [sum(size[i] for i in b) for b in bins]
+    least, r, idle = -(-sum(size) // capacity), np.random.default_rng(7), 0
+    while idle < 2 and (count := sum(1 for b in bins if b)) > least:
+        order = np.array([b for b in range(len(bins)) if 0 < fill[b] < capacity])
+        r.shuffle(order)
+        for part in np.array_split(order, max(1, -(-len(order) // block))):
+            _improve(part.tolist(), bins, fill, size, capacity)
+        idle = 0 if sum(1 for b in bins if b) < count else idle + 1
     return [b for b in bins if b]
 
 
