@@ -23,7 +23,7 @@ from .sampling import labelled_sample
 
 @dataclass(frozen=True)
 class Params:
-    """sample_rows bounds the labelled rows learnt from, sample_chars the length of each."""
+    """sample_rows bounds the labelled rows learnt from, sample_chars how much of each (windows over the whole text)."""
 
     sample_rows: int = 2_400
     sample_chars: int = 6_000

@@ -30,7 +30,10 @@ class Params:
     ``negatives`` of label 0 for each of these, or 1,000) and shard_rows those of one task.
 
     A feature takes part where ``min_rows`` texts of its shard hold it, as one seen in a single text
-    could only memorise that text. ``l1_share`` times the rows of the shard is the L1 term.
+    could only memorise that text. ``l1_share`` times the rows of the shard is the L1 term. ``sample_chars`` is how
+    much of a longer text is learnt from, in windows over the whole of it (scores always read all). Of more than
+    ``max_weights`` weights the smallest go, so that the model stays under 4 MB; scores then move by no more
+    than the sum of those weights that a text holds. At the default L1 some hundreds are left, and none goes.
     """
 
     sample_rows: int = 16_384
