@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -103,41 +103,67 @@ def features(df: DataFrame, url_col: str, keep: Sequence[str]) -> tuple[DataFram
     return df.select(*keep, *made.values()), [f"f_{k}" for k in made]
 
 
+def _with_statistics(df: DataFrame, stats: DataFrame, overall: float, learning: bool) -> DataFrame:
+    """``df`` with f_suffix_blocked (smoothed share of blocked rows under the suffix) and f_suffix_rows.
+
+    While ``learning``, a row's statistics are those of the other half of the rows, so that they do not hold its own label.
+    """
+    made = df.join(stats, "suffix", "left").na.fill(0, ["k0", "b0", "k1", "b1"])
+    if learning:
+        k, b = (F.when(F.col("half") == 0, F.col(f"{x}1")).otherwise(F.col(f"{x}0")) for x in "kb")
+    else:
+        k, b = F.col("k0") + F.col("k1"), F.col("b0") + F.col("b1")
+    return made.withColumns({"f_suffix_blocked": (b + 8 * overall) / (k + 8), "f_suffix_rows": F.log1p(k.cast("double") * (2 if learning else 1))}).drop("k0", "b0", "k1", "b1")
+
+
+def learn(decided: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[PipelineModel, DataFrame, float] | float:
+    """(trees, statistics of each suffix, overall share of y) from rows (url, host, path, suffix, y).
+
+    The trees are fitted on ``sample_rows`` rows at most, chosen by a hash; statistics are of all rows. Where all
+    rows have one label (or there are none), that label (or 0).
+    """
+    half = F.pmod(F.xxhash64("url", F.lit("half")), F.lit(2))
+    decided = decided.withColumn("half", half)
+    parts = [F.sum(F.when(F.col("half") == h, x).otherwise(0)).alias(f"{name}{h}") for h in (0, 1) for name, x in (("k", F.lit(1)), ("b", F.col("y")))]
+    stats = common.cut(decided.groupBy("suffix").agg(*parts))
+    size = stats.agg(F.sum(F.octet_length("suffix") + 64).alias("bytes"), F.sum(F.col("k0") + F.col("k1")).alias("n"), F.sum(F.col("b0") + F.col("b1")).alias("blocked")).first()
+    n, blocked = size["n"] or 0, size["blocked"] or 0.0
+    if not 0 < blocked < n:
+        return 1.0 if n and blocked == n else 0.0
+    if size["bytes"] <= BROADCAST_BYTES:
+        stats = F.broadcast(stats)
+    share, overall = min(1.0, sample_rows / n), float(blocked / n)
+    order = F.xxhash64(F.col("url"), F.lit("sample"))
+    sample, names = features(decided.where(order <= min(int(-(2**63) + share * 2**64), 2**63 - 1)), "url", ["suffix", "half", "y"])
+    sample = _with_statistics(sample, stats, overall, True)
+    trees = GBTClassifier(featuresCol="features", labelCol="y", maxIter=8, maxDepth=4, maxBins=32, stepSize=0.3, seed=7)
+    assembler = VectorAssembler(inputCols=[*names, "f_suffix_blocked", "f_suffix_rows"], outputCol="features")
+    few = max(1, min(8, int(n * share) // 4_000 + 1))
+    return Pipeline(stages=[assembler, trees]).fit(common.cut(sample.repartition(few))), stats, overall
+
+
+def scores(urls: DataFrame, learnt: tuple[PipelineModel, DataFrame, float] | float, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and score, the chance of y, of rows (url, host, path, suffix)."""
+    if isinstance(learnt, float):
+        return urls.select(*keep, F.lit(learnt).alias("score"))
+    model, stats, overall = learnt
+    made, _ = features(urls, "url", [*keep, *({"suffix"} - set(keep))])
+    scored = model.transform(_with_statistics(made, stats, overall, False))
+    return scored.select(*keep, vector_to_array("probability")[1].alias("score"))
+
+
 def judge(urls: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(id_col, host, path, rule, verdict, score) of every row.
 
     Where a rule fits, the verdict is the rule's. The rest is judged by boosted trees (score, the chance
     of block, at least 0.5: block), fitted on the URLs that rules decide, ``sample_rows`` of them at most.
     Suffix statistics are the smoothed share of blocked rows under the last two host labels, over all
-    rows that rules decide; suffixes without such rows get the overall share. Without URLs of both verdicts there are no trees: the more frequent verdict holds, or allow.
-    Null and unusual URLs have an empty host and path and are judged like any other; rows that repeat are
-    judged alike; columns besides id and URL play no part.
+    rows that rules decide; suffixes without such rows get the overall share. Without URLs of both verdicts there
+    are no trees: the more frequent verdict holds, or allow. Null and unusual URLs have an empty host and path and
+    are judged like any other; rows that repeat are judged alike; columns besides id and URL play no part.
     """
     base = apply_rules(urls.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")), rules, "url").withColumn("suffix", suffix(F.col("host")))
-    decided = base.where("rule is not null").withColumn("y", (F.col("rule_verdict") == BLOCK).cast("double"))
-    total = decided.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("blocked")).first()
-    n, blocked = total["n"], total["blocked"] or 0.0
-    out = [F.col("id").alias(id_col), "host", "path", "rule", "verdict", "score"]
-    if not 0 < blocked < n:
-        score = 1.0 if n and blocked == n else 0.0
-        return base.withColumns({"score": F.lit(score), "verdict": F.coalesce("rule_verdict", F.lit(BLOCK if score else ALLOW))}).select(*out)
-    overall = float(blocked / n)
-    stats = decided.groupBy("suffix").agg(F.count(F.lit(1)).alias("k"), F.sum("y").alias("b"))
-    stats = common.cut(stats.select("suffix", ((F.col("b") + 8 * overall) / (F.col("k") + 8)).alias("f_suffix_blocked"), F.log1p("k").alias("f_suffix_rows")))
-    if (stats.agg(F.sum(F.octet_length("suffix") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
-        stats = F.broadcast(stats)
-
-    def known(df: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
-        made, names = features(df, "url", keep)
-        made = made.join(stats, "suffix", "left").na.fill({"f_suffix_blocked": overall, "f_suffix_rows": 0.0})
-        return made, [*names, "f_suffix_blocked", "f_suffix_rows"]
-
-    share = min(1.0, sample_rows / n)
-    order = F.xxhash64(F.col("url"), F.col("id").cast("string"))
-    sample, names = known(decided.where(order <= min(int(-(2**63) + share * 2**64), 2**63 - 1)), ["suffix", "y"])
-    trees = GBTClassifier(featuresCol="features", labelCol="y", maxIter=8, maxDepth=4, maxBins=32, stepSize=0.3, seed=7)
-    model = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), trees]).fit(common.cut(sample.repartition(max(1, min(8, int(n * share) // 4_000 + 1)))))
-    made, _ = known(base, ["id", "host", "path", "suffix", "rule", "rule_verdict"])
-    scored = model.transform(made).withColumn("score", vector_to_array("probability")[1])
-    learnt = F.when(F.col("score") >= 0.5, BLOCK).otherwise(ALLOW)
-    return scored.withColumn("verdict", F.coalesce("rule_verdict", learnt)).select(*out)
+    learnt = learn(base.where("rule is not null").withColumn("y", (F.col("rule_verdict") == BLOCK).cast("double")), sample_rows)
+    scored = scores(base, learnt, ["id", "host", "path", "rule", "rule_verdict"])
+    verdict = F.coalesce("rule_verdict", F.when(F.col("score") >= 0.5, BLOCK).otherwise(ALLOW))
+    return scored.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score")
