@@ -26,11 +26,13 @@ def bounded_batches(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of this session, within the one named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a folder of our own is used.
+    Only where that setting is absent on one machine (tests) a folder of our own is used; on a cluster that is an error.
     """
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return jsc.getCheckpointDir().get()
 

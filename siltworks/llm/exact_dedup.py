@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
+#: Fingerprints that one owner merges, about (there are more owners where rows are many).
+OWNER_ROWS = 1_000_000
 #: Suspect ids are broadcast up to this many bytes (8 each), and joined by a shuffle beyond.
 BROADCAST_BYTES = 16 << 20
 
@@ -112,7 +114,7 @@ def suspects(keyed: DataFrame) -> DataFrame:
 
     ``src`` is the row's partition; the checkpoint keeps it so when tasks are repeated.
     """
-    owners = max(1, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    owners = max(1, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-keyed.count() // OWNER_ROWS))
     lists = keyed.select("src", "fp").mapInPandas(_send(owners), "src int, owner int, n int, codes binary, many binary")
     maps = lists.groupBy("owner").applyInPandas(_own, "src int, owner int, n int, bitmap binary")
     found = keyed.select("src", "fp").groupBy("src").cogroup(maps.groupBy("src")).applyInPandas(_mark, "fp long")
@@ -136,9 +138,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = F.broadcast(found)
     # byte verification: only rows under suspect fingerprints move, grouped by the text itself
     groups = base.join(found, "fp", "left_semi").groupBy("t").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.where("group_size > 1").select(F.sha2("t", 256).alias("sha"), "keep_id", "group_size")
+    groups = common.cut(groups.where("group_size > 1").select(F.sha2("t", 256).alias("sha"), "keep_id", "group_size", F.col("group_size").alias("size")))
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
-    return keyed.join(groups, "sha", "left").select(
+    return common.spread_join(keyed, groups, ["sha"], how="left").select(
         F.col("id").alias(id_col), keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("id").eqNullSafe(keep).alias("kept"), F.col("sha").alias("text_sha256")
     )
 
