@@ -14,7 +14,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALARS = {"string": "STRING", "boolean": "BOOLEAN", "integer": "BIGINT", "number": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP", "json": "STRING"}
+SCALARS = {"string": "STRING", "boolean": "BOOLEAN", "int": "INT", "integer": "BIGINT", "number": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP", "json": "STRING"}
 
 
 @dataclass(frozen=True)
@@ -64,7 +64,10 @@ def read(schema: dict, nullable_everywhere: bool = False) -> Type | None:
             if digits + scale <= 38:
                 return Type("decimal", precision=digits + scale, scale=scale)
         return Type("number")
-    if kind in ("boolean", "integer"):
+    if kind == "integer":
+        low, high = schema.get("minimum"), schema.get("maximum")
+        return Type("int" if low is not None and high is not None and -(2**31) <= low and high < 2**31 else "integer")
+    if kind == "boolean":
         return Type(kind)
     if kind == "array":
         items = schema.get("items")
@@ -91,6 +94,8 @@ def merge(old: Type, new: Type) -> Type | None:
 
     Fields may be added (after the known ones, and nullable); a field is required only if it is in both.
     """
+    if {old.kind, new.kind} == {"int", "integer"}:
+        return Type("integer")
     if old.kind != new.kind:
         return None
     if old.kind == "struct":
@@ -148,6 +153,8 @@ def fits(v: Column, t: Type) -> Column:
         return found == "BOOLEAN"
     if t.kind == "integer":
         return found == "BIGINT"
+    if t.kind == "int":
+        return (found == "BIGINT") & F.try_variant_get(v, "$", "int").isNotNull()
     if t.kind in ("number", "decimal"):
         is_number = found.rlike(r"^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
         return is_number if t.kind == "number" else is_number & F.try_variant_get(v, "$", ddl(t)).isNotNull()

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import schema_keys as keys
 from ..functions.json_schema import EntityColumn, normal, plan
 
-#: A registry beyond this many bytes (checked, 1 KB a row) is joined by a shuffle.
-BROADCAST_ROWS = 10_000
+#: A registry beyond this many bytes is joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
 def entities(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -46,10 +47,10 @@ def without_skipped(used: DataFrame, criteria: Sequence[str]) -> DataFrame:
 def resolve(used: DataFrame, registry: DataFrame) -> DataFrame:
     """``used`` with schema_json, null where the registry lacks the schema.
 
-    The registry is broadcast if it is small (its rows are counted), and shuffled otherwise.
+    The registry is broadcast if its bytes are few, and shuffled otherwise.
     """
     known = registry.select("vendor", "name", "format", "version", "schema_json")
-    small = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = (known.agg(F.sum(F.octet_length("schema_json") + 200)).first()[0] or 0) <= BROADCAST_BYTES
     version = F.concat_ws("-", "model", "revision", "addition")
     left = used.withColumn("version", version)
     return left.join(F.broadcast(known) if small else known, ["vendor", "name", "format", "version"], "left")
@@ -64,27 +65,44 @@ class MissingSchema(Exception):
     """The strict mode found schemas that the registry lacks."""
 
 
-def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] = (), nullable_everywhere: bool = False) -> tuple[list[EntityColumn], list[str]]:
-    """(columns, missing schemas) for a batch.
+@dataclass(frozen=True)
+class Lookup:
+    """What the registry knows of a batch's schemas: those found, and some of those missing (for messages)."""
 
-    Collects the distinct schemas in use and the registry's versions of their models: as many rows as
-    there are schemas, never events. Columns come from all versions of a model, so that they do not
-    depend on what a batch happens to hold.
+    known: tuple[str, ...]
+    criteria: tuple[str, ...]
+    absent: tuple[str, ...]
+
+    def lacks(self, schema: Column) -> Column:
+        """Whether a schema key is neither known nor skipped."""
+        known = schema.isin(list(self.known)) if self.known else F.lit(False)
+        return F.coalesce(schema.isNotNull() & ~known & ~keys.is_skipped(schema, self.criteria), F.lit(False))
+
+
+def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] = (), nullable_everywhere: bool = False) -> tuple[list[EntityColumn], Lookup]:
+    """(columns, lookup) for a batch.
+
+    Collects the schemas in use that the registry has, and the registry's versions of their models: no more
+    rows than the registry holds, whatever strings events carry as schemas (20 of the missing ones at most).
+    Columns come from all versions of a model, so that they do not depend on what a batch happens to hold.
     """
-    # one pass over the events; from here on a few rows
-    found = used.distinct().collect()
-    wanted = without_skipped(used.sparkSession.createDataFrame(found, used.schema), criteria)
-    rows = resolve(wanted, registry).select("schema", "schema_json").distinct().collect()
-    absent = sorted({r["schema"] for r in rows if r["schema_json"] is None})
-    models = wanted.where("model is not null").select("kind", "vendor", "name", "model").distinct()
-    versions = registry.where("format = 'jsonschema'").select("vendor", "name", F.split("version", "-")[0].cast("int").alias("model"), "version", "schema_json")
-    versions = versions.withColumn("schema", F.concat(F.lit("iglu:"), "vendor", F.lit("/"), "name", F.lit("/jsonschema/"), "version"))
-    versions = without_skipped(versions, criteria).distinct()
-    groups: dict[tuple, list[tuple[str, str]]] = {}
-    for r in models.join(versions, ["vendor", "name", "model"]).collect():
-        groups.setdefault((r["kind"], r["vendor"], r["name"], r["model"]), []).append((r["version"], r["schema_json"]))
+    used = used.distinct().persist()  # one pass over the events
+    try:
+        wanted = without_skipped(used, criteria)
+        found = resolve(wanted, registry).select("schema", F.col("schema_json").isNotNull().alias("known")).distinct()
+        known = tuple(sorted(r["schema"] for r in found.where("known").select("schema").collect()))
+        absent = tuple(r["schema"] for r in found.where("not known").orderBy("schema").limit(20).collect())
+        models = wanted.where("model is not null").select("kind", "vendor", "name", "model").distinct()
+        versions = registry.where("format = 'jsonschema'").select("vendor", "name", F.split("version", "-")[0].cast("int").alias("model"), "version", "schema_json")
+        versions = versions.withColumn("schema", F.concat(F.lit("iglu:"), "vendor", F.lit("/"), "name", F.lit("/jsonschema/"), "version"))
+        versions = without_skipped(versions, criteria).distinct()
+        groups: dict[tuple, list[tuple[str, str]]] = {}
+        for r in models.join(versions, ["vendor", "name", "model"]).collect():
+            groups.setdefault((r["kind"], r["vendor"], r["name"], r["model"]), []).append((r["version"], r["schema_json"]))
+    finally:
+        used.unpersist()
     columns = [c for k in sorted(groups) for c in plan(*k, groups[k], nullable_everywhere)]
-    return columns, absent
+    return columns, Lookup(known, tuple(criteria), absent)
 
 
 def column_names(parsed: DataFrame) -> DataFrame:
@@ -94,4 +112,4 @@ def column_names(parsed: DataFrame) -> DataFrame:
     return found.select(F.concat_ws("_", "kind", snake("vendor"), snake("name"), "model").alias("column_name")).distinct()
 
 
-__all__ = ["BROADCAST_ROWS", "MissingSchema", "column_names", "column_plan", "distinct_keys", "entities", "inventory", "missing", "normal", "resolve", "without_skipped"]
+__all__ = ["BROADCAST_BYTES", "Lookup", "MissingSchema", "column_names", "column_plan", "distinct_keys", "entities", "inventory", "missing", "normal", "resolve", "without_skipped"]

@@ -1,16 +1,20 @@
 """Lake tables: create, append, read back, compact.
 
-``parquet`` is complete. Delta, Iceberg and Hudi go through their own Spark writers, whose jars must be on
-the session's class path; those paths are thin and have not been run where the jars are absent.
+``parquet`` is complete. Each batch has a folder, in it one folder per version of the batch; the newest one that
+is finished counts, so a batch that is written again, or compacted, is replaced in one step. The columns of all
+batches are kept beside them, so that a reader opens no footers to learn them. Delta, Iceberg and Hudi go through
+their own Spark writers, whose jars must be on the session's class path; those paths are thin and have not been run
+where the jars are absent.
 """
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +41,60 @@ def _path(spark: SparkSession, location: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _exists(spark: SparkSession, location: str) -> bool:
-    fs, path = _path(spark, location)
-    return fs.exists(path)
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """A type that holds the values of both: fields of either, the wider integer or decimal; ValueError where there is none."""
+    if a == b:
+        return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        theirs = {f.name: f.dataType for f in b}
+        fields = [T.StructField(f.name, wider(f.dataType, theirs[f.name]) if f.name in theirs else f.dataType) for f in a]
+        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in b if f.name not in a.fieldNames()])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(wider(a.elementType, b.elementType))
+    if {type(a), type(b)} == {T.IntegerType, T.LongType}:
+        return T.LongType()
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        return T.DecimalType(min(38, max(a.precision - a.scale, b.precision - b.scale) + scale), scale)
+    raise ValueError(f"{a.simpleString()} and {b.simpleString()} in one column")
+
+
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that exist, by a pattern; the driver lists folders, never rows."""
+    fs, path = _path(spark, pattern)
+    return sorted(x.getPath().toString() for x in fs.globStatus(path) or [])
+
+
+def _number(path: str, name: str) -> int:
+    return int(path.split(f"/{name}=")[-1].split("/")[0])
+
+
+def stored_schema(spark: SparkSession, table: LakeTable) -> T.StructType:
+    """The columns that creation and all batches have brought."""
+    at = max(_listed(spark, f"{table.location}/_schema/n=*/_SUCCESS"), key=lambda x: _number(x, "n"))
+    return T.StructType.fromJson(json.loads(spark.read.text(at.removesuffix("/_SUCCESS"), wholetext=True).first()[0]))
+
+
+def _remember(spark: SparkSession, table: LakeTable, schema: T.StructType) -> None:
+    """Columns are known before the rows that have them are."""
+    before = _listed(spark, f"{table.location}/_schema/n=*/_SUCCESS")
+    merged = wider(stored_schema(spark, table), schema) if before else schema
+    if not before or merged != stored_schema(spark, table):
+        n = 1 + max((_number(x, "n") for x in before), default=-1)
+        spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{table.location}/_schema/n={n}")
+
+
+def versions(spark: SparkSession, table: LakeTable) -> dict[int, str]:
+    """Batch -> the folder of its newest finished version."""
+    out: dict[int, str] = {}
+    for x in sorted(_listed(spark, f"{table.location}/batches/batch_id=*/v=*/_SUCCESS"), key=lambda x: _number(x, "v")):
+        out[_number(x, "batch_id")] = x.removesuffix("/_SUCCESS")
+    return out
+
+
+def _new_version(spark: SparkSession, table: LakeTable, batch_id: int) -> str:
+    old = versions(spark, table).get(batch_id)
+    return f"{table.location}/batches/batch_id={batch_id}/v={_number(old, 'v') + 1 if old else 0}"
 
 
 def _columns(schema: T.StructType) -> str:
@@ -54,18 +109,20 @@ def create(spark: SparkSession, table: LakeTable) -> None:
     """
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if table.format == "parquet":
-        if _exists(spark, f"{table.location}/_created"):
-            have = {f.name: f.dataType for f in read(spark, table).schema}
-            wrong = [f.name for f in table.schema or [] if f.name in have and have[f.name] != f.dataType or f.name not in have]
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in table.schema])
+        if _listed(spark, f"{table.location}/_schema/n=*/_SUCCESS"):
+            have = {f.name: f.dataType for f in stored_schema(spark, table)}
+            wrong = [f.name for f in nullable if have.get(f.name) != f.dataType]
             if wrong:
                 raise ValueError(f"{table.location}: columns that differ: {', '.join(wrong)}")
-            return
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in table.schema])
-        spark.createDataFrame([], nullable).write.mode("overwrite").parquet(f"{table.location}/_created")
+        else:
+            _remember(spark, table, nullable)
+        spark.createDataFrame([], nullable).write.mode("overwrite").parquet(f"{table.location}/_probe")
     elif table.format == "delta":
         from delta.tables import DeltaTable
 
-        made = DeltaTable.createIfNotExists(spark).location(table.location).addColumns(table.schema).partitionedBy(*PARTITIONS)
+        stated = T.StructType([f for f in table.schema if f.name != "load_tstamp_date"])
+        made = DeltaTable.createIfNotExists(spark).location(table.location).addColumns(stated).partitionedBy(*PARTITIONS)
         made = made.addColumn("load_tstamp_date", "DATE", generatedAlwaysAs="CAST(load_tstamp AS DATE)")
         for k, v in ({"delta.dataSkippingStatsColumns": ",".join(STATS_COLUMNS)} | table.properties).items():
             made = made.property(k, v)
@@ -80,30 +137,40 @@ def create(spark: SparkSession, table: LakeTable) -> None:
         if "database" in table.options:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.options['database']}")
         stated = ", ".join(f"'{k}'='{v}'" for k, v in table.properties.items())
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table.options.get('name', 'events')} ({_columns(table.schema)}) USING hudi LOCATION '{table.location}'" + (f" TBLPROPERTIES ({stated})" if stated else ""))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_hudi_name(table)} ({_columns(table.schema)}) USING hudi LOCATION '{table.location}'" + (f" TBLPROPERTIES ({stated})" if stated else ""))
         for call in ("run_clean", "archive_commits"):
-            spark.sql(f"CALL {call}(table => '{table.options.get('name', 'events')}')")
+            spark.sql(f"CALL {call}(table => '{_hudi_name(table)}')")
     else:
         raise ValueError(f"unknown table format {table.format}")
 
 
+def _hudi_name(table: LakeTable) -> str:
+    database = table.options.get("database")
+    return (f"{database}." if database else "") + table.options.get("name", "events")
+
+
 def _conflict(e: Exception) -> bool:
     return "Concurrent" in type(e).__name__ or "Concurrent" in str(e)[:500]
 
 
-def append(df: DataFrame, table: LakeTable, batch_id: int = 0) -> None:
-    """One commit of one batch. A batch that is appended again replaces itself (Parquet, Delta)."""
+def append(df: DataFrame, table: LakeTable, batch_id: int) -> None:
+    """One commit of one batch. A batch that is appended again replaces itself (Parquet), or is left out the second
+    time (Delta, Iceberg). Hudi appends it again.
+    """
     spark = df.sparkSession
     for attempt in range(1, table.attempts + 1):
         try:
             if table.format == "parquet":
                 spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-                df.write.mode("overwrite").partitionBy(*PARTITIONS).options(**table.options).parquet(f"{table.location}/batches/batch_id={batch_id}")
+                _remember(spark, table, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]))
+                df.write.mode("overwrite").partitionBy(*PARTITIONS).options(**table.options).parquet(_new_version(spark, table, batch_id))
             elif table.format == "delta":
                 own = {"txnAppId": "siltworks", "txnVersion": str(batch_id), "mergeSchema": "true"}
                 df.write.format("delta").mode("append").options(**own, **table.options).save(table.location)
             elif table.format == "iceberg":
-                own = {"merge-schema": "true", "check-ordering": "false", "distribution-mode": "none"}
+                if spark.sql(f"SELECT 1 FROM {table.location}.snapshots WHERE summary['siltworks-batch'] = '{batch_id}' LIMIT 1").count():
+                    return
+                own = {"merge-schema": "true", "check-ordering": "false", "distribution-mode": "none", "snapshot-property.siltworks-batch": str(batch_id)}
                 df.writeTo(table.location).options(**own, **table.options).append()
             else:
                 own = {"hoodie.datasource.write.operation": "bulk_insert", "hoodie.datasource.write.partitionpath.field": "load_tstamp_date", "hoodie.datasource.write.reconcile.schema": "true"}
@@ -120,15 +187,10 @@ def read(spark: SparkSession, table: LakeTable) -> DataFrame:
     Parquet: ``load_tstamp_date`` and ``event_name`` come back from the paths; an empty name is null.
     """
     if table.format == "parquet":
-        empty = spark.read.parquet(f"{table.location}/_created")
-        try:
-            rows = spark.read.option("mergeSchema", True).option("basePath", f"{table.location}/batches").parquet(f"{table.location}/batches")
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return empty
-        fixed = {c: F.col(c).cast(t) for c, t in (("load_tstamp_date", "date"), ("event_name", "string")) if c in rows.columns}
-        return empty.unionByName(rows.withColumns(fixed), allowMissingColumns=True)
+        schema, folders = stored_schema(spark, table), versions(spark, table)
+        if not folders:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", f"{table.location}/batches").parquet(*folders.values()).drop("v")
     if table.format == "iceberg":
         return spark.table(table.location)
     return spark.read.format(table.format).load(table.location)
@@ -137,8 +199,9 @@ def read(spark: SparkSession, table: LakeTable) -> DataFrame:
 def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100 << 20, target: int = 500 << 20, below_batch: int | None = None) -> int:
     """Rewrite small files of partitions loaded on or after ``since``; returns how many batches changed.
 
-    Parquet: the small files of each batch are read, written next to it to files of about ``target``
-    bytes, and swapped in by a rename. Only batches below ``below_batch`` (those committed) are touched.
+    Parquet: a batch with several small files in one partition is written anew, as a whole, to files of about
+    ``target`` bytes; the new version counts once it is finished, and maintain() removes the old one. Files are
+    found by listing, not by reading. Only batches below ``below_batch`` (those committed) are touched.
     """
     if table.format == "delta":
         spark.sql(f"OPTIMIZE delta.`{table.location}` WHERE load_tstamp_date >= '{since}'")
@@ -148,34 +211,42 @@ def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100
         return 0
     if table.format == "hudi":
         raise ValueError("Hudi clusters inline: set hoodie.clustering.inline in the write options")
-    at = f"{table.location}/batches"
-    files = spark.read.option("mergeSchema", True).option("basePath", at).parquet(at).where(F.col("load_tstamp_date").cast("date") >= F.lit(since))
-    sizes = files.groupBy("batch_id", F.col("_metadata.file_path").alias("file")).agg(F.first("_metadata.file_size").alias("bytes"))
-    todo = sizes.where(F.col("bytes") < small).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).where("n > 1")
-    if below_batch is not None:
-        todo = todo.where(F.col("batch_id") < below_batch)
-    done = 0
-    fs, _ = _path(spark, at)
-    join = spark._jvm.org.apache.hadoop.fs.Path
-    for r in todo.collect():  # one row per batch
-        old, new, gone = f"{at}/batch_id={r['batch_id']}", f"{table.location}/_staged/batch_id={r['batch_id']}", f"{table.location}/_replaced/batch_id={r['batch_id']}"
-        parts = max(1, -(-r["bytes"] // target))
-        rows = spark.read.option("mergeSchema", True).parquet(old)
-        rows.repartitionByRange(parts, *PARTITIONS).sortWithinPartitions("event_name").write.mode("overwrite").partitionBy(*PARTITIONS).parquet(new)
-        fs.mkdirs(join(f"{table.location}/_replaced"))
-        fs.rename(join(old), join(gone))
-        fs.rename(join(new), join(old))
-        fs.delete(join(gone), True)
-        done += 1
-    return done
+    folders = {k: v for k, v in versions(spark, table).items() if below_batch is None or k < below_batch}
+    if not folders:
+        return 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(list(folders.values())).select("path", "length")
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
+    files = files.where(part("load_tstamp_date").try_cast("date") >= F.lit(since)).select(part("batch_id").cast("long").alias("batch_id"), F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "length")
+    crowded = files.where(F.col("length") < small).groupBy("batch_id", "folder").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("batch_id").distinct()
+    sizes = files.groupBy("batch_id").agg(F.sum("length").alias("bytes")).join(crowded, "batch_id").collect()  # one row per batch
+    schema = stored_schema(spark, table)
+    for r in sizes:
+        old = folders[r["batch_id"]]
+        rows = spark.read.schema(schema).option("basePath", old).parquet(old)
+        rows = rows.repartitionByRange(max(1, -(-r["bytes"] // target)), *PARTITIONS).sortWithinPartitions("event_name", "collector_tstamp")
+        rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(_new_version(spark, table, r["batch_id"]))
+    return len(sizes)
 
 
 def maintain(spark: SparkSession, table: LakeTable, keep_hours: int = 168) -> None:
-    """Remove what old commits have left behind, by the format's own means."""
+    """Remove what old commits have left behind, by the format's own means.
+
+    Parquet: versions that a newer one has replaced at least ``keep_hours`` ago, and those never finished before it.
+    """
+    if table.format == "parquet":
+        fs, _ = _path(spark, table.location)
+        to_path = spark._jvm.org.apache.hadoop.fs.Path
+        for folder in versions(spark, table).values():
+            done = fs.getFileStatus(to_path(f"{folder}/_SUCCESS")).getModificationTime() / 1000
+            if done <= time.time() - keep_hours * 3600:
+                for other in _listed(spark, f"{folder.rsplit('/', 1)[0]}/v=*"):
+                    if _number(other, "v") < _number(folder, "v"):
+                        fs.delete(to_path(other), True)
+        return
     if table.format == "delta":
         spark.sql(f"VACUUM delta.`{table.location}` RETAIN {keep_hours} HOURS")
     elif table.format == "iceberg":
         spark.sql(f"CALL system.expire_snapshots(table => '{table.location}', retain_last => 1)")
     elif table.format == "hudi":
         for call in ("run_clean", "archive_commits"):
-            spark.sql(f"CALL {call}(table => '{table.options.get('name', 'events')}')")
+            spark.sql(f"CALL {call}(table => '{_hudi_name(table)}')")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Target size of a file, for the default number of write partitions.
@@ -32,6 +32,11 @@ def write_partitions(total_bytes: int, target: int = TARGET_BYTES) -> int:
     return max(1, -(-total_bytes // target))
 
 
+def partitions_for(total_bytes: Column, target: int = TARGET_BYTES) -> Column:
+    """The same as a column, where sizes are rows."""
+    return F.greatest(F.lit(1), F.ceil(total_bytes / target)).cast("long")
+
+
 def laid_out(df: DataFrame, parts: int, sort: bool = True, keys: Sequence[str] = ("event_name", "event_id")) -> DataFrame:
     """Range-partitioned by ``keys`` into ``parts`` balanced parts, sorted by the first key within each.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import json_schema as js
 from ..functions import schema_keys as keys
 from ..functions.atomic import once
+from .entities import Lookup
 
 
 def _is(schema: Column, c: js.EntityColumn) -> Column:
@@ -56,16 +56,16 @@ def failures(columns: Sequence[js.EntityColumn]) -> Column:
     return F.array_compact(F.array(*[_misfit(c) for c in columns]))
 
 
-def has_missing(absent: Sequence[str]) -> Column:
-    """Whether a parsed row uses one of the schemas that the registry lacks."""
-    if not absent:
+def has_missing(lookup: Lookup | None) -> Column:
+    """Whether a parsed row uses a schema that the registry lacks."""
+    if lookup is None:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.coalesce(F.col("unstruct_event.schema").isin(list(absent)), F.lit(False)), F.coalesce(F.exists("contexts", lambda x: x["schema"].isin(list(absent))), F.lit(False))])
+    return lookup.lacks(F.col("unstruct_event.schema")) | F.coalesce(F.exists("contexts", lambda x: lookup.lacks(x["schema"])), F.lit(False))
 
 
-def judged(good: DataFrame, columns: Sequence[js.EntityColumn], absent: Sequence[str] = ()) -> DataFrame:
+def judged(good: DataFrame, columns: Sequence[js.EntityColumn], lookup: Lookup | None = None) -> DataFrame:
     """Good parsed rows with ``kind`` and ``failure``, both null where the row can be loaded."""
-    checked = once(good.select("*", has_missing(absent).alias("_missing"), failures(columns).alias("_found")), ["_missing", "_found"])
+    checked = once(good.select("*", has_missing(lookup).alias("_missing"), failures(columns).alias("_found")), ["_missing", "_found"])
     absent_, wrong = F.col("_missing"), F.size("_found") > 0
     kind = F.when(absent_, "schema_missing").when(wrong, "transform").alias("kind")
     failure = F.when(absent_, "schema not in the registry").when(wrong, F.array_join("_found", "; ")).alias("failure")

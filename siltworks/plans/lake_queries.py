@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable
 from datetime import UTC, date, datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,8 +71,11 @@ def query(name: str, sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that the whole cluster sees; a local one only where no shared one is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltworks-")
+    """A new folder that the whole cluster sees; a local one only on one machine where none is named."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    base = base or tempfile.mkdtemp(prefix="siltworks-")
     return f"{base.rstrip('/')}/siltworks-{uuid.uuid4().hex}"
 
 
@@ -85,10 +89,10 @@ def ntz(c: str):
 
 
 def judged(spark: SparkSession, sf_dir: str, skip: tuple[str, ...] = (), registry: DataFrame | None = None, nullable: bool = False):
-    """(judged rows, columns, missing schemas) of the whole feed."""
+    """(judged rows, columns, lookup) of the whole feed."""
     rows = good(parsed(spark, sf_dir))
-    columns, absent = entities.column_plan(entities.distinct_keys(rows), registry if registry is not None else raw.registry(spark), skip, nullable)
-    return shred.judged(rows, columns, absent), columns, absent
+    columns, lookup = entities.column_plan(entities.distinct_keys(rows), registry if registry is not None else raw.registry(spark), skip, nullable)
+    return shred.judged(rows, columns, lookup), columns, lookup
 
 
 def loadable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +249,12 @@ PARTS = 4
 def written(spark: SparkSession, sf_dir: str, parts: int = PARTS) -> lake.LakeTable:
     t = table(spark)
     lake.create(spark, t)
-    lake.append(layout.stamped(layout.laid_out(loadable(spark, sf_dir), parts), STAMP), t)
+    rows, columns, _ = judged(spark, sf_dir)
+    rows = rows.where("kind is null").persist(StorageLevel.MEMORY_AND_DISK)  # for sampling the ranges, and for the write
+    try:
+        lake.append(layout.stamped(shred.shredded(layout.laid_out(rows, parts), columns), STAMP), t, 0)
+    finally:
+        rows.unpersist()
     return t
 
 
@@ -299,13 +308,42 @@ def load_stamp(spark, sf_dir):
     return back.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("load_tstamp").alias("n_stamps"), F.countDistinct("load_tstamp_date").alias("n_dates"), F.max(ntz("load_tstamp")).alias("stamp"))
 
 
-@query("layout_balance")
+@query("layout_balance", "SELECT 6 AS n_parts, count(*)::BIGINT AS n_rows, true AS balanced FROM feed WHERE loaded")
 def layout_balance(spark, sf_dir):
     """Parts of the range layout, and whether each is within 1.5 times their mean."""
-    sizes = layout.part_sizes(layout.laid_out(loadable(spark, sf_dir), 6))
+    rows = judged(spark, sf_dir)[0].where("kind is null").select("event_name", "event_id")
+    sizes = layout.part_sizes(layout.laid_out(rows, 6))
     return sizes.agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"), (F.max("n_rows") <= 1.5 * F.avg("n_rows")).alias("balanced"))
 
 
+@query("layout_one_part", "SELECT 1 AS n_parts, count(*)::BIGINT AS n_rows FROM feed WHERE loaded")
+def layout_one_part(spark, sf_dir):
+    """A batch that is small for its target size is laid out as one part, without a shuffle."""
+    rows = judged(spark, sf_dir)[0].where("kind is null").select("event_name", "event_id")
+    return layout.part_sizes(layout.laid_out(rows, layout.write_partitions(1))).agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"))
+
+
+@query("layout_write_partitions", "SELECT event_type AS event_name, greatest(1, ceil(sum(strlen(line)) / 65536.0))::BIGINT AS n_parts FROM feed GROUP BY 1")
+def layout_write_partitions(spark, sf_dir):
+    """Files that the default number of write partitions aims at, by event name, for files of 64 KB."""
+    sizes = raw.feed(spark, sf_dir, "event_type").groupBy("event_type").agg(F.sum(F.octet_length("line")).alias("bytes"))
+    return sizes.select(F.col("event_type").alias("event_name"), layout.partitions_for(F.col("bytes"), 65_536).alias("n_parts"))
+
+
+@query("strict_schemas", "SELECT count(*) > 0 AS stopped, CASE WHEN count(*) > 0 THEN 0 ELSE (SELECT count(*) FROM feed WHERE loaded) END::BIGINT AS n_rows FROM feed WHERE good AND u = 'unknown'")
+def strict_schemas(spark, sf_dir):
+    """Where schemas must be known, a batch with an unknown one stops before anything is written."""
+    at = scratch(spark)
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", value_col="line", exit_on_missing=True, write_partitions=PARTS)
+    lake.create(spark, load.table)
+    try:
+        loader.load_batch(raw.feed(spark, sf_dir), 0, load)
+        stopped = False
+    except entities.MissingSchema:
+        stopped = True
+    return lake.read(spark, load.table).agg(F.lit(stopped).alias("stopped"), F.count(F.lit(1)).alias("n_rows"))
+
+
 # --- windows and metrics
 
 DAY = "CASE WHEN NOT short THEN date_trunc('day', ts) END"
@@ -322,27 +360,41 @@ def window_columns(spark, sf_dir):
     return entities.column_names(good(parsed(spark, sf_dir)))
 
 
-def replayed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of a replay in windows of one hour, each committed 90 s after its end."""
-    found = metrics.window_counts(parsed(spark, sf_dir), 3_600).where("window_start is not null and received > bad")
-    committed = F.col("window_start") + F.expr("INTERVAL 1 HOUR 90 SECONDS")
-    out = found.withColumns({"committed_at": committed, "committed": F.col("received") - F.col("bad"), "batch_id": F.unix_seconds("window_start")})
-    return out.withColumns({"stream_latency_ms": F.lit(90_000).cast("long"), "processing_latency_ms": metrics.milliseconds(F.col("committed_at"), F.col("window_start")).cast("long"), "e2e_latency_ms": metrics.milliseconds(F.col("committed_at"), F.col("earliest_collector_tstamp")).cast("long")})
+def loaded_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loader's own metrics of four batches (by event_id), all at the time STAMP; ts is when the source got a line."""
+    at = scratch(spark)
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", value_col="line", source_ts_col="ts", write_partitions=PARTS, clock=lambda: STAMP)
+    lake.create(spark, load.table)
+    lines = raw.feed(spark, sf_dir, "event_id", "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    for k in range(4):
+        loader.load_batch(lines.where(F.pmod("event_id", F.lit(4)) == k).drop("event_id"), k, load)
+    return loader.read_metrics(spark, load)
 
 
-HOURS = """, hours AS (SELECT date_trunc('hour', ts) AS w, count(*) AS received, count(*) FILTER (NOT good) AS bad, min(ts) FILTER (good) AS earliest FROM feed WHERE NOT short GROUP BY 1 HAVING count(*) FILTER (good) > 0),
-lat AS (SELECT *, w + INTERVAL 3690 SECOND AS done, (epoch_us(w + INTERVAL 3690 SECOND) - epoch_us(earliest)) // 1000 AS e2e FROM hours)
+BATCHES = """, stamp AS (SELECT TIMESTAMP '2024-05-06 07:08:09.123456' AS done),
+batches AS (SELECT event_id % 4 AS batch_id, count(*) AS received, count(*) FILTER (NOT loaded) AS bad, count(*) FILTER (loaded) AS committed,
+    (epoch_us(any_value(done)) - epoch_us(min(ts))) // 1000 AS stream, (epoch_us(any_value(done)) - epoch_us(min(ts) FILTER (good))) // 1000 AS e2e FROM feed, stamp GROUP BY 1)
 """
 
 
-@query("latency_report", HOURS + "SELECT date_trunc('day', done) AS period_start, sum(received)::BIGINT AS received, sum(bad)::BIGINT AS bad, sum(received - bad)::BIGINT AS committed, 90000::BIGINT AS stream_latency_ms, 3690000::BIGINT AS processing_latency_ms, max(e2e) AS e2e_latency_ms FROM lat GROUP BY 1")
+@query("batch_latencies", BATCHES + "SELECT batch_id, received, bad, committed, stream AS stream_latency_ms, 0::BIGINT AS processing_latency_ms, e2e AS e2e_latency_ms FROM batches")
+def batch_latencies(spark, sf_dir):
+    """What the loader reports of each batch: counts, and the greatest latencies."""
+    return loaded_metrics(spark, sf_dir).select("batch_id", "received", "bad", "committed", "stream_latency_ms", "processing_latency_ms", "e2e_latency_ms")
+
+
+@query("latency_report", BATCHES + "SELECT TIMESTAMP '2024-05-06' AS period_start, sum(received)::BIGINT AS received, sum(bad)::BIGINT AS bad, sum(committed)::BIGINT AS committed, max(stream) AS stream_latency_ms, 0::BIGINT AS processing_latency_ms, max(e2e) AS e2e_latency_ms FROM batches")
 def latency_report(spark, sf_dir):
-    return metrics.report(replayed_metrics(spark, sf_dir), 86_400).withColumn("period_start", ntz("period_start"))
+    return metrics.report(loaded_metrics(spark, sf_dir), 86_400).withColumn("period_start", ntz("period_start"))
+
+
+#: From 1 January 2024 to STAMP: batches whose earliest event is older are unhealthy.
+LIMIT_MS = 126 * 86_400_000
 
 
-@query("freshness_check", HOURS + "SELECT w AS window_start, e2e AS e2e_latency_ms FROM lat WHERE e2e > 3600000")
+@query("freshness_check", BATCHES + f"SELECT batch_id, e2e AS e2e_latency_ms FROM batches WHERE e2e > {LIMIT_MS}")
 def freshness_check(spark, sf_dir):
-    return metrics.unhealthy(replayed_metrics(spark, sf_dir), 3_600_000).select(ntz("window_start").alias("window_start"), "e2e_latency_ms")
+    return metrics.unhealthy(loaded_metrics(spark, sf_dir), LIMIT_MS).select("batch_id", "e2e_latency_ms")
 
 
 # --- streaming
@@ -396,8 +448,9 @@ def stream_resume(spark, sf_dir):
 def stream_all_bad(spark, sf_dir):
     """Windows without a good line commit nothing, and are done all the same."""
     load, _ = streamed(spark, raw.feed(spark, sf_dir).where(F.size(F.split("line", "\t")) == 3))
-    rows = lake.read(spark, load.table).agg(F.count(F.lit(1)).alias("n_rows"))
-    return loader.read_bad(spark, load).agg(F.count(F.lit(1)).alias("n_bad")).crossJoin(rows)
+    rows = lake.read(spark, load.table).select(F.lit(0).alias("bad"))
+    both = loader.read_bad(spark, load).select(F.lit(1).alias("bad")).unionByName(rows)
+    return both.agg(F.count_if(F.col("bad") == 1).alias("n_bad"), F.count_if(F.col("bad") == 0).alias("n_rows"))
 
 
 @query("stream_replay_idempotent", BY_EVENT)

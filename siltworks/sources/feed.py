@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,8 @@ def _entity(schema: str, version: str, data: Column) -> Column:
     return F.concat(F.lit(f'{{"schema":"iglu:{schema}/jsonschema/{version}","data":'), data, F.lit("}"))
 
 
-def raw_lines(events: DataFrame) -> DataFrame:
-    """(event_id, line): each event as one tab-separated line, some of them corrupt on purpose."""
+def raw_lines(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(event_id, line, keep...): each event as one tab-separated line, some of them corrupt on purpose."""
     i, k = F.col("event_id"), F.get_json_object("props", "$.k")
     num = F.concat(F.lit('{"k":'), k, F.lit("}"))
     unstruct = (
@@ -52,9 +53,16 @@ def raw_lines(events: DataFrame) -> DataFrame:
     total = F.when(i % 89 == 7, "abc").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
     head = F.concat_ws("\t", i.cast("string"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "event_type")
     rest = [F.coalesce(c, F.lit("")) for c in (F.col("user_id").cast("string"), total, unstruct, contexts)]
-    return events.select("event_id", F.when(i % 97 == 13, head).otherwise(F.concat_ws("\t", head, *rest)).alias("line"))
+    return events.select("event_id", F.when(i % 97 == 13, head).otherwise(F.concat_ws("\t", head, *rest)).alias("line"), *[c for c in keep if c != "event_id"])
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores; a large table has them already and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def feed(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """The lines of ``events.parquet``."""
-    return raw_lines(spark.read.parquet(f"{sf_dir}/events.parquet")).select("line")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return raw_lines(events).select("line") if not keep else raw_lines(events, keep).select("line", *keep)

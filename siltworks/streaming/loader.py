@@ -7,9 +7,9 @@ three replaces what an earlier try of the same batch has left, so a replay repea
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +26,8 @@ class Load:
     """What is loaded, and where to. ``skip``: schema criteria that get no column and are not looked up.
 
     ``exit_on_missing``: a schema that the registry lacks stops the load before anything is written;
-    otherwise its events fail and all others load.
+    otherwise its events fail and all others load. After every ``compact_every`` commits the small files of
+    the last day are compacted. ``clock`` says when a batch starts and is committed.
     """
 
     table: lake.LakeTable
@@ -41,40 +42,52 @@ class Load:
     respect_nullability: bool = True
     max_bad_bytes: int = 1_000_000
     write_partitions: int | None = None
+    compact_every: int | None = 4
+    clock: Callable[[], datetime] = lambda: datetime.now(UTC)
 
 
-def batch_frames(parsed: DataFrame, load: Load) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(rows to load, failures (kind, failure, payload), missing schemas) of a parsed batch."""
+def judge_batch(parsed: DataFrame, load: Load) -> tuple[DataFrame, list]:
+    """(good rows with kind and failure, columns) of a parsed batch; raises in strict mode."""
     rows = good(parsed)
-    columns, absent = entities.column_plan(entities.distinct_keys(rows), load.registry, load.skip, not load.respect_nullability)
-    if absent and load.exit_on_missing:
-        raise entities.MissingSchema(", ".join(absent))
-    judged = shred.judged(rows, columns, absent)
-    failed = bad(parsed).unionByName(judged.where("kind is not null").select("kind", "failure", "payload"))
-    return shred.shredded(judged, columns), failed, absent
+    columns, lookup = entities.column_plan(entities.distinct_keys(rows), load.registry, load.skip, not load.respect_nullability)
+    if lookup.absent and load.exit_on_missing:
+        raise entities.MissingSchema(", ".join(lookup.absent))
+    return shred.judged(rows, columns, lookup), columns
 
 
 def load_batch(batch: DataFrame, batch_id: int, load: Load) -> None:
-    """Load one batch: failed events, then rows (if any), then a row of metrics."""
-    spark, started = batch.sparkSession, datetime.now(UTC)
+    """Load one batch: failed events, then rows (if any), then a row of metrics.
+
+    Lines are parsed once and checked once; the range layout samples and moves checked rows, which are shredded
+    after it. Latencies are the greatest of the batch, so they count from its earliest times.
+    """
+    spark, started = batch.sparkSession, load.clock()
     keep = (load.source_ts_col,) if load.source_ts_col else ()
     parsed = parse_lines(batch, load.fields, load.value_col, keep).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = None
     try:
-        rows, failed, _ = batch_frames(parsed.drop(*keep), load)
-        source = F.max(load.source_ts_col) if load.source_ts_col else F.lit(None).cast("timestamp")
-        seen = parsed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("bytes"), F.min(F.when(F.size("errors") == 0, F.col("collector_tstamp"))).alias("earliest"), source.alias("source")).first()
+        judged, columns = judge_batch(parsed.drop(*keep), load)
+        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
+        failed = bad(parsed).unionByName(judged.where("kind is not null").select("kind", "failure", "payload"))
+        source = F.min(load.source_ts_col) if load.source_ts_col else F.lit(None).cast("timestamp")
+        seen = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("errors") > 0).alias("unparsed"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("bytes"), F.min(F.when(F.size("errors") == 0, F.col("collector_tstamp"))).alias("earliest"), source.alias("source")).first()
         bad_rows.records(failed, load.max_bad_bytes).select("kind", "record").write.mode("overwrite").json(f"{load.bad_location}/batch_id={batch_id}")
-        n_bad = failed.count()
+        n_bad = seen["unparsed"] + judged.where("kind is not null").count()
         committed = seen["n"] - n_bad
         if committed:
             parts = load.write_partitions or layout.write_partitions(seen["bytes"])
-            lake.append(layout.stamped(layout.laid_out(rows, parts), started), load.table, batch_id)
-        done = datetime.now(UTC)
+            rows = shred.shredded(layout.laid_out(judged.where("kind is null"), parts), columns)
+            lake.append(layout.stamped(rows, started), load.table, batch_id)
+        done = load.clock()
         ms = lambda a: None if a is None else int((done - a.astimezone(UTC)).total_seconds() * 1000)
         row = (batch_id, started, done if committed else None, seen["n"], n_bad, committed, seen["bytes"], seen["earliest"], ms(seen["source"]), ms(started), ms(seen["earliest"]) if committed else None)
         spark.createDataFrame([row], metrics.SCHEMA).write.mode("overwrite").parquet(f"{load.metrics_location}/batch_id={batch_id}")
     finally:
         parsed.unpersist()
+        if judged is not None:
+            judged.unpersist()
+    if load.compact_every and load.table.format != "hudi" and (batch_id + 1) % load.compact_every == 0:
+        lake.compact(spark, load.table, started.date() - timedelta(days=1), below_batch=batch_id + 1)
 
 
 def start(source: DataFrame, load: Load, checkpoint: str, interval: str | None = "5 minutes") -> StreamingQuery:

@@ -1,4 +1,4 @@
-"""The reference's own cases over the Parquet lake: end to end, pipeline order, schemas, failures."""
+"""The loader over the Parquet lake: end to end, pipeline order, schemas, failures."""
 
 import json
 from datetime import UTC, datetime
@@ -23,21 +23,21 @@ def schema(properties=None, required=(), additional=None):
 
 
 REGISTRY = [
-    ("myvendor", "goodschema", "jsonschema", "7-0-0", schema({"col_a": {"type": "string"}}, ["col_a"])),
-    ("myvendor", "goodschema", "jsonschema", "7-0-1", schema({"col_a": {"type": "string"}, "col_b": {"type": "string"}}, ["col_a", "col_b"])),
-    ("myvendor", "badevolution", "jsonschema", "1-0-0", schema({"col_a": {"type": "string"}}, ["col_a"])),
-    ("myvendor", "badevolution", "jsonschema", "1-0-1", schema({"col_a": {"type": "integer"}}, ["col_a"])),
-    ("myvendor", "no-fields", "jsonschema", "1-0-0", schema(additional=True)),
-    ("myvendor", "empty", "jsonschema", "1-0-0", schema(additional=False)),
+    ("org.buoy", "reading", "jsonschema", "3-1-0", schema({"depth": {"type": "string"}}, ["depth"])),
+    ("org.buoy", "reading", "jsonschema", "3-1-1", schema({"depth": {"type": "string"}, "note": {"type": "string"}}, ["depth", "note"])),
+    ("org.buoy", "gauge", "jsonschema", "1-0-0", schema({"depth": {"type": "string"}}, ["depth"])),
+    ("org.buoy", "gauge", "jsonschema", "1-0-1", schema({"depth": {"type": "integer"}}, ["depth"])),
+    ("org.buoy", "remarks", "jsonschema", "1-0-0", schema(additional=True)),
+    ("org.buoy", "nothing", "jsonschema", "1-0-0", schema(additional=False)),
 ]
 
 
 def sdj(name, version, data):
-    return json.dumps({"schema": f"iglu:myvendor/{name}/jsonschema/{version}", "data": data}, separators=(",", ":"))
+    return json.dumps({"schema": f"iglu:org.buoy/{name}/jsonschema/{version}", "data": data}, separators=(",", ":"))
 
 
 def line(i, unstruct="", contexts="", total=""):
-    return "\t".join([str(i), TIME, "page_view", "1", total, unstruct, contexts])
+    return "\t".join([str(i), TIME, "sample", "1", total, unstruct, contexts])
 
 
 def batch(first, unstruct="", contexts=""):
@@ -75,43 +75,43 @@ def test_one_window_two_batches(spark, setup):
 
 def test_versions_share_a_column(spark, setup):
     _, run = setup
-    back = run(batch(1, sdj("goodschema", "7-0-0", {"col_a": "xyz"})) + batch(3), batch(5, sdj("goodschema", "7-0-1", {"col_a": "xyz", "col_b": "abc"})) + batch(7))
-    rows = {r["event_id"]: r["unstruct_event_myvendor_goodschema_7"] for r in back.collect()}
+    back = run(batch(1, sdj("reading", "3-1-0", {"depth": "low"})) + batch(3), batch(5, sdj("reading", "3-1-1", {"depth": "low", "note": "tide"})) + batch(7))
+    rows = {r["event_id"]: r["unstruct_event_org_buoy_reading_3"] for r in back.collect()}
     assert len(rows) == 8
-    assert (rows[1]["col_a"], rows[1]["col_b"]) == ("xyz", None)
-    assert (rows[5]["col_a"], rows[5]["col_b"]) == ("xyz", "abc")
+    assert (rows[1]["depth"], rows[1]["note"]) == ("low", None)
+    assert (rows[5]["depth"], rows[5]["note"]) == ("low", "tide")
 
 
 def test_breaking_version_is_recovered(spark, setup):
     _, run = setup
-    back = run(batch(1, sdj("badevolution", "1-0-0", {"col_a": "xyz"})) + batch(3), batch(5, sdj("badevolution", "1-0-1", {"col_a": 123})) + batch(7))
-    name = column(back, "unstruct_event_myvendor_badevolution_1_recovered_1_0_1_")
+    back = run(batch(1, sdj("gauge", "1-0-0", {"depth": "low"})) + batch(3), batch(5, sdj("gauge", "1-0-1", {"depth": 123})) + batch(7))
+    name = column(back, "unstruct_event_org_buoy_gauge_1_recovered_1_0_1_")
     assert len(name.rsplit("_", 1)[1]) == 8
     rows = {r["event_id"]: r for r in back.collect()}
     assert len(rows) == 8
-    assert rows[1]["unstruct_event_myvendor_badevolution_1"]["col_a"] == "xyz" and rows[1][name] is None
-    assert rows[5]["unstruct_event_myvendor_badevolution_1"] is None and rows[5][name]["col_a"] == 123
+    assert rows[1]["unstruct_event_org_buoy_gauge_1"]["depth"] == "low" and rows[1][name] is None
+    assert rows[5]["unstruct_event_org_buoy_gauge_1"] is None and rows[5][name]["depth"] == 123
 
 
 @pytest.mark.parametrize("where", ["unstruct", "contexts"])
 def test_empty_schema_has_no_column(spark, setup, where):
     _, run = setup
-    entity = sdj("empty", "1-0-0", {})
+    entity = sdj("nothing", "1-0-0", {})
     back = run(batch(1, entity) + batch(3) if where == "unstruct" else batch(1, "", f"[{entity}]") + batch(3))
-    assert back.count() == 4 and not any("empty" in c for c in back.columns)
+    assert back.count() == 4 and not any("nothing" in c for c in back.columns)
 
 
 def test_free_form_unstruct_and_context(spark, setup):
     _, run = setup
-    entity = sdj("no-fields", "1-0-0", {"a": "xyz", "b": "abc"})
+    entity = sdj("remarks", "1-0-0", {"a": "low", "b": "tide"})
     row = run(batch(1, entity, f"[{entity}]") + batch(3)).where("event_id = 1").first()
-    assert row["unstruct_event_myvendor_no_fields_1"] == '{"a":"xyz","b":"abc"}'
-    assert row["contexts_myvendor_no_fields_1"] == ['{"a":"xyz","b":"abc","_schema_version":"1-0-0"}']
+    assert row["unstruct_event_org_buoy_remarks_1"] == '{"a":"low","b":"tide"}'
+    assert row["contexts_org_buoy_remarks_1"] == ['{"a":"low","b":"tide","_schema_version":"1-0-0"}']
 
 
 def test_only_bad_lines_commit_nothing(spark, setup):
     load, run = setup
-    back = run(["nonsense1", "nonsense2"] * 3)
+    back = run(["gibberish1", "gibberish2"] * 3)
     assert back.count() == 0
     assert loader.read_bad(spark, load).count() == 6
     m = loader.read_metrics(spark, load).first()
@@ -120,14 +120,14 @@ def test_only_bad_lines_commit_nothing(spark, setup):
 
 def test_bad_and_good_mixed(spark, setup):
     load, run = setup
-    back = run(batch(1) + ["nonsense1"], batch(3) + ["nonsense2", ""])
+    back = run(batch(1) + ["gibberish1"], batch(3) + ["gibberish2", ""])
     assert back.count() == 4
     assert loader.read_bad(spark, load).where("kind = 'parsing'").count() == 3
 
 
 def test_unknown_schema_tolerant_and_strict(spark, setup):
     load, run = setup
-    lines = [line(1, sdj("doesnotexist", "7-0-0", {})), line(2)]
+    lines = [line(1, sdj("nowhere", "3-1-0", {})), line(2)]
     assert run(lines).count() == 1
     assert loader.read_bad(spark, load).select("kind").collect() == [("schema_missing",)]
     load.exit_on_missing = True
@@ -138,26 +138,26 @@ def test_unknown_schema_tolerant_and_strict(spark, setup):
 
 def test_wrong_type_fails_the_event(spark, setup):
     load, run = setup
-    assert run([line(1, sdj("goodschema", "7-0-0", {"col_a": 5})), line(2, sdj("goodschema", "7-0-0", {})), line(3)]).count() == 1
+    assert run([line(1, sdj("reading", "3-1-0", {"depth": 5})), line(2, sdj("reading", "3-1-0", {})), line(3)]).count() == 1
     assert loader.read_bad(spark, load).where("kind = 'transform'").count() == 2
 
 
 def test_skipped_schema_is_left_out_and_events_load(spark, setup):
     load, run = setup
-    load.skip = ["iglu:myvendor/goodschema/jsonschema/7-*-*", "iglu:*/doesnotexist/jsonschema/*-*-*"]
-    back = run([line(1, sdj("goodschema", "7-0-0", {"col_a": 5})), line(2, sdj("doesnotexist", "7-0-0", {}))])
-    assert back.count() == 2 and not any("goodschema" in c for c in back.columns)
+    load.skip = ["iglu:org.buoy/reading/jsonschema/3-*-*", "iglu:*/nowhere/jsonschema/*-*-*"]
+    back = run([line(1, sdj("reading", "3-1-0", {"depth": 5})), line(2, sdj("nowhere", "3-1-0", {}))])
+    assert back.count() == 2 and not any("reading" in c for c in back.columns)
 
 
 def test_nullability_switch(spark, setup):
     load, run = setup
     load.respect_nullability = False
-    assert run([line(1, sdj("goodschema", "7-0-0", {}))]).count() == 1
+    assert run([line(1, sdj("reading", "3-1-0", {}))]).count() == 1
 
 
 def test_replay_after_a_failure_repeats_nothing(spark, setup, monkeypatch):
     load, _ = setup
-    frame = spark.createDataFrame([(x,) for x in batch(1) + ["nonsense"]], "value string")
+    frame = spark.createDataFrame([(x,) for x in batch(1) + ["gibberish"]], "value string")
 
     def fail(*_):
         raise RuntimeError("lost")
@@ -223,7 +223,7 @@ def test_json_schema_types():
 
 def test_strict_types(spark):
     t = js.Type("struct", (js.Field("a", js.Type("integer"), False), js.Field("b", js.Type("array", element=js.Type("number"), element_nullable=False))))
-    data = ['{"a":1}', '{"a":1.5}', '{"a":"1"}', "{}", '{"a":1,"b":[1,2.5]}', '{"a":1,"b":[1,null]}', '{"a":1,"b":["x"]}', '{"a":null}', "[]", "nonsense"]
+    data = ['{"a":1}', '{"a":1.5}', '{"a":"1"}', "{}", '{"a":1,"b":[1,2.5]}', '{"a":1,"b":[1,null]}', '{"a":1,"b":["x"]}', '{"a":null}', "[]", "gibberish"]
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(x,) for x in data], "d string").select(F.coalesce(js.fits(F.try_parse_json("d"), t), F.lit(False)).alias("ok"))
@@ -246,12 +246,142 @@ def test_union_of_nested_structs(spark):
 
 
 def test_misfit_message(spark):
-    rows = good(parse_lines(spark.createDataFrame([(line(1, sdj("goodschema", "7-0-0", {"col_a": 1})),)], "line string")))
-    columns = js.plan("unstruct_event", "myvendor", "goodschema", 7, [("7-0-0", REGISTRY[0][4])])
+    rows = good(parse_lines(spark.createDataFrame([(line(1, sdj("reading", "3-1-0", {"depth": 1})),)], "line string")))
+    columns = js.plan("unstruct_event", "org.buoy", "reading", 3, [("3-1-0", REGISTRY[0][4])])
     row = shred.judged(rows, columns).first()
-    assert row["kind"] == "transform" and "goodschema_7" in row["failure"]
+    assert row["kind"] == "transform" and "reading_3" in row["failure"]
 
 
 def test_stamp_is_one_literal(spark):
     at = datetime(2024, 1, 1, tzinfo=UTC)
     assert layout.stamped(spark.range(3), at).select("load_tstamp").distinct().count() == 1
+
+
+def test_bounded_integers():
+    read = lambda **x: js.read({"type": "integer", **x}).kind
+    assert [read(minimum=0, maximum=9), read(minimum=0), read(), read(minimum=0, maximum=2**31), read(minimum=-(2**31), maximum=2**31 - 1)] == ["int", "integer", "integer", "integer", "int"]
+    assert js.merge(js.Type("int"), js.Type("integer")).kind == "integer" and js.ddl(js.Type("int")) == "INT"
+
+
+def test_int_values(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("5",), (str(2**31),), ("1.5",), ('"5"',)], "d string")
+    assert [r[0] for r in df.select(F.coalesce(js.fits(F.try_parse_json("d"), js.Type("int")), F.lit(False))).collect()] == [True, False, False, False]
+
+
+def test_faulty_schema_keys_are_not_collected(spark, setup):
+    load, run = setup
+    lines = [line(i, sdj(f"id-{i}", "1-0-0", {})) for i in range(200)] + [line(999)]
+    columns, lookup = entities.column_plan(entities.distinct_keys(good(parse_lines(spark.createDataFrame([(x,) for x in lines], "line string")))), load.registry)
+    assert (columns, lookup.known, len(lookup.absent)) == ([], (), 20)
+    assert run(lines).count() == 1 and loader.read_bad(spark, load).where("kind = 'schema_missing'").count() == 200
+
+
+def test_latencies_are_the_greatest(spark, setup):
+    load, _ = setup
+    load.source_ts_col, load.clock = "at", lambda: datetime(2024, 1, 3, tzinfo=UTC)
+    rows = [(line(1), datetime(2024, 1, 2, 23, 0, 0, tzinfo=UTC)), (line(2), datetime(2024, 1, 2, 22, 0, 0, tzinfo=UTC))]
+    loader.load_batch(spark.createDataFrame(rows, "value string, at timestamp"), 0, load)
+    m = loader.read_metrics(spark, load).first()
+    assert (m["stream_latency_ms"], m["processing_latency_ms"]) == (2 * 3_600_000, 0)
+
+
+def test_compaction_replaces_batches_in_one_step(spark, setup, tmp_path):
+    load, run = setup
+    load.compact_every = 2
+    back = run(*[batch(1 + 2 * k) * 1 for k in range(3)])
+    assert back.count() == 6
+    lake.append(layout.stamped(back.drop("batch_id", "load_tstamp", "load_tstamp_date").repartition(3), datetime(2024, 1, 1, tzinfo=UTC)), load.table, 7)
+    # the loader has compacted the first two batches after the second
+    assert {k: v[-4:] for k, v in lake.versions(spark, load.table).items()} == {0: "/v=1", 1: "/v=1", 2: "/v=0", 7: "/v=0"}
+    assert lake.compact(spark, load.table, datetime(2023, 1, 1, tzinfo=UTC).date()) == 2
+    assert {k: v[-4:] for k, v in lake.versions(spark, load.table).items()} == {0: "/v=1", 1: "/v=1", 2: "/v=1", 7: "/v=1"}
+    (tmp_path / "lake/batches/batch_id=7/v=2/load_tstamp_date=2024-01-01").mkdir(parents=True)  # never finished
+    assert lake.read(spark, load.table).count() == 12
+    lake.maintain(spark, load.table, 0)
+    assert not (tmp_path / "lake/batches/batch_id=7/v=0").exists() and lake.read(spark, load.table).count() == 12
+
+
+def test_columns_widen_and_clash(spark):
+    a, b = (T._parse_datatype_string(x) for x in ("a int, s struct<x:int>, l array<struct<p:string>>", "a long, s struct<x:int,y:string>, l array<struct<q:int>>, d decimal(5,2)"))
+    assert lake.wider(a, b).simpleString() == "struct<a:bigint,s:struct<x:int,y:string>,l:array<struct<p:string,q:int>>,d:decimal(5,2)>"
+    with pytest.raises(ValueError):
+        lake.wider(T.StringType(), T.LongType())
+
+
+class Recorder:
+    """Stands in for a session whose jars are absent: keeps statements and writes."""
+
+    def __init__(self):
+        self.said, self.conf, self.sparkSession = [], self, self
+
+    def set(self, *_):
+        pass
+
+    def sql(self, text):
+        self.said.append(text)
+        return self
+
+    def count(self):
+        return 0
+
+    def createDataFrame(self, *_):
+        return self
+
+    def __getattr__(self, name):
+        def call(*a, **k):
+            self.said.append((name, a, k))
+            return self
+
+        return self if name == "write" else call
+
+
+COLUMNS = T.StructType([T.StructField("event_id", T.LongType(), False), T.StructField("load_tstamp", T.TimestampType()), T.StructField("load_tstamp_date", T.DateType())])
+
+
+def test_iceberg_statements():
+    s = Recorder()
+    t = lake.LakeTable("cat.db.events", "iceberg", COLUMNS, properties={"format-version": "2"})
+    lake.create(s, t)
+    assert s.said[0].startswith("CREATE TABLE IF NOT EXISTS cat.db.events (`event_id` bigint NOT NULL, ") and "PARTITIONED BY (days(load_tstamp), event_name)" in s.said[0] and "'format-version'='2'" in s.said[0]
+    assert s.said[1:] == [("writeTo", ("cat.db.events",), {}), ("append", (), {})]
+    s.said.clear()
+    lake.append(s, t, 5)
+    assert "cat.db.events.snapshots" in s.said[0] and s.said[-1][0] == "append"
+    assert ("options", (), {"merge-schema": "true", "check-ordering": "false", "distribution-mode": "none", "snapshot-property.siltworks-batch": "5"}) in s.said
+
+
+def test_hudi_statements():
+    s = Recorder()
+    lake.create(s, lake.LakeTable("/x", "hudi", COLUMNS, {"database": "d", "name": "e"}))
+    assert s.said[0] == "CREATE DATABASE IF NOT EXISTS d" and s.said[1].startswith("CREATE TABLE IF NOT EXISTS d.e (") and s.said[2] == "CALL run_clean(table => 'd.e')"
+    lake.append(s, lake.LakeTable("/x", "hudi", COLUMNS), 1)
+    assert [x[0] for x in s.said[-4:]] == ["format", "mode", "options", "save"]
+
+
+def test_delta_statements(monkeypatch):
+    import sys
+    import types
+
+    s = Recorder()
+    monkeypatch.setitem(sys.modules, "delta", types.ModuleType("delta"))
+    monkeypatch.setitem(sys.modules, "delta.tables", types.SimpleNamespace(DeltaTable=s))
+    lake.create(s, lake.LakeTable("/x", "delta", COLUMNS))
+    calls = {x[0]: x for x in s.said}
+    assert calls["addColumns"][1][0].fieldNames() == ["event_id", "load_tstamp"] and calls["addColumn"][1][0] == "load_tstamp_date"
+    lake.append(s, lake.LakeTable("/x", "delta", COLUMNS), 3)
+    assert ("options", (), {"txnAppId": "siltworks", "txnVersion": "3", "mergeSchema": "true"}) in s.said
+
+
+def test_conflicts_are_tried_again(spark, tmp_path):
+    class Clash(Recorder):
+        tries = 0
+
+        def save(self, *_):
+            Clash.tries += 1
+            if Clash.tries < 3:
+                raise RuntimeError("ConcurrentAppendException: files were added")
+
+    lake.append(Clash(), lake.LakeTable("/x", "delta", COLUMNS), 3)
+    assert Clash.tries == 3

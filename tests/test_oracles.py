@@ -27,10 +27,5 @@ def test_query_equals_sql(spark, con, name):
     assert canon(df.columns, df.collect()) == canon([d[0] for d in result.description], result.fetchall())
 
 
-def test_layout_is_balanced(spark):
-    row = lake.QUERIES["layout_balance"](spark, DIR).first()
-    assert row["n_parts"] == 6 and row["balanced"]
-
-
 def test_all_oracles_have_queries():
     assert set(lake.ORACLES) <= set(lake.QUERIES)
