@@ -32,15 +32,20 @@ LEAD, CELLS = 12, 6
 _SLACK = 1e-7  # of the pruning bounds; the decision itself has none
 
 
-def _moments(batches):
-    """Sum of outer products of unit vectors' chosen coordinates, one row per task and dimension."""
-    sums: dict[int, np.ndarray] = {}
-    for rows in batches:
-        for d, part in rows.groupby("dim"):
-            x = np.stack(part["u"].to_numpy()).astype(float)
-            sums[d] = sums.get(d, 0) + x.T @ x
-    for d, s in sums.items():
-        yield pd.DataFrame({"dim": [d], "sums": [s.ravel().tolist()]})
+def _moments(orders: dict[int, np.ndarray], most: int):
+    """Sum of outer products of unit vectors' first coordinates (in their order), one row per task and dimension."""
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for rows in batches:
+            for d, part in rows.groupby("dim"):
+                x = np.stack(part["v"].to_numpy()).astype(float)
+                x = (x / np.linalg.norm(x, axis=1, keepdims=True))[:, orders[d][:most]]
+                sums[d] = sums.get(d, 0) + x.T @ x
+        for d, s in sums.items():
+            yield pd.DataFrame({"dim": [d], "sums": [s.ravel().tolist()]})
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -64,17 +69,13 @@ def _bases(valid: DataFrame, most_dims: int) -> dict[int, _Basis]:
     So no more than most_dims ** 2 numbers reach the driver, and vectors of any length have a basis.
     """
     orders = {r["dim"]: np.arange(r["dim"]) for r in valid.select("dim").distinct().collect()}
-    unit = valid.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e))).select("dim", F.transform("v", lambda e: e / F.col("norm")).alias("u"))
     if any(d > most_dims for d in orders):
-        energy = unit.where(F.col("dim") > most_dims).select("dim", F.posexplode("u").alias("i", "x")).groupBy("dim", "i").agg(F.sum(F.col("x") * F.col("x")).alias("x"))
+        norm = F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e)
+        long = valid.where(F.col("dim") > most_dims).select("dim", "v", norm.alias("norm"))
+        energy = long.select("dim", "norm", F.posexplode("v").alias("i", "x")).groupBy("dim", "i").agg(F.sum(F.col("x") * F.col("x") / F.col("norm")).alias("x"))
         for r in energy.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("m")).collect():
             orders[r["dim"]] = np.argsort([-e["x"] for e in r["m"]], kind="stable")
-    chosen = F.col("u")
-    for d, order in orders.items():
-        if d > most_dims:
-            first = F.array(*[F.lit(int(i)) for i in order[:most_dims]])
-            chosen = F.when(F.col("dim") == d, F.transform(first, lambda i: F.get("u", i))).otherwise(chosen)
-    rows = unit.select("dim", chosen.alias("u")).mapInPandas(_moments, "dim int, sums array<double>")
+    rows = valid.select("dim", "v").mapInPandas(_moments(orders, most_dims), "dim int, sums array<double>")
     added = rows.select("dim", F.posexplode("sums").alias("i", "x")).groupBy("dim", "i").agg(F.sum("x").alias("x"))
     out = {}
     for r in added.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("m")).collect():
