@@ -38,7 +38,7 @@ class Params:
 
     sample_rows: int = 16_384
     shard_rows: int = 4_096
-    sample_chars: int = 20_000
+    sample_chars: int = 10_000
     negatives: int = 2
     min_rows: int = 3
     epochs: int = 10
