@@ -360,20 +360,20 @@ def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFr
     dealt = dealt.withColumn("hall", F.pmod(F.xxhash64("leader", "block"), F.lit(halls)))
     found = common.cut(dealt.join(texts, "node").groupBy("hall").applyInPandas(_meet(p), "a long, b long").distinct())
     comps = common.components(found, "a", "b")
-    large = groups.where("blocks > 1").select("leader")
+    large = groups.where("blocks > 1").select("leader", "size")
     if not large.limit(1).count():
         return comps
     comps = common.cut(comps)
     # groups of several blocks: texts outside of the largest component, against all
-    mine = meets.join(F.broadcast(large), "leader").join(comps, "node", "left").select("leader", "node", "n", F.coalesce("component", "node").alias("c"))
+    mine = common.spread_join(meets, large, ["leader"]).join(comps, "node", "left").select("leader", "node", "n", F.coalesce("component", "node").alias("c"))
     mine = common.cut(mine)
-    parts = mine.groupBy("leader", "c").agg(F.sum("n").alias("words"))
-    top = parts.groupBy("leader").agg(F.max(F.struct("words", "c")).alias("m"), F.sum("words").alias("all")).select("leader", F.col("m.c").alias("main"), "all", (F.col("all") - F.col("m.words")).alias("minor"))
+    parts = mine.groupBy("leader", "c").agg(F.sum("n").alias("words"), F.count(F.lit(1)).alias("size"))
+    top = parts.groupBy("leader").agg(F.max(F.struct("words", "c")).alias("m"), F.sum("words").alias("all"), F.sum("size").alias("size")).select("leader", "size", F.col("m.c").alias("main"), "all", (F.col("all") - F.col("m.words")).alias("minor"))
     count = lambda x: F.ceil(F.col(x) / p.block_words).cast("long")
-    top = common.cut(top.where("minor > 0").select("leader", "main", count("minor").alias("lefts"), count("all").alias("rights")))
+    top = common.cut(top.where("minor > 0").select("leader", "size", "main", count("minor").alias("lefts"), count("all").alias("rights")))
     number = lambda n, to: F.pmod(F.xxhash64("node", F.lit(to)), F.col(n)).alias(to)
     spread = lambda n, to: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(to)
-    mine = mine.join(F.broadcast(top), "leader")
+    mine = common.spread_join(mine, top, ["leader"])
     left = mine.where("c != main").select("leader", "node", "c", F.lit(True).alias("left"), number("lefts", "i"), spread("rights", "j"))
     right = mine.select("leader", "node", "c", F.lit(False).alias("left"), spread("lefts", "i"), number("rights", "j"))
     rest = left.unionByName(right).join(texts, "node").groupBy("leader", "i", "j").applyInPandas(_across(p), "a long, b long")
