@@ -60,13 +60,32 @@ def features(text: str | None) -> np.ndarray:
     return np.concatenate([h, pairs, skips])
 
 
+def _frequent(texts: list[str | None], least: int, buckets: int = 1 << 23) -> list[np.ndarray]:
+    """Distinct features of each text, without most of those that fewer than ``least`` texts hold.
+
+    The first reading counts texts by bucket, never too few for any feature in it; only the second keeps hashes, so
+    the memory needed is that of features which may be learnt.
+    """
+    mask, most = np.uint64(buckets - 1), np.iinfo(np.uint16).max
+    counts = np.zeros(buckets, np.uint16)
+    for t in texts:
+        at = (features(t) & mask).astype(np.int64)
+        counts[at] = np.minimum(counts[at], most - 1) + 1  # once a text, however often it holds the bucket
+    out = []
+    for t in texts:
+        f = features(t)
+        out.append(np.unique(f[counts[(f & mask).astype(np.int64)] >= min(least, most)]))
+    return out
+
+
 def _learn_shard(p: Params):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("order")  # the same at every run
-        docs = [np.unique(features(t)) for t in rows["text"]]
+        least = min(p.min_rows, 1 + len(rows) // 100)
+        docs = _frequent(rows["text"].tolist(), least)
         labels = rows["y"].to_numpy(float)
         space, held = np.unique(np.concatenate([np.zeros(0, np.uint64), *docs]), return_counts=True)
-        space = space[held >= min(p.min_rows, 1 + len(docs) // 100)]
+        space = space[held >= least]
         spot = [np.minimum(np.searchsorted(space, d), max(len(space) - 1, 0)) for d in docs]
         at = [np.concatenate([i[space[i] == d] if len(space) else i[:0], [len(space)]]) for i, d in zip(spot, docs, strict=True)]  # last: intercept
         z, n = np.zeros(len(space) + 1), np.zeros(len(space) + 1)
