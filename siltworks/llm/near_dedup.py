@@ -354,10 +354,12 @@ def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFr
     groups = common.cut(groups.withColumn("blocks", F.greatest(F.ceil(F.col("total") / p.block_words), F.ceil(F.col("size") / p.block_rows)).cast("long")))
     sums = groups.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
     halls = max(1, -(-sums[0] // p.block_words), -(-sums[1] // p.block_rows))
-    dealt = common.spread_join(meets, groups.drop("total"), ["leader"]).select("leader", "node", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"))
+    dealt = common.spread_join(meets, groups.drop("total"), ["leader"]).select("leader", "node", F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks")).alias("block"), "blocks")
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-    dealt = dealt.unionByName(groups.select("leader", F.col("leader").alias("node"), every_block))
-    dealt = dealt.withColumn("hall", F.pmod(F.xxhash64("leader", "block"), F.lit(halls)))
+    dealt = dealt.unionByName(groups.select("leader", F.col("leader").alias("node"), every_block, "blocks"))
+    # a block of a large group fills a hall by itself; small groups share halls
+    hall = F.xxhash64("leader", "block")
+    dealt = dealt.select("leader", "node", "block", F.when(F.col("blocks") > 1, hall).otherwise(F.pmod(hall, F.lit(halls))).alias("hall"))
     found = common.cut(dealt.join(texts, "node").groupBy("hall").applyInPandas(_meet(p), "a long, b long").distinct())
     comps = common.components(found, "a", "b")
     large = groups.where("blocks > 1").select("leader", "size")
