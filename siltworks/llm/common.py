@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -23,6 +25,27 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+_kept: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """What this Python worker remembers from task to task for one kind of work.
+
+    Spark gives a worker to one operator after the other. At its first task of another kind a worker forgets what it
+    remembered and hands freed memory back to the system, so that operators do not add up in it.
+    """
+    if owner not in _kept:
+        import pyarrow as pa
+
+        _kept.clear()
+        _kept[owner] = {}
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+    return _kept[owner]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of this session, within the one named by ``spark.checkpoint.dir``.
 

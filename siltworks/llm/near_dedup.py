@@ -71,15 +71,13 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
 def word_ids(text: str | None) -> np.ndarray:
     """64-bit hashes of the lower-case words of the whole text."""
     text = (text or "").lower()
     plain = text.isascii() or np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").max() < UNSPACED
     words = (WORD if plain else WORD_OR_SIGN).findall(text)
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = common.kept("words of near_dedup").setdefault("hashes", _Hashes())
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -313,6 +311,7 @@ def _meet(p: Params):
     """Links within the groups (or blocks of groups) of one hall."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        common.kept("links of near_dedup")
         rows = rows.sort_values(["leader", "block", "node"], ignore_index=True)
         met = _Met(rows, p)
         leads = (rows["leader"] == rows["node"]).to_numpy()
@@ -335,6 +334,7 @@ def _across(p: Params):
     """Links between the texts outside of a group's largest component (one block of them) and a block of all."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        common.kept("links of near_dedup")
         rows = rows.sort_values(["node", "left"], ignore_index=True)
         met = _Met(rows, p, rows["c"].to_numpy(np.int64))
         left = rows["left"].to_numpy(bool)

@@ -183,6 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", params:
     share = {y: n.get(y, 0) / sum(n.values()) / max(taken[y] / sum(taken.values()), 1e-9) for y in taken}
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        common.kept("fit of quality")
         part = part.sort_values("order")
         y = part["y"].to_numpy(bool)
         w = learn(part["text"].tolist(), y.astype(np.float32), p, np.where(y, share[True], share[False]))
@@ -203,6 +204,7 @@ def score(docs: DataFrame, model: dict | None, params: Params | None = None, tex
     p = params or Params()
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.kept("scores of quality")
         for texts in batches:
             yield pd.Series(probability(texts.tolist(), model, p) if model else np.full(len(texts), 0.5))
 

@@ -80,6 +80,7 @@ def _frequent(texts: list[str | None], least: int, buckets: int = 1 << 23) -> li
 
 def _learn_shard(p: Params):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        common.kept("fit of toxicity")
         rows = rows.sort_values("order")  # the same at every run
         least = min(p.min_rows, 1 + len(rows) // 100)
         docs = _frequent(rows["text"].tolist(), least)
@@ -152,6 +153,7 @@ def _score(model):
         return intercept + float(weights[at][keys[at] == f].sum())
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.kept("scores of toxicity")
         for texts in batches:
             logit = np.array([one(t) for t in texts], float)
             yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(logit, -35, 35))))

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+from . import common
+
 #: Before white space that follows something else.
 SPACE = re.compile(r"(?<=\S)(?=[ \t\n\r])")
 
@@ -49,9 +51,11 @@ class Memory:
                 del kept[w]
 
 
-@lru_cache(maxsize=4)
 def memory(path: str, kind: str) -> Memory:
-    """One per worker, file and kind of value: counts, or ids as little-endian 32-bit bytes."""
+    """The worker's one for a file and kind of value (counts, or ids as little-endian 32-bit bytes), until it turns to other work."""
     import numpy as np
 
-    return Memory(path, len if kind == "count" else lambda ids: np.array(ids, "<u4").tobytes())
+    held = common.kept(f"{kind} of {path}")
+    if "memory" not in held:
+        held["memory"] = Memory(path, len if kind == "count" else lambda ids: np.array(ids, "<u4").tobytes())
+    return held["memory"]
