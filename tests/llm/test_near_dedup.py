@@ -193,3 +193,11 @@ def test_hot_keys_are_joined_apart(spark):
     assert joined.count() == 1000 and joined.where("name = k").count() == 1000
     assert common.spread_join(rows, groups.where("k <> 1"), ["k"], how="left").where("name is null").count() == 600
 
+
+
+def test_a_worker_remembers_one_kind_of_work_at_a_time():
+    first = near_dedup.word_ids("one two one")
+    held = common.kept("words of near_dedup")["hashes"]
+    assert set(held) == {"one", "two"} and common.kept("words of near_dedup")["hashes"] is held
+    assert common.kept("other work") == {} and common.kept("words of near_dedup") == {}
+    assert (near_dedup.word_ids("one two one") == first).all()
