@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, html_text, near_dedup, packing, quality, sentence_pieces, token_counts, toxicity, url_filter
+from . import conversation_repair, embedding_dedup, html_text, mixing, near_dedup, packing, periodic_runs, quality, sentence_pieces, token_counts, toxicity, url_filter
 from .common import bounded_batches, table
 from .exact_dedup import exact_groups
 
@@ -81,6 +81,22 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation, after some of its rows were damaged; one row per conversation."""
+    return conversation_repair.report(table(spark, sf_dir, "conversations"))
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of the sources takes; one row per document."""
+    rows = mixing.mix(table(spark, sf_dir, "documents"), (5, 2, 1), 1.5, 2).rows
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every text, some of which were made periodic; one row per document."""
+    return periodic_runs.report(table(spark, sf_dir, "documents"), plant=True)
+
+
 def _bounded(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,10 +117,14 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_source_mix": op12_source_mix,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 QUERIES = {name: _bounded(query) for name, query in QUERIES.items()}
 
 ORACLES = {
+    "op12_source_mix": mixing.SQL,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
