@@ -233,9 +233,9 @@ stop AS (SELECT held, weights, k FROM r WHERE 2 * n * weights >= (total - 2 * he
 t AS (SELECT r.source, r.n AS source_size, CASE WHEN r.k < stop.k THEN 2.0 * r.n ELSE (r.total - 2 * stop.held) * r.w / stop.weights END::DOUBLE AS target FROM r, stop),
 p AS (SELECT *, least(2 * source_size, floor(target + 0.5))::BIGINT AS quota FROM t),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS copies, CASE WHEN source_size > 0 THEN quota % source_size ELSE 0 END AS rest FROM p),
-o AS (SELECT d.doc_id, d.size, q.*, row_number() OVER i AS at, sum(d.size) OVER i AS up_to FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+o AS (SELECT d.doc_id, d.size, q.*, row_number() OVER i AS nth, sum(d.size) OVER i AS up_to FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
       WINDOW i AS (PARTITION BY d.source ORDER BY md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 g AS (SELECT *, rest - coalesce(sum(size) FILTER (up_to <= rest) OVER (PARTITION BY source), 0) AS gap FROM o),
-b AS (SELECT *, up_to > rest AND abs(gap - size) < gap AND row_number() OVER (PARTITION BY source ORDER BY up_to <= rest, abs(gap - size), at) = 1 AS more FROM g)
+b AS (SELECT *, up_to > rest AND abs(gap - size) < gap AND row_number() OVER (PARTITION BY source ORDER BY up_to <= rest, abs(gap - size), nth) = 1 AS more FROM g)
 SELECT doc_id, size, source_size, target, (size * (copies + (up_to <= rest)::INT + more::INT))::BIGINT AS taken FROM b
 """
