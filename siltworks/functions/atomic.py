@@ -23,9 +23,10 @@ ATOMIC = T.StructType(
 ENTITY_JSON = "schema STRING, data STRING"
 
 
-def decode_utf8(value: Column) -> Column:
-    """Bytes as text, or null where they are not valid UTF-8."""
-    return F.try_validate_utf8(value.cast("string"))
+def decode_utf8(value: Column) -> tuple[Column, Column]:
+    """(text, whether the bytes are valid UTF-8); what is not valid becomes U+FFFD, so that no payload is lost."""
+    raw = value.cast("string")
+    return F.make_valid_utf8(raw), F.is_valid_utf8(raw)
 
 
 def once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -45,20 +46,23 @@ def _typed(raw: Column, field: T.StructField) -> Column:
 
 
 def parse_lines(lines: DataFrame, fields: T.StructType = ATOMIC, value_col: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per line: ``payload``, the typed ``fields``, entities and ``errors`` (empty: a good row).
+    """One row per line: ``payload``, its size as it came in ``payload_bytes``, the typed ``fields``, entities and ``errors``.
 
-    ``value_col`` may hold text or bytes; null and undecodable values are errors. Empty fields are null.
+    No errors: a good row. ``value_col`` may hold text or bytes; null and undecodable values are errors, and the payload
+    of the latter has U+FFFD for what cannot be decoded. Empty fields are null.
     A wrong number of fields, a value that its type cannot hold, a null in a field that must have a value
     and text that is no self-describing JSON are errors, all of a line reported together. The JSON columns
     ``unstruct_event`` and ``contexts``, if among the fields, become struct<schema, data> and an array of it.
     """
-    text = decode_utf8(F.col(value_col))
-    split = lines.select(*keep, text.alias("payload")).withColumn("_f", F.split("payload", "\t", -1))
+    text, valid = decode_utf8(F.col(value_col))
+    size = F.coalesce(F.octet_length(F.col(value_col)), F.lit(0))
+    split = lines.select(*keep, text.alias("payload"), size.alias("payload_bytes"), F.coalesce(valid, F.lit(False)).alias("_valid")).withColumn("_f", F.when(F.col("_valid"), F.split("payload", "\t", -1)))
     n = len(fields)
-    complete = F.size("_f") == n
+    complete = F.coalesce(F.size("_f") == n, F.lit(False))
     raw = {f.name: F.nullif(F.get("_f", F.lit(i)), F.lit("")) for i, f in enumerate(fields)}
     named = [complete.alias("_complete"), *[F.when(complete, raw[f.name]).alias(f"_raw_{f.name}") for f in fields], *[F.when(complete, _typed(raw[f.name], f)).alias(f.name) for f in fields]]
-    typed = split.select(*keep, "payload", *named)
+    own = ("payload", "payload_bytes")
+    typed = split.select(*keep, *own, "_valid", *named)
     names = set(fields.fieldNames())
     entities = {}
     if "unstruct_event" in names:
@@ -66,7 +70,7 @@ def parse_lines(lines: DataFrame, fields: T.StructType = ATOMIC, value_col: str
     if "contexts" in names:
         entities["contexts"] = F.from_json("contexts", f"ARRAY<STRUCT<{ENTITY_JSON}>>")
     typed = once(typed.withColumns(entities) if entities else typed, ["_complete", *[f"_raw_{f.name}" for f in fields], *fields.fieldNames()])
-    found = [F.when(F.col("payload").isNull(), "not valid UTF-8"), F.when(F.col("payload").isNotNull() & ~F.col("_complete"), F.concat(F.lit(f"expected {n} fields")))]
+    found = [F.when(~F.col("_valid"), "not valid UTF-8"), F.when(F.col("_valid") & ~F.col("_complete"), F.concat(F.lit(f"expected {n} fields")))]
     for f in fields:
         bad = F.col(f"_raw_{f.name}").isNotNull() & F.col(f.name).isNull()
         if f.name == "unstruct_event":
@@ -77,7 +81,7 @@ def parse_lines(lines: DataFrame, fields: T.StructType = ATOMIC, value_col: str
         if not f.nullable:
             found.append(F.when(F.col("_complete") & F.col(f"_raw_{f.name}").isNull(), f"{f.name}: missing"))
     out = typed.withColumn("errors", F.array_compact(F.array(*found)))
-    return once(out.select(*keep, "payload", *fields.fieldNames(), "errors"), ["errors"])
+    return once(out.select(*keep, *own, *fields.fieldNames(), "errors"), ["errors"])
 
 
 def good(parsed: DataFrame) -> DataFrame:

@@ -137,6 +137,21 @@ def typed(data: Column, t: Type) -> Column:
     return wide.cast(ddl(t, True))
 
 
+def has_text(t: Type) -> bool:
+    """Whether a type holds free JSON somewhere inside, whose text must stay as it is."""
+    return t.kind == "json" or any(has_text(f.type) for f in t.fields) or (t.element is not None and has_text(t.element))
+
+
+def taken(v: Column, data: Column, t: Type) -> Column:
+    """The value of ``t`` from the variant that was checked, with normalised names.
+
+    A variant keeps no order of keys, so types with free JSON inside are read from the text.
+    """
+    if has_text(t):
+        return typed(data, t)
+    return F.try_variant_get(v, "$", ddl(t)).cast(ddl(t, True))
+
+
 def bound(value: Column, test: Callable[[Column], Column]) -> Column:
     """``test`` of a value that is evaluated once, however often the test uses it."""
     return F.forall(F.array(value), lambda v: F.coalesce(test(v), F.lit(False)))

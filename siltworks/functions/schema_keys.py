@@ -24,28 +24,30 @@ def version(key: Column) -> Column:
     return F.concat_ws("-", key["model"], key["revision"], key["addition"])
 
 
-def criteria_pattern(criteria: Sequence[str]) -> str | None:
-    """One anchored pattern for criteria like ``iglu:com.acme/name/jsonschema/1-*-*``; None without any.
+def criterion(text: str) -> tuple[str, ...]:
+    """The six parts of a criterion like ``iglu:com.acme/name/jsonschema/1-*-*``; ``*`` stands for any value of a part."""
+    found = re.fullmatch(r"iglu:([^/]+)/([^/]+)/([^/]+)/(\*|[0-9]+)-(\*|[0-9]+)-(\*|[0-9]+)", text)
+    if not found:
+        raise ValueError(f"not a schema criterion: {text}")
+    return tuple(x if x == "*" or i < 3 else str(int(x)) for i, x in enumerate(found.groups()))
 
-    ``*`` stands for any version part, and for a whole vendor, name or format.
+
+def mask(criterion: tuple[str, ...]) -> tuple[bool, ...]:
+    """Which parts of a criterion are ``*``."""
+    return tuple(x == "*" for x in criterion)
+
+
+def form(parts: Sequence[str]) -> str:
+    """A criterion, or a key some parts of which are masked, as one text."""
+    return "/".join(parts)
+
+
+def forms(schema: Column, masks: Sequence[tuple[bool, ...]]) -> Column:
+    """Array of the forms that a schema key takes under each of the masks; null where the text is no schema key.
+
+    A key meets a criterion if its form under the criterion's mask is the criterion: one lookup for each mask that
+    occurs (8 with the version alone, 64 at most), however many criteria there are.
     """
-    if not criteria:
-        return None
-    out = []
-    for c in criteria:
-        if not c.startswith("iglu:") or c.count("/") != 3:
-            raise ValueError(f"not a schema criterion: {c}")
-        vendor, name, kind, numbers = c.removeprefix("iglu:").split("/")
-        numbers = numbers.split("-")
-        if len(numbers) != 3:
-            raise ValueError(f"not a schema criterion: {c}")
-        head = [r"[^/]+" if x == "*" else re.escape(x) for x in (vendor, name, kind)]
-        tail = [r"[0-9]+" if x == "*" else re.escape(x) for x in numbers]
-        out.append("iglu:" + "/".join(head) + "/" + "-".join(tail))
-    return "^(?:" + "|".join(out) + ")$"
-
-
-def is_skipped(schema: Column, criteria: Sequence[str]) -> Column:
-    """Whether a schema key meets one of the criteria."""
-    pattern = criteria_pattern(criteria)
-    return schema.rlike(pattern) if pattern else F.lit(False)
+    key = parts(schema)
+    each = [F.concat_ws("/", *[F.lit("*") if hidden else key[p].cast("string") for p, hidden in zip(PARTS, m, strict=True)]) for m in masks]
+    return F.when(key.isNotNull(), F.array(*each))

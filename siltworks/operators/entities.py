@@ -40,8 +40,18 @@ def inventory(parsed: DataFrame) -> DataFrame:
 
 
 def without_skipped(used: DataFrame, criteria: Sequence[str]) -> DataFrame:
-    """Rows of entities() or distinct_keys() whose schema meets none of the criteria."""
-    return used.where(~F.coalesce(keys.is_skipped(F.col("schema"), criteria), F.lit(False)))
+    """Rows with a ``schema`` that meets none of the criteria.
+
+    Each distinct schema looks its masked forms up in the table of criteria, which is broadcast if its bytes are few: the
+    plan is the same for one criterion and for very many.
+    """
+    if not criteria:
+        return used
+    stated = sorted({keys.criterion(c) for c in criteria})
+    table = used.sparkSession.createDataFrame([(keys.form(c),) for c in stated], "form string")
+    table = F.broadcast(table) if sum(len(keys.form(c)) + 40 for c in stated) <= BROADCAST_BYTES else table
+    looked = used.select("schema").distinct().select("schema", F.explode(keys.forms(F.col("schema"), sorted({keys.mask(c) for c in stated}))).alias("form"))
+    return used.join(looked.join(table, "form", "left_semi").select("schema").distinct(), "schema", "left_anti").select(used.columns)
 
 
 def resolve(used: DataFrame, registry: DataFrame) -> DataFrame:
@@ -65,44 +75,69 @@ class MissingSchema(Exception):
     """The strict mode found schemas that the registry lacks."""
 
 
+def signature() -> Column:
+    """All schemas that a parsed row uses, with the kind of entity before each: rows that use the same share one."""
+    unstruct = F.array(F.concat(F.lit("unstruct_event "), F.col("unstruct_event.schema")))
+    contexts = F.coalesce(F.transform("contexts", lambda c: F.concat(F.lit("contexts "), c["schema"])), F.array().cast("array<string>"))
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(unstruct, contexts))))
+
+
+def signatures(parsed: DataFrame, *by: str) -> DataFrame:
+    """(signature, by..., n): how many rows use the same schemas. Combined before the only shuffle."""
+    return parsed.groupBy(signature().alias("signature"), *by).agg(F.count(F.lit(1)).alias("n"))
+
+
 @dataclass(frozen=True)
 class Lookup:
-    """What the registry knows of a batch's schemas: those found, and some of those missing (for messages)."""
+    """What the registry lacks of a batch's schemas: the signatures that have one (None: there are none), and some of them.
+
+    Rows look their signature up in ``lacking`` by a join, a broadcast one up to FEW signatures: no list of schemas
+    becomes part of a plan.
+    """
+
+    lacking: DataFrame | None
+    absent: tuple[str, ...] = ()
+
+    def marked(self, rows: DataFrame, column: str) -> DataFrame:
+        """``rows`` with whether they use a schema that is neither known nor skipped."""
+        if self.lacking is None:
+            return rows.withColumn(column, F.lit(False))
+        theirs = self.lacking.select(F.col("signature").alias("_signature"), F.lit(True).alias("_lacks"))
+        return rows.join(theirs, signature() == F.col("_signature"), "left").withColumn(column, F.coalesce("_lacks", F.lit(False))).drop("_signature", "_lacks")
 
-    known: tuple[str, ...]
-    criteria: tuple[str, ...]
-    absent: tuple[str, ...]
 
-    def lacks(self, schema: Column) -> Column:
-        """Whether a schema key is neither known nor skipped."""
-        known = schema.isin(list(self.known)) if self.known else F.lit(False)
-        return F.coalesce(schema.isNotNull() & ~known & ~keys.is_skipped(schema, self.criteria), F.lit(False))
+#: Lacking signatures up to which they are broadcast.
+FEW = 10_000
 
 
 def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] = (), nullable_everywhere: bool = False) -> tuple[list[EntityColumn], Lookup]:
-    """(columns, lookup) for a batch.
+    """(columns, lookup) for a batch with these signatures (as signatures() gives them).
 
-    Collects the schemas in use that the registry has, and the registry's versions of their models: no more
-    rows than the registry holds, whatever strings events carry as schemas (20 of the missing ones at most).
-    Columns come from all versions of a model, so that they do not depend on what a batch happens to hold.
+    Collects the registry's versions of the models in use, and no more than FEW signatures with a schema that is
+    missing, whatever strings events carry as schemas. Columns come from all versions of a model, so that they do not
+    depend on what a batch happens to hold.
     """
-    used = used.distinct().persist()  # one pass over the events
+    spark = used.sparkSession
+    each = used.select("signature").distinct().select("signature", F.explode("signature").alias("e")).select("signature", F.split("e", " ", 2)[0].alias("kind"), F.split("e", " ", 2)[1].alias("schema"))
+    mine = without_skipped(each.select("kind", "schema").distinct(), criteria).select("kind", "schema", keys.parts(F.col("schema")).alias("k")).select("kind", "schema", "k.*").persist()  # one row for each schema in use
     try:
-        wanted = without_skipped(used, criteria)
-        found = resolve(wanted, registry).select("schema", F.col("schema_json").isNotNull().alias("known")).distinct()
-        known = tuple(sorted(r["schema"] for r in found.where("known").select("schema").collect()))
-        absent = tuple(r["schema"] for r in found.where("not known").orderBy("schema").limit(20).collect())
-        models = wanted.where("model is not null").select("kind", "vendor", "name", "model").distinct()
+        missing = resolve(mine, registry).where("schema_json is null").select("schema").distinct()
+        lacking = each.join(missing, "schema").groupBy("signature").agg(F.min("schema").alias("schema"))
+        few = lacking.limit(FEW + 1).collect()
+        models = mine.where("model is not null").select("kind", "vendor", "name", "model").distinct()
         versions = registry.where("format = 'jsonschema'").select("vendor", "name", F.split("version", "-")[0].cast("int").alias("model"), "version", "schema_json")
         versions = versions.withColumn("schema", F.concat(F.lit("iglu:"), "vendor", F.lit("/"), "name", F.lit("/jsonschema/"), "version"))
-        versions = without_skipped(versions, criteria).distinct()
-        groups: dict[tuple, list[tuple[str, str]]] = {}
-        for r in models.join(versions, ["vendor", "name", "model"]).collect():
-            groups.setdefault((r["kind"], r["vendor"], r["name"], r["model"]), []).append((r["version"], r["schema_json"]))
+        held = without_skipped(models.join(versions, ["vendor", "name", "model"]), criteria).distinct().collect()
     finally:
-        used.unpersist()
+        mine.unpersist()
+    groups: dict[tuple, list[tuple[str, str]]] = {}
+    for r in held:
+        groups.setdefault((r["kind"], r["vendor"], r["name"], r["model"]), []).append((r["version"], r["schema_json"]))
     columns = [c for k in sorted(groups) for c in plan(*k, groups[k], nullable_everywhere)]
-    return columns, Lookup(known, tuple(criteria), absent)
+    if not few:
+        return columns, Lookup(None)
+    known = F.broadcast(spark.createDataFrame([(r["signature"],) for r in few], "signature array<string>")) if len(few) <= FEW else lacking.select("signature")
+    return columns, Lookup(known, tuple(sorted({r["schema"] for r in few})[:20]))
 
 
 def column_names(parsed: DataFrame) -> DataFrame:
@@ -112,4 +147,4 @@ def column_names(parsed: DataFrame) -> DataFrame:
     return found.select(F.concat_ws("_", "kind", snake("vendor"), snake("name"), "model").alias("column_name")).distinct()
 
 
-__all__ = ["BROADCAST_BYTES", "Lookup", "MissingSchema", "column_names", "column_plan", "distinct_keys", "entities", "inventory", "missing", "normal", "resolve", "without_skipped"]
+__all__ = ["BROADCAST_BYTES", "Lookup", "MissingSchema", "column_names", "column_plan", "distinct_keys", "entities", "inventory", "missing", "normal", "resolve", "signature", "signatures", "without_skipped"]

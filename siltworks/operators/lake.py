@@ -1,8 +1,9 @@
 """Lake tables: create, append, read back, compact.
 
-``parquet`` is complete. Each batch has a folder, in it one folder per version of the batch; the newest one that
-is finished counts, so a batch that is written again, or compacted, is replaced in one step. The columns of all
-batches are kept beside them, so that a reader opens no footers to learn them. Delta, Iceberg and Hudi go through
+``parquet`` is complete. Each load date has one small list of its files, with their batches, sizes and bounds of times; a
+batch that is written again, and files that are merged, are replaced by the next list, in one step. Readers and
+compaction look at the lists of the dates they need, whatever the table's history. The columns of all batches are kept
+beside them, so that a reader opens no footers to learn them. Delta, Iceberg and Hudi go through
 their own Spark writers, whose jars must be on the session's class path; those paths are thin and have not been run
 where the jars are absent.
 """
@@ -11,10 +12,13 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import UTC, date, datetime, timedelta
+from functools import partial
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,17 +88,107 @@ def _remember(spark: SparkSession, table: LakeTable, schema: T.StructType) -> No
         spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{table.location}/_schema/n={n}")
 
 
-def versions(spark: SparkSession, table: LakeTable) -> dict[int, str]:
-    """Batch -> the folder of its newest finished version."""
-    out: dict[int, str] = {}
-    for x in sorted(_listed(spark, f"{table.location}/batches/batch_id=*/v=*/_SUCCESS"), key=lambda x: _number(x, "v")):
-        out[_number(x, "batch_id")] = x.removesuffix("/_SUCCESS")
-    return out
+@dataclass(frozen=True)
+class File:
+    """A file of a Parquet table: its batches, size, and the least and greatest value (µs) of each column of times."""
+
+    path: str
+    batches: tuple[int, ...]
+    bytes: int
+    rows: int
+    times: dict[str, tuple[int, int]]
+
+    @property
+    def partition(self) -> str:
+        """Folder of its event name."""
+        return self.path.split("/")[-2]
+
+    def may_hold(self, times: Mapping[str, tuple[datetime, datetime]]) -> bool:
+        """Whether a row with all of these times (from, to, both included) may be in it."""
+        return all(c in self.times and self.times[c][0] <= _micros(hi) and self.times[c][1] >= _micros(lo) for c, (lo, hi) in times.items())
+
+
+def _micros(t: datetime) -> int:
+    t = t if t.tzinfo else t.replace(tzinfo=UTC)
+    return (t - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
+
+
+def _list_folder(table: LakeTable, day: str) -> str:
+    return f"{table.location}/files/load_tstamp_date={day}"
+
+
+def _lists(spark: SparkSession, table: LakeTable, day: str) -> list[int]:
+    return sorted(int(x.rsplit("/", 1)[-1].removesuffix(".json")) for x in _listed(spark, f"{_list_folder(table, day)}/*.json"))
+
+
+def _files(spark: SparkSession, table: LakeTable, day: str, numbers: list[int] | None = None) -> list[File]:
+    """Files of a load date, by the newest list that was written to its end."""
+    for n in reversed(_lists(spark, table, day) if numbers is None else numbers):
+        fs, path = _path(spark, f"{_list_folder(table, day)}/{n:08d}.json")
+        stream = fs.open(path)
+        try:
+            lines = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+        finally:
+            stream.close()
+        if lines and lines[-1] == "end":
+            found = [json.loads(x) for x in lines[:-1]]
+            return [File(x["path"], tuple(x["batches"]), x["bytes"], x["rows"], {c: tuple(v) for c, v in x["times"].items()}) for x in found]
+    return []
+
+
+def days(spark: SparkSession, table: LakeTable, since: date | None = None, until: date | None = None) -> list[str]:
+    """Load dates that the table has files of, within both bounds."""
+    found = [x.rsplit("=", 1)[-1] for x in _listed(spark, f"{table.location}/files/load_tstamp_date=*")]
+    return [d for d in found if (since is None or d >= str(since)) and (until is None or d <= str(until))]
+
+
+def files(spark: SparkSession, table: LakeTable, since: date | None = None, until: date | None = None, times: Mapping[str, tuple[datetime, datetime]] | None = None) -> list[File]:
+    """Files of load dates from ``since`` to ``until`` that may hold rows with such ``times``: one small list a date is read."""
+    return [f for d in days(spark, table, since, until) for f in _files(spark, table, d) if f.may_hold(times or {})]
 
 
-def _new_version(spark: SparkSession, table: LakeTable, batch_id: int) -> str:
-    old = versions(spark, table).get(batch_id)
-    return f"{table.location}/batches/batch_id={batch_id}/v={_number(old, 'v') + 1 if old else 0}"
+def parts(spark: SparkSession, table: LakeTable) -> list[str]:
+    """Folders of a Parquet table's data, those that no list has included."""
+    return [x.rsplit("/", 1)[-1] for x in _listed(spark, f"{table.location}/data/part=*")]
+
+
+def _commit(spark: SparkSession, table: LakeTable, day: str, change: Callable[[list[File]], list[File]]) -> None:
+    """Replace the list of a date in one step. If another writer was first, ``change`` is made to what that one wrote."""
+    for _ in range(100):
+        numbers = _lists(spark, table, day)
+        after = change(_files(spark, table, day, numbers))
+        text = "".join(json.dumps({"path": f.path, "batches": f.batches, "bytes": f.bytes, "rows": f.rows, "times": f.times}) + "\n" for f in after) + "end\n"
+        fs, path = _path(spark, f"{_list_folder(table, day)}/{numbers[-1] + 1 if numbers else 0:08d}.json")
+        try:
+            stream = fs.create(path, False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e.java_exception):
+                continue
+            raise
+        stream.write(text.encode())
+        stream.close()
+        return
+    raise RuntimeError(f"{table.location}: other writers were always first")
+
+
+def _written(df: DataFrame, table: LakeTable, part: str, batches: dict[str, tuple[int, ...]] | tuple[int, ...]) -> dict[str, list[File]]:
+    """Write ``df`` as a part of the table that no list has yet; load date -> its files.
+
+    Sizes and bounds are read back from the files' columns of times, one row for each file.
+    """
+    spark, data = df.sparkSession, f"{table.location}/data"
+    df.write.mode("overwrite").partitionBy(*PARTITIONS).options(**table.options).parquet(f"{data}/part={part}")
+    stats = [c for c in STATS_COLUMNS if c in df.columns]
+    back = spark.read.schema(T.StructType([f for f in df.schema if f.name in stats or f.name in PARTITIONS])).parquet(f"{data}/part={part}")
+    bounds = [F.unix_micros(f(F.col(c).cast("timestamp"))).alias(f"{n}_{c}") for c in stats for n, f in (("min", F.min), ("max", F.max))]
+    seen = back.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
+    out: dict[str, list[File]] = {}
+    for r in seen.orderBy("path").collect():
+        path = "part=" + r["path"].split("/part=")[-1]
+        times = {c: (r[f"min_{c}"], r[f"max_{c}"]) for c in stats if r[f"min_{c}"] is not None}
+        of = batches if isinstance(batches, tuple) else batches[path.split("/")[-2]]
+        out.setdefault(path.split("/")[1].split("=", 1)[1], []).append(File(path, of, r["bytes"], r["rows"], times))
+    return out
 
 
 def _columns(schema: T.StructType) -> str:
@@ -153,6 +247,12 @@ def _conflict(e: Exception) -> bool:
     return "Concurrent" in type(e).__name__ or "Concurrent" in str(e)[:500]
 
 
+def _replaced(batch_id: int, new: list[File], old: list[File]) -> list[File]:
+    if any(batch_id in f.batches and len(f.batches) > 1 for f in old):
+        raise ValueError(f"batch {batch_id} was merged with others and cannot be written again")
+    return [f for f in old if batch_id not in f.batches] + new
+
+
 def append(df: DataFrame, table: LakeTable, batch_id: int) -> None:
     """One commit of one batch. A batch that is appended again replaces itself (Parquet), or is left out the second
     time (Delta, Iceberg). Hudi appends it again.
@@ -163,7 +263,10 @@ def append(df: DataFrame, table: LakeTable, batch_id: int) -> None:
             if table.format == "parquet":
                 spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
                 _remember(spark, table, T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]))
-                df.write.mode("overwrite").partitionBy(*PARTITIONS).options(**table.options).parquet(_new_version(spark, table, batch_id))
+                before = [x.rsplit("=", 1)[-1] for x in _listed(spark, f"{table.location}/data/part=b{batch_id}-*/load_tstamp_date=*")]
+                new = _written(df, table, f"b{batch_id}-{uuid.uuid4().hex}", (batch_id,))
+                for day in sorted({*new, *before}):
+                    _commit(spark, table, day, partial(_replaced, batch_id, new.get(day, [])))
             elif table.format == "delta":
                 own = {"txnAppId": "siltworks", "txnVersion": str(batch_id), "mergeSchema": "true"}
                 df.write.format("delta").mode("append").options(**own, **table.options).save(table.location)
@@ -181,27 +284,30 @@ def append(df: DataFrame, table: LakeTable, batch_id: int) -> None:
                 raise
 
 
-def read(spark: SparkSession, table: LakeTable) -> DataFrame:
+def read(spark: SparkSession, table: LakeTable, since: date | None = None, until: date | None = None, times: Mapping[str, tuple[datetime, datetime]] | None = None) -> DataFrame:
     """The table with all columns that any commit has brought.
 
-    Parquet: ``load_tstamp_date`` and ``event_name`` come back from the paths; an empty name is null.
+    Parquet: ``load_tstamp_date`` and ``event_name`` come back from the paths; an empty name is null. Load dates outside
+    ``since`` and ``until`` are not listed, and files whose bounds exclude ``times`` are not opened; rows of the other
+    files are not filtered. The other formats do both by themselves from a ``where``.
     """
     if table.format == "parquet":
-        schema, folders = stored_schema(spark, table), versions(spark, table)
-        if not folders:
+        schema, found = stored_schema(spark, table), files(spark, table, since, until, times)
+        if not found:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).option("basePath", f"{table.location}/batches").parquet(*folders.values()).drop("v")
+        return spark.read.schema(schema).option("basePath", f"{table.location}/data").parquet(*[f"{table.location}/data/{f.path}" for f in found]).drop("part")
     if table.format == "iceberg":
         return spark.table(table.location)
     return spark.read.format(table.format).load(table.location)
 
 
 def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100 << 20, target: int = 500 << 20, below_batch: int | None = None) -> int:
-    """Rewrite small files of partitions loaded on or after ``since``; returns how many batches changed.
+    """Merge small files of partitions loaded on or after ``since``; returns how many batches changed.
 
-    Parquet: a batch with several small files in one partition is written anew, as a whole, to files of about
-    ``target`` bytes; the new version counts once it is finished, and maintain() removes the old one. Files are
-    found by listing, not by reading. Only batches below ``below_batch`` (those committed) are touched.
+    Parquet: the small files of a date and event name, of whichever batches, become as few as files of ``target`` bytes
+    allow, neighbours in time together. They are planned by the lists of these dates, without listing or opening any,
+    and each date is switched in one step. Only batches below ``below_batch`` (those committed) are touched, so it can run
+    beside a load; maintain() removes what was replaced.
     """
     if table.format == "delta":
         spark.sql(f"OPTIMIZE delta.`{table.location}` WHERE load_tstamp_date >= '{since}'")
@@ -211,37 +317,66 @@ def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100
         return 0
     if table.format == "hudi":
         raise ValueError("Hudi clusters inline: set hoodie.clustering.inline in the write options")
-    folders = {k: v for k, v in versions(spark, table).items() if below_batch is None or k < below_batch}
-    if not folders:
-        return 0
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(list(folders.values())).select("path", "length")
-    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]*)/", 1)
-    files = files.where(part("load_tstamp_date").try_cast("date") >= F.lit(since)).select(part("batch_id").cast("long").alias("batch_id"), F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "length")
-    crowded = files.where(F.col("length") < small).groupBy("batch_id", "folder").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("batch_id").distinct()
-    sizes = files.groupBy("batch_id").agg(F.sum("length").alias("bytes")).join(crowded, "batch_id").collect()  # one row per batch
-    schema = stored_schema(spark, table)
-    for r in sizes:
-        old = folders[r["batch_id"]]
-        rows = spark.read.schema(schema).option("basePath", old).parquet(old)
-        rows = rows.repartitionByRange(max(1, -(-r["bytes"] // target)), *PARTITIONS).sortWithinPartitions("event_name", "collector_tstamp")
-        rows.write.mode("overwrite").partitionBy(*PARTITIONS).parquet(_new_version(spark, table, r["batch_id"]))
-    return len(sizes)
+    schema, changed = stored_schema(spark, table), set()
+    for day in days(spark, table, since):
+        groups: list[list[File]] = []
+        crowded: dict[str, list[File]] = {}
+        for f in _files(spark, table, day):
+            if f.bytes < small and (below_batch is None or max(f.batches) < below_batch):
+                crowded.setdefault(f.partition, []).append(f)
+        for mine in crowded.values():
+            n = max(1, -(-sum(f.bytes for f in mine) // target))
+            if n < len(mine):
+                groups += _packed(mine, n)
+        if not groups:
+            continue
+        number = spark.createDataFrame([(f.path, k) for k, g in enumerate(groups) for f in g], "_path string, _group int")  # one row for each small file of a day
+        data = f"{table.location}/data"
+        rows = spark.read.schema(schema).option("basePath", data).parquet(*[f"{data}/{f.path}" for g in groups for f in g]).drop("part")
+        rows = rows.withColumn("_path", F.concat(F.lit("part="), F.element_at(F.split("_metadata.file_path", "/part="), -1))).join(F.broadcast(number), "_path")
+        rows = rows.repartitionById(len(groups), "_group").drop("_path", "_group").sortWithinPartitions("event_name", "collector_tstamp")
+        of = {p: tuple(sorted({b for g in groups for f in g if f.partition == p for b in f.batches})) for p in crowded}
+        new = _written(rows, table, f"m-{uuid.uuid4().hex}", of)
+        old = {f.path for g in groups for f in g}
+        try:
+            _commit(spark, table, day, partial(_merged, old, new.get(day, [])))
+        except LookupError:
+            continue  # a batch was written again meanwhile; what was merged is in no list, and maintain() removes it
+        changed |= {b for g in groups for f in g for b in f.batches}
+    return len(changed)
+
+
+def _packed(mine: list[File], n: int) -> list[list[File]]:
+    """``n`` groups of files next to each other in time, of about the same bytes; groups of one file are left out."""
+    total, at, out = sum(f.bytes for f in mine), 0, [[] for _ in range(n)]
+    for f in sorted(mine, key=lambda f: (f.times.get("collector_tstamp", (0, 0)), f.path)):
+        out[min(n - 1, at * n // max(1, total))].append(f)
+        at += f.bytes
+    return [g for g in out if len(g) > 1]
+
+
+def _merged(old: set[str], new: list[File], held: list[File]) -> list[File]:
+    if not old <= {f.path for f in held}:
+        raise LookupError("a merged file is gone")
+    return [f for f in held if f.path not in old] + new
 
 
 def maintain(spark: SparkSession, table: LakeTable, keep_hours: int = 168) -> None:
     """Remove what old commits have left behind, by the format's own means.
 
-    Parquet: versions that a newer one has replaced at least ``keep_hours`` ago, and those never finished before it.
+    Parquet: parts of at least ``keep_hours`` that no list has, replaced or never finished, and lists but the last two.
     """
     if table.format == "parquet":
         fs, _ = _path(spark, table.location)
         to_path = spark._jvm.org.apache.hadoop.fs.Path
-        for folder in versions(spark, table).values():
-            done = fs.getFileStatus(to_path(f"{folder}/_SUCCESS")).getModificationTime() / 1000
-            if done <= time.time() - keep_hours * 3600:
-                for other in _listed(spark, f"{folder.rsplit('/', 1)[0]}/v=*"):
-                    if _number(other, "v") < _number(folder, "v"):
-                        fs.delete(to_path(other), True)
+        old = lambda x: fs.getFileStatus(to_path(x)).getModificationTime() / 1000 <= time.time() - keep_hours * 3600
+        live = {f.path.split("/")[0] for f in files(spark, table)}
+        for part in parts(spark, table):
+            if part not in live and old(at := f"{table.location}/data/{part}"):
+                fs.delete(to_path(at), True)
+        for day in days(spark, table):
+            for n in _lists(spark, table, day)[:-2]:
+                fs.delete(to_path(f"{_list_folder(table, day)}/{n:08d}.json"), False)
         return
     if table.format == "delta":
         spark.sql(f"VACUUM delta.`{table.location}` RETAIN {keep_hours} HOURS")

@@ -25,54 +25,68 @@ def _versioned(item: Column, c: js.EntityColumn) -> Column:
         body = F.regexp_replace(item["data"], r"\s*\}\s*$", "")
         comma = F.when(body.rlike(r"^\s*\{\s*$"), "").otherwise(",")
         return F.when(item["data"].rlike(r"\}\s*$"), F.concat(body, comma, F.lit('"_schema_version":"'), version, F.lit('"}'))).otherwise(item["data"])
-    data = js.typed(item["data"], c.type)
+    data = js.taken(item["v"], item["data"], c.type)
     return F.struct(version.alias("_schema_version"), *[data[js.normal(f.name)].alias(js.normal(f.name)) for f in c.type.fields])
 
 
 def value(c: js.EntityColumn) -> Column:
-    """The column's value of a parsed row: null unless the row has the entity in one of its versions."""
+    """The column's value of a judged row: null unless the row has the entity in one of its versions."""
     if c.kind == "unstruct_event":
-        return F.when(_is(F.col("unstruct_event.schema"), c), js.typed(F.col("unstruct_event.data"), c.type))
+        return F.when(_is(F.col("unstruct_event.schema"), c), js.taken(F.col("unstruct_event.v"), F.col("unstruct_event.data"), c.type))
     items = F.filter("contexts", lambda x: _is(x["schema"], c))
     return F.when(F.size(items) > 0, F.transform(items, lambda x: _versioned(x, c)))
 
 
+def _read(rows: DataFrame, columns: Sequence[js.EntityColumn]) -> DataFrame:
+    """``rows`` with the JSON of each typed entity parsed, once, beside its text: the variant ``v``."""
+    schemas = {kind: [f"iglu:{c.vendor}/{c.name}/jsonschema/{x}" for c in columns if c.kind == kind and c.type.kind != "json" for x in c.versions] for kind in ("unstruct_event", "contexts")}
+
+    def entity(e: Column, kind: str) -> Column:
+        v = F.try_parse_json(F.when(e["schema"].isin(schemas[kind]), e["data"])) if schemas[kind] else F.lit(None).cast("variant")
+        return F.struct(e["schema"].alias("schema"), e["data"].alias("data"), v.alias("v"))
+
+    unstruct = F.col("unstruct_event")
+    parsed = {"unstruct_event": F.when(unstruct["schema"].isNotNull(), entity(unstruct, "unstruct_event")), "contexts": F.transform("contexts", lambda x: entity(x, "contexts"))}
+    return once(rows.withColumns(parsed), list(parsed))
+
+
 def _misfit(c: js.EntityColumn) -> Column:
     """Message where the row's data does not fit the column's type, else null."""
     if c.type.kind == "json":
         return F.lit(None).cast("string")
-    ok = lambda data: js.bound(F.try_parse_json(data), lambda v: js.fits(v, c.type))
+    ok = lambda v: js.bound(v, lambda x: js.fits(x, c.type))
     if c.kind == "unstruct_event":
-        wrong = _is(F.col("unstruct_event.schema"), c) & ~ok(F.col("unstruct_event.data"))
+        wrong = _is(F.col("unstruct_event.schema"), c) & ~ok(F.col("unstruct_event.v"))
     else:
-        wrong = F.exists("contexts", lambda x: _is(x["schema"], c) & ~ok(x["data"]))
+        wrong = F.exists("contexts", lambda x: _is(x["schema"], c) & ~ok(x["v"]))
     return F.when(wrong, f"{c.column}: data does not fit its schema")
 
 
 def failures(columns: Sequence[js.EntityColumn]) -> Column:
-    """Array of messages of a parsed row; empty if all of its entities fit."""
+    """Array of messages of a row whose JSON was read; empty if all of its entities fit."""
     if not columns:
         return F.array().cast("array<string>")
     return F.array_compact(F.array(*[_misfit(c) for c in columns]))
 
 
-def has_missing(lookup: Lookup | None) -> Column:
-    """Whether a parsed row uses a schema that the registry lacks."""
-    if lookup is None:
-        return F.lit(False)
-    return lookup.lacks(F.col("unstruct_event.schema")) | F.coalesce(F.exists("contexts", lambda x: lookup.lacks(x["schema"])), F.lit(False))
-
+def judged(rows: DataFrame, columns: Sequence[js.EntityColumn], lookup: Lookup | None = None) -> DataFrame:
+    """Parsed rows with ``kind`` and ``failure``, both null where the row can be loaded.
 
-def judged(good: DataFrame, columns: Sequence[js.EntityColumn], lookup: Lookup | None = None) -> DataFrame:
-    """Good parsed rows with ``kind`` and ``failure``, both null where the row can be loaded."""
-    checked = once(good.select("*", has_missing(lookup).alias("_missing"), failures(columns).alias("_found")), ["_missing", "_found"])
+    Rows may have parse ``errors`` still; they fail with kind ``parsing``. JSON data is parsed once here, and the typed
+    columns are taken from it later.
+    """
+    out = [c for c in rows.columns if c != "errors"]
+    unread = F.size("errors") > 0 if "errors" in rows.columns else F.lit(False)
+    message = F.array_join("errors", "; ") if "errors" in rows.columns else F.lit(None).cast("string")
+    marked = (lookup or Lookup(None)).marked(rows, "_missing")
+    checked = once(_read(marked, columns).select("*", failures(columns).alias("_found")), ["_found"])
     absent_, wrong = F.col("_missing"), F.size("_found") > 0
-    kind = F.when(absent_, "schema_missing").when(wrong, "transform").alias("kind")
-    failure = F.when(absent_, "schema not in the registry").when(wrong, F.array_join("_found", "; ")).alias("failure")
-    return checked.select(*good.columns, kind, failure)
+    kind = F.when(unread, "parsing").when(absent_, "schema_missing").when(wrong, "transform").alias("kind")
+    failure = F.when(unread, message).when(absent_, "schema not in the registry").when(wrong, F.array_join("_found", "; ")).alias("failure")
+    return checked.select(*out, kind, failure)
 
 
 def shredded(judged_rows: DataFrame, columns: Sequence[js.EntityColumn], keep: Sequence[str] = ()) -> DataFrame:
     """The loadable rows: atomic fields, then one typed column for each of ``columns``. One select."""
-    atomic = [c for c in judged_rows.columns if c not in {"payload", "unstruct_event", "contexts", "kind", "failure", "errors", *keep}]
+    atomic = [c for c in judged_rows.columns if c not in {"payload", "payload_bytes", "unstruct_event", "contexts", "kind", "failure", "errors", *keep}]
     return judged_rows.where("kind is null").select(*keep, *atomic, *[value(c).alias(c.column) for c in columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
-from datetime import UTC, date, datetime
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.atomic import ATOMIC, bad, good, parse_lines
 from ..operators import bad_rows, entities, lake, layout, metrics, shred
 from ..sources import feed as raw
-from ..sources import streams
+from ..sources import requests, shards, streams
 from ..streaming import loader
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,10 +88,16 @@ def ntz(c: str):
     return F.col(c).cast("timestamp_ntz")
 
 
+_held: list[DataFrame] = []
+
+
 def judged(spark: SparkSession, sf_dir: str, skip: tuple[str, ...] = (), registry: DataFrame | None = None, nullable: bool = False):
-    """(judged rows, columns, lookup) of the whole feed."""
-    rows = good(parsed(spark, sf_dir))
-    columns, lookup = entities.column_plan(entities.distinct_keys(rows), registry if registry is not None else raw.registry(spark), skip, nullable)
+    """(judged rows, columns, lookup) of the whole feed. Lines are parsed once; the rows are kept until the next call."""
+    while _held:
+        _held.pop().unpersist()
+    rows = good(parsed(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    _held.append(rows)
+    columns, lookup = entities.column_plan(entities.signatures(rows), registry if registry is not None else raw.registry(spark), skip, nullable)
     return shred.judged(rows, columns, lookup), columns, lookup
 
 
@@ -137,8 +143,36 @@ SKIP = ("iglu:com.acme/action/jsonschema/1-0-*", "iglu:*/free-form/*/*-*-*")
 
 @query("skip_schemas", "SELECT kind, vendor, name, version, count(*) AS n FROM parts WHERE NOT (name = 'action' AND version LIKE '1-0-%') AND name <> 'free-form' GROUP BY ALL")
 def skip_schemas(spark, sf_dir):
-    left = entities.without_skipped(entities.entities(good(parsed(spark, sf_dir))), SKIP)
-    return left.groupBy("kind", "vendor", "name", F.concat_ws("-", "model", "revision", "addition").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+    return counted(entities.without_skipped(schema_counts(spark, sf_dir), SKIP))
+
+
+def schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, schema, parts, n): entities of the feed by schema."""
+    found = entities.entities(good(parsed(spark, sf_dir)))
+    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted(found: DataFrame) -> DataFrame:
+    return found.groupBy("kind", "vendor", "name", F.concat_ws("-", "model", "revision", "addition").alias("version")).agg(F.sum("n").alias("n"))
+
+
+#: 10,000 criteria: all but a few meet nothing; they have all eight forms of a version, and whole parts.
+MANY = (*SKIP, *(f"iglu:com.v{i % 500}/n{i}/jsonschema/{'*' if i & 1 else i}-{'*' if i & 2 else 0}-{'*' if i & 4 else 0}" for i in range(10_000)), "iglu:com.acme/user/jsonschema/2-*-1")
+
+
+@query("skip_schemas_many", "SELECT kind, vendor, name, version, count(*)::BIGINT AS n FROM parts WHERE NOT (name = 'action' AND version LIKE '1-0-%') AND name <> 'free-form' GROUP BY ALL")
+def skip_schemas_many(spark, sf_dir):
+    """The same schemas skipped by a list of 10,000 criteria."""
+    return counted(entities.without_skipped(schema_counts(spark, sf_dir), MANY))
+
+
+@query("registry_large", "SELECT event_id, CASE WHEN u = 'unknown' THEN 'schema_missing' END AS kind FROM feed WHERE good AND coalesce(u <> 'oops', true)")
+def registry_large(spark, sf_dir):
+    """Missing schemas against a registry of 50,000: rows look up what they use, the plan names no schema."""
+    i = F.col("id").cast("string")
+    more = spark.range(50_000).select(F.concat(F.lit("com.v"), i).alias("vendor"), F.lit("thing").alias("name"), F.lit("jsonschema").alias("format"), F.lit("1-0-0").alias("version"), F.lit('{"type":"object"}').alias("schema_json"))
+    rows, _, _ = judged(spark, sf_dir, (), raw.registry(spark).unionByName(more))
+    return rows.where("kind is null or kind = 'schema_missing'").select("event_id", "kind")
 
 
 @query("resolve_schemas", "SELECT DISTINCT kind, vendor, name, version, vendor = 'com.acme' AS known FROM parts")
@@ -154,8 +188,7 @@ def missing_schema_rows(spark, sf_dir):
 
 @query("missing_schema_report", "SELECT kind, 'iglu:' || vendor || '/' || name || '/jsonschema/' || version AS schema, count(*) AS n_entities FROM parts WHERE vendor = 'com.unknown' GROUP BY ALL")
 def missing_schema_report(spark, sf_dir):
-    used = entities.entities(good(parsed(spark, sf_dir))).groupBy("kind", "schema", "vendor", "name", "format", "model", "revision", "addition").agg(F.count(F.lit(1)).alias("n_entities"))
-    return entities.missing(used, raw.registry(spark)).select("kind", "schema", "n_entities")
+    return entities.missing(schema_counts(spark, sf_dir), raw.registry(spark)).select("kind", "schema", F.col("n").alias("n_entities"))
 
 
 # --- shredding
@@ -234,6 +267,36 @@ def bad_rows_capped(spark, sf_dir):
     return parts[0].unionAll(parts[1])
 
 
+@query("bad_rows_undecodable", "SELECT count(*) AS n, sum(strlen(line) + 1)::BIGINT AS bytes, sum(length(line) + 1)::BIGINT AS chars, true AS replaced FROM feed WHERE event_id % 53 = 3")
+def bad_rows_undecodable(spark, sf_dir):
+    """Lines that are not UTF-8 keep their payload, with U+FFFD for the bytes that cannot be read, and count with all bytes."""
+    line = F.col("line").cast("binary")
+    lines = raw.feed(spark, sf_dir, "event_id").select(F.when(F.pmod("event_id", F.lit(53)) == 3, F.concat(line, F.unhex(F.lit("FF")))).otherwise(line).alias("value"))
+    failed = parse_lines(lines, value_col="value").where(F.array_contains("errors", "not valid UTF-8"))
+    return failed.agg(F.count(F.lit(1)).alias("n"), F.sum("payload_bytes").cast("long").alias("bytes"), F.sum(F.length("payload")).alias("chars"), F.every(F.endswith("payload", F.lit("\ufffd"))).alias("replaced"))
+
+
+@query("bad_rows_requests", "SELECT CASE WHEN NOT good THEN 'parsing' WHEN u = 'unknown' THEN 'schema_missing' ELSE 'transform' END AS kind, count(*) AS n, true AS in_bounds, true AS many FROM feed WHERE NOT loaded GROUP BY 1")
+def bad_rows_requests(spark, sf_dir):
+    """Failed events of a load in requests of bounded records and bytes; a batch that is loaded twice is sent once."""
+    at = scratch(spark)
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", value_col="line", bad_requests=True, write_partitions=PARTS)
+    lake.create(spark, load.table)
+    lines = raw.feed(spark, sf_dir, "event_id")
+    for k in (0, 1, 1):
+        loader.load_batch(lines.where(F.pmod("event_id", F.lit(2)) == k).drop("event_id").repartition(3), k, load)
+    return in_requests(spark, load.bad_location)
+
+
+def in_requests(spark: SparkSession, at: str, **bounds: int) -> DataFrame:
+    records, most_bytes = bounds.get("max_records", requests.MAX_RECORDS), bounds.get("max_bytes", requests.MAX_BYTES)
+    sizes = requests.sent(spark, at).agg(F.max("records").alias("records"), F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"), F.sum("records").alias("all"))
+    ok = sizes.select(((F.col("records") <= records) & (F.col("bytes") <= most_bytes)).alias("in_bounds"), (F.col("n") * records >= F.col("all")).alias("many"))
+    kind = F.get_json_object("record", "$.failure.kind")
+    held = requests.sent_records(spark, at).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return held.crossJoin(F.broadcast(ok))  # one row
+
+
 # --- lake tables
 
 
@@ -250,11 +313,8 @@ def written(spark: SparkSession, sf_dir: str, parts: int = PARTS) -> lake.LakeTa
     t = table(spark)
     lake.create(spark, t)
     rows, columns, _ = judged(spark, sf_dir)
-    rows = rows.where("kind is null").persist(StorageLevel.MEMORY_AND_DISK)  # for sampling the ranges, and for the write
-    try:
-        lake.append(layout.stamped(shred.shredded(layout.laid_out(rows, parts), columns), STAMP), t, 0)
-    finally:
-        rows.unpersist()
+    counts = _held[-1].groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))  # of the parsed rows, which are kept
+    lake.append(layout.stamped(shred.shredded(layout.laid_out(rows.where("kind is null"), parts, counts), columns), STAMP), t, 0)
     return t
 
 
@@ -302,6 +362,64 @@ def lake_time_range_scan(spark, sf_dir):
     return held.groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+FIRST, SPLITS = datetime(2024, 1, 1, tzinfo=UTC), 10
+#: Two days of the thirty or so that the events lie on.
+TWO_DAYS = (datetime(2024, 1, 8, tzinfo=UTC), datetime(2024, 1, 9, 23, 59, 59, 999999, tzinfo=UTC))
+
+
+def by_arrival(spark: SparkSession, sf_dir: str, stamp: Callable[[int], datetime]) -> lake.LakeTable:
+    """The feed in ten batches, each of three days of events, loaded at ``stamp(k)``."""
+    t = table(spark)
+    lake.create(spark, t)
+    rows, columns, _ = judged(spark, sf_dir)
+    rows = rows.where("kind is null")
+    for k in range(SPLITS):
+        begin = F.lit(FIRST + timedelta(days=3 * k))
+        mine = rows.where((F.col("collector_tstamp") >= begin) if k else F.lit(True)).where((F.col("collector_tstamp") < F.lit(FIRST + timedelta(days=3 * k + 3))) if k < SPLITS - 1 else F.lit(True))
+        lake.append(layout.stamped(shred.shredded(layout.laid_out(mine, 2), columns), stamp(k)), t, k)
+    return t
+
+
+@query("lake_file_skipping", "SELECT true AS few_files, count(*) AS n_rows FROM feed WHERE loaded AND ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts <= TIMESTAMP '2024-01-09 23:59:59.999999'")
+def lake_file_skipping(spark, sf_dir):
+    """A range of two days of collector times: files whose bounds exclude it are left out before the scan."""
+    t = by_arrival(spark, sf_dir, lambda k: STAMP + timedelta(days=k))
+    held = lake.read(spark, t, times={"collector_tstamp": TWO_DAYS})
+    few = 3 * len(lake.files(spark, t, times={"collector_tstamp": TWO_DAYS})) < len(lake.files(spark, t))
+    return held.where(F.col("collector_tstamp").between(*map(F.lit, TWO_DAYS))).agg(F.lit(few).alias("few_files"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("lake_load_dates", "SELECT 3 AS n_dates, count(*) AS n_rows FROM feed WHERE loaded AND ts >= TIMESTAMP '2024-01-07' AND ts < TIMESTAMP '2024-01-16'")
+def lake_load_dates(spark, sf_dir):
+    """Three of ten load dates; the lists of the others are not read."""
+    t = by_arrival(spark, sf_dir, lambda k: STAMP + timedelta(days=k))
+    held = lake.read(spark, t, (STAMP + timedelta(days=2)).date(), (STAMP + timedelta(days=4)).date())
+    return held.agg(F.countDistinct("load_tstamp_date").cast("int").alias("n_dates"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("lake_compact_batches", "SELECT event_type AS event_name, count(*) AS n_rows, sum(event_id)::BIGINT AS ids, 10 AS n_changed, true AS packed FROM feed WHERE loaded GROUP BY 1")
+def lake_compact_batches(spark, sf_dir):
+    """Ten batches of one load date, five minutes apart: no more files than their bytes need, and one, for each name."""
+    t = by_arrival(spark, sf_dir, lambda k: STAMP + timedelta(minutes=5 * k))
+    target = 16 << 10
+    before = lake.files(spark, t)
+    changed = lake.compact(spark, t, STAMP.date(), small=target, target=target)
+    after = lake.files(spark, t)
+    packed = all(sum(f.partition == p for f in after) <= sum(f.bytes for f in before if f.partition == p) / target + 1 for p in {f.partition for f in before})
+    return lake.read(spark, t).groupBy("event_name").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"), F.lit(changed).alias("n_changed"), F.lit(packed).alias("packed"))
+
+
+@query("lake_maintain", "SELECT count(*) AS n_rows, 1 AS n_parts FROM feed WHERE loaded")
+def lake_maintain(spark, sf_dir):
+    """After compaction, maintenance leaves the merged part only, and every row in it."""
+    t = written(spark, sf_dir, 12)
+    lake.compact(spark, t, date(2024, 1, 1))
+    lake.maintain(spark, t, 0)
+    back = lake.read(spark, t).select(F.regexp_extract("_metadata.file_path", "part=([^/]*)", 1).alias("part"))
+    parts = len(lake.parts(spark, t))
+    return back.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(parts).alias("n_parts"))
+
+
 @query("load_stamp", "SELECT count(*) AS n_rows, 1 AS n_stamps, 1 AS n_dates, TIMESTAMP '2024-05-06 07:08:09.123456' AS stamp FROM feed WHERE loaded")
 def load_stamp(spark, sf_dir):
     back = lake.read(spark, written(spark, sf_dir))
@@ -310,10 +428,20 @@ def load_stamp(spark, sf_dir):
 
 @query("layout_balance", "SELECT 6 AS n_parts, count(*)::BIGINT AS n_rows, true AS balanced FROM feed WHERE loaded")
 def layout_balance(spark, sf_dir):
-    """Parts of the range layout, and whether each is within 1.5 times their mean."""
-    rows = judged(spark, sf_dir)[0].where("kind is null").select("event_name", "event_id")
+    """Parts of the layout, and whether each is within 1.2 times their mean."""
+    return balance(judged(spark, sf_dir)[0].where("kind is null").select("event_name", "event_id"))
+
+
+def balance(rows: DataFrame) -> DataFrame:
     sizes = layout.part_sizes(layout.laid_out(rows, 6))
-    return sizes.agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"), (F.max("n_rows") <= 1.5 * F.avg("n_rows")).alias("balanced"))
+    return sizes.agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"), (F.max("n_rows") <= 1.2 * F.avg("n_rows")).alias("balanced"))
+
+
+@query("layout_skewed", "SELECT 6 AS n_parts, count(*)::BIGINT AS n_rows, true AS balanced FROM feed WHERE good")
+def layout_skewed(spark, sf_dir):
+    """The same with 96 in 100 events of one name and the rest of names of their own."""
+    rows = good(parsed(spark, sf_dir)).select(F.when(F.pmod("event_id", F.lit(25)) != 0, "click").otherwise(F.concat(F.lit("n"), F.col("event_id").cast("string"))).alias("event_name"), "event_id")
+    return balance(rows)
 
 
 @query("layout_one_part", "SELECT 1 AS n_parts, count(*)::BIGINT AS n_rows FROM feed WHERE loaded")
@@ -323,11 +451,13 @@ def layout_one_part(spark, sf_dir):
     return layout.part_sizes(layout.laid_out(rows, layout.write_partitions(1))).agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"))
 
 
-@query("layout_write_partitions", "SELECT event_type AS event_name, greatest(1, ceil(sum(strlen(line)) / 65536.0))::BIGINT AS n_parts FROM feed GROUP BY 1")
+@query("layout_write_partitions", "SELECT greatest(1, ceil(sum(strlen(line)) / 65536.0))::BIGINT AS aimed_at, least(count(*) FILTER (good), greatest(1, ceil(sum(strlen(line)) / 65536.0)))::BIGINT AS n_parts, count(*) FILTER (good) AS n_rows FROM feed")
 def layout_write_partitions(spark, sf_dir):
-    """Files that the default number of write partitions aims at, by event name, for files of 64 KB."""
-    sizes = raw.feed(spark, sf_dir, "event_type").groupBy("event_type").agg(F.sum(F.octet_length("line")).alias("bytes"))
-    return sizes.select(F.col("event_type").alias("event_name"), layout.partitions_for(F.col("bytes"), 65_536).alias("n_parts"))
+    """The number of parts that the loader takes for so many bytes, for files of 64 KB, and those that rows are in."""
+    rows = parsed(spark, sf_dir)
+    n = layout.write_partitions(rows.agg(F.sum("payload_bytes")).first()[0], 65_536)
+    sizes = layout.part_sizes(layout.laid_out(good(rows).select("event_name", "event_id"), n))
+    return sizes.agg(F.lit(n).cast("long").alias("aimed_at"), F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"))
 
 
 @query("strict_schemas", "SELECT count(*) > 0 AS stopped, CASE WHEN count(*) > 0 THEN 0 ELSE (SELECT count(*) FROM feed WHERE loaded) END::BIGINT AS n_rows FROM feed WHERE good AND u = 'unknown'")
@@ -360,14 +490,30 @@ def window_columns(spark, sf_dir):
     return entities.column_names(good(parsed(spark, sf_dir)))
 
 
-def loaded_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loader's own metrics of four batches (by event_id), all at the time STAMP; ts is when the source got a line."""
-    at = scratch(spark)
-    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", value_col="line", source_ts_col="ts", write_partitions=PARTS, clock=lambda: STAMP)
+#: The clock of a load: batch k starts k hours after STAMP, less 1.5 seconds, and is committed k hours after it.
+TAKES = timedelta(milliseconds=1500)
+
+
+def timed_load(spark: SparkSession, sf_dir: str, at: str) -> tuple[loader.Load, DataFrame]:
+    """A load into ``at`` and the lines; ts is when the source got a line."""
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", value_col="line", source_ts_col="ts", write_partitions=PARTS, compact_every=None)
     lake.create(spark, load.table)
-    lines = raw.feed(spark, sf_dir, "event_id", "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    return load, raw.feed(spark, sf_dir, "event_id", "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def load_quarter(lines: DataFrame, k: int, load: loader.Load) -> None:
+    """Batch k of four, by event_id, with a clock that moves from its start to its commit."""
+    done = STAMP + timedelta(hours=k)
+    times = iter((done - TAKES, done))
+    load.clock = lambda: next(times)
+    loader.load_batch(lines.where(F.pmod("event_id", F.lit(4)) == k).drop("event_id"), k, load)
+
+
+def loaded_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loader's own metrics of four batches."""
+    load, lines = timed_load(spark, sf_dir, scratch(spark))
     for k in range(4):
-        loader.load_batch(lines.where(F.pmod("event_id", F.lit(4)) == k).drop("event_id"), k, load)
+        load_quarter(lines, k, load)
     return loader.read_metrics(spark, load)
 
 
@@ -377,13 +523,13 @@ batches AS (SELECT event_id % 4 AS batch_id, count(*) AS received, count(*) FILT
 """
 
 
-@query("batch_latencies", BATCHES + "SELECT batch_id, received, bad, committed, stream AS stream_latency_ms, 0::BIGINT AS processing_latency_ms, e2e AS e2e_latency_ms FROM batches")
+@query("batch_latencies", BATCHES + "SELECT batch_id, received, bad, committed, stream + batch_id * 3600000 AS stream_latency_ms, 1500::BIGINT AS processing_latency_ms, e2e + batch_id * 3600000 AS e2e_latency_ms FROM batches")
 def batch_latencies(spark, sf_dir):
-    """What the loader reports of each batch: counts, and the greatest latencies."""
+    """What the loader reports of each batch: counts, and the greatest latencies; each takes 1.5 seconds of its clock."""
     return loaded_metrics(spark, sf_dir).select("batch_id", "received", "bad", "committed", "stream_latency_ms", "processing_latency_ms", "e2e_latency_ms")
 
 
-@query("latency_report", BATCHES + "SELECT TIMESTAMP '2024-05-06' AS period_start, sum(received)::BIGINT AS received, sum(bad)::BIGINT AS bad, sum(committed)::BIGINT AS committed, max(stream) AS stream_latency_ms, 0::BIGINT AS processing_latency_ms, max(e2e) AS e2e_latency_ms FROM batches")
+@query("latency_report", BATCHES + "SELECT TIMESTAMP '2024-05-06' AS period_start, sum(received)::BIGINT AS received, sum(bad)::BIGINT AS bad, sum(committed)::BIGINT AS committed, max(stream + batch_id * 3600000) AS stream_latency_ms, 1500::BIGINT AS processing_latency_ms, max(e2e + batch_id * 3600000) AS e2e_latency_ms FROM batches")
 def latency_report(spark, sf_dir):
     return metrics.report(loaded_metrics(spark, sf_dir), 86_400).withColumn("period_start", ntz("period_start"))
 
@@ -392,7 +538,7 @@ def latency_report(spark, sf_dir):
 LIMIT_MS = 126 * 86_400_000
 
 
-@query("freshness_check", BATCHES + f"SELECT batch_id, e2e AS e2e_latency_ms FROM batches WHERE e2e > {LIMIT_MS}")
+@query("freshness_check", BATCHES + f"SELECT batch_id, e2e + batch_id * 3600000 AS e2e_latency_ms FROM batches WHERE e2e + batch_id * 3600000 > {LIMIT_MS}")
 def freshness_check(spark, sf_dir):
     return metrics.unhealthy(loaded_metrics(spark, sf_dir), LIMIT_MS).select("batch_id", "e2e_latency_ms")
 
@@ -471,3 +617,45 @@ def stream_bad_rows(spark, sf_dir):
     return loader.read_bad(spark, load).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("stream_bad_requests", "SELECT 'parsing' AS kind, count(*) AS n, true AS in_bounds, true AS many FROM feed WHERE NOT good")
+def stream_bad_requests(spark, sf_dir):
+    """A stream of failed lines to requests of at most 20 records and 4,096 bytes, in several batches, with a restart."""
+    at, bounds = scratch(spark), {"max_records": 20, "max_bytes": 4096}
+    raw.feed(spark, sf_dir).repartition(6).write.text(f"{at}/in")
+    for _ in range(2):
+        failed = bad(parse_lines(streams.files(spark, f"{at}/in", max_files=2), value_col="value"))
+        requests.start(bad_rows.records(failed, 2000), f"{at}/requests", f"{at}/checkpoint", None, **bounds).awaitTermination()
+    return in_requests(spark, f"{at}/requests", **bounds)
+
+
+FROM = datetime(2024, 1, 6, 12, tzinfo=UTC)
+
+
+@query("stream_source", "SELECT event_type AS event_name, count(*) AS n_rows, sum(event_id)::BIGINT AS ids FROM feed WHERE loaded AND ts >= TIMESTAMP '2024-01-06 12:00:00' GROUP BY 1")
+def stream_source(spark, sf_dir):
+    """A sharded log, loaded from a time on: the query is stopped after each batch and goes on, while the log grows."""
+    at = scratch(spark)
+    lines = raw.feed(spark, sf_dir, "event_id", "ts").withColumn("ts", F.col("ts").cast("timestamp"))
+    later = F.col("ts") >= F.lit(FROM + timedelta(days=10))
+    put = lambda rows, n: shards.append(rows, f"{at}/log", F.col("event_id"), F.col("ts"), F.col("line"), 4, n)
+    put(lines.where(~later), 0)
+    load = loader.Load(table(spark, f"{at}/lake"), raw.registry(spark), f"{at}/bad", f"{at}/metrics", source_ts_col="arrived", write_partitions=PARTS)
+    most = spark.read.parquet(f"{at}/log").count() // 3
+    for k in range(3):
+        limit = most if k < 2 else None
+        stream = shards.stream(spark, f"{at}/log", FROM.isoformat(), limit, f"{at}/checkpoint")
+        loader.start(stream, load, f"{at}/checkpoint", None).awaitTermination()
+        if k == 0:
+            put(lines.where(later), 1)
+    return by_event(spark, load)
+
+
+@query("stream_report", BATCHES + "SELECT TIMESTAMP '2024-05-06 07:00:00' + to_hours(CAST(batch_id AS INT)) AS period_start, received, bad, committed, stream + batch_id * 3600000 AS stream_latency_ms, 1500::BIGINT AS processing_latency_ms, e2e + batch_id * 3600000 AS e2e_latency_ms FROM batches WHERE batch_id < 3")
+def stream_report(spark, sf_dir):
+    """Hourly reports of a load, each written once when its hour is closed, by a streaming query that is restarted."""
+    at = scratch(spark)
+    load, lines = timed_load(spark, sf_dir, at)
+    for k in range(4):
+        load_quarter(lines, k, load)
+        metrics.running_report(spark, load.metrics_location, f"{at}/report", f"{at}/checkpoint", 3600).awaitTermination()
+    return spark.read.parquet(f"{at}/report").withColumn("period_start", ntz("period_start"))
