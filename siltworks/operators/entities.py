@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import schema_keys as keys
 from ..functions.json_schema import EntityColumn, normal, plan
+from ..functions.local import local
 
 #: A registry beyond this many bytes is joined by a shuffle.
 BROADCAST_BYTES = 16 << 20
@@ -48,19 +49,26 @@ def without_skipped(used: DataFrame, criteria: Sequence[str]) -> DataFrame:
     if not criteria:
         return used
     stated = sorted({keys.criterion(c) for c in criteria})
-    table = used.sparkSession.createDataFrame([(keys.form(c),) for c in stated], "form string")
+    table = local(used.sparkSession, [(keys.form(c),) for c in stated], "form string")
     table = F.broadcast(table) if sum(len(keys.form(c)) + 40 for c in stated) <= BROADCAST_BYTES else table
     looked = used.select("schema").distinct().select("schema", F.explode(keys.forms(F.col("schema"), sorted({keys.mask(c) for c in stated}))).alias("form"))
     return used.join(looked.join(table, "form", "left_semi").select("schema").distinct(), "schema", "left_anti").select(used.columns)
 
 
+def is_small(registry: DataFrame) -> bool:
+    """Whether the registry's bytes are few enough for a broadcast. Asked once of each registry."""
+    if not hasattr(registry, "_siltworks_small"):
+        registry._siltworks_small = (registry.agg(F.sum(F.octet_length("schema_json") + 200)).first()[0] or 0) <= BROADCAST_BYTES
+    return registry._siltworks_small
+
+
 def resolve(used: DataFrame, registry: DataFrame) -> DataFrame:
     """``used`` with schema_json, null where the registry lacks the schema.
 
     The registry is broadcast if its bytes are few, and shuffled otherwise.
     """
     known = registry.select("vendor", "name", "format", "version", "schema_json")
-    small = (known.agg(F.sum(F.octet_length("schema_json") + 200)).first()[0] or 0) <= BROADCAST_BYTES
+    small = is_small(registry)
     version = F.concat_ws("-", "model", "revision", "addition")
     left = used.withColumn("version", version)
     return left.join(F.broadcast(known) if small else known, ["vendor", "name", "format", "version"], "left")
@@ -118,25 +126,30 @@ def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] =
     depend on what a batch happens to hold.
     """
     spark = used.sparkSession
-    each = used.select("signature").distinct().select("signature", F.explode("signature").alias("e")).select("signature", F.split("e", " ", 2)[0].alias("kind"), F.split("e", " ", 2)[1].alias("schema"))
-    mine = without_skipped(each.select("kind", "schema").distinct(), criteria).select("kind", "schema", keys.parts(F.col("schema")).alias("k")).select("kind", "schema", "k.*").persist()  # one row for each schema in use
+    each = used.select("signature", F.explode("signature").alias("e")).select("signature", F.split("e", " ", 2)[0].alias("kind"), F.split("e", " ", 2)[1].alias("schema"))
+    mine = each.groupBy("kind", "schema").agg(F.lit(1)).select("kind", "schema", keys.parts(F.col("schema")).alias("k")).select("kind", "schema", "k.*")
+    mine = resolve(without_skipped(mine, criteria), registry).persist()  # one row for each schema in use
     try:
-        missing = resolve(mine, registry).where("schema_json is null").select("schema").distinct()
-        lacking = each.join(missing, "schema").groupBy("signature").agg(F.min("schema").alias("schema"))
-        few = lacking.limit(FEW + 1).collect()
-        models = mine.where("model is not null").select("kind", "vendor", "name", "model").distinct()
+        missing = mine.where("schema_json is null").select("schema")
+        lacking = each.join(missing, "schema", "left_semi").groupBy("signature").agg(F.min("schema").alias("schema"))
+        lacking_few = lacking.limit(FEW + 1)
+        models = mine.where("model is not null").select("kind", "vendor", "name", "model")
         versions = registry.where("format = 'jsonschema'").select("vendor", "name", F.split("version", "-")[0].cast("int").alias("model"), "version", "schema_json")
         versions = versions.withColumn("schema", F.concat(F.lit("iglu:"), "vendor", F.lit("/"), "name", F.lit("/jsonschema/"), "version"))
-        held = without_skipped(models.join(versions, ["vendor", "name", "model"]), criteria).distinct().collect()
+        held = without_skipped(models.join(F.broadcast(versions) if is_small(registry) else versions, ["vendor", "name", "model"]), criteria).distinct()
+        both = lacking_few.select("signature", "schema").unionByName(held.select("kind", "vendor", "name", "model", "version", "schema_json"), allowMissingColumns=True).collect()
     finally:
         mine.unpersist()
     groups: dict[tuple, list[tuple[str, str]]] = {}
-    for r in held:
+    few = [r for r in both if r["signature"] is not None]
+    for r in both:
+        if r["signature"] is not None:
+            continue
         groups.setdefault((r["kind"], r["vendor"], r["name"], r["model"]), []).append((r["version"], r["schema_json"]))
     columns = [c for k in sorted(groups) for c in plan(*k, groups[k], nullable_everywhere)]
     if not few:
         return columns, Lookup(None)
-    known = F.broadcast(spark.createDataFrame([(r["signature"],) for r in few], "signature array<string>")) if len(few) <= FEW else lacking.select("signature")
+    known = F.broadcast(local(spark, [(r["signature"],) for r in few], "signature array<string>")) if len(few) <= FEW else lacking.select("signature")
     return columns, Lookup(known, tuple(sorted({r["schema"] for r in few})[:20]))
 
 

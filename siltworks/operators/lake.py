@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.local import local
+
 STATS_COLUMNS = ("load_tstamp", "collector_tstamp", "derived_tstamp", "dvce_created_tstamp", "true_tstamp")
 PARTITIONS = ("load_tstamp_date", "event_name")
 
@@ -73,19 +75,53 @@ def _number(path: str, name: str) -> int:
     return int(path.split(f"/{name}=")[-1].split("/")[0])
 
 
-def stored_schema(spark: SparkSession, table: LakeTable) -> T.StructType:
-    """The columns that creation and all batches have brought."""
-    at = max(_listed(spark, f"{table.location}/_schema/n=*/_SUCCESS"), key=lambda x: _number(x, "n"))
-    return T.StructType.fromJson(json.loads(spark.read.text(at.removesuffix("/_SUCCESS"), wholetext=True).first()[0]))
+def _text(spark: SparkSession, location: str) -> str:
+    fs, path = _path(spark, location)
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _put(spark: SparkSession, location: str, text: str) -> bool:
+    """A small new file, ended by a line that says so; False if there is one of that name."""
+    fs, path = _path(spark, location)
+    try:
+        stream = fs.create(path, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            return False
+        raise
+    stream.write(f"{text}\nend\n".encode())
+    stream.close()
+    return True
+
+
+def _newest(spark: SparkSession, folder: str) -> tuple[int, list[str] | None]:
+    """(greatest number, lines of the newest file that was written to its end) of a folder of numbered small files."""
+    numbers = sorted(int(x.rsplit("/", 1)[-1].removesuffix(".json")) for x in _listed(spark, f"{folder}/*.json"))
+    for n in reversed(numbers):
+        lines = _text(spark, f"{folder}/{n:08d}.json").splitlines()
+        if lines and lines[-1] == "end":
+            return numbers[-1], lines[:-1]
+    return (numbers[-1] if numbers else -1), None
+
+
+def stored_schema(spark: SparkSession, table: LakeTable) -> T.StructType | None:
+    """The columns that creation and all batches have brought; None before creation."""
+    _, lines = _newest(spark, f"{table.location}/schema")
+    return T.StructType.fromJson(json.loads(lines[0])) if lines else None
 
 
 def _remember(spark: SparkSession, table: LakeTable, schema: T.StructType) -> None:
     """Columns are known before the rows that have them are."""
-    before = _listed(spark, f"{table.location}/_schema/n=*/_SUCCESS")
-    merged = wider(stored_schema(spark, table), schema) if before else schema
-    if not before or merged != stored_schema(spark, table):
-        n = 1 + max((_number(x, "n") for x in before), default=-1)
-        spark.createDataFrame([(merged.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{table.location}/_schema/n={n}")
+    while True:
+        n, lines = _newest(spark, f"{table.location}/schema")
+        before = T.StructType.fromJson(json.loads(lines[0])) if lines else None
+        merged = wider(before, schema) if before else schema
+        if merged == before or _put(spark, f"{table.location}/schema/{n + 1:08d}.json", merged.json()):
+            return
 
 
 @dataclass(frozen=True)
@@ -117,23 +153,11 @@ def _list_folder(table: LakeTable, day: str) -> str:
     return f"{table.location}/files/load_tstamp_date={day}"
 
 
-def _lists(spark: SparkSession, table: LakeTable, day: str) -> list[int]:
-    return sorted(int(x.rsplit("/", 1)[-1].removesuffix(".json")) for x in _listed(spark, f"{_list_folder(table, day)}/*.json"))
-
-
-def _files(spark: SparkSession, table: LakeTable, day: str, numbers: list[int] | None = None) -> list[File]:
-    """Files of a load date, by the newest list that was written to its end."""
-    for n in reversed(_lists(spark, table, day) if numbers is None else numbers):
-        fs, path = _path(spark, f"{_list_folder(table, day)}/{n:08d}.json")
-        stream = fs.open(path)
-        try:
-            lines = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
-        finally:
-            stream.close()
-        if lines and lines[-1] == "end":
-            found = [json.loads(x) for x in lines[:-1]]
-            return [File(x["path"], tuple(x["batches"]), x["bytes"], x["rows"], {c: tuple(v) for c, v in x["times"].items()}) for x in found]
-    return []
+def _files(spark: SparkSession, table: LakeTable, day: str) -> tuple[int, list[File]]:
+    """(number of its newest list, files) of a load date."""
+    n, lines = _newest(spark, _list_folder(table, day))
+    found = [json.loads(x) for x in lines or [] if x]
+    return n, [File(x["path"], tuple(x["batches"]), x["bytes"], x["rows"], {c: tuple(v) for c, v in x["times"].items()}) for x in found]
 
 
 def days(spark: SparkSession, table: LakeTable, since: date | None = None, until: date | None = None) -> list[str]:
@@ -144,7 +168,7 @@ def days(spark: SparkSession, table: LakeTable, since: date | None = None, until
 
 def files(spark: SparkSession, table: LakeTable, since: date | None = None, until: date | None = None, times: Mapping[str, tuple[datetime, datetime]] | None = None) -> list[File]:
     """Files of load dates from ``since`` to ``until`` that may hold rows with such ``times``: one small list a date is read."""
-    return [f for d in days(spark, table, since, until) for f in _files(spark, table, d) if f.may_hold(times or {})]
+    return [f for d in days(spark, table, since, until) for f in _files(spark, table, d)[1] if f.may_hold(times or {})]
 
 
 def parts(spark: SparkSession, table: LakeTable) -> list[str]:
@@ -155,19 +179,10 @@ def parts(spark: SparkSession, table: LakeTable) -> list[str]:
 def _commit(spark: SparkSession, table: LakeTable, day: str, change: Callable[[list[File]], list[File]]) -> None:
     """Replace the list of a date in one step. If another writer was first, ``change`` is made to what that one wrote."""
     for _ in range(100):
-        numbers = _lists(spark, table, day)
-        after = change(_files(spark, table, day, numbers))
-        text = "".join(json.dumps({"path": f.path, "batches": f.batches, "bytes": f.bytes, "rows": f.rows, "times": f.times}) + "\n" for f in after) + "end\n"
-        fs, path = _path(spark, f"{_list_folder(table, day)}/{numbers[-1] + 1 if numbers else 0:08d}.json")
-        try:
-            stream = fs.create(path, False)
-        except Py4JJavaError as e:
-            if "FileAlreadyExists" in str(e.java_exception):
-                continue
-            raise
-        stream.write(text.encode())
-        stream.close()
-        return
+        n, before = _files(spark, table, day)
+        text = "\n".join(json.dumps({"path": f.path, "batches": f.batches, "bytes": f.bytes, "rows": f.rows, "times": f.times}) for f in change(before))
+        if _put(spark, f"{_list_folder(table, day)}/{n + 1:08d}.json", text):
+            return
     raise RuntimeError(f"{table.location}: other writers were always first")
 
 
@@ -183,7 +198,7 @@ def _written(df: DataFrame, table: LakeTable, part: str, batches: dict[str, tupl
     bounds = [F.unix_micros(f(F.col(c).cast("timestamp"))).alias(f"{n}_{c}") for c in stats for n, f in (("min", F.min), ("max", F.max))]
     seen = back.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
     out: dict[str, list[File]] = {}
-    for r in seen.orderBy("path").collect():
+    for r in sorted(seen.collect(), key=lambda r: r["path"]):
         path = "part=" + r["path"].split("/part=")[-1]
         times = {c: (r[f"min_{c}"], r[f"max_{c}"]) for c in stats if r[f"min_{c}"] is not None}
         of = batches if isinstance(batches, tuple) else batches[path.split("/")[-2]]
@@ -204,8 +219,8 @@ def create(spark: SparkSession, table: LakeTable) -> None:
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     if table.format == "parquet":
         nullable = T.StructType([T.StructField(f.name, f.dataType) for f in table.schema])
-        if _listed(spark, f"{table.location}/_schema/n=*/_SUCCESS"):
-            have = {f.name: f.dataType for f in stored_schema(spark, table)}
+        if (stored := stored_schema(spark, table)) is not None:
+            have = {f.name: f.dataType for f in stored}
             wrong = [f.name for f in nullable if have.get(f.name) != f.dataType]
             if wrong:
                 raise ValueError(f"{table.location}: columns that differ: {', '.join(wrong)}")
@@ -321,7 +336,7 @@ def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100
     for day in days(spark, table, since):
         groups: list[list[File]] = []
         crowded: dict[str, list[File]] = {}
-        for f in _files(spark, table, day):
+        for f in _files(spark, table, day)[1]:
             if f.bytes < small and (below_batch is None or max(f.batches) < below_batch):
                 crowded.setdefault(f.partition, []).append(f)
         for mine in crowded.values():
@@ -330,7 +345,7 @@ def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100
                 groups += _packed(mine, n)
         if not groups:
             continue
-        number = spark.createDataFrame([(f.path, k) for k, g in enumerate(groups) for f in g], "_path string, _group int")  # one row for each small file of a day
+        number = local(spark, [(f.path, k) for k, g in enumerate(groups) for f in g], "_path string, _group int")  # one row for each small file of a day
         data = f"{table.location}/data"
         rows = spark.read.schema(schema).option("basePath", data).parquet(*[f"{data}/{f.path}" for g in groups for f in g]).drop("part")
         rows = rows.withColumn("_path", F.concat(F.lit("part="), F.element_at(F.split("_metadata.file_path", "/part="), -1))).join(F.broadcast(number), "_path")
@@ -375,8 +390,8 @@ def maintain(spark: SparkSession, table: LakeTable, keep_hours: int = 168) -> No
             if part not in live and old(at := f"{table.location}/data/{part}"):
                 fs.delete(to_path(at), True)
         for day in days(spark, table):
-            for n in _lists(spark, table, day)[:-2]:
-                fs.delete(to_path(f"{_list_folder(table, day)}/{n:08d}.json"), False)
+            for list_ in _listed(spark, f"{_list_folder(table, day)}/*.json")[:-2]:
+                fs.delete(to_path(list_), False)
         return
     if table.format == "delta":
         spark.sql(f"VACUUM delta.`{table.location}` RETAIN {keep_hours} HOURS")

@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.local import local
+
 #: Target size of a file, for the default number of write partitions.
 TARGET_BYTES = 256 << 20
 
@@ -32,27 +34,32 @@ def write_partitions(total_bytes: int, target: int = TARGET_BYTES) -> int:
     return max(1, -(-total_bytes // target))
 
 
-def cut_points(counts: DataFrame, parts: int, name: str = "event_name", n: str = "n") -> DataFrame:
-    """(name, bucket, before, n, total): where each name's rows lie when all rows are put in a line, by name.
+def cut_points(counts: DataFrame, parts: int, name: str = "event_name", n: str = "n", total: int | None = None) -> list[tuple]:
+    """(name, bucket, n, before, total): where each name's rows lie when all rows are put in a line, by name.
 
     ``counts`` has rows (name, n), several of a name if need be. A name of more than half a part has a row of its own; the
-    others share 64 buckets a part, by their hash (name is null there). So there are 66 rows a part at most.
+    others share 64 buckets a part, by their hash (name is None there). So there are 66 rows a part at most.
+    ``total``, where it is known, saves a job.
     """
     sums = counts.groupBy(F.col(name).alias("name")).agg(F.sum(n).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())  # one row for each name or bucket
-    own = sums.crossJoin(F.broadcast(sums.agg(F.sum("n").alias("all")))).withColumn("heavy", F.col("name").isNotNull() & (F.col("n") * 2 * parts > F.col("all")))
-    bucket = F.when(~F.col("heavy"), F.pmod(F.xxhash64("name"), F.lit(64 * parts)))
-    rows = own.groupBy(F.when(F.col("heavy"), F.col("name")).alias("name"), bucket.alias("bucket")).agg(F.sum("n").alias("n"))
-    before = F.sum("n").over(Window.orderBy(F.col("name").isNull(), "name", "bucket").rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumns({"before": F.coalesce(before, F.lit(0)), "total": total})
-
-
-def laid_out(df: DataFrame, parts: int, counts: DataFrame | None = None, sort: bool = True, name: str = "event_name", spread: str = "event_id") -> DataFrame:
+    total = total or counts.agg(F.sum(n)).first()[0] or 0
+    own = F.when(F.col("n") * 2 * parts > total, F.col("name"))
+    bucket = F.when(own.isNull(), F.pmod(F.xxhash64("name"), F.lit(64 * parts)))
+    rows = sums.groupBy(own.alias("name"), bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()
+    out, before, total = [], 0, sum(r["n"] for r in rows)
+    for r in sorted(rows, key=lambda r: (r["name"] is None, r["name"] or "", r["bucket"] or 0)):
+        out.append((r["name"], r["bucket"], r["n"], before, total))
+        before += r["n"]
+    return out
+
+
+def laid_out(df: DataFrame, parts: int, counts: DataFrame | None = None, sort: bool = True, name: str = "event_name", spread: str = "event_id", total: int | None = None) -> DataFrame:
     """In ``parts`` balanced parts, sorted by ``name`` in each: similar names share parts, one with most rows has several.
 
     ``counts`` (name, n) come from an earlier pass over the same rows, so rows are sent straight to their part: no job
     samples or sorts them first. Within its name a row lies by the hash of ``spread``. Counts that are not exact
-    move the cuts a little and lose nothing. Without counts they are taken from ``df``. One part: a plain coalesce.
+    move the cuts a little and lose nothing. Without counts they are taken from ``df``. ``total`` is about how many rows there
+    are, if that is known. One part: a plain coalesce.
     """
     if parts == 1:
         out = df.coalesce(1)
@@ -60,7 +67,7 @@ def laid_out(df: DataFrame, parts: int, counts: DataFrame | None = None, sort: b
         if counts is None:
             counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
         spark = df.sparkSession
-        line = spark.createDataFrame(cut_points(counts, parts, name).collect(), "name string, bucket long, n long, before long, total long")  # 66 rows a part at most
+        line = local(spark, cut_points(counts, parts, name, total=total), "name string, bucket long, n long, before long, total long")  # 66 rows a part at most
         heavy = F.broadcast(line.where("name is not null").select(F.col("name").alias("_name"), F.struct("before", "n", "total").alias("_own")))
         light = F.broadcast(line.where("name is null").select(F.col("bucket").alias("_bucket"), F.struct("before", "n", "total").alias("_shared")))
         placed = df.join(heavy, F.col(name) == F.col("_name"), "left").join(light, F.pmod(F.xxhash64(name), F.lit(64 * parts)) == F.col("_bucket"), "left")

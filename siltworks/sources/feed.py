@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.local import local
+
 ACTION, USER, FREE, EMPTY, UNKNOWN = "com.acme/action", "com.acme/user", "com.acme/free-form", "com.acme/empty", "com.unknown/thing"
 
 
@@ -27,7 +29,7 @@ REGISTRY = [
 
 def registry(spark: SparkSession) -> DataFrame:
     """The schema registry as a table (vendor, name, format, version, schema_json)."""
-    return spark.createDataFrame(REGISTRY, "vendor string, name string, format string, version string, schema_json string")
+    return local(spark, REGISTRY, "vendor string, name string, format string, version string, schema_json string")
 
 
 def _entity(schema: str, version: str, data: Column) -> Column:

@@ -14,7 +14,7 @@ import json
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -31,10 +31,11 @@ SEGMENT_BYTES = 4 << 20
 def append(rows: DataFrame, folder: str, key: Column, arrived: Column, value: Column, shards: int, number: int) -> None:
     """Append records to a log as its append ``number``: by hash of ``key`` to a shard, in it by time of arrival.
 
-    Times within a shard must not go back from one append to the next. An append that is written again replaces itself.
+    Times within a shard should not go back from one append to the next (a start by time then finds no record earlier than
+    the first that is late enough). No time counts as 1970. An append that is written again replaces itself.
     """
     shard = F.lpad(F.pmod(F.xxhash64(key), F.lit(shards)).cast("string"), 5, "0")
-    own = rows.select(shard.alias("shard"), arrived.cast("timestamp").alias("arrived"), value.cast("binary").alias("value"))
+    own = rows.select(shard.alias("shard"), F.coalesce(F.unix_micros(arrived.cast("timestamp")), F.lit(0)).alias("arrived"), value.cast("binary").alias("value"))
     n = max(shards, rows.sparkSession.sparkContext.defaultParallelism)
     ranged = own.repartitionByRange(n, "shard", "arrived").sortWithinPartitions("shard", "arrived")
     # part files of one shard are named in the order of the ranges
@@ -43,14 +44,14 @@ def append(rows: DataFrame, folder: str, key: Column, arrived: Column, value: Co
 
 @dataclass(frozen=True)
 class Group:
-    """A row group of a segment: where it is, its first position, how many records, and its least and greatest time."""
+    """A row group of a segment: where it is, its first position, how many records; its least time and the greatest so far (µs)."""
 
     path: str
     group: int
     first: int
     n: int
-    earliest: datetime
-    latest: datetime
+    earliest: int
+    latest: int
 
 
 @dataclass
@@ -65,8 +66,9 @@ class Span(InputPartition):
     take: int
 
 
-def _utc(t: datetime) -> datetime:
-    return t.replace(tzinfo=UTC) if t.tzinfo is None else t.astimezone(UTC)
+def _micros(t: datetime) -> int:
+    t = t if t.tzinfo else t.replace(tzinfo=UTC)
+    return (t - datetime(1970, 1, 1, tzinfo=UTC)) // timedelta(microseconds=1)
 
 
 class Index:
@@ -99,17 +101,18 @@ class Index:
                 part = footer.row_group(g)
                 times = part.column(at).statistics
                 if part.num_rows:
-                    own.append(Group(location, g, own[-1].first + own[-1].n if own else 0, part.num_rows, _utc(times.min), _utc(times.max)))
+                    first, latest = (own[-1].first + own[-1].n, own[-1].latest) if own else (0, times.max)
+                    own.append(Group(location, g, first, part.num_rows, times.min, max(times.max, latest)))
 
     def head(self) -> dict[str, int]:
         return {s: g[-1].first + g[-1].n for s, g in self.groups.items() if g}
 
-    def at_time(self, when: datetime) -> dict[str, int]:
-        """Position of the first record of each shard that arrived at ``when`` or later.
+    def at_time(self, time: datetime) -> dict[str, int]:
+        """Position of the first record of each shard that arrived at ``time`` or later.
 
         The row group is found by bisection over the index; only that one is read.
         """
-        out = {}
+        out, when = {}, _micros(time)
         for shard, groups in self.groups.items():
             k = bisect_left([g.latest for g in groups], when)
             if k == len(groups):
@@ -120,7 +123,7 @@ class Index:
                 fs, path = stores.opened(groups[k].path)
                 with fs.open_input_file(path) as f:
                     times = pq.ParquetFile(f).read_row_group(groups[k].group, columns=["arrived"])["arrived"].to_pylist()
-                out[shard] = groups[k].first + bisect_left([_utc(t) for t in times], when)
+                out[shard] = groups[k].first + bisect_left(times, when)
         return out
 
 
@@ -141,7 +144,7 @@ class ShardReader(DataSourceStreamReader):
         elif self.start == "latest":
             out = self.index.head()
         else:
-            out = self.index.at_time(_utc(datetime.fromisoformat(self.start)))
+            out = self.index.at_time(datetime.fromisoformat(self.start))
         if self.issued is None:
             self.issued = dict(out)
         return out
@@ -160,8 +163,8 @@ class ShardReader(DataSourceStreamReader):
         """
         self.index.refresh()
         head = self.index.head()
-        if self.issued is None:
-            self.issued = self._resumed()
+        if self.issued is None and self.checkpoint:  # Spark may ask for the latest offset before the first
+            self.issued = self._resumed() or self.initialOffset()
         if self.most is None or self.issued is None:
             self.issued = head
             return head
@@ -196,7 +199,7 @@ class ShardReader(DataSourceStreamReader):
                 part = batch.slice(skip, left)
                 skip = 0
                 n, left = len(part), left - len(part)
-                stamp = part["arrived"].cast(pa.timestamp("us", "UTC"), safe=False)
+                stamp = part["arrived"].cast(pa.timestamp("us", "UTC"))
                 yield pa.RecordBatch.from_arrays([pa.array([partition.shard] * n), pa.array(range(at, at + n), pa.int64()), stamp, part["value"].cast(pa.binary())], ["shard", "position", "arrived", "value"])
                 at += n
                 if not left:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.atomic import ATOMIC, good, parse_lines
+from ..functions.local import local
 from ..operators import bad_rows, entities, lake, layout, metrics, shred
 from ..sources import requests
 
@@ -81,12 +82,12 @@ def load_batch(batch: DataFrame, batch_id: int, load: Load) -> None:
         committed = m["received"] - m["bad"]
         if committed:
             parts = load.write_partitions or layout.write_partitions(m["bytes"])
-            rows = shred.shredded(layout.laid_out(judged.where("kind is null").drop(*keep), parts, used), columns)
+            rows = shred.shredded(layout.laid_out(judged.where("kind is null").drop(*keep), parts, used, total=committed), columns)
             lake.append(layout.stamped(rows, started), load.table, batch_id)
         done = load.clock()
         ms = lambda a: None if a is None else int((done - a.astimezone(UTC)).total_seconds() * 1000)
         row = (batch_id, started, done if committed else None, m["received"], m["bad"], committed, m["bytes"], m["earliest"], ms(m["source"]), ms(started), ms(m["earliest"]) if committed else None)
-        spark.createDataFrame([row], metrics.SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{load.metrics_location}/batch_id={batch_id}")
+        local(spark, [row], metrics.SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{load.metrics_location}/batch_id={batch_id}")
     finally:
         for held in (parsed, used, judged):
             if held is not None:
