@@ -63,12 +63,25 @@ class _Basis:
         return np.hstack([unit[:, :m] @ self.turn, unit[:, m:]])
 
 
-def _bases(valid: DataFrame, most_dims: int) -> dict[int, _Basis]:
-    """Per dimension, the basis of its vectors. At most ``most_dims`` coordinates, those with most energy, are rotated.
+#: Vector lengths whose directions are rotated, those of most vectors; others keep their coordinates as they are.
+ROTATED = 8
 
-    So no more than most_dims ** 2 numbers reach the driver, and vectors of any length have a basis.
+
+class _Bases(dict):
+    """The basis of each length; one that has none keeps its coordinates."""
+
+    def __missing__(self, dim: int) -> _Basis:
+        return _Basis(np.arange(dim), np.eye(1))
+
+
+def _bases(valid: DataFrame, most_dims: int) -> _Bases:
+    """The bases of the ROTATED lengths that most vectors have. At most ``most_dims`` coordinates, those with most energy, are rotated.
+
+    So no more than ROTATED * most_dims ** 2 numbers reach the driver and the tasks, however many lengths there are.
     """
-    orders = {r["dim"]: np.arange(r["dim"]) for r in valid.select("dim").distinct().collect()}
+    usual = valid.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").limit(ROTATED).collect()
+    orders = {r["dim"]: np.arange(r["dim"]) for r in usual}
+    valid = valid.where(F.col("dim").isin(list(orders)))
     if any(d > most_dims for d in orders):
         norm = F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e)
         long = valid.where(F.col("dim") > most_dims).select("dim", "v", norm.alias("norm"))
@@ -77,7 +90,7 @@ def _bases(valid: DataFrame, most_dims: int) -> dict[int, _Basis]:
             orders[r["dim"]] = np.argsort([-e["x"] for e in r["m"]], kind="stable")
     rows = valid.select("dim", "v").mapInPandas(_moments(orders, most_dims), "dim int, sums array<double>")
     added = rows.select("dim", F.posexplode("sums").alias("i", "x")).groupBy("dim", "i").agg(F.sum("x").alias("x"))
-    out = {}
+    out = _Bases()
     for r in added.groupBy("dim").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("m")).collect():
         m = min(r["dim"], most_dims)
         _, vecs = np.linalg.eigh(np.array([e["x"] for e in r["m"]]).reshape(m, m))
@@ -184,8 +197,8 @@ def near_copies(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_
     length, and their cosine in double precision is at least ``threshold`` (which must be above 0).
     Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing, nor
     do rows with a null id (their component_id is null, kept is true). n_links counts other rows linked
-    directly; component_id is the smallest id reachable; kept marks the row with that id. Rows that
-    repeat an id count as rows of their own in n_links, and share their component. Other columns play
+    directly; component_id is the smallest id reachable; kept marks rows with that id. Rows that repeat an id are
+    rows of their own: they link by their own vectors and groups, and only so share a component. Other columns play
     no part; an empty table gives an empty result. Vectors may be of any length; of more than ``most_dims``
     coordinates those with most energy are rotated, which says how fast pairs are ruled out, not which link.
     """
@@ -198,8 +211,8 @@ def near_copies(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_
     base = common.written(base.select("id", "g", "v", F.when(usable, key).alias("key")))
     rows, usable = base.select("id", "g", "key"), base.where("key is not null")
     # one class per distinct vector and group, combined before the shuffle
-    classes = usable.groupBy("g", "key").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v"))
-    classes = common.written(classes.withColumn("dim", F.size("v")))
+    classes = usable.groupBy("g", "key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"), F.first("v").alias("v"))
+    classes = common.written(classes.withColumns({"dim": F.size("v"), "node": F.monotonically_increasing_id()}))  # a number for each class, whatever ids repeat
     bases = _bases(classes, most_dims)
     width = float(np.sqrt(max(2 - 2 * threshold, 1e-12))) + 1e-6
     cells = [f"c{k}" for k in range(CELLS)]
@@ -227,7 +240,10 @@ def near_copies(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_
     found = common.cut(dealt.groupBy("a", "b").applyInPandas(_compare(threshold, bases), "node long, linked long, to long"))
     comps = common.components(found.where("node != to"), "node", "to")
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked")).join(comps, "node", "left")
-    info = common.cut(classes.select("g", "key", "size", "node").join(linked, "node", "left").select("g", "key", "size", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component", "node").alias("c")))
+    own = F.coalesce("component", "node").alias("component")
+    info = common.cut(classes.select("g", "key", "size", "node", "id").join(linked, "node", "left").select("g", "key", "size", "id", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), own))
+    least = info.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("c"))
+    info = common.cut(common.spread_join(info, least, ["component"]).select("g", "key", "size", "n", "c"))
     known = common.spread_join(rows.where("key is not null"), info, ["g", "key"]).select("id", "n", "c")
     alone = rows.where("key is null").select("id", F.lit(0).cast("long").alias("n"), F.col("id").alias("c"))
     return known.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_links"), F.col("c").alias("component_id"), F.col("id").eqNullSafe(F.col("c")).alias("kept"))

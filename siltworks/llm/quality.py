@@ -23,10 +23,9 @@ from .sampling import labelled_sample
 
 @dataclass(frozen=True)
 class Params:
-    """sample_rows bounds the labelled rows learnt from, sample_chars how much of each (windows over the whole text)."""
+    """sample_rows bounds the labelled rows learnt from; their texts take part whole."""
 
     sample_rows: int = 2_400
-    sample_chars: int = 6_000
     chunk: int = 384
     width: int = 8
     stride: int = 2
@@ -84,6 +83,17 @@ def _start(p: Params) -> dict:
     }
 
 
+def _winners(docs: list[np.ndarray], w: dict, p: Params) -> list[np.ndarray]:
+    """The chunks of each document that have the greatest value of a unit, in order; only these pass gradients on."""
+    out = []
+    for d in docs:
+        if len(d) > p.hidden:
+            h = np.concatenate([_units(d[a : a + p.batch_chunks], w, p) for a in range(0, len(d), p.batch_chunks)])
+            d = d[np.unique(h.argmax(0))]
+        out.append(d)
+    return out
+
+
 def _gradients(docs: list[np.ndarray], y: np.ndarray, weight: np.ndarray, w: dict, p: Params) -> dict:
     """Of the weighted mean log loss over ``docs``, by hand; only the maxima pass gradients on."""
     x = np.concatenate(docs)
@@ -130,7 +140,7 @@ def learn(texts: list[str | None], labels: np.ndarray, p: Params, weight: np.nda
             i = order[a : a + p.batch]
             t += 1
             rate = p.rate * min(1.0, 2.5 * (1 - t / (steps + 1)))
-            for k, g in _gradients([docs[j] for j in i], labels[i], weight[i], w, p).items():
+            for k, g in _gradients(_winners([docs[j] for j in i], w, p), labels[i], weight[i], w, p).items():
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.99 * v[k] + 0.01 * g * g
                 w[k] -= (rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-7)).astype(np.float32)
@@ -177,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", params:
         bad = min(n.get(False, 0), p.sample_rows // 2)
         return {False: bad, True: p.sample_rows - bad}
 
-    sample, n, taken = labelled_sample(docs, labels, label_col, shares, p.sample_chars, "quality")
+    sample, n, taken = labelled_sample(docs, labels, label_col, shares, "quality")
     if not n:
         return None
     share = {y: n.get(y, 0) / sum(n.values()) / max(taken[y] / sum(taken.values()), 1e-9) for y in taken}

@@ -130,14 +130,13 @@ ORACLES = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
     "op10_embedding_dedup": """
-        WITH RECURSIVE v AS (
-            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        WITH RECURSIVE r AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+        v AS (SELECT * FROM r WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
         links AS (
-            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            SELECT a.rid AS a, b.rid AS b FROM v a JOIN v b ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e)
             WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
-        reach AS (SELECT vec_id AS n, vec_id AS r FROM embeddings UNION SELECT l.a, reach.r FROM reach JOIN links l ON l.b = reach.n),
-        least AS (SELECT n, min(r) AS component_id FROM reach GROUP BY n)
-        SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
-        FROM embeddings e JOIN least c ON c.n = e.vec_id""",
+        reach AS (SELECT rid AS n, rid AS r FROM r UNION SELECT l.a, reach.r FROM reach JOIN links l ON l.b = reach.n),
+        least AS (SELECT reach.n, min(r.vec_id) AS component_id FROM reach JOIN r ON r.rid = reach.r GROUP BY reach.n)
+        SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.rid) AS n_links, c.component_id, e.vec_id IS NOT DISTINCT FROM c.component_id AS kept
+        FROM r e JOIN least c ON c.n = e.rid""",
 }

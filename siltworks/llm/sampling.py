@@ -4,30 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 
-#: A long text is learnt from by this many windows, spread evenly over the whole of it.
-WINDOWS = 8
-
-
-def spread_windows(text: Column, max_chars: int) -> Column:
-    """``text``; of more than ``max_chars`` characters, as many of them in ``WINDOWS`` windows from its start to its end."""
-    width = max(1, max_chars // WINDOWS)
-    starts = [F.floor((F.length(text) - width) * (k / (WINDOWS - 1))).cast("int") + 1 for k in range(WINDOWS)]
-    return F.when(F.length(text) <= max_chars, text).otherwise(F.concat_ws(" ", *[F.substr(text, a, F.lit(width)) for a in starts]))
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, shares: Callable[[dict[bool, int]], dict[bool, int]], max_chars: int, seed: str) -> tuple[DataFrame, dict[bool, int], dict[bool, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, shares: Callable[[dict[bool, int]], dict[bool, int]], seed: str) -> tuple[DataFrame, dict[bool, int], dict[bool, int]]:
     """(sample, n, taken): rows (order, text, y); labelled documents of each label; how many the sample aims at.
 
     Held-out rows, null ids and null labels are left out, and labels of documents that are not in ``docs``; a
     document labelled twice has its largest label; of several texts with one id the one with the smallest hash
-    is learnt from. Texts of any length take part: of one longer than ``max_chars`` characters spread_windows() is
-    learnt from. ``shares`` turns the counts of each label into the bounded numbers to take. Ids are taken by a
+    is learnt from. Texts of any length take part, whole. ``shares`` turns the counts of each label into the bounded numbers to take. Ids are taken by a
     hash threshold, so the sample is the same at every run and needs no sort. Only the chosen ids (bounded by
     ``shares``) are broadcast; the texts are scanned once and only those chosen leave their task.
     """
@@ -40,6 +28,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, shares:
     cut = {y: min(int(-(2**63) + (taken[y] / n[y] if n.get(y) else 0.0) * 2**64), 2**63 - 1) for y in (True, False)}
     chosen = known.where(F.col("order") <= F.when(F.col("y"), F.lit(cut[True])).otherwise(F.lit(cut[False])))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    texts = texts.select("doc_id", "order", "y", spread_windows(F.col("text"), max_chars).alias("text"))
     one = texts.groupBy("doc_id", "order", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
     return one.select("order", F.col("t.text").alias("text"), "y"), n, taken

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -26,19 +27,18 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Params:
-    """sample_rows bounds the labelled rows learnt from (at most half of them label 1, and
-    ``negatives`` of label 0 for each of these, or 1,000) and shard_rows those of one task.
-
-    A feature takes part where ``min_rows`` texts of its shard hold it, as one seen in a single text
-    could only memorise that text. ``l1_share`` times the rows of the shard is the L1 term. ``sample_chars`` is how
-    much of a longer text is learnt from, in windows over the whole of it (scores always read all). Of more than
-    ``max_weights`` weights the smallest go, so that the model stays under 4 MB; scores then move by no more
-    than the sum of those weights that a text holds. At the default L1 some hundreds are left, and none goes.
+    """sample_rows bounds the labelled rows learnt from, whole texts of any length (at most half of them label 1, and
+    ``negatives`` of label 0 for each of these, or 1,000). Shards have some shard_rows of them, or shard_bytes.
+
+    A feature takes part where ``min_rows`` texts of its shard hold it (in a shard of under 200 rows fewer, down to
+    one), as one seen in a single text could only memorise that text. ``l1_share`` times the rows of the shard is the
+    L1 term. At the default L1 some hundreds of weights are left; more than ``max_weights`` are an error that asks for
+    a larger one, as they could not be broadcast.
     """
 
     sample_rows: int = 16_384
     shard_rows: int = 4_096
-    sample_chars: int = 10_000
+    shard_bytes: int = 32 << 20
     negatives: int = 2
     min_rows: int = 3
     epochs: int = 10
@@ -49,15 +49,21 @@ class Params:
     max_weights: int = 200_000
 
 
+def parts(text: str | None, most: int = 1 << 16) -> Iterator[np.ndarray]:
+    """64-bit hashes of the words, word pairs and pairs over one word of the whole text, some words at a time."""
+    found = WORD.finditer((text or "").lower())
+    before = np.zeros(0, np.uint64)
+    while len(new := np.fromiter((xxhash.xxh64_intdigest(m.group()) for m in islice(found, most)), np.uint64)):
+        h, k = np.concatenate([before, new]), len(before)
+        pairs = (h[:-1] * _MIX) ^ (h[1:] + np.uint64(1))
+        skips = (h[:-2] * _MIX) ^ (h[2:] + np.uint64(2))
+        yield np.concatenate([new, pairs[max(0, k - 1) :], skips[max(0, k - 2) :]])
+        before = h[-2:]
+
+
 def features(text: str | None) -> np.ndarray:
-    """64-bit hashes of the words, word pairs and pairs over one word of the whole text."""
-    words = WORD.findall((text or "").lower())
-    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
-    if len(h) < 2:
-        return h
-    pairs = (h[:-1] * _MIX) ^ (h[1:] + np.uint64(1))
-    skips = (h[:-2] * _MIX) ^ (h[2:] + np.uint64(2))
-    return np.concatenate([h, pairs, skips])
+    """All hashes of a text, those of a place that is looked at first included."""
+    return np.concatenate([np.zeros(0, np.uint64), *parts(text)])
 
 
 def _frequent(texts: list[str | None], least: int, buckets: int = 1 << 23) -> list[np.ndarray]:
@@ -69,12 +75,11 @@ def _frequent(texts: list[str | None], least: int, buckets: int = 1 << 23) -> li
     mask, most = np.uint64(buckets - 1), np.iinfo(np.uint16).max
     counts = np.zeros(buckets, np.uint16)
     for t in texts:
-        at = (features(t) & mask).astype(np.int64)
+        at = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.unique((f & mask).astype(np.int64)) for f in parts(t)]]))
         counts[at] = np.minimum(counts[at], most - 1) + 1  # once a text, however often it holds the bucket
     out = []
     for t in texts:
-        f = features(t)
-        out.append(np.unique(f[counts[(f & mask).astype(np.int64)] >= min(least, most)]))
+        out.append(np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.unique(f[counts[(f & mask).astype(np.int64)] >= min(least, most)]) for f in parts(t)]])))
     return out
 
 
@@ -122,13 +127,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", params: Pa
         toxic = min(n.get(True, 0), p.sample_rows // 2)
         return {True: toxic, False: min(p.sample_rows - toxic, max(p.negatives * toxic, 1_000))}
 
-    usable, n, taken = labelled_sample(docs, labels, label_col, shares, p.sample_chars, "toxicity")
+    usable, n, taken = labelled_sample(docs, labels, label_col, shares, "toxicity")
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0), -3.0
-    shards = max(1, -(-sum(taken.values()) // p.shard_rows))
+    usable = common.written(usable)
+    size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-sum(taken.values()) // p.shard_rows), -(-size // p.shard_bytes))
     learnt = usable.withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(shards))).groupBy("shard").applyInPandas(_learn_shard(p), "feature long, intercept boolean, weight double")
     mean = learnt.groupBy("feature", "intercept").agg((F.sum("weight") / shards).alias("weight"))
-    rows = mean.orderBy(F.col("intercept").desc(), F.abs("weight").desc()).limit(p.max_weights + 1).toPandas()
+    rows = mean.limit(p.max_weights + 2).toPandas()
+    if len(rows) > p.max_weights + 1:
+        raise ValueError(f"more than {p.max_weights} weights: raise l1_share")
     intercept = float(rows.loc[rows["intercept"], "weight"].sum())
     if all(taken.values()):  # back from the sample's odds to those of all labelled rows
         intercept += float(np.log(n[True] / n[False]) - np.log(taken[True] / taken[False]))
@@ -145,9 +154,8 @@ def _score(model):
     likely[(keys & mask).astype(np.int64)] = True
 
     def one(text):
-        f = features(text)
-        f = np.unique(f[likely[(f & mask).astype(np.int64)]]) if len(keys) else f[:0]
-        if not len(f):
+        f = np.unique(np.concatenate([keys[:0], *[p[likely[(p & mask).astype(np.int64)]] for p in parts(text)]]))
+        if not len(f) or not len(keys):
             return intercept
         at = np.minimum(np.searchsorted(keys, f), len(keys) - 1)
         return intercept + float(weights[at][keys[at] == f].sum())

@@ -250,29 +250,43 @@ def test_ftrl_equals_a_plain_version():
 
 
 def test_long_texts_repeated_ids_and_rows_are_learnt_from(spark):
-    """All toxic texts are longer than what is learnt of one; some ids have two texts; labels of absent documents do not count."""
+    """Toxic texts are long and learnt from whole; some ids have two texts; labels of absent documents do not count."""
     r = random.Random(5)
     rows, labels = labelled(r, 400)
     rows = [(i, (t + " ") * 150 if labels[i][2] else t) for i, t in rows]
     rows += [(1, "another text"), (1, rows[1][1]), (2, rows[2][1])]
     labels += [(10_000 + k, 1, 1) for k in range(500)]
     docs, marks = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    sample, n, taken = sampling.labelled_sample(docs, marks, "toxic", lambda n: dict(n), 4_000, "x")
+    sample, n, taken = sampling.labelled_sample(docs, marks, "toxic", lambda n: dict(n), "x")
     got = sample.toPandas()
     learnable = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
     assert len(got) == len(learnable) == sum(n.values()) and got["y"].sum() == n[True] == sum(labels[i][2] for i in learnable)
-    assert got["text"].str.len().max() <= 4_000 + sampling.WINDOWS and (got["text"].str.len() > 3_900).sum() == n[True]
-    judged = toxicity.judge(docs, marks, toxicity.Params(sample_chars=4_000)).toPandas()
+    assert set(got.loc[got["y"], "text"]) <= {t for _, t in rows} and (got["text"].str.len() > 3_900).sum() == n[True]
+    judged = toxicity.judge(docs, marks, toxicity.Params()).toPandas()
     assert len(judged) == len(rows)
     held = judged[judged["held_out"]]
     assert np.mean([p == labels[i][2] for i, p in zip(held["doc_id"], held["predicted"], strict=True)]) >= 0.9
 
 
-def test_windows_reach_from_start_to_end(spark):
-    text = "".join(f"{k:05d}" for k in range(2_000))
-    df = spark.createDataFrame([(text,), ("short",)], "text string").select(sampling.spread_windows(F.col("text"), 80).alias("t"))
-    cut, short = (r["t"] for r in df.collect())
-    assert short == "short" and len(cut) == 8 * 10 + 7 and cut.startswith(text[:10]) and cut.endswith(text[-10:])
+def test_features_do_not_depend_on_the_parts_they_are_read_in():
+    text = prose(random.Random(3), 500) + " Σας ΟΔΟΣ"
+    whole = np.sort(toxicity.features(text))
+    for most in (1, 2, 3, 7, 100):
+        assert (np.sort(np.concatenate(list(toxicity.parts(text, most)))) == whole).all()
+    words = toxicity.WORD.findall(text.lower())
+    assert len(whole) == 3 * len(words) - 3 and len(toxicity.features("one")) == 1 and len(toxicity.features(None)) == 0
+
+
+def test_gradients_of_whole_texts_come_from_their_best_chunks():
+    p = quality.Params(chunk=16, width=4, embed=3, filters=5, hidden=4, stride=2, batch_chunks=3)
+    w, r = quality._start(p), random.Random(4)
+    docs = [quality.chunks(prose(r, n), p) for n in (1, 40, 300)]
+    y, weight = np.array([1, 0, 1], np.float32), np.ones(3)
+    few = quality._winners(docs, w, p)
+    assert len(few[2]) <= 4 < len(docs[2])
+    whole = quality._gradients(docs, y, weight, w, p)
+    for k, g in quality._gradients(few, y, weight, w, p).items():
+        assert np.allclose(g, whole[k], atol=1e-6)
 
 
 def test_network_equals_a_plain_version():
@@ -473,6 +487,15 @@ def test_vectors_equal_brute_force(spark):
     assert embedding_dedup.near_copies(df.limit(0)).count() == 0
 
 
+def test_embedding_repeated_ids_with_other_vectors_and_labels(spark):
+    """Rows of one id are rows of their own: links follow vectors and labels only."""
+    rows = [(5, [1.0, 0.0], 0), (5, [0.0, 1.0], 0), (5, [1.0, 0.0], 1), (7, [1.0, 0.01], 0), (9, [1.0, 0.02], 1), (3, [0.0, 1.0], 0), (8, [1.0] * 3, 1)] + [(20 + d, [1.0] * d, 2) for d in range(1, 13)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((x["vec_id"], x["n_links"], x["component_id"], x["kept"]) for x in embedding_dedup.near_copies(df).where("vec_id < 20").collect())
+    assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (8, 0, 8, True), (9, 1, 5, False)]
+    assert embedding_dedup.near_copies(df).where("vec_id >= 20").select("vec_id").where("vec_id = 32").count() == 1
+
+
 def test_repeated_vector_ids(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (None, [1.0, 0.0], 0)], "vec_id long, embedding array<float>, label int")
     got = embedding_dedup.near_copies(df).toPandas()
