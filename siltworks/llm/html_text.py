@@ -2,7 +2,8 @@
 
 A page is read into a tree of elements. Page furniture (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts, styles) is left out by element, role and class; but class, role and form do
-not remove what wraps the article. Each paragraph then
+not remove what wraps the article, and a word in a class removes what reads otherwise only if it stands for
+itself: next to words of content, or where it means links and there is prose without them, the text decides. Each paragraph then
 earns points for its length and commas and passes them to its ancestors, halved at every level after the
 first; an ancestor's points are discounted by the share of its text that is links. The container with most
 points is kept, with those of its siblings that score well or read like its paragraphs.
@@ -35,7 +36,7 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SCOPE = frozenset("html body table ul ol dl select article section div main td th blockquote".split())
 
 #: Page furniture: elements, ARIA roles and words of class and id.
-FURNITURE = frozenset("head nav footer aside form button select option datalist menu dialog object canvas audio video map label".split())
+FURNITURE = frozenset("head nav footer aside form button select option datalist menu dialog object canvas audio video map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form tablist toolbar".split())
 WORDS = frozenset(
     """ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot banner banners sponsor sponsored promo promos promotion
@@ -48,6 +49,14 @@ WORDS = frozenset(
 )
 #: Words of these that, inside of an article, say what it is made of rather than what stands around it.
 SOFT = frozenset("header masthead banner topbar legal copyright notice notices alert discussion feedback toc skip search popular overlay".split())
+#: Words of these for blocks of links; prose without links is none.
+LINKS = frozenset("nav navbar navigation menu menus breadcrumb breadcrumbs crumbs pagination pager toc skip related recommended recommendations trending popular teaser share sharing social tags taglist widget widgets rail".split())
+#: Words that say where or what kind of a box something is, not what it is about.
+PLAIN = frozenset(
+    """a the my js is has no un sm md lg xs xl col row grid box boxes block blocks bar bars area areas section sections container wrapper wrap outer inner holder panel pane card cards list lists item items link links button buttons btn icon icons
+    group set unit slot zone region module component element field input label title heading text body content main primary secondary site page pages global local post posts article articles entry blog news web app user top bottom left right center middle upper lower above below
+    first last before after end start begin sticky fixed static mobile desktop tablet large small big mini full half wide fluid hidden visible open closed active current new old more less read view show close back next prev previous self auto default base""".split()
+)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 REST = re.compile(r"""((?:"[^"]*"|'[^']*'|[^>"'])*+)>""")
@@ -105,8 +114,8 @@ class Tree:
         self._text(page[text_from:])
 
     def _text(self, text: str) -> None:
-        if text:
-            self.content[self.stack[-1]].append(text)
+        if text:  # references are decoded within one text: markup between two halves makes no reference
+            self.content[self.stack[-1]].append(html.unescape(text))
 
     def _push(self, node: int, name: str) -> None:
         k = len(self.stack)
@@ -178,7 +187,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 def _furniture(t: Tree, k: int, inside: bool) -> int:
     """2: element ``k`` is page furniture; 1: it is by class, role or form, unless it wraps the article; 3: it
-    is by class if mostly links; or 0.
+    is by class if mostly links; 4: it is by class unless it is prose without links; or 0.
 
     ``inside``: of an article or main element.
     """
@@ -194,8 +203,16 @@ def _furniture(t: Tree, k: int, inside: bool) -> int:
         return 2 if {"comment", "comments", "teaser", "ad", "sponsored"} & _words(a) and tag == "article" else 0
     if tag == "form" or a.get("role", "").lower() in ROLES:
         return 1
-    words = WORDS & _words(a) if not (tag in PARAGRAPHS and tag.startswith("h")) else ()
-    return 0 if not words else 3 if inside and words <= SOFT else 1
+    if tag in PARAGRAPHS and tag.startswith("h"):
+        return 0
+    words, sure = set(), False
+    for named in _named(a):
+        if found := WORDS & named:
+            words |= found
+            sure = sure or named <= WORDS | PLAIN
+    if not words:
+        return 0
+    return 3 if not sure or (inside and words <= SOFT) else 4 if words <= LINKS else 1
 
 
 def _measure(t: Tree, out: list[bool]) -> tuple[list[str], list[int], list[int], list[float]]:
@@ -205,7 +222,7 @@ def _measure(t: Tree, out: list[bool]) -> tuple[list[str], list[int], list[int],
     length, linked, commas, worth = [0] * n, [0] * n, [0] * n, [0.0] * n
     for k in range(n):
         if not out[k] and t.content[k]:
-            own[k] = html.unescape("".join(x for x in t.content[k] if isinstance(x, str)))
+            own[k] = "".join(x for x in t.content[k] if isinstance(x, str))
             length[k], commas[k] = len(" ".join(own[k].split())), own[k].count(",")
     for k in range(n - 1, 0, -1):
         p = t.parent[k]
@@ -258,8 +275,12 @@ def _wrappers(t: Tree, kind: list[int], gone: list[bool]) -> set[int]:
 
 
 def _words(a: dict[str, str]) -> set[str]:
-    named = f"{a.get('class', '')} {a.get('id', '')}"
-    return set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))
+    return set().union(*_named(a))
+
+
+def _named(a: dict[str, str]) -> list[set[str]]:
+    """The words of each class, and of the id."""
+    return [set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", x).lower())) - {""} for x in f"{a.get('class', '')} {a.get('id', '')}".split()]
 
 
 def main_text(page: str | None) -> str:
@@ -273,15 +294,21 @@ def main_text(page: str | None) -> str:
     t = Tree(page)
     n = len(t.tag)
     # parents come before their elements, so one pass each way is enough, however deep the page
-    kind, gone, inside = [0] * n, [False] * n, [False] * n
+    kind, gone, inside, written = [0] * n, [False] * n, [False] * n, [False] * n
     for k in range(1, n):
         p = t.parent[k]
         inside[k] = inside[p] or t.tag[k] in ("article", "main")
-        kind[k] = 2 if gone[p] else _furniture(t, k, inside[p])
+        written[k] = written[p] or t.tag[k] in PARAGRAPHS
+        kind[k] = 2 if gone[p] or (t.tag[k] == "label" and not written[p]) else _furniture(t, k, inside[p])
         gone[k] = kind[k] == 2
-    if 3 in kind:
-        _, length, linked, _ = _measure(t, gone)
-        kind = [int(3 * linked[k] >= length[k]) if kind[k] == 3 else kind[k] for k in range(n)]
+    if 3 in kind or 4 in kind:
+        _, length, linked, worth = _measure(t, gone)
+        prose = [0] * n  # characters of paragraphs that are sentences, not links
+        for k in range(n - 1, 0, -1):
+            if worth[k] and length[k] >= 40 and 10 * linked[k] <= length[k]:
+                prose[k] = max(prose[k], length[k])
+            prose[t.parent[k]] += prose[k]
+        kind = [int(3 * linked[k] >= length[k]) if x == 3 else int(2 * prose[k] < length[k]) if x == 4 else x for k, x in enumerate(kind)]
     out = gone
     if 1 in kind:
         stay, out = _wrappers(t, kind, gone), list(gone)
@@ -309,11 +336,20 @@ def main_text(page: str | None) -> str:
         if isinstance(x, int) and not out[x]:
             density = linked[x] / max(length[x], 1)
             paragraph = t.tag[x] == "p" and ((length[x] > 80 and density < 0.25) or (length[x] > 0 and density == 0 and own[x].rstrip().endswith(".")))
-            if x == best or points[x] >= level or paragraph or (t.tag[x] in ("h1", "h2") and x < best and density == 0):
+            alike = t.tag[x] in ALIKE and density < 0.25 and (t.tag[x] != t.tag[best] or _same(t, x, best)) and (t.tag[x] == t.tag[best] or x > best)
+            if x == best or points[x] >= level or paragraph or alike or (t.tag[x] in ("h1", "h2") and x < best and density == 0):
                 kept.append(x)
     return _text(t, out, kept or [best])
 
 
+#: Siblings of the best container that go on with the article: of its own kind, or what stands between paragraphs.
+ALIKE = frozenset("section div article ul ol dl table blockquote pre figure".split())
+
+
+def _same(t: Tree, x: int, best: int) -> bool:
+    return _attributes(t.attributes[x]).get("class", "") == _attributes(t.attributes[best]).get("class", "")
+
+
 def _text(t: Tree, out: list[bool], roots: list[int]) -> str:
     parts: list[str] = []
     stack: list = list(reversed(roots))
@@ -326,7 +362,7 @@ def _text(t: Tree, out: list[bool], roots: list[int]) -> str:
                 parts.append(" ")
                 stack.append(" ")
             stack.extend(reversed(t.content[x]))
-    return " ".join(html.unescape("".join(parts)).split())
+    return " ".join("".join(parts).split())
 
 
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -299,3 +299,38 @@ def test_runs_of_repeated_rows_and_empty_table(spark):
 def test_repair_of_the_conversations_equals_brute_force(spark):
     rows = [tuple(r) for r in common.table(spark, DIR, "conversations").select("conv_id", "turn", "role", "text").collect()]
     assert found(queries.QUERIES["op11_conversation_repair"](spark, DIR)) == expected(rows)
+
+
+# --- main text: class words lower an element's chances, the text decides
+
+LONG_TEXT = "The first paragraph of a long article, which goes on and on, with many words, so that it has points. " * 3
+PLAIN_TEXT = "This is a plain paragraph of the article, long enough to be one, with commas, and no links at all."
+
+
+@pytest.mark.parametrize("name", "section-share social-studies tags-explained form-factor menu-items widget-design trending-topic signup-story related-work comment-on-law ads-history nav-chapter popular-science alert-level".split())
+def test_class_words_alone_remove_no_prose(name):
+    from siltworks.llm import html_text
+
+    for outer in ("article", "div"):
+        page = f"<body><{outer}><p>{LONG_TEXT}</p><div class='{name}'><p>{PLAIN_TEXT}</p></div><p>{LONG_TEXT}</p></{outer}></body>"
+        assert PLAIN_TEXT in html_text.main_text(page)
+
+
+@pytest.mark.parametrize("name", "cookie-notice comments comment-list newsletter ad share-buttons related-posts site-footer sidebar nav-menu".split())
+def test_furniture_still_goes(name):
+    from siltworks.llm import html_text
+
+    page = f"<body><div class='post'><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p><div class='{name}'><a href=x>One</a> <a href=y>Two</a></div></div><div class='{name}'><p>{PLAIN_TEXT}</p></div></body>"
+    assert html_text.main_text(page) == " ".join((LONG_TEXT * 2).split())
+
+
+def test_an_article_in_several_parts_and_references_in_one_text():
+    from siltworks.llm import html_text
+
+    long = " ".join((LONG_TEXT * 3).split())
+    for body, end in (("<section><p>SHORT end</p></section><section><ul><li>one</li><li>two</li></ul></section>", "SHORT end one two"), ("<section><h2>Head</h2><p>Short text</p></section>", "Head Short text")):
+        assert html_text.main_text(f"<body><section><p>{long}</p></section>{body}</body>") == f"{long} {end}"
+        divs = body.replace("section", "div")
+        assert html_text.main_text(f"<body><div><p>{long}</p></div>{divs}</body>") == f"{long} {end}"
+    for x, y in (("AT&<b>lt</b> x", "AT&lt x"), ("a &am<!-- -->p; b", "a &amp; b"), ("one <label>two</label> three.", "one two three."), ("&lt;b&gt; &amp;amp;", "<b> &amp;")):
+        assert html_text.main_text(f"<body><article><p>{long}</p><p>{x}</p></article></body>") == f"{long} {y}"
