@@ -123,12 +123,52 @@ def test_recall_of_sketches_by_edit_similarity(share, least):
     r, p, hit = random.Random(int(share * 100)), near_dedup.Params(), 0
     for _ in range(150):
         a = [f"w{r.randrange(10**6)}" for _ in range(300)]
-        one, two = (set(near_dedup.sketch(near_dedup.kmers(near_dedup.word_ids(" ".join(t)), p.words), p).tolist()) for t in (a, edited(r, a, share)))
+        one, two = (set(near_dedup.sketches(near_dedup.word_ids(" ".join(t)), p).tolist()) for t in (a, edited(r, a, share)))
         hit += bool(one & two)
     print(f"edits in {share:.0%} of the words: {hit / 150:.1%} of pairs share a sketch")
     assert hit >= least * 150
 
 
+def spread(r, words, similarity, how):
+    """So many words replaced: as far apart as can be, at random places, or in runs of some ten."""
+    n = len(words)
+    k = int(n * (1 - similarity) + 1e-9)
+    if how == "even":
+        at = [int((i + 0.5) * n / k) for i in range(k)]
+    elif how == "random":
+        at = r.sample(range(n), k)
+    else:
+        at = sorted(range(n), key=lambda i: (hash((i // 10, r.random() if i % 10 == 0 else 0)), i))[:k]
+    out = list(words)
+    for i in at:
+        out[i] = f"x{r.randrange(10**9)}"
+    return out
+
+
+@pytest.mark.parametrize("how", ["even", "random", "runs"])
+@pytest.mark.parametrize("n", [50, 100, 300, 1000])
+@pytest.mark.parametrize("similarity", [0.8, 0.833, 0.857, 0.875, 0.9])
+def test_recall_of_sketches_wherever_edits_are(similarity, n, how):
+    r, p, hit, trials = random.Random(f"{similarity}{n}{how}"), near_dedup.Params(), 0, 150
+    for _ in range(trials):
+        a = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        one, two = (set(near_dedup.sketches(near_dedup.word_ids(" ".join(t)), p).tolist()) for t in (a, spread(r, a, similarity, how)))
+        hit += bool(one & two)
+    print(f"{how} {n} words, similarity {similarity}: {hit / trials:.1%} of pairs share a sketch")
+    assert hit >= 0.9 * trials
+
+
+def test_pairs_at_the_threshold_are_joined(spark):
+    """Texts of 300 words with every sixth word changed (0.833), through the whole operator."""
+    r = random.Random(11)
+    rows = []
+    for i in range(40):
+        a = [f"w{r.randrange(10**6)}" for _ in range(300)]
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(spread(r, a, 0.8334, "even")))]
+    got = {x["doc_id"]: x["component_id"] for x in near_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * i] == got[2 * i + 1] for i in range(40)) >= 38 and all(got[2 * i] == 2 * i for i in range(40))
+
+
 def test_recall_on_documents(spark):
     """Every pair of different texts of sf0.01 at an edit similarity of 0.8 is in one group; no group without a link."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
