@@ -6,7 +6,6 @@ Everything here is DataFrame expressions and pyspark.ml: no Python runs on the e
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from . import common
 
 ALLOW, BLOCK = "allow", "block"
-#: Rows that the trees are fitted on at most.
+#: Distinct URLs that the trees are fitted on (by a hash threshold: so many, give or take its chance).
 SAMPLE_ROWS = 20_000
 #: Suffix statistics are broadcast up to this many bytes, and joined by a shuffle beyond.
 BROADCAST_BYTES = 16 << 20
@@ -62,13 +61,11 @@ def apply_rules(urls: DataFrame, rules: Sequence[tuple[str, str]], url_col: str
 
 
 def _entropy(text: Column) -> Column:
-    """Bits per character, from the counts of each letter, of digits and of the common marks."""
-    n = F.greatest(F.length(text), F.lit(1)).cast("double")
-    kinds = [*"abcdefghijklmnopqrstuvwxyz", *"-._/=&?%+~"]
-    counts = [(F.length(text) - F.length(F.replace(text, F.lit(k)))).cast("double") for k in kinds]
-    counts.append(F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double"))
-    term = lambda c: F.when(c > 0, -(c / n) * F.log2(c / n)).otherwise(0.0)
-    return reduce(lambda a, b: a + b, map(term, counts))
+    """Bits per character, from the counts of all characters."""
+    n = F.length(text).cast("double")
+    times = lambda c: (F.length(text) - F.length(F.replace(text, c))) / F.length(c)
+    each = F.transform(F.filter(F.array_distinct(F.split(text, "")), lambda c: c != ""), times)
+    return F.when(n > 0, F.aggregate(each, F.lit(0.0), lambda a, c: a - (c / n) * F.log2(c / n))).otherwise(0.0)
 
 
 def suffix(host: Column) -> Column:
@@ -103,12 +100,16 @@ def features(df: DataFrame, url_col: str, keep: Sequence[str]) -> tuple[DataFram
     return df.select(*keep, *made.values()), [f"f_{k}" for k in made]
 
 
-def _with_statistics(df: DataFrame, stats: DataFrame, overall: float, learning: bool) -> DataFrame:
+def _with_statistics(df: DataFrame, stats: DataFrame, small: bool, overall: float, learning: bool) -> DataFrame:
     """``df`` with f_suffix_blocked (smoothed share of blocked rows under the suffix) and f_suffix_rows.
 
     While ``learning``, a row's statistics are those of the other half of the rows, so that they do not hold its own label.
     """
-    made = df.join(stats, "suffix", "left").na.fill(0, ["k0", "b0", "k1", "b1"])
+    if small:
+        made = df.join(F.broadcast(stats), "suffix", "left")
+    else:
+        made = common.spread_join(df, stats.withColumn("size", F.col("k0") + F.col("k1")), ["suffix"], how="left")
+    made = made.na.fill(0, ["k0", "b0", "k1", "b1"])
     if learning:
         k, b = (F.when(F.col("half") == 0, F.col(f"{x}1")).otherwise(F.col(f"{x}0")) for x in "kb")
     else:
@@ -116,11 +117,12 @@ def _with_statistics(df: DataFrame, stats: DataFrame, overall: float, learning:
     return made.withColumns({"f_suffix_blocked": (b + 8 * overall) / (k + 8), "f_suffix_rows": F.log1p(k.cast("double") * (2 if learning else 1))}).drop("k0", "b0", "k1", "b1")
 
 
-def learn(decided: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[PipelineModel, DataFrame, float] | float:
-    """(trees, statistics of each suffix, overall share of y) from rows (url, host, path, suffix, y).
+def learn(decided: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[PipelineModel, DataFrame, bool, float] | float:
+    """(trees, statistics of each suffix, whether these are few, overall share of y) from rows (url, host, path, suffix, y).
 
-    The trees are fitted on ``sample_rows`` rows at most, chosen by a hash; statistics are of all rows. Where all
-    rows have one label (or there are none), that label (or 0).
+    The trees are fitted on some ``sample_rows`` distinct URLs, chosen by a hash, each with the number of its rows as its
+    weight: copies of one count fully and take no places. Statistics are of all rows. Where all rows have one label
+    (or there are none), that label (or 0).
     """
     half = F.pmod(F.xxhash64("url", F.lit("half")), F.lit(2))
     decided = decided.withColumn("half", half)
@@ -130,25 +132,26 @@ def learn(decided: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[PipelineM
     n, blocked = size["n"] or 0, size["blocked"] or 0.0
     if not 0 < blocked < n:
         return 1.0 if n and blocked == n else 0.0
-    if size["bytes"] <= BROADCAST_BYTES:
-        stats = F.broadcast(stats)
-    share, overall = min(1.0, sample_rows / n), float(blocked / n)
+    small, overall = size["bytes"] <= BROADCAST_BYTES, float(blocked / n)
+    decided = common.cut(decided.groupBy("url", "host", "path", "suffix", "half", "y").agg(F.count(F.lit(1)).cast("double").alias("weight")))
+    urls = decided.count()
+    share = min(1.0, sample_rows / urls)
     order = F.xxhash64(F.col("url"), F.lit("sample"))
-    sample, names = features(decided.where(order <= min(int(-(2**63) + share * 2**64), 2**63 - 1)), "url", ["suffix", "half", "y"])
-    sample = _with_statistics(sample, stats, overall, True)
-    trees = GBTClassifier(featuresCol="features", labelCol="y", maxIter=8, maxDepth=4, maxBins=32, stepSize=0.3, seed=7)
+    sample, names = features(decided.where(order <= min(int(-(2**63) + share * 2**64), 2**63 - 1)), "url", ["suffix", "half", "y", "weight"])
+    sample = _with_statistics(sample, stats, small, overall, True)
+    trees = GBTClassifier(featuresCol="features", labelCol="y", weightCol="weight", maxIter=8, maxDepth=4, maxBins=32, stepSize=0.3, seed=7)
     assembler = VectorAssembler(inputCols=[*names, "f_suffix_blocked", "f_suffix_rows"], outputCol="features")
-    few = max(1, min(8, int(n * share) // 4_000 + 1))
-    return Pipeline(stages=[assembler, trees]).fit(common.cut(sample.repartition(few))), stats, overall
+    few = max(1, min(8, int(urls * share) // 4_000 + 1))
+    return Pipeline(stages=[assembler, trees]).fit(common.cut(sample.repartition(few))), stats, small, overall
 
 
-def scores(urls: DataFrame, learnt: tuple[PipelineModel, DataFrame, float] | float, keep: Sequence[str]) -> DataFrame:
+def scores(urls: DataFrame, learnt: tuple[PipelineModel, DataFrame, bool, float] | float, keep: Sequence[str]) -> DataFrame:
     """``keep`` and score, the chance of y, of rows (url, host, path, suffix)."""
     if isinstance(learnt, float):
         return urls.select(*keep, F.lit(learnt).alias("score"))
-    model, stats, overall = learnt
+    model, stats, small, overall = learnt
     made, _ = features(urls, "url", [*keep, *({"suffix"} - set(keep))])
-    scored = model.transform(_with_statistics(made, stats, overall, False))
+    scored = model.transform(_with_statistics(made, stats, small, overall, False))
     return scored.select(*keep, vector_to_array("probability")[1].alias("score"))
 
 
@@ -156,7 +159,7 @@ def judge(urls: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page
     """(id_col, host, path, rule, verdict, score) of every row.
 
     Where a rule fits, the verdict is the rule's. The rest is judged by boosted trees (score, the chance
-    of block, at least 0.5: block), fitted on the URLs that rules decide, ``sample_rows`` of them at most.
+    of block, at least 0.5: block), fitted on the URLs that rules decide, some ``sample_rows`` distinct ones of them.
     Suffix statistics are the smoothed share of blocked rows under the last two host labels, over all
     rows that rules decide; suffixes without such rows get the overall share. Without URLs of both verdicts there
     are no trees: the more frequent verdict holds, or allow. Null and unusual URLs have an empty host and path and

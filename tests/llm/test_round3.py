@@ -334,3 +334,32 @@ def test_an_article_in_several_parts_and_references_in_one_text():
         assert html_text.main_text(f"<body><div><p>{long}</p></div>{divs}</body>") == f"{long} {end}"
     for x, y in (("AT&<b>lt</b> x", "AT&lt x"), ("a &am<!-- -->p; b", "a &amp; b"), ("one <label>two</label> three.", "one two three."), ("&lt;b&gt; &amp;amp;", "<b> &amp;")):
         assert html_text.main_text(f"<body><article><p>{long}</p><p>{x}</p></article></body>") == f"{long} {y}"
+
+
+# --- URLs
+
+
+def test_entropy_counts_every_character(spark):
+    import math
+
+    from siltworks.llm import url_filter
+    from pyspark.sql import functions as F
+
+    texts = ["", "a", "aaaa", "http://x.org/0123?a=b&c=é🙂🙂", "1234567890", "\\d.*+[x]$"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", url_filter._entropy(F.col("t")).alias("e"))
+    for r in df.collect():
+        n = len(r["t"])
+        assert r["e"] == pytest.approx(sum(-r["t"].count(c) / n * math.log2(r["t"].count(c) / n) for c in set(r["t"])))
+
+
+def test_one_url_many_times_takes_one_place(spark, monkeypatch):
+    """A hot URL counts with all its rows and leaves the others in the sample; large statistics are joined by size."""
+    from siltworks.llm import url_filter
+
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", 0)
+    rows = [(i, f"https://a{i % 40}.com/p{i}") for i in range(400)] + [(400 + i, f"https://b{i % 40}.org/long/path/{i}?q={i}") for i in range(400)] + [(1000 + i, "https://hot.com/x") for i in range(5000)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = url_filter.judge(df, [("block", "com/"), ("allow", "org/long/path/1"), ("allow", "org/long/path/2")]).toPandas()
+    assert len(got) == len(rows) and (got[got["host"] == "hot.com"]["verdict"] == "block").all()
+    left = got[got["rule"].isna()]
+    assert len(left) > 100 and (left["verdict"] == "allow").mean() > 0.9
