@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
 from functools import partial
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -126,9 +127,13 @@ def _remember(spark: SparkSession, table: LakeTable, schema: T.StructType) -> No
 
 @dataclass(frozen=True)
 class File:
-    """A file of a Parquet table: its batches, size, and the least and greatest value (µs) of each column of times."""
+    """A file of a Parquet table: its batches, size, and the least and greatest value (µs) of each column of times.
+
+    ``uri`` is its path as Spark reports it for rows, with characters of names encoded once more.
+    """
 
     path: str
+    uri: str
     batches: tuple[int, ...]
     bytes: int
     rows: int
@@ -157,7 +162,7 @@ def _files(spark: SparkSession, table: LakeTable, day: str) -> tuple[int, list[F
     """(number of its newest list, files) of a load date."""
     n, lines = _newest(spark, _list_folder(table, day))
     found = [json.loads(x) for x in lines or [] if x]
-    return n, [File(x["path"], tuple(x["batches"]), x["bytes"], x["rows"], {c: tuple(v) for c, v in x["times"].items()}) for x in found]
+    return n, [File(x["path"], x["uri"], tuple(x["batches"]), x["bytes"], x["rows"], {c: tuple(v) for c, v in x["times"].items()}) for x in found]
 
 
 def days(spark: SparkSession, table: LakeTable, since: date | None = None, until: date | None = None) -> list[str]:
@@ -180,7 +185,7 @@ def _commit(spark: SparkSession, table: LakeTable, day: str, change: Callable[[l
     """Replace the list of a date in one step. If another writer was first, ``change`` is made to what that one wrote."""
     for _ in range(100):
         n, before = _files(spark, table, day)
-        text = "\n".join(json.dumps({"path": f.path, "batches": f.batches, "bytes": f.bytes, "rows": f.rows, "times": f.times}) for f in change(before))
+        text = "\n".join(json.dumps({"path": f.path, "uri": f.uri, "batches": f.batches, "bytes": f.bytes, "rows": f.rows, "times": f.times}) for f in change(before))
         if _put(spark, f"{_list_folder(table, day)}/{n + 1:08d}.json", text):
             return
     raise RuntimeError(f"{table.location}: other writers were always first")
@@ -199,10 +204,11 @@ def _written(df: DataFrame, table: LakeTable, part: str, batches: dict[str, tupl
     seen = back.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(F.count(F.lit(1)).alias("rows"), *bounds)
     out: dict[str, list[File]] = {}
     for r in sorted(seen.collect(), key=lambda r: r["path"]):
-        path = "part=" + r["path"].split("/part=")[-1]
+        uri = r["path"][r["path"].rindex(f"/part={part}/") + 1 :]
+        path = unquote(uri)
         times = {c: (r[f"min_{c}"], r[f"max_{c}"]) for c in stats if r[f"min_{c}"] is not None}
         of = batches if isinstance(batches, tuple) else batches[path.split("/")[-2]]
-        out.setdefault(path.split("/")[1].split("=", 1)[1], []).append(File(path, of, r["bytes"], r["rows"], times))
+        out.setdefault(path.split("/")[1].split("=", 1)[1], []).append(File(path, uri, of, r["bytes"], r["rows"], times))
     return out
 
 
@@ -345,10 +351,10 @@ def compact(spark: SparkSession, table: LakeTable, since: date, small: int = 100
                 groups += _packed(mine, n)
         if not groups:
             continue
-        number = local(spark, [(f.path, k) for k, g in enumerate(groups) for f in g], "_path string, _group int")  # one row for each small file of a day
+        number = local(spark, [(f.uri, k) for k, g in enumerate(groups) for f in g], "_path string, _group int")  # one row for each small file of a day
         data = f"{table.location}/data"
         rows = spark.read.schema(schema).option("basePath", data).parquet(*[f"{data}/{f.path}" for g in groups for f in g]).drop("part")
-        rows = rows.withColumn("_path", F.concat(F.lit("part="), F.element_at(F.split("_metadata.file_path", "/part="), -1))).join(F.broadcast(number), "_path")
+        rows = rows.withColumn("_path", F.regexp_extract("_metadata.file_path", "/(part=[^/]*/[^/]*/[^/]*/[^/]*)$", 1)).join(F.broadcast(number), "_path")
         rows = rows.repartitionById(len(groups), "_group").drop("_path", "_group").sortWithinPartitions("event_name", "collector_tstamp")
         of = {p: tuple(sorted({b for g in groups for f in g if f.partition == p for b in f.batches})) for p in crowded}
         new = _written(rows, table, f"m-{uuid.uuid4().hex}", of)

@@ -291,3 +291,15 @@ def test_a_period_is_reported_once(spark, tmp_path):
         total = spark.read.parquet(str(tmp_path / "report")).count() if k else 0
     got = [(r["period_start"].hour, r["received"], r["e2e_latency_ms"]) for r in spark.read.parquet(str(tmp_path / "report")).orderBy("period_start").collect()]
     assert total == 3 and got == [(0, 30, 2), (1, 20, 4), (2, 10, 5)]
+
+
+def test_event_names_of_any_kind(spark, table):
+    names = ["a b", "x/y", "50%", "é#?", "k=v", "", None, "part=1", "*", "{a,b}", "[x]"]
+    for k in range(2):
+        rows = spark.createDataFrame([(i, START, n) for i, n in enumerate(names)], "event_id long, collector_tstamp timestamp, event_name string")
+        lake.append(layout.stamped(rows.coalesce(1), START), table, k)
+    for _ in range(2):
+        back = lake.read(spark, table).groupBy("event_name").agg(F.count(F.lit(1)).alias("n")).collect()
+        assert {r["event_name"]: r["n"] for r in back} == {n or None: 4 if not n else 2 for n in names}
+        lake.compact(spark, table, date(2024, 1, 1))
+    assert len(lake.files(spark, table)) == len({n or None for n in names})
