@@ -14,7 +14,6 @@ third of all rows costs each task one row.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ BROADCAST_BYTES = 16 << 20
 
 
 def rice_encode(values: np.ndarray) -> bytes:
-    """Sorted distinct uint64 -> parameter byte, then gaps in Golomb-Rice code."""
+    """Sorted distinct uint64 -> gaps in Golomb-Rice code: parameter byte, low bits of all gaps, unary quotients of all."""
     if not len(values):
         return b""
     gaps = np.diff(values, prepend=np.uint64(0)).astype(np.uint64)
@@ -39,32 +38,26 @@ def rice_encode(values: np.ndarray) -> bytes:
     # the first value counts from the start of the owner's range, so one parameter suits all
     k = max(int(np.log2(max(float(gaps.mean()), 1.0))), 0)
     quotient = (gaps >> np.uint64(k)).astype(np.int64)
-    starts = np.concatenate([[0], np.cumsum(quotient + 1 + k)])
-    bits = np.zeros(starts[-1], np.uint8)
-    at = starts[:-1]
-    ones = np.repeat(at, quotient) + (np.arange(quotient.sum()) - np.repeat(np.cumsum(quotient) - quotient, quotient))
-    bits[ones] = 1  # unary quotient, ended by a 0
+    low = np.zeros((len(gaps), k), np.uint8)
     for j in range(k):
-        bits[at + quotient + 1 + j] = (gaps >> np.uint64(k - 1 - j)) & np.uint64(1)
-    return bytes([k]) + np.packbits(bits).tobytes()
+        low[:, j] = (gaps >> np.uint64(k - 1 - j)) & np.uint64(1)
+    ends = np.cumsum(quotient + 1)
+    unary = np.ones(ends[-1], np.uint8)
+    unary[ends - 1] = 0  # so many ones, ended by a 0
+    return bytes([k]) + np.packbits(low).tobytes() + np.packbits(unary).tobytes()
 
 
 def rice_decode(data: bytes, n: int) -> np.ndarray:
     """The ``n`` values that rice_encode() coded."""
     if not n:
         return np.zeros(0, np.uint64)
-    k, bits = data[0], np.unpackbits(np.frombuffer(data, np.uint8, offset=1))
-    zeros = np.flatnonzero(bits == 0).tolist()
-    starts, marks, at, z = [], [], 0, 0
-    for _ in range(n):  # a value's low bits may hold zeros too: skip to the first at or after its start
-        z = bisect_left(zeros, at, z)
-        starts.append(at)
-        marks.append(zeros[z])
-        at = zeros[z] + 1 + k
-    marks = np.array(marks, np.int64)
-    gaps = (marks - np.array(starts, np.int64)).astype(np.uint64) << np.uint64(k)
+    k = data[0]
+    low = np.unpackbits(np.frombuffer(data, np.uint8, offset=1), count=n * k).reshape(n, k)
+    unary = np.unpackbits(np.frombuffer(data, np.uint8, offset=1 - (-n * k // 8)))
+    ends = np.flatnonzero(unary == 0)[:n]
+    gaps = (np.diff(ends, prepend=-1) - 1).astype(np.uint64) << np.uint64(k)
     for j in range(k):
-        gaps |= bits[marks + 1 + j].astype(np.uint64) << np.uint64(k - 1 - j)
+        gaps |= low[:, j].astype(np.uint64) << np.uint64(k - 1 - j)
     gaps[1:] += np.uint64(1)
     return np.cumsum(gaps, dtype=np.uint64)
 
@@ -101,24 +94,25 @@ def _own(key: tuple, lists: pd.DataFrame) -> pd.DataFrame:
 
 
 def _mark(rows: pd.DataFrame, maps: pd.DataFrame) -> pd.DataFrame:
-    """Suspect fingerprints of one partition: the bitmaps, by owner, follow its sorted fingerprints."""
+    """Suspect fingerprints of one partition, and its rows with each: the bitmaps, by owner, follow its sorted fingerprints."""
     if not len(rows) or not len(maps):
-        return pd.DataFrame({"fp": pd.Series([], dtype="int64")})
+        return pd.DataFrame({"fp": pd.Series([], dtype="int64"), "size": pd.Series([], dtype="int64")})
     maps = maps.sort_values("owner")
     bits = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(maps["bitmap"], maps["n"], strict=True)])
-    return pd.DataFrame({"fp": np.unique(rows["fp"].to_numpy(np.int64).view(np.uint64))[bits == 1].view(np.int64)})
+    fps, sizes = np.unique(rows["fp"].to_numpy(np.int64).view(np.uint64), return_counts=True)
+    return pd.DataFrame({"fp": fps[bits == 1].view(np.int64), "size": sizes[bits == 1]})
 
 
 def suspects(keyed: DataFrame) -> DataFrame:
-    """(fp) of every fingerprint that occurs again. ``keyed``: checkpointed (fp, src).
+    """(fp, size) of every fingerprint that occurs again, and how many rows have it. ``keyed``: checkpointed (fp, src).
 
     ``src`` is the row's partition; the checkpoint keeps it so when tasks are repeated.
     """
     owners = max(1, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-keyed.count() // OWNER_ROWS))
     lists = keyed.select("src", "fp").mapInPandas(_send(owners), "src int, owner int, n int, codes binary, many binary")
     maps = lists.groupBy("owner").applyInPandas(_own, "src int, owner int, n int, bitmap binary")
-    found = keyed.select("src", "fp").groupBy("src").cogroup(maps.groupBy("src")).applyInPandas(_mark, "fp long")
-    return found.distinct()
+    found = keyed.select("src", "fp").groupBy("src").cogroup(maps.groupBy("src")).applyInPandas(_mark, "fp long, size long")
+    return found.groupBy("fp").agg(F.sum("size").alias("size"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,9 +129,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keyed = common.cut(base.select("id", "fp", F.sha2("t", 256).alias("sha"), F.spark_partition_id().alias("src")))
     found = common.cut(suspects(keyed))
     if found.count() * 8 <= BROADCAST_BYTES:
-        found = F.broadcast(found)
+        again = base.join(F.broadcast(found.select("fp")), "fp", "left_semi")
+    else:
+        again = common.spread_join(base, found, ["fp"])
     # byte verification: only rows under suspect fingerprints move, grouped by the text itself
-    groups = base.join(found, "fp", "left_semi").groupBy("t").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    groups = again.groupBy("t").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     groups = common.cut(groups.where("group_size > 1").select(F.sha2("t", 256).alias("sha"), "keep_id", "group_size", F.col("group_size").alias("size")))
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return common.spread_join(keyed, groups, ["sha"], how="left").select(

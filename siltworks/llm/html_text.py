@@ -59,9 +59,7 @@ PLAIN = frozenset(
 )
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
-REST = re.compile(r"""((?:"[^"]*"|'[^']*'|[^>"'])*+)>""")
-#: Tags whose quotes do not close before the page ends, after which quotes are no longer looked at.
-LOOSE_QUOTES = 32
+QUOTE_OR_END = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt figcaption h1 h2 h3 h4 h5 h6".split())
 
@@ -79,7 +77,8 @@ class Tree:
         self.stack = [0]  # open elements
         self.spots: dict[str, list[int]] = {}  # where in the stack each tag stands
         self.blocks, self.scopes, self.holds, self.drawn = ([] for _ in range(4))  # where those kinds stand
-        at, text_from, n, last, loose = 0, 0, len(page), page.rfind(">"), 0
+        at, text_from, n, last = 0, 0, len(page), page.rfind(">")
+        self.loose: set[int] = set()  # quotes after which a tag finds no end
         while (lt := page.find("<", at)) >= 0:
             for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>")):
                 if page.startswith(opening, lt):
@@ -98,13 +97,8 @@ class Tree:
                         at = text_from = page.find(">", at) + 1
                     continue
                 self._text(page[text_from:lt])
-                rest = REST.match(page, m.end()) if loose < LOOSE_QUOTES else None
-                if rest:
-                    attributes, at = rest[1], rest.end()
-                else:
-                    loose += 1
-                    at = page.find(">", m.end()) + 1
-                    attributes = page[m.end() : at - 1]
+                end = self._tag_end(page, m.end())
+                attributes, at = page[m.end() : end], end + 1
                 name = m[2].lower()
                 if m[1]:
                     self._close(name)
@@ -113,6 +107,25 @@ class Tree:
                 text_from = at
         self._text(page[text_from:])
 
+    def _tag_end(self, page: str, at: int) -> int:
+        """The first ``>`` outside of quotes, or the first one at all where quotes do not close.
+
+        A quote from which there is no end is remembered, and no search goes past it again: stretches between
+        two equal quotes are read once at most without reaching an end.
+        """
+        start, opened = at, []
+        while m := QUOTE_OR_END.search(page, at):
+            if m[0] == ">":
+                return m.start()
+            if m.start() in self.loose:
+                break
+            opened.append(m.start())
+            at = page.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.loose.update(opened)
+        return page.find(">", start)
+
     def _text(self, text: str) -> None:
         if text:  # references are decoded within one text: markup between two halves makes no reference
             self.content[self.stack[-1]].append(html.unescape(text))

@@ -43,7 +43,11 @@ def _starts(spans: list[tuple[int, int]], base: int) -> dict[int, int]:
 
 
 def count_huge(text: str, path: str, chunk: int = HUGE, overlap: int = OVERLAP) -> int:
-    """Tokens of ``text``; memory is bounded by a chunk and its overlap."""
+    """Tokens of ``text``.
+
+    Memory is that of two chunks and what they overlap, wherever two encodings agree on one token in a chunk. Where they
+    agree on none (we know of no such text) the next chunk is encoded with the last one, and neither is cut short.
+    """
     t = vocab.tokenizer(path)
 
     def encoded(a: int, b: int):

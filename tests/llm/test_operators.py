@@ -1,6 +1,7 @@
 """The operators against brute force, round trips and the edge cases that their docstrings state."""
 
 import random
+import re
 import time
 import zlib
 
@@ -35,11 +36,17 @@ def frame(spark, rows):
 
 def test_rice_codes_round_trip():
     for n in (0, 1, 2, 5, 1000):
-        v = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64))
-        assert (exact_dedup.rice_decode(exact_dedup.rice_encode(v), len(v)) == v).all()
+        for top in (1 << 11, 1 << 40, 1 << 64):
+            v = np.unique(np.random.default_rng(n).integers(0, top - 1, n, dtype=np.uint64, endpoint=True))
+            v = v if n != 5 else np.append(v[:-1], np.uint64(top - 1))
+            assert (exact_dedup.rice_decode(exact_dedup.rice_encode(v), len(v)) == v).all()
+    v = np.arange(70, dtype=np.uint64)
+    assert (exact_dedup.rice_decode(exact_dedup.rice_encode(v), 70) == v).all()
 
 
-def test_exact_groups(spark):
+@pytest.mark.parametrize("bound", [0, 16 << 20])
+def test_exact_groups(spark, monkeypatch, bound):
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", bound)
     rows = [(1, "a"), (2, "a"), (3, None), (4, ""), (5, "b"), (None, "b"), (6, "c" * 200_000), (7, "c" * 200_000), (8, "d"), (9, "a ")] + [(100 + i, "hot") for i in range(300)]
     docs = frame(spark, rows).repartition(5)
     got = {r["doc_id"]: r for r in exact_dedup.exact_groups(docs).collect() if r["doc_id"] is not None}
@@ -436,6 +443,24 @@ def test_broken_pages_are_read_in_linear_time():
         assert time.perf_counter() - began < 8, x
 
 
+def test_tags_with_and_without_closed_quotes_end_where_a_plain_reading_says():
+    rest, r, ends = re.compile(r"""(?:"[^"]*"|'[^']*'|[^>"'])*+>"""), random.Random(8), 0
+    for _ in range(3_000):
+        page = "".join(r.choice("\"'>ab" if r.random() < 0.5 else "b") for _ in range(r.randrange(120))) + ">"
+        tree = html_text.Tree("")
+        for at in range(0, len(page), 3):  # what was learnt from one tag holds for the next ones
+            m = rest.match(page, at)
+            ends += m is None
+            assert tree._tag_end(page, at) == (m.end() - 1 if m else page.find(">", at)), (page, at)
+    assert ends > 1_000
+
+
+def test_the_fortieth_loose_quote_is_read_like_the_first():
+    loose = '<b ">"some words, and ' * 40  # none of these tags ends outside of quotes
+    got = html_text.main_text(f"<body><article><p>{loose}\"<i title='a > b'>the end of it.")
+    assert got.count("some words, and") == 40 and got.endswith("the end of it.") and "b'" not in got
+
+
 def test_headings_and_notes_inside_articles_stay():
     body = "<p>One, two, three and some words of the first paragraph.</p><p>Second paragraph, with more words to read.</p>"
     page = f"<body><div class=header><p>Site, name, and, so, on</p></div><article><div class='entry-header'><h1>Title</h1></div>{body}<div class='legal-notice'><p>What the law says, in short.</p></div><div class='toc'><a href=x>One</a> <a href=y>Two</a></div><div class=comments><p>I, for one, like it, so well.</p></div></article></body>"
