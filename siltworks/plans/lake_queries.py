@@ -399,10 +399,13 @@ def lake_load_dates(spark, sf_dir):
 
 @query("lake_compact_batches", "SELECT event_type AS event_name, count(*) AS n_rows, sum(event_id)::BIGINT AS ids, 10 AS n_changed, true AS packed FROM feed WHERE loaded GROUP BY 1")
 def lake_compact_batches(spark, sf_dir):
-    """Ten batches of one load date, five minutes apart: no more files than their bytes need, and one, for each name."""
+    """Ten batches of one load date, five minutes apart: no more files than their bytes need, and one, for each name.
+
+    Files of a larger table are larger, and so are those that they are merged to: at least four go into each.
+    """
     t = by_arrival(spark, sf_dir, lambda k: STAMP + timedelta(minutes=5 * k))
-    target = 16 << 10
     before = lake.files(spark, t)
+    target = max(16 << 10, 4 * max((f.bytes for f in before), default=0))
     changed = lake.compact(spark, t, STAMP.date(), small=target, target=target)
     after = lake.files(spark, t)
     packed = all(sum(f.partition == p for f in after) <= sum(f.bytes for f in before if f.partition == p) / target + 1 for p in {f.partition for f in before})
