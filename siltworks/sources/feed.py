@@ -58,13 +58,27 @@ def raw_lines(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return events.select("event_id", F.when(i % 97 == 13, head).otherwise(F.concat_ws("\t", head, *rest)).alias("line"), *[c for c in keep if c != "event_id"])
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores; a large table has them already and is not shuffled."""
+#: Bytes of ``events.parquet`` that one task turns into lines, some 170,000 events.
+TASK_BYTES = 2 << 20
+
+
+def spread(df: DataFrame, size: int) -> DataFrame:
+    """``df``, read from files of ``size`` bytes, in partitions of TASK_BYTES, and as many as there are cores at least.
+
+    Always by a shuffle, of the narrow rows before they grow to lines: the number of a file's splits says nothing of where its
+    rows are, as a row group, which may be the whole file, is read by one task.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(cores, -(-size // TASK_BYTES)), *df.columns)
+
+
+def _size(spark: SparkSession, location: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
 
 
 def feed(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """The lines of ``events.parquet``."""
-    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    at = f"{sf_dir}/events.parquet"
+    events = spread(spark.read.parquet(at), _size(spark, at))
     return raw_lines(events).select("line") if not keep else raw_lines(events, keep).select("line", *keep)
