@@ -39,13 +39,18 @@ def cut_points(counts: DataFrame, parts: int, name: str = "event_name", n: str =
 
     ``counts`` has rows (name, n), several of a name if need be. A name of more than half a part has a row of its own; the
     others share 64 buckets a part, by their hash (name is None there). So there are 66 rows a part at most.
-    ``total``, where it is known, saves a job.
+    ``total``, where it is known, saves a job. ``counts`` are computed once.
     """
     sums = counts.groupBy(F.col(name).alias("name")).agg(F.sum(n).alias("n"))
-    total = total or counts.agg(F.sum(n)).first()[0] or 0
-    own = F.when(F.col("n") * 2 * parts > total, F.col("name"))
-    bucket = F.when(own.isNull(), F.pmod(F.xxhash64("name"), F.lit(64 * parts)))
-    rows = sums.groupBy(own.alias("name"), bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()
+    held = None if total else sums.persist()  # one row for each name
+    try:
+        total = total or sums.agg(F.sum("n")).first()[0] or 0
+        own = F.when(F.col("n") * 2 * parts > total, F.col("name"))
+        bucket = F.when(own.isNull(), F.pmod(F.xxhash64("name"), F.lit(64 * parts)))
+        rows = sums.groupBy(own.alias("name"), bucket.alias("bucket")).agg(F.sum("n").alias("n")).collect()
+    finally:
+        if held is not None:
+            held.unpersist()
     out, before, total = [], 0, sum(r["n"] for r in rows)
     for r in sorted(rows, key=lambda r: (r["name"] is None, r["name"] or "", r["bucket"] or 0)):
         out.append((r["name"], r["bucket"], r["n"], before, total))
@@ -59,10 +64,10 @@ def laid_out(df: DataFrame, parts: int, counts: DataFrame | None = None, sort: b
     ``counts`` (name, n) come from an earlier pass over the same rows, so rows are sent straight to their part: no job
     samples or sorts them first. Within its name a row lies by the hash of ``spread``. Counts that are not exact
     move the cuts a little and lose nothing. Without counts they are taken from ``df``. ``total`` is about how many rows there
-    are, if that is known. One part: a plain coalesce.
+    are, if that is known. One part: what comes before is still worked on by all tasks, and only ``df``'s columns are sent.
     """
     if parts == 1:
-        out = df.coalesce(1)
+        out = df.repartition(1)
     else:
         if counts is None:
             counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
