@@ -82,8 +82,8 @@ def load_batch(batch: DataFrame, batch_id: int, load: Load) -> None:
         committed = m["received"] - m["bad"]
         if committed:
             parts = load.write_partitions or layout.write_partitions(m["bytes"])
-            rows = shred.shredded(layout.laid_out(judged.where("kind is null").drop(*keep), parts, used, total=committed), columns)
-            lake.append(layout.stamped(rows, started), load.table, batch_id)
+            rows = shred.shredded(judged.drop(*keep), columns)  # by all tasks, before rows are sent to the few that write
+            lake.append(layout.stamped(layout.laid_out(rows, parts, used, total=committed), started), load.table, batch_id)
         done = load.clock()
         ms = lambda a: None if a is None else int((done - a.astimezone(UTC)).total_seconds() * 1000)
         row = (batch_id, started, done if committed else None, m["received"], m["bad"], committed, m["bytes"], m["earliest"], ms(m["source"]), ms(started), ms(m["earliest"]) if committed else None)
