@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import schema_keys as keys
+from ..functions.atomic import once
 from ..functions.json_schema import EntityColumn, normal, plan
 from ..functions.local import local
 
@@ -24,19 +25,33 @@ def entities(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     unstruct = F.when(F.col("unstruct_event.schema").isNotNull(), F.array(F.struct(F.lit("unstruct_event").alias("kind"), F.col("unstruct_event.schema").alias("schema"))))
     contexts = F.transform("contexts", lambda c: F.struct(F.lit("contexts").alias("kind"), c["schema"].alias("schema")))
     none = F.array().cast("array<struct<kind:string,schema:string>>")
-    each = parsed.select(*keep, F.explode(F.concat(F.coalesce(unstruct, none), F.coalesce(contexts, none))).alias("e"))
-    return each.select(*keep, "e.kind", "e.schema", keys.parts(F.col("e.schema")).alias("k")).select(*keep, "kind", "schema", "k.*")
+    return with_parts(parsed.select(*keep, F.explode(F.concat(F.coalesce(unstruct, none), F.coalesce(contexts, none))).alias("e")).select(*keep, "e.kind", "e.schema"))
+
+
+def with_parts(used: DataFrame) -> DataFrame:
+    """Rows with a ``schema``, and the parts of it."""
+    return used.select("*", keys.parts(F.col("schema")).alias("_k")).select(*used.columns, "_k.*")
+
+
+def counts(parsed: DataFrame) -> DataFrame:
+    """(kind, schema, n, vendor, name, format, model, revision, addition): entities by schema.
+
+    They are counted by their texts, and combined before the shuffle; only schemas, not entities, are taken apart.
+    """
+    found = entities(parsed).select("kind", "schema")  # nobody asks for the parts: they are not made
+    each = found.groupBy("kind", "schema").agg(F.count(F.lit(1)).alias("n"))
+    return with_parts(once(each, ["schema"]))  # filters by parts stay above
 
 
 def distinct_keys(parsed: DataFrame) -> DataFrame:
     """Distinct (kind, schema) with parts; as many rows as there are schemas in use."""
-    return entities(parsed).distinct()
+    return counts(parsed).drop("n")
 
 
 def inventory(parsed: DataFrame) -> DataFrame:
     """(kind, vendor, name, model, versions): which sub-versions of each entity a batch holds."""
     version = F.concat_ws("-", "model", "revision", "addition")
-    found = entities(parsed).select("kind", "vendor", "name", "model", version.alias("v"))
+    found = counts(parsed).select("kind", "vendor", "name", "model", version.alias("v"))
     return found.groupBy("kind", "vendor", "name", "model").agg(F.array_join(F.sort_array(F.collect_set("v")), ",").alias("versions"))
 
 
@@ -126,6 +141,7 @@ def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] =
     depend on what a batch happens to hold.
     """
     spark = used.sparkSession
+    own = None if used.is_cached else used.persist()  # few rows, of a pass over all
     each = used.select("signature", F.explode("signature").alias("e")).select("signature", F.split("e", " ", 2)[0].alias("kind"), F.split("e", " ", 2)[1].alias("schema"))
     mine = each.groupBy("kind", "schema").agg(F.lit(1)).select("kind", "schema", keys.parts(F.col("schema")).alias("k")).select("kind", "schema", "k.*")
     mine = resolve(without_skipped(mine, criteria), registry).persist()  # one row for each schema in use
@@ -140,6 +156,8 @@ def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] =
         both = lacking_few.select("signature", "schema").unionByName(held.select("kind", "vendor", "name", "model", "version", "schema_json"), allowMissingColumns=True).collect()
     finally:
         mine.unpersist()
+        if own is not None:
+            own.unpersist()
     groups: dict[tuple, list[tuple[str, str]]] = {}
     few = [r for r in both if r["signature"] is not None]
     for r in both:
@@ -155,9 +173,9 @@ def column_plan(used: DataFrame, registry: DataFrame, criteria: Sequence[str] =
 
 def column_names(parsed: DataFrame) -> DataFrame:
     """Distinct names of the entity columns that a batch's entities belong to."""
-    found = entities(parsed).where("model is not null").select("kind", "vendor", "name", "model").distinct()
+    found = counts(parsed).where("model is not null").select("kind", "vendor", "name", "model").distinct()
     snake = lambda c: F.regexp_replace(F.lower(F.regexp_replace(c, "([a-z0-9])([A-Z])", "$1_$2")), "[^a-z0-9_]", "_")
     return found.select(F.concat_ws("_", "kind", snake("vendor"), snake("name"), "model").alias("column_name")).distinct()
 
 
-__all__ = ["BROADCAST_BYTES", "Lookup", "MissingSchema", "column_names", "column_plan", "distinct_keys", "entities", "inventory", "missing", "normal", "resolve", "signature", "signatures", "without_skipped"]
+__all__ = ["BROADCAST_BYTES", "Lookup", "MissingSchema", "column_names", "column_plan", "counts", "distinct_keys", "entities", "inventory", "missing", "normal", "resolve", "signature", "signatures", "with_parts", "without_skipped"]
