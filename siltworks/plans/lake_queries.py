@@ -91,12 +91,23 @@ def ntz(c: str):
 _held: list[DataFrame] = []
 
 
-def judged(spark: SparkSession, sf_dir: str, skip: tuple[str, ...] = (), registry: DataFrame | None = None, nullable: bool = False):
-    """(judged rows, columns, lookup) of the whole feed. Lines are parsed once; the rows are kept until the next call."""
-    while _held:
+def hold(*rows: DataFrame) -> DataFrame:
+    """The last of ``rows``, kept until the next query that holds some; those before are what it is made of."""
+    while _held and not any(_held[-1] is r for r in rows):
         _held.pop().unpersist()
-    rows = good(parsed(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
-    _held.append(rows)
+    _held.append(rows[-1].persist(StorageLevel.MEMORY_AND_DISK))
+    return rows[-1]
+
+
+def good_rows(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The good rows of the feed, held: lines are parsed once. ``keep``: of ``payload`` and its size, what is needed."""
+    rows = good(parsed(spark, sf_dir))
+    return hold(rows.drop(*{"payload", "payload_bytes"} - set(keep)))
+
+
+def judged(spark: SparkSession, sf_dir: str, skip: tuple[str, ...] = (), registry: DataFrame | None = None, nullable: bool = False, rows: DataFrame | None = None):
+    """(judged rows, columns, lookup) of the whole feed, or of ``rows`` of it."""
+    rows = good_rows(spark, sf_dir) if rows is None else rows
     columns, lookup = entities.column_plan(entities.signatures(rows), registry if registry is not None else raw.registry(spark), skip, nullable)
     return shred.judged(rows, columns, lookup), columns, lookup
 
@@ -129,8 +140,7 @@ def good_bad_split(spark, sf_dir):
 
 @query("entity_keys", "SELECT kind, vendor, name, version, count(*) AS n FROM parts GROUP BY ALL")
 def entity_keys(spark, sf_dir):
-    found = entities.entities(good(parsed(spark, sf_dir)))
-    return found.groupBy("kind", "vendor", "name", F.concat_ws("-", "model", "revision", "addition").alias("version")).agg(F.count(F.lit(1)).alias("n"))
+    return counted(schema_counts(spark, sf_dir))
 
 
 @query("entity_inventory", "SELECT kind, vendor, name, CAST(split_part(version, '-', 1) AS INT) AS model, array_to_string(list_sort(list(DISTINCT version)), ',') AS versions FROM parts GROUP BY 1, 2, 3, 4")
@@ -147,9 +157,8 @@ def skip_schemas(spark, sf_dir):
 
 
 def schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(kind, schema, parts, n): entities of the feed by schema."""
-    found = entities.entities(good(parsed(spark, sf_dir)))
-    return found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("n"))
+    """(kind, schema, n, parts): entities of the feed by schema; held, as some use them twice."""
+    return hold(entities.counts(good(parsed(spark, sf_dir))))
 
 
 def counted(found: DataFrame) -> DataFrame:
@@ -234,7 +243,8 @@ def shred_empty_schema(spark, sf_dir):
 def required_fields(spark, sf_dir):
     stricter = [(v, n, f, ver, raw._schema({"user_id": "integer", "email": "string"}, ["user_id", "email"], False) if n == "user" else s) for v, n, f, ver, s in raw.REGISTRY]
     registry = spark.createDataFrame(stricter, raw.registry(spark).schema)
-    parts = [judged(spark, sf_dir, (), registry, nullable)[0].where("kind = 'transform'").agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n_failed")) for mode, nullable in (("respected", False), ("ignored", True))]
+    rows = good_rows(spark, sf_dir)
+    parts = [judged(spark, sf_dir, (), registry, nullable, rows)[0].where("kind = 'transform'").agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("n_failed")) for mode, nullable in (("respected", False), ("ignored", True))]
     return parts[0].unionAll(parts[1])
 
 
@@ -252,7 +262,7 @@ def union_evolving(spark, sf_dir):
 
 @query("bad_rows_sink", "SELECT CASE WHEN NOT good THEN 'parsing' WHEN u = 'unknown' THEN 'schema_missing' ELSE 'transform' END AS kind, count(*) AS n, sum(strlen(line)) AS payload_bytes FROM feed WHERE NOT loaded GROUP BY 1")
 def bad_rows_sink(spark, sf_dir):
-    rows, _, _ = judged(spark, sf_dir)
+    rows, _, _ = judged(spark, sf_dir, rows=good_rows(spark, sf_dir, "payload"))
     failed = bad(parsed(spark, sf_dir)).unionByName(rows.where("kind is not null").select("kind", "failure", "payload"))
     at = scratch(spark)
     bad_rows.records(failed).select("record").write.text(at)
@@ -312,12 +322,17 @@ PARTS = 4
 def written(spark: SparkSession, sf_dir: str, parts: int = PARTS) -> lake.LakeTable:
     t = table(spark)
     lake.create(spark, t)
-    rows, columns, _ = judged(spark, sf_dir)
-    counts = _held[-1].groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))  # of the parsed rows, which are kept
-    lake.append(layout.stamped(shred.shredded(layout.laid_out(rows.where("kind is null"), parts, counts), columns), STAMP), t, 0)
+    parsed_rows = good_rows(spark, sf_dir)
+    rows, columns, _ = judged(spark, sf_dir, rows=parsed_rows)
+    lake.append(layout.stamped(layout.laid_out(shred.shredded(rows, columns), parts, by_name(parsed_rows)), STAMP), t, 0)
     return t
 
 
+def by_name(rows: DataFrame) -> DataFrame:
+    """(event_name, n) of rows that are held, to lay out those of them that can be loaded."""
+    return rows.groupBy("event_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("lake_append", "SELECT event_type AS event_name, count(*) AS n_rows, sum(CAST(value AS DECIMAL(18,2))) AS total, sum(CASE WHEN u IN ('v0', 'v1') THEN k END)::BIGINT AS sum_k FROM feed WHERE loaded GROUP BY 1")
 def lake_append(spark, sf_dir):
     back = lake.read(spark, written(spark, sf_dir))
@@ -327,7 +342,9 @@ def lake_append(spark, sf_dir):
 @query("lake_readback", "SELECT event_type AS event_name, 2 * count(*) AS n_rows, count(*) FILTER (u IN ('v0', 'v1')) AS n_k, count(*) FILTER (u = 'v2') AS n_recovered FROM feed WHERE loaded GROUP BY 1")
 def lake_readback(spark, sf_dir):
     """An older batch without entity columns and a newer one with them, in one table."""
-    t, rows = table(spark), loadable(spark, sf_dir)
+    t, parsed_rows = table(spark), good_rows(spark, sf_dir)
+    judged_rows, columns, _ = judged(spark, sf_dir, rows=parsed_rows)
+    rows = hold(parsed_rows, layout.laid_out(shred.shredded(judged_rows, columns), PARTS, by_name(parsed_rows)))  # both batches are written from it
     lake.create(spark, t)
     lake.append(layout.stamped(rows.select("event_id", "collector_tstamp", "event_name", "user_id", "tr_total"), STAMP), t, 0)
     lake.append(layout.stamped(rows, STAMP), t, 1)
@@ -371,12 +388,13 @@ def by_arrival(spark: SparkSession, sf_dir: str, stamp: Callable[[int], datetime
     """The feed in ten batches, each of three days of events, loaded at ``stamp(k)``."""
     t = table(spark)
     lake.create(spark, t)
-    rows, columns, _ = judged(spark, sf_dir)
-    rows = rows.where("kind is null")
+    parsed_rows = good_rows(spark, sf_dir)
+    rows, columns, _ = judged(spark, sf_dir, rows=parsed_rows)
+    loaded = shred.shredded(rows, columns)
     for k in range(SPLITS):
         begin = F.lit(FIRST + timedelta(days=3 * k))
-        mine = rows.where((F.col("collector_tstamp") >= begin) if k else F.lit(True)).where((F.col("collector_tstamp") < F.lit(FIRST + timedelta(days=3 * k + 3))) if k < SPLITS - 1 else F.lit(True))
-        lake.append(layout.stamped(shred.shredded(layout.laid_out(mine, 2), columns), stamp(k)), t, k)
+        own = lambda df, k=k, begin=begin: df.where((F.col("collector_tstamp") >= begin) if k else F.lit(True)).where((F.col("collector_tstamp") < F.lit(FIRST + timedelta(days=3 * k + 3))) if k < SPLITS - 1 else F.lit(True))
+        lake.append(layout.stamped(layout.laid_out(own(loaded), 2, by_name(own(parsed_rows))), stamp(k)), t, k)
     return t
 
 
@@ -432,7 +450,9 @@ def load_stamp(spark, sf_dir):
 @query("layout_balance", "SELECT 6 AS n_parts, count(*)::BIGINT AS n_rows, true AS balanced FROM feed WHERE loaded")
 def layout_balance(spark, sf_dir):
     """Parts of the layout, and whether each is within 1.2 times their mean."""
-    return balance(judged(spark, sf_dir)[0].where("kind is null").select("event_name", "event_id"))
+    parsed_rows = good_rows(spark, sf_dir)
+    rows = judged(spark, sf_dir, rows=parsed_rows)[0].where("kind is null").select("event_name", "event_id")
+    return balance(hold(parsed_rows, rows))
 
 
 def balance(rows: DataFrame) -> DataFrame:
@@ -444,12 +464,12 @@ def balance(rows: DataFrame) -> DataFrame:
 def layout_skewed(spark, sf_dir):
     """The same with 96 in 100 events of one name and the rest of names of their own."""
     rows = good(parsed(spark, sf_dir)).select(F.when(F.pmod("event_id", F.lit(25)) != 0, "click").otherwise(F.concat(F.lit("n"), F.col("event_id").cast("string"))).alias("event_name"), "event_id")
-    return balance(rows)
+    return balance(hold(rows))
 
 
 @query("layout_one_part", "SELECT 1 AS n_parts, count(*)::BIGINT AS n_rows FROM feed WHERE loaded")
 def layout_one_part(spark, sf_dir):
-    """A batch that is small for its target size is laid out as one part, without a shuffle."""
+    """A batch that is small for its target size is laid out as one part."""
     rows = judged(spark, sf_dir)[0].where("kind is null").select("event_name", "event_id")
     return layout.part_sizes(layout.laid_out(rows, layout.write_partitions(1))).agg(F.count(F.lit(1)).alias("n_parts"), F.sum("n_rows").alias("n_rows"))
 
