@@ -90,6 +90,29 @@ def spread_join(rows: DataFrame, groups: DataFrame, keys: list[str], how: str =
     return rows.join(few, keys).unionByName(rest)
 
 
+#: Bits of a map of keys for each key, and at most (128 MB); more keys than that only let more other rows through.
+BITS_PER_KEY, MOST_BITS = 16, 1 << 30
+_BLOCK = 1 << 15  # bits in a bitmap of Spark
+
+
+def marked(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """``rows`` with a boolean ``flag``: true wherever ``keys`` has the row's ``key``, and for some 6 % of the others.
+
+    A bitmap of the keys' hashes is broadcast (2 bytes a key), so that rows which meet nothing need not be shuffled to be
+    left out. ``keys`` is read twice; a key may occur in it more than once.
+    """
+    blocks = max(1, -(-min(keys.count() * BITS_PER_KEY, MOST_BITS) // _BLOCK))
+    hashed = F.xxhash64(key, F.lit("bits"))
+    block, place = F.pmod(hashed, F.lit(blocks)), F.pmod(F.shiftrightunsigned(hashed, 40), F.lit(_BLOCK)).cast("int")
+    at, words, where = (spare(rows, x) for x in ("block", "words", "place"))
+    maps = keys.select(block.alias(at), place.alias(where)).repartition(at).groupBy(at).agg(F.bitmap_construct_agg(where).alias(words))
+    # as longs, whose bits can be looked up: eight bytes each, the first one highest
+    maps = maps.select(at, F.expr(f"transform(sequence(0, {_BLOCK // 64 - 1}), i -> cast(conv(hex(substring({words}, i * 8 + 1, 8)), 16, -10) as bigint))").alias(words))
+    held = rows.withColumns({at: block, where: place}).join(F.broadcast(maps), at, "left")
+    bit = F.getbit(F.get(words, F.shiftright(where, 6)), F.col(where).bitwiseAND(63).bitwiseXOR(56))
+    return held.select(*rows.columns, F.coalesce(bit == 1, F.lit(False)).alias(flag))
+
+
 def spare(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not use yet."""
     taken = {c.lower() for c in df.columns}

@@ -360,6 +360,10 @@ def _across(p: Params):
 def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
     """(node, component) of every text that links with another. ``heads``: node, n, buckets, few; ``texts``: node, word_ids."""
     each = common.written(heads.select("node", "n", F.explode("buckets").alias("bucket")).unionByName(_prefixes(heads, p)))
+    # nearly all buckets hold one text; five bytes of a bucket are enough to leave them out, the rest is counted in full
+    each = each.withColumn("code", F.shiftrightunsigned("bucket", 24))
+    often = common.cut(each.groupBy("code").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("code"))
+    each = common.written(common.marked(each, often, "code", "often").where("often").select("node", "n", "bucket"))
     sizes = common.cut(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader")).where("size > 1"))
     meets = common.spread_join(each, sizes, ["bucket"]).where("node != leader").groupBy("leader", "node").agg(F.min("n").alias("n"))
     meets = common.cut(meets)
@@ -373,7 +377,8 @@ def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFr
     # a block of a large group fills a hall by itself; small groups share halls
     hall = F.xxhash64("leader", "block")
     dealt = dealt.select("leader", "node", "block", F.when(F.col("blocks") > 1, hall).otherwise(F.pmod(hall, F.lit(halls))).alias("hall"))
-    found = common.cut(dealt.join(texts, "node").groupBy("hall").applyInPandas(_meet(p), "a long, b long").distinct())
+    some = common.marked(texts, meets.select("node").unionByName(groups.select(F.col("leader").alias("node"))), "node", "met").where("met").drop("met")
+    found = common.cut(dealt.join(some, "node").groupBy("hall").applyInPandas(_meet(p), "a long, b long").distinct())
     comps = common.components(found, "a", "b")
     large = groups.where("blocks > 1").select("leader", "size")
     if not large.limit(1).count():
@@ -386,12 +391,15 @@ def _similar_components(heads: DataFrame, texts: DataFrame, p: Params) -> DataFr
     top = parts.groupBy("leader").agg(F.max(F.struct("words", "c")).alias("m"), F.sum("words").alias("all"), F.sum("size").alias("size")).select("leader", "size", F.col("m.c").alias("main"), "all", (F.col("all") - F.col("m.words")).alias("minor"))
     count = lambda x: F.ceil(F.col(x) / p.block_words).cast("long")
     top = common.cut(top.where("minor > 0").select("leader", "size", "main", count("minor").alias("lefts"), count("all").alias("rights")))
+    if not top.limit(1).count():
+        return comps
     number = lambda n, to: F.pmod(F.xxhash64("node", F.lit(to)), F.col(n)).alias(to)
     spread = lambda n, to: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(to)
     mine = common.spread_join(mine, top, ["leader"])
+    some = common.marked(texts, mine.select("node"), "node", "met").where("met").drop("met")
     left = mine.where("c != main").select("leader", "node", "c", F.lit(True).alias("left"), number("lefts", "i"), spread("rights", "j"))
     right = mine.select("leader", "node", "c", F.lit(False).alias("left"), spread("lefts", "i"), number("rights", "j"))
-    rest = left.unionByName(right).join(texts, "node").groupBy("leader", "i", "j").applyInPandas(_across(p), "a long, b long")
+    rest = left.unionByName(right).join(some, "node").groupBy("leader", "i", "j").applyInPandas(_across(p), "a long, b long")
     rest = common.cut(rest.distinct())
     return common.components(rest.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
 
@@ -407,9 +415,12 @@ def _classes(docs: DataFrame, p: Params, id_col: str, text_col: str) -> tuple[Da
     marks = known.withColumn("sha", F.unhex(F.sha2("text", 256))).mapInPandas(_sketches(p), "id long, sha binary, n long, buckets array<long>, few array<long>, word_ids binary")
     marks = common.written(marks.withColumn("node", F.xxhash64(F.monotonically_increasing_id())))
     rows = marks.select("id", "sha")
-    classes = common.cut(marks.groupBy("sha").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.min(F.when(F.col("word_ids").isNotNull(), F.col("node"))).alias("node")))
-    chosen = classes.select("node")
-    heads = marks.where(F.col("word_ids").isNotNull() & (F.col("n") > 0)).select("node", "n", "buckets", "few").join(chosen, "node", "left_semi")
+    classes = common.cut(marks.groupBy("sha").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.min(F.when(F.col("word_ids").isNotNull(), F.col("node"))).alias("node"), F.count("word_ids").alias("sketched")))
+    # only texts that more than one task has sketched are looked up by a shuffle
+    heads = marks.where(F.col("word_ids").isNotNull() & (F.col("n") > 0)).select("sha", "node", "n", "buckets", "few")
+    heads = common.marked(heads, classes.where("sketched > 1").select("sha"), "sha", "again").drop("sha")
+    chosen = heads.where("again").join(classes.select("node"), "node", "left_semi")
+    heads = heads.where("not again").unionByName(chosen).drop("again")
     comps = common.cut(_similar_components(heads, marks.where("word_ids is not null").select("node", "word_ids"), p))
     linked = classes.join(comps, "node")
     least = linked.groupBy("component").agg(F.min(F.struct("class_id", "sha")).alias("least"))

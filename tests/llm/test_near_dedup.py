@@ -233,6 +233,39 @@ def test_hot_keys_are_joined_apart(spark):
     assert joined.count() == 1000 and joined.where("name = k").count() == 1000
     assert common.spread_join(rows, groups.where("k <> 1"), ["k"], how="left").where("name is null").count() == 600
 
+def test_marks_lose_no_key(spark):
+    rows = spark.range(50_000).withColumnRenamed("id", "k").withColumn("block", F.lit("x"))
+    for n in (0, 1, 20_000):
+        held = common.marked(rows, spark.range(n).select((2 * F.col("id")).alias("k")), "k", "in")
+        assert held.columns == ["k", "block", "in"] and held.count() == 50_000
+        mine = (F.col("k") % 2 == 0) & (F.col("k") < 2 * n)
+        assert held.where(mine & F.col("in")).count() == n and held.where(~mine & F.col("in")).count() <= 0.1 * 50_000
+
+
+def shuffled(spark) -> int:
+    """Bytes that all stages of the session have written for shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_that_meet_nothing_are_not_shuffled(spark):
+    """Beside a group of several blocks, nothing but codes of buckets goes through a shuffle for texts without any candidate."""
+    r, n, words = random.Random(12), 3000, 200
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(f"w{r.randrange(10**9)}" for _ in range(words))) for i in range(n)]
+    rows += [(n + i, " ".join([*(f"w{r.randrange(10**6)}" for _ in range(30)), *passage])) for i in range(50)]
+    docs, before = frame(spark, rows), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with larger tables
+    try:
+        at = shuffled(spark)
+        assert near_dedup.groups(docs, near_dedup.Params(block_words=2000)).where("kept").count() == n + 50
+        sent = shuffled(spark) - at
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    print(f"{sent / n:.0f} bytes a text")
+    assert sent < n * 4 * words * 1.5
 
 
 def test_a_worker_remembers_one_kind_of_work_at_a_time(monkeypatch):
